@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import encode_documents
 from .common import table
 from .lines import BOILERPLATE, clean_lines
 
@@ -44,3 +46,9 @@ res AS (SELECT doc_id, n_words, word_chars, n_symbols, coalesce(dup, 0)::BIGINT
 SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND lost_chars <= 0.5 * word_chars AS kept FROM res
 """
+
+
+@query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
