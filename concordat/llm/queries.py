@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .bpe import encode_documents
+from .bpe import codec, encode_documents
 from .common import table
 from .lines import BOILERPLATE, clean_lines
+from .packing import TreeBins, VectorBins, assemble, cut, pack
+from .wordbpe import word_codec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -52,3 +55,17 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = cut(table(spark, sf_dir, "documents"), lambda: word_codec(path).encode, 4096, end_id=1)
+    return pack(pieces, VectorBins(4096)).select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op2_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    pieces = cut(table(spark, sf_dir, "documents"), lambda: codec(path, pattern).encode, 2048, end_id=50256, ids=True, width=2)
+    return assemble(pack(pieces, TreeBins(2048)), 2048, width=2, pad=50256)
