@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import codec, encode_documents
 from .common import table
 from .lines import BOILERPLATE, clean_lines
+from .ngram import ngram_join
 from .packing import TreeBins, VectorBins, assemble, cut, pack
 from .wordbpe import word_codec
 
@@ -69,3 +70,8 @@ def op2_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     pieces = cut(table(spark, sf_dir, "documents"), lambda: codec(path, pattern).encode, 2048, end_id=50256, ids=True, width=2)
     return assemble(pack(pieces, TreeBins(2048)), 2048, width=2, pad=50256)
+
+
+@query
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"))
