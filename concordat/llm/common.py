@@ -108,3 +108,25 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+
+
+def settle(rows: DataFrame, classes: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """One row for each of rows (key, cls): the key under its name, class_id, n_links, component_id and kept.
+
+    classes (cls, copies, first) names the classes of equal rows; found (a, b, links) has, for classes linked in some unit
+    of work, a class that they reach and the rows linked with each row of a. A null cls is linked with nothing.
+    """
+    links = found.groupBy(F.col("a").alias("cls")).agg(F.sum("links").alias("links"))
+    reached = components(found.select("a", "b")).select(F.col("node").alias("cls"), "root")
+    told = classes.select("cls", "copies", "first").join(links, "cls", "left").join(reached, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    told = durable(told, "told")
+    lowest = told.groupBy("root").agg(F.min("first").alias("lowest"))
+    told = told.join(lowest, "root").select("cls", "first", "lowest", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
+    alone = F.col("cls").isNull()
+    out = rows.select("key", "cls").join(told, "cls", "left").select(
+        F.col("key").alias(key),
+        F.when(alone, F.col("key")).otherwise(F.col("first")).alias("class_id"),
+        F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
+        F.when(alone, F.col("key")).otherwise(F.col("lowest")).alias("component_id"),
+    )
+    return out.withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import REMEMBER, slices
-from .common import MIX, components, durable, groups, mix64, small
+from .common import MIX, durable, groups, mix64, settle, small
 
 BANDS, ROWS = 20, 4
 HASHES = BANDS * ROWS
@@ -228,17 +228,4 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, tolerance: f
             yield pd.concat(out)
 
     found = durable(units.mapInPandas(compared, "a binary, b binary, links long"), "links")
-    links = found.groupBy(F.col("a").alias("cls")).agg(F.sum("links").alias("links"))
-    reached = components(found.select("a", "b")).select(F.col("node").alias("cls"), "root")
-    told = classes.select("cls", "copies", "first").join(links, "cls", "left").join(reached, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    told = durable(told, "told")
-    lowest = told.groupBy("root").agg(F.min("first").alias("lowest"))
-    told = told.join(lowest, "root").select("cls", "first", "lowest", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
-    out = rows.select("key", "cls").join(told, "cls", "left")
-    out = out.select(
-        F.col("key").alias(key),
-        F.when(F.col("cls").isNull(), F.col("key")).otherwise(F.col("first")).alias("class_id"),
-        F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-        F.when(F.col("cls").isNull(), F.col("key")).otherwise(F.col("lowest")).alias("component_id"),
-    )
-    return out.withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
+    return settle(rows, classes, found, key)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import codec, encode_documents
 from .common import table
+from .itq import embedding_dedup
 from .lines import BOILERPLATE, clean_lines
 from .ngram import ngram_join
 from .packing import TreeBins, VectorBins, assemble, cut, pack
@@ -75,3 +76,8 @@ def op2_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept", "class_id")
