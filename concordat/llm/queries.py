@@ -14,6 +14,7 @@ from .itq import embedding_dedup
 from .lines import BOILERPLATE, clean_lines
 from .ngram import ngram_join
 from .packing import TreeBins, VectorBins, assemble, cut, pack
+from .quality import quality_scores
 from .wordbpe import word_codec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +82,8 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept", "class_id")
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
