@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import codec, encode_documents
-from .common import table
+from .common import shared_dir, table
 from .itq import embedding_dedup
 from .lines import BOILERPLATE, clean_lines
 from .ngram import ngram_join
 from .packing import TreeBins, VectorBins, assemble, cut, pack
 from .quality import quality_scores
+from .warc import as_records, read_warc, write_warc
 from .wordbpe import word_codec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +89,21 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    write_warc(as_records(table(spark, sf_dir, "pages")), path)
+    number = lambda c: F.regexp_extract(c, r"(-?\d+)>$", 1).try_cast("long")
+    back = read_warc(spark, path, payloads=False).where("kind = 'record'")
+    return back.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.when(F.col("record_type") == "revisit", number("refers_to")).alias("refers_to"))
+
+
+ORACLE_SQL["op1_warc_round_trip"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, '')))::BIGINT AS n FROM pages),
+q AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS last FROM p)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN last IS NOT NULL AND last IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN last IS NOT NULL AND last IS DISTINCT FROM page_id THEN last END AS refers_to FROM q
+"""
