@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .bpe import codec, encode_documents
 from .common import shared_dir, table
+from .html import extract_main_text
 from .itq import embedding_dedup
 from .lines import BOILERPLATE, clean_lines
 from .ngram import ngram_join
@@ -107,3 +108,8 @@ SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
   CASE WHEN last IS NOT NULL AND last IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN last IS NOT NULL AND last IS DISTINCT FROM page_id THEN last END AS refers_to FROM q
 """
+
+
+@query
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
