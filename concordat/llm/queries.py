@@ -13,6 +13,7 @@ from .bpe import codec, encode_documents
 from .common import shared_dir, table
 from .html import extract_main_text
 from .itq import embedding_dedup
+from .licences import scan
 from .lines import BOILERPLATE, clean_lines
 from .ngram import ngram_join
 from .packing import TreeBins, VectorBins, assemble, cut, pack
@@ -113,3 +114,8 @@ SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
 @query
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
