@@ -1 +1 @@
-"""See the modules of this folder."""
+"""SQL dialects read as Spark SQL, and the catalogue of queries."""
