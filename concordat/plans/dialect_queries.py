@@ -9,6 +9,7 @@ from concordat.operators import catalog
 
 from .registry import query, table
 from .rewriter import to_spark
+from .routines import function_to_spark
 
 
 def run(spark: SparkSession, sf_dir: str, sql: str, source: str, **more: object) -> DataFrame:
@@ -105,3 +106,32 @@ LINES = [("p", 2, "b\n"), ("p", 1, "a\n"), ("p", 10, "c"), ("q", 1, "x")]
 @query("SELECT * FROM (VALUES ('p', 'a' || chr(10) || 'b' || chr(10) || 'c'), ('q', 'x')) t(name, ddl)")
 def catalog_source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.source_lines(spark.createDataFrame(LINES, "name string, line int, text string"))
+
+
+TSQL_FUNCTION = "CREATE FUNCTION dbo.fn_net (@price DECIMAL(12,2), @rate INT = 10) RETURNS DECIMAL(12,2) AS BEGIN RETURN ISNULL(@price, 0) * (100 - @rate) / 100 END"
+TSQL_TABLE_FUNCTION = "CREATE FUNCTION dbo.fn_of (@nation INT) RETURNS TABLE AS RETURN (SELECT c.c_custkey, LEN(c.c_name) AS n FROM dbo.customer c WHERE c.c_nationkey = @nation)"
+
+
+@query("SELECT p_partkey, round(p_retailprice::DECIMAL(12,2) * 90 / 100, 2)::DOUBLE AS net, round(p_retailprice::DECIMAL(12,2) * 50 / 100, 2)::DOUBLE AS half FROM part")
+def tsql_scalar_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.sql(function_to_spark(TSQL_FUNCTION, "mssql"))
+    table(spark, sf_dir, "part").createOrReplaceTempView("part")
+    return spark.sql("SELECT p_partkey, cast(fn_net(p_retailprice) AS double) AS net, cast(fn_net(p_retailprice, 50) AS double) AS half FROM part")
+
+
+@query("SELECT n_name, c_custkey, len(c_name)::INT AS n FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE n_nationkey < 5")
+def tsql_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    for t in ("customer", "nation"):
+        table(spark, sf_dir, t).createOrReplaceTempView(t)
+    spark.sql(function_to_spark(TSQL_TABLE_FUNCTION, "mssql", spark))
+    return spark.sql("SELECT n_name, f.c_custkey, f.n FROM nation, LATERAL fn_of(n_nationkey) f WHERE n_nationkey < 5")
+
+
+BODIES = [("p1", "SELECT * FROM t WHERE t.id = @id AND name = @p_name"), ("p2", "SELECT 1")]
+
+
+@query("WITH b(name, body) AS (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in BODIES) + ") SELECT name, array_to_string(list_transform(regexp_extract_all(body, '\\w+\\s*=\\s*@\\w+'), lambda x: replace(lower(x), ' ', '')), ';') AS pairs FROM b")
+def parameter_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns that a routine compares with its parameters."""
+    pairs = F.transform(F.regexp_extract_all("body", F.lit(r"(\w+\s*=\s*@\w+)"), 1), lambda x: F.replace(F.lower(x), F.lit(" "), F.lit("")))
+    return spark.createDataFrame(BODIES, "name string, body string").select("name", F.array_join(pairs, ";").alias("pairs"))

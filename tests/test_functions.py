@@ -97,3 +97,12 @@ def test_streams_have_the_digests_of_batches(spark, sf_dir, tmp_path):
     q.awaitTermination()
     verdicts = compare_windows(windowed_digest(events), spark.table("digests")).groupBy("verdict").count().collect()
     assert [r["verdict"] for r in verdicts] == ["PASS"]
+
+
+def test_functions_of_one_return():
+    from concordat.plans.routines import function_to_spark
+
+    made = function_to_spark("CREATE FUNCTION `app`.`f`(a INT, b VARCHAR(10)) RETURNS VARCHAR(20) DETERMINISTIC BEGIN RETURN IFNULL(b, 'x'); END", "mysql")
+    assert made == "CREATE OR REPLACE TEMPORARY FUNCTION f(a int, b string) RETURNS string RETURN cast(coalesce(b, 'x') AS string)"
+    with pytest.raises(ValueError):
+        function_to_spark("CREATE FUNCTION f(@a INT) RETURNS INT AS BEGIN DECLARE @x INT; SET @x = 1; RETURN @x END", "mssql")
