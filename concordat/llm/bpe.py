@@ -6,6 +6,8 @@ import base64
 import functools
 import hashlib
 import heapq
+import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -26,6 +28,23 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+class Memory:
+    """What a worker remembers of keys seen: at most two generations of REMEMBER entries, of which the older goes first."""
+
+    def __init__(self) -> None:
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """The keys that are not known; the others are in new afterwards. Begins a generation where the last is full."""
+        if len(self.new) > REMEMBER:
+            self.old, self.new = self.new, {}
+        fresh = keys.difference(self.new)
+        again = {k: self.old[k] for k in fresh if k in self.old}
+        self.new |= again
+        return list(fresh.difference(again))
+
+
 class Codec:
     """Encodes texts as a rank file and a split pattern say; decodes ids."""
 
@@ -36,7 +55,8 @@ class Codec:
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         pairs = [(ranks[b[:k]], ranks[b[k:]], i) for b, i in ranks.items() for k in range(1, len(b)) if b[:k] in ranks and b[k:] in ranks]
         self._fill(np.array(pairs, np.int64))
-        self.known: dict[str, bytes] = {}
+        self.pieces, self.words = Memory(), Memory()
+        self.uneven = re.compile(r"\s\s").search
 
     def _fill(self, pairs: np.ndarray) -> None:
         """An open-addressing table at most a quarter full: keys and ranks, filled one probe distance at a time."""
@@ -143,13 +163,14 @@ class Codec:
     def learn(self, pieces: Iterable[str]) -> None:
         """Remembers the ids of pieces, in matrices of like lengths."""
         buckets: dict[int, list[tuple[str, bytes]]] = {}
+        known = self.pieces.new
         for p in pieces:
             raw = p.encode()
             n = len(raw)
             if n == 1:
-                self.known[p] = self.byte[raw[0]].astype("<u4").tobytes()
+                known[p] = self.byte[raw[0]].astype("<u4").tobytes()
             elif n > WIDEST:
-                self.known[p] = self._long(raw).astype("<u4").tobytes()
+                known[p] = self._long(raw).astype("<u4").tobytes()
             else:
                 buckets.setdefault(n if n <= 16 else (n + 7) // 8 * 8, []).append((p, raw))
         for width, held in buckets.items():
@@ -157,7 +178,7 @@ class Codec:
             for k in range(0, len(held), step):
                 part = held[k : k + step]
                 for (p, _), ids in zip(part, self._rows([raw for _, raw in part], width)):
-                    self.known[p] = ids.astype("<u4").tobytes()
+                    known[p] = ids.astype("<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
@@ -168,22 +189,57 @@ class Codec:
             while end < len(texts) and (end == at or chars + len(texts[end]) <= SLICE):
                 chars += len(texts[end])
                 end += 1
-            pieces = [self.split(t) for t in texts[at:end]]
-            if len(self.known) > REMEMBER:
-                self.known.clear()
-            fresh: set[str] = set()
-            for p in pieces:
-                fresh.update(p)
-            self.learn(fresh.difference(self.known))
-            get = self.known.__getitem__
-            out += [b"".join(map(get, p)) for p in pieces]
+            out += self._slice(texts[at:end])
             at = end
         return out
 
+    def _slice(self, texts: list[str]) -> list[bytes]:
+        """Where no two white spaces meet, a space begins a piece whatever stands around it, so that words with the space before
+        them are remembered whole; other texts are split as they are."""
+        even = [not self.uneven(t) for t in texts]
+        parts = [t.split(" ") if e else self.split(t) for t, e in zip(texts, even)]
+        words: set[str] = set()
+        pieces: set[str] = set()
+        heads: list[list[str]] = []
+        for p, e in zip(parts, even):
+            if e:
+                heads.append(self.split(p.pop(0)))
+                words.update(p)
+                pieces.update(heads[-1])
+            else:
+                pieces.update(p)
+        new = [(w, self.split(" " + w)) for w in self.words.missing(words)]
+        for _, p in new:
+            pieces.update(p)
+        self.learn(self.pieces.missing(pieces))
+        piece, word, head = self.pieces.new.__getitem__, self.words.new.__getitem__, iter(heads)
+        self.words.new.update((w, b"".join(map(piece, p))) for w, p in new)
+        return [b"".join(map(piece, next(head))) + b"".join(map(word, p)) if e else b"".join(map(piece, p)) for p, e in zip(parts, even)]
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+class LibraryCodec(Codec):
+    """The same ids, new pieces encoded by the tiktoken library."""
+
+    def __init__(self, path: str, pattern: str) -> None:
+        super().__init__(path, pattern)
+        import tiktoken
+
+        self.library = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks={b: i for i, b in self.token.items()}, special_tokens={})
+
+    def learn(self, pieces: Iterable[str]) -> None:
+        encode, known = self.library.encode_ordinary, self.pieces.new
+        for p in pieces:
+            known[p] = array("I", encode(p)).tobytes()
+
+
+@functools.lru_cache(maxsize=2)
+def library_codec(path: str, pattern: str) -> LibraryCodec:
+    return LibraryCodec(path, pattern)
+
+
 @functools.lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
     """One codec for each worker process and rank file."""

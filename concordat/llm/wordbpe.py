@@ -4,19 +4,21 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 
 import numpy as np
-import regex
 
-from .bpe import REMEMBER
+from .bpe import Memory
 
-#: Fixed value: the split pattern of the vocabulary file.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Letters and digits of Latin-1, and the split pattern of the vocabulary file within it.
+LETTER, DIGIT = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{DIGIT}]|[^\s{LETTER}{DIGIT}]+"
 
 
 class WordCodec:
-    """Texts within Latin-1 are lower-cased and split here, and each distinct word is encoded once by the library: they need no
-    normal form, and a word's ids don't depend on its neighbours. Other texts go to the library whole. Special tokens are ordinary text."""
+    """Texts within Latin-1 are lower-cased and split at white space here, and each distinct word is encoded once by the library: they
+    need no normal form, pieces never hold white space, and their ids don't depend on what stands beside them. Other texts go to
+    the library whole. Special tokens are ordinary text."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -24,30 +26,39 @@ class WordCodec:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.split = regex.compile(SPLIT).findall
-        self.known: dict[str, bytes] = {}
+        self.split = re.compile(SPLIT).findall
+        self.simple = re.compile(r"[\x00-\x1b\x20-\xff]*").fullmatch  # separators \x1c-\x1f are white space for Python only
+        self.words, self.pieces = Memory(), Memory()
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def learn(self, pieces: list[str]) -> None:
+        """Encodes pieces some hundreds in one text, which takes half the time, and cuts the ids where a piece ends."""
+        for at in range(0, len(pieces), 512):
+            part = pieces[at : at + 512]
+            ids = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(part):
+                self.pieces.new.update(zip(part, (ids[a:b].tobytes() for a, b in zip([0, *ends], ends))))
+            else:
+                self.pieces.new.update(zip(part, self.whole(part)))
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBER:
-            self.known.clear()
         words: list[list[str] | None] = []
-        fresh: set[str] = set()
+        seen: set[str] = set()
         for t in texts:
-            try:
-                t.encode("latin-1")
-            except UnicodeEncodeError:
-                words.append(None)
-                continue
-            words.append(self.split(t.lower()))
-            fresh.update(words[-1])
-        new = list(fresh.difference(self.known))
-        self.known.update(zip(new, self.whole(new)))
-        get = self.known.__getitem__
+            words.append(t.lower().split() if self.simple(t) else None)
+            seen.update(words[-1] or ())
+        new = [(w, self.split(w)) for w in self.words.missing(seen)]
+        self.learn(self.pieces.missing({p for _, ps in new for p in ps}))
+        piece, word = self.pieces.new.__getitem__, self.words.new.__getitem__
+        self.words.new.update((w, b"".join(map(piece, ps))) for w, ps in new)
         rest = iter(self.whole([t for t, w in zip(texts, words) if w is None]))
-        return [next(rest) if w is None else b"".join(map(get, w)) for w in words]
+        return [next(rest) if w is None else b"".join(map(word, w)) for w in words]
 
 
 @functools.lru_cache(maxsize=2)
