@@ -16,7 +16,8 @@ from concordat.llm.wordbpe import word_codec
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line rules keep, without the lines that fail; a text that loses nothing stays as it is."""
-    judged = clean_lines(docs).where("kept")
+    # an id that the filter asks for keeps the optimizer from moving the filter below the counts, which would compute them once more for each use
+    judged = clean_lines(docs).withColumn("__row", F.monotonically_increasing_id()).where("kept AND __row >= 0")
     cleaned = judged.withColumn("text", F.when(F.col("lost_chars") > 0, F.col("clean_text")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.when(F.col("lost_chars") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
