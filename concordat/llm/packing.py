@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import durable
+from .common import durable, group_lists
 
 #: Runs up to this many are broadcast (48 bytes each); beyond it they are joined by shuffle.
 BROADCAST_RUNS = 100_000
@@ -229,16 +229,14 @@ def assemble(packed: DataFrame, size: int, key: str = "doc_id", width: int = 2,
     segment ends), position_resets (where positions start again at 0) and input_ids (size ids of width bytes, padded)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from .common import groups
-
         out: list[tuple] = []
-        for rows in groups(batches, "sequence_id"):
-            ends = (rows["offset"] + rows["length"]).tolist()
+        fill = np.full(size, pad, f"<u{width}").tobytes()
+        for rows in group_lists(batches, "sequence_id"):
+            ends = [a + n for a, n in zip(rows["offset"], rows["length"])]
             row = b"".join(rows["ids"])
             if ends[-1] * width != len(row):
-                raise ValueError(f"sequence {rows['sequence_id'].iloc[0]} has gaps")
-            row += np.full(size - ends[-1], pad, f"<u{width}").tobytes()
-            out.append((rows["sequence_id"].iloc[0], ends[-1], rows[key].tolist(), rows["piece"].tolist(), [0, *ends], rows["offset"].tolist(), row))
+                raise ValueError(f"sequence {rows['sequence_id'][0]} has gaps")
+            out.append((rows["sequence_id"][0], ends[-1], rows[key], rows["piece"], [0, *ends], rows["offset"], row + fill[len(row) :]))
             if len(out) == 256:
                 yield pd.DataFrame(out, columns=names)
                 out = []

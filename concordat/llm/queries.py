@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import codec, encode_documents
+from .bpe import encode_documents, library_codec
 from .common import shared_dir, table
 from .html import extract_main_text
 from .itq import embedding_dedup
@@ -74,7 +74,7 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    pieces = cut(table(spark, sf_dir, "documents"), lambda: codec(path, pattern).encode, 2048, end_id=50256, ids=True, width=2)
+    pieces = cut(table(spark, sf_dir, "documents"), lambda: library_codec(path, pattern).encode, 2048, end_id=50256, ids=True, width=2)
     return assemble(pack(pieces, TreeBins(2048)), 2048, width=2, pad=50256)
 
 
