@@ -229,10 +229,19 @@ class LibraryCodec(Codec):
 
         self.library = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks={b: i for i, b in self.token.items()}, special_tokens={})
 
-    def learn(self, pieces: Iterable[str]) -> None:
-        encode, known = self.library.encode_ordinary, self.pieces.new
-        for p in pieces:
-            known[p] = array("I", encode(p)).tobytes()
+    def _slice(self, texts: list[str]) -> list[bytes]:
+        """As above, but the library splits and encodes each new word with the space before it, and other texts whole."""
+        encode = self.library.encode_ordinary
+        parts = [None if self.uneven(t) else t.split(" ") for t in texts]
+        words: set[str] = set()
+        for p in parts:
+            words.update(p[1:] if p else ())
+        new = self.words.missing(words)
+        word = self.words.new
+        for w in new:
+            word[w] = array("I", encode(" " + w)).tobytes()
+        get = word.__getitem__
+        return [array("I", encode(t)).tobytes() if p is None else array("I", encode(p[0])).tobytes() + b"".join(map(get, p[1:])) for t, p in zip(texts, parts)]
 
 
 @functools.lru_cache(maxsize=2)
