@@ -11,9 +11,11 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import durable
+
 #: Sentences of public licence texts and the ways in which works name their licence, by family.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "MIT": (
@@ -40,17 +42,21 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "SPDX-License-Identifier: GPL-3.0-or-later",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "You should have received a copy of the GNU General Public License along with this program. If not, see http://www.gnu.org/licenses/.",
+        "Distributed under the GPL v3.",
+        "Distributed under the GPL v2.",
     ),
     "LGPL": (
         "Licensed under the GNU Lesser General Public License, version 2.1.",
         "This library is licensed under the GNU Lesser General Public License version 3.",
         "SPDX-License-Identifier: LGPL-2.1-only",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
+        "Distributed under the LGPL v3.",
     ),
     "AGPL": (
         "Licensed under the GNU Affero General Public License, version 3.",
         "SPDX-License-Identifier: AGPL-3.0-only",
         "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "Distributed under the AGPL v3.",
     ),
     "BSD": (
         "Licensed under the 3-Clause BSD License.",
@@ -97,8 +103,15 @@ OTHERS = (
     "They sell copies of the book without restriction.",
     "A license to fish can be obtained at the town hall.",
 )
-#: Fixed value: words of which every licence paragraph has one; others are not looked at.
-TRIGGER = r"(?i)licen[cs]e|copyright|spdx|permission|redistribut|public domain|rights reserved|proprietary|\bcc by|creative commons|unencumbered|warrant|general public"
+#: Fixed value: words that speak of licences, and names of families. A paragraph that has one and isn't confirmed is told as unknown.
+TRIGGER = (
+    r"(?i)licen[cs]e|copyright|spdx|permission|redistribut|public domain|rights reserved|proprietary|\bcc[ -]by|creative commons|unencumbered|warrant|general public"
+    r"|\b[al]?gpl(?:\b|v?\d)|\bcc0\b|\bgnu\b|free to copy"
+)
+#: Names of families that are words of other languages in small letters.
+NAMES = r"\b(?:MIT|ISC|BSD|MPL|Apache)\b"
+#: Words that are too common to tell a template by, as are numbers.
+STOP = frozenset("a all an and any are as at be by can for from if in is it may no not of on one or out see such that the this to under was were which with you".split())
 UNKNOWN = "unknown"
 
 
@@ -111,6 +124,35 @@ def ngrams(words: list[str]) -> set[str]:
     return {" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)}
 
 
+def one_of(phrases: set[str]) -> str:
+    """A pattern of any of the phrases (words with a space between), whatever stands between words; equal beginnings are tried once."""
+    root: dict = {}
+    for phrase in phrases:
+        at = root
+        for c in phrase:
+            at = at.setdefault(c, {})
+        at[""] = {}
+
+    def pattern(at: dict) -> str:
+        tails = ["" if not c else (c if c != " " else "[^A-Za-z0-9]+") + pattern(below) for c, below in sorted(at.items(), reverse=True)]
+        return tails[0] if len(tails) == 1 else f"(?:{'|'.join(tails)})"
+
+    return f"(?<![A-Za-z0-9]){pattern(root)}(?![A-Za-z0-9])"
+
+
+def anchors() -> set[str]:
+    """The templates' word pairs other than of common words alone. A text of four words or more that has half of a template's
+    n-grams, or half of its n-grams in one, has such a pair, as single words are less than half."""
+    pairs = {(a, b) for ts in TEMPLATES.values() for t in ts for a, b in zip(terms(t), terms(t)[1:])}
+    return {f"{a} {b}" for a, b in pairs if not all(w in STOP or w.isdigit() for w in (a, b))}
+
+
+#: What a text has that is looked at: a licence word, a family's name, or a word pair of a template (over ends of lines, too).
+LOOK = f"{NAMES}|(?i:{TRIGGER[4:]}|{one_of(anchors())})"
+#: Words of the longest template: wrapped lines are joined until they have as many.
+LONGEST = max(len(terms(t)) for ts in TEMPLATES.values() for t in ts)
+
+
 @dataclass
 class Model:
     families: list[str]
@@ -195,7 +237,8 @@ def fit(seed: int = 5, copies: int = 12, rounds: int = 400, rate: float = 0.5, d
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
+    """Lower-case words; GPLv3 and GPL3 are the words gpl and v3."""
+    return F.filter(F.split(F.regexp_replace(F.lower(text), r"\b([al]?gpl)v?(\d)", "$1 v$2"), "[^a-z0-9]+"), lambda w: w != "")
 
 
 def grams_of(ws: Column) -> Column:
@@ -204,13 +247,17 @@ def grams_of(ws: Column) -> Column:
 
 
 def licence_paragraphs(docs: DataFrame, confirm: float = 0.5, key: str = "doc_id") -> DataFrame:
-    """A row for each paragraph (line) of docs (key, text) that holds a trigger: key, paragraph (its number, from 0), family,
+    """A row for each licence paragraph of docs (key, text): key, paragraph (number of its first line, from 0), lines (how many), family,
     probability (calibrated), template (its number in the family), overlap and confirmed.
 
+    A paragraph is a line, or consecutive lines without a blank one that were wrapped: all runs of lines up to the words of the
+    longest template are judged beside the single lines. Of the confirmed ones each line belongs to the one with most n-grams of its template, less
+    those that aren't; joined lines count where that is so for all of them. Other lines count by themselves if confirmed or with a trigger.
+
     family is unknown where the most probable family is below the model's least probability or less probable than none, or where
     the template comparison doesn't confirm it: overlap is the share of the nearest template's n-grams in the paragraph, or of the
-    paragraph's n-grams in the template, whichever is larger. Null and empty texts have no paragraphs. Only paragraphs with a trigger are split into n-grams and joined to
-    the weights, whose number the templates bound, so that nothing of the other texts is shuffled.
+    paragraph's n-grams in the template, whichever is larger. Null and empty texts have no paragraphs. Only lines that have, with the line before or after,
+    something of LOOK are shuffled, split into n-grams and joined to the weights, whose number the templates bound.
     """
     spark, model = docs.sparkSession, fit()
     last = len(model.families) - 1
@@ -226,12 +273,23 @@ def licence_paragraphs(docs: DataFrame, confirm: float = 0.5, key: str = "doc_id
                 owned.setdefault(g, []).append(len(names) - 1)
     weights = F.broadcast(weights.join(F.broadcast(spark.createDataFrame(list(owned.items()), "gram string, templates array<int>")), "gram", "left"))
     text = F.col("text").cast("string")
-    lines = docs.select(F.col(f"`{key}`").alias("key"), F.monotonically_increasing_id().alias("row"), text.alias("text")).where(F.col("text").rlike(TRIGGER))
-    lines = lines.select("key", "row", F.posexplode(F.split("text", "\n", -1)).alias("paragraph", "line")).where(F.col("line").rlike(TRIGGER))
-    parts = lines.select("key", "row", "paragraph", words_of(F.col("line")).alias("ws")).where("size(ws) > 0")
-    grams = parts.select("key", "row", "paragraph", grams_of(F.col("ws")).alias("grams"))
-    grams = grams.select("key", "row", "paragraph", F.size("grams").alias("total"), F.explode("grams").alias("gram")).join(weights, "gram")
-    found = grams.groupBy("key", "row", "paragraph").agg(
+    lines = docs.select(F.col(f"`{key}`").alias("key"), F.monotonically_increasing_id().alias("row"), text.alias("text")).where(F.col("text").rlike(LOOK))
+    lines = lines.select("key", "row", F.split("text", "\n", -1).alias("held"))
+    lines = lines.select("key", "row", F.posexplode(F.arrays_zip(F.concat(F.array(F.lit("")), "held").alias("before"), F.col("held").alias("line"), F.slice("held", 2, F.size("held")).alias("after"))).alias("at", "x"))
+    lines = lines.where("x.line IS NOT NULL").where(F.concat_ws("\n", "x.before", "x.line").rlike(LOOK) | F.concat_ws("\n", "x.line", "x.after").rlike(LOOK))
+    lines = lines.select("key", "row", "at", F.col("x.line").rlike(TRIGGER).alias("named"), words_of(F.col("x.line")).alias("ws")).where("size(ws) > 0")
+    # run: consecutive lines have equal differences of line and rank; before: words of the run before the line
+    lines = lines.withColumn("run", F.col("at") - F.row_number().over(Window.partitionBy("row").orderBy("at")))
+    whole = Window.partitionBy("row", "run").orderBy("at")
+    lines = lines.withColumn("before", F.sum(F.size("ws")).over(whole.rowsBetween(Window.unboundedPreceding, 0)) - F.size("ws"))
+    ahead = Window.partitionBy("row", "run").orderBy("before").rangeBetween(0, LONGEST - 1)
+    runs = lines.select("key", "row", "at", "named", F.collect_list(F.struct("at", "ws")).over(ahead).alias("held"))
+    runs = runs.select("key", "row", "at", "named", "held", F.explode(F.sequence(F.lit(1), F.size("held"))).alias("n"))
+    unit = ["key", "row", "at", "n", "named"]
+    parts = runs.select(*unit, F.flatten(F.transform(F.slice("held", 1, F.col("n")), lambda x: x["ws"])).alias("ws"))
+    grams = parts.select(*unit, grams_of(F.col("ws")).alias("grams"))
+    grams = grams.select(*unit, F.size("grams").alias("total"), F.explode("grams").alias("gram")).join(weights, "gram")
+    found = grams.groupBy(*unit).agg(
         F.count("*").alias("known"),
         F.max("total").alias("total"),
         *(F.sum(F.col("w")[k]).alias(f"s{k}") for k in range(last + 1)),
@@ -239,7 +297,8 @@ def licence_paragraphs(docs: DataFrame, confirm: float = 0.5, key: str = "doc_id
     )
     logit = [(F.col(f"s{k}") / F.sqrt("known") + float(model.bias[k])) / model.temperature for k in range(last + 1)]
     top = F.greatest(*logit)
-    found = found.select("key", "row", "paragraph", "total", F.array(*(F.exp(x - top) for x in logit)).alias("e"), *(f"t{i}" for i, _, _ in names))
+    # exploded, as the optimizer would else put each expression into all that use it, and into their functions of each element
+    found = found.select(*unit, "total", F.explode(F.array(F.array(*(F.exp(x - top) for x in logit)))).alias("e"), *(f"t{i}" for i, _, _ in names))
     total = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
     best = F.array_max(F.transform(F.slice("e", 1, last), lambda x, i: F.struct((x / total).alias("p"), (-i).alias("k"))))
     overlap = F.array(
@@ -248,30 +307,41 @@ def licence_paragraphs(docs: DataFrame, confirm: float = 0.5, key: str = "doc_id
                 F.greatest(F.col(f"t{i}") / F.lit(float(sizes[i])), F.col(f"t{i}") / F.col("total")).alias("o"),
                 F.lit(-n).alias("n"),
                 F.lit(list(TEMPLATES).index(family)).alias("f"),
+                F.col(f"t{i}").alias("t"),
             )
             for i, family, n in names
         )
     )
-    found = found.select("key", "row", "paragraph", best.alias("best"), (F.element_at("e", last + 1) / total).alias("none"), overlap.alias("overlaps"))
+    found = found.select(*unit, "total", F.explode(F.array(F.struct(best.alias("best"), (F.element_at("e", last + 1) / total).alias("none"), overlap.alias("overlaps")))).alias("x"))
+    found = found.select(*unit, "total", "x.*")
     family = -F.col("best.k")
     nearest = F.array_max(F.filter("overlaps", lambda x: x["f"] == family))
-    found = found.select("key", "paragraph", family.alias("k"), F.col("best.p").alias("probability"), "none", nearest.alias("near"))
+    most = F.array_max(F.transform(F.filter("overlaps", lambda x: x["f"] == family), lambda x: x["t"]))
+    found = found.select(*unit, "total", family.alias("k"), F.col("best.p").alias("probability"), "none", nearest.alias("near"), most.alias("most"))
     confirmed = (F.col("probability") >= model.least) & (F.col("probability") > F.col("none")) & (F.col("near.o") >= confirm)
+    found = durable(found.withColumn("confirmed", confirmed).where("confirmed OR named AND n = 1"), "licences")
+    # the joined lines that are the best of all confirmed runs for each of their lines
+    best = F.max_by(F.struct("at", "n"), F.struct(2 * F.col("most") - F.col("total"), -F.col("n"), -F.col("at")))
+    won = found.where("confirmed").select("row", "at", "n", "most", "total", F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("line"))
+    won = won.groupBy("row", "line").agg(best.alias("b")).where("b.n > 1").groupBy("row", F.col("b.at").alias("at"), F.col("b.n").alias("n")).agg(F.count("*").alias("lines")).where("lines = n")
+    covered = won.select("row", F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("at"))
+    found = found.where("n > 1").join(won, ["row", "at", "n"], "left_semi").unionByName(found.where("n = 1").join(covered, ["row", "at"], "left_anti"))
     name = F.element_at(F.array(*map(F.lit, model.families)), F.col("k") + 1)
     return found.select(
         F.col("key").alias(key),
-        "paragraph",
-        F.when(confirmed, name).otherwise(UNKNOWN).alias("family"),
+        F.col("at").alias("paragraph"),
+        F.col("n").alias("lines"),
+        F.when(F.col("confirmed"), name).otherwise(UNKNOWN).alias("family"),
         "probability",
         (-F.col("near.n")).alias("template"),
         F.col("near.o").alias("overlap"),
-        confirmed.alias("confirmed"),
+        "confirmed",
     )
 
 
 def scan(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """licence_paragraphs gathered for each key: families (different ones, sorted, without unknown), n_paragraphs (with a trigger and a known
-    n-gram), n_unknown and probability (the largest of a confirmed paragraph); rows only for keys with such a paragraph.
+    """licence_paragraphs gathered for each key: families (different ones, sorted, without unknown), n_paragraphs (confirmed, or with a trigger
+    and a known n-gram), n_unknown and probability (the largest of a confirmed paragraph); rows only for keys with such a paragraph.
     Rows that share a key are one document; a null key is a key like any other."""
     named = F.col("family") != UNKNOWN
     return licence_paragraphs(docs, key=key).groupBy(F.col(f"`{key}`")).agg(

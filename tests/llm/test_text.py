@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -170,3 +171,23 @@ def test_licences(spark):
 
 def test_licences_of_odd_rows(docs):
     assert scan(docs).count() == 0
+
+
+def test_every_template_and_short_names_are_found(spark):
+    known = [(f, t) for f, ts in TEMPLATES.items() for t in ts]
+    known += [("GPL", "Distributed under GPLv3"), ("LGPL", "Distributed under LGPLv3"), ("AGPL", "Distributed under AGPLv3"), ("MIT", "Released under MIT"), ("CC-BY", "CC-BY-4.0"), ("CC0", "CC0 1.0")]
+    rows = {r.doc_id: r for r in scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(known)], "doc_id int, text string")).collect()}
+    assert [t for i, (_, t) in enumerate(known) if i not in rows] == []
+    assert [(f, t, rows[i].families) for i, (f, t) in enumerate(known) if rows[i].families != [f]] == []
+
+
+def test_wrapped_licences_are_one_paragraph(spark):
+    prose = "She walked along the river and thought of nothing at all.\n"
+    cases = [(f, t, width, around) for f, t in [(f, t) for f, ts in TEMPLATES.items() for t in ts if len(t) > 90] for width, around in ((30, prose), (72, ""))]
+    texts = [around + "\n".join(" * " + x for x in textwrap.wrap(t, width, break_long_words=False, break_on_hyphens=False)) + "\n" + around for _, t, width, around in cases]
+    texts += ["Licensed under the MIT License.\nLicensed under the Apache License, Version 2.0.", prose * 3 + "Released under the MIT License.\n" + prose * 3]
+    rows = {r.doc_id: r for r in scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()}
+    wrong = [(f, texts[i], rows.get(i)) for i, (f, *_) in enumerate(cases) if i not in rows or rows[i].families != [f] or rows[i].n_paragraphs != 1]
+    assert wrong == []
+    assert rows[len(cases)].families == ["Apache-2.0", "MIT"] and rows[len(cases)].n_paragraphs == 2
+    assert rows[len(cases) + 1].families == ["MIT"] and rows[len(cases) + 1].n_paragraphs == 1
