@@ -39,7 +39,7 @@ FURNITURE = frozenset(
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(/?)>|<[!?/][^>]*>", re.S)
 NAMED = re.compile(r"""\b(class|id|role|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 WORDS = re.compile(r"[a-z]+")
-#: A text that this share of a host's pages (three at least) has at one place is part of the template.
+#: A text that this share of a host's different pages (three at least) has at one place is part of the template.
 REPEATED = 0.5
 
 
@@ -157,10 +157,15 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
+def mark(path: str, text: str) -> int:
+    """The number of a text at its place."""
+    return xxhash.xxh3_64_intdigest(f"{path}\n{text}".encode()) >> 1
+
+
 def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For each host and token of a partition: pages, occurrences, the most on a page, two fingerprints of the occurrence vector
-    (sums over pages of occurrences times a number of 30 bits drawn for the page) and characters outside links; for texts likewise, one token for each path and text."""
-    held: dict[tuple[str, str, int], list[int]] = {}
+    (sums over pages of occurrences times a number of 30 bits drawn for the page) and characters outside links; for texts likewise, one token for each path, text and different page (page: digest of its source), and one with text -1 for the page."""
+    held: dict[tuple[str, str, int, int], list[int]] = {}
     for batch in batches:
         for sources, rows in slices(batch["html"].tolist(), batch):
             for url, source in zip(rows["url"], sources):
@@ -171,9 +176,10 @@ def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 texts: Counter[tuple[str, int]] = Counter()
                 for path, text, links in page.blocks:
                     chars[path] += max(0, len(text) - links)
-                    texts[path, xxhash.xxh3_64_intdigest(text.encode()) >> 1] += 1
-                for (path, text), n in [*(((p, 0), n) for p, n in page.tokens.items()), *texts.items()]:
-                    x = held.setdefault((host, path, text), [0, 0, 0, 0, 0, 0])
+                    texts[path, mark(path, text)] += 1
+                digest = xxhash.xxh3_64_intdigest(source.encode()) >> 1
+                for (path, text), n in [*(((p, 0), n) for p, n in page.tokens.items()), *texts.items(), (("", -1), 1)]:
+                    x = held.setdefault((host, path, text, digest if text else 0), [0, 0, 0, 0, 0, 0])
                     x[0] += 1
                     x[1] += n
                     x[2] = max(x[2], n)
@@ -186,8 +192,8 @@ def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield counted(held)
 
 
-def counted(held: dict[tuple[str, str, int], list[int]]) -> pd.DataFrame:
-    return pd.DataFrame([(*k, *v) for k, v in held.items()], columns=["host", "path", "text", "pages", "n", "most", "one", "two", "chars"])
+def counted(held: dict[tuple[str, str, int, int], list[int]]) -> pd.DataFrame:
+    return pd.DataFrame([(*k, *v) for k, v in held.items()], columns=["host", "path", "text", "page", "pages", "n", "most", "one", "two", "chars"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -197,12 +203,13 @@ def templates(pages: DataFrame) -> DataFrame:
     once on every page that has them is the skeleton; the other classes nest in it by their paths. Text below a path is a slot.
     The root is the skeleton's container with most text in slots outside links and furniture; statistics cover all pages.
     """
-    stats = pages.mapInPandas(occurrences, "host string, path string, text long, pages long, n long, most long, one long, two long, chars long")
-    stats = stats.groupBy("host", "path", "text").agg(*(F.sum(c).alias(c) for c in ("pages", "n", "one", "two", "chars")), F.max("most").alias("most"))
+    stats = pages.mapInPandas(occurrences, "host string, path string, text long, page long, pages long, n long, most long, one long, two long, chars long")
+    stats = stats.groupBy("host", "path", "text", "page").agg(*(F.sum(c).alias(c) for c in ("pages", "n", "one", "two", "chars")), F.max("most").alias("most"))
     stats = durable(stats, "occurrences")
     tokens = stats.where("text = 0")
     classes = tokens.groupBy("host", "one", "two", "n").agg(F.count("*").alias("size"), F.max("pages").alias("pages"), F.max("most").alias("most"))
-    size = tokens.groupBy("host").agg(F.max("pages").alias("whole"))
+    # copies of a page are one page
+    size = stats.where("text = -1").groupBy("host").agg(F.count("*").alias("whole"))
     valid = classes.where("most = 1 AND size >= 2").select("host", "one", "two", "n")
     skeleton = tokens.join(valid, ["host", "one", "two", "n"], "left_semi").select("host", "path")
     slots = tokens.where("chars > 0").select("host", "path", "chars")
@@ -210,7 +217,8 @@ def templates(pages: DataFrame) -> DataFrame:
     ranked = slots.selectExpr("host", "path", "chars", "row_number() OVER (PARTITION BY host ORDER BY chars DESC, path) AS place").where("place <= 500")
     slots = ranked.groupBy("host").agg(F.collect_list(F.struct("path", "chars")).alias("slots"))
     frames = skeleton.selectExpr("host", "path", "row_number() OVER (PARTITION BY host ORDER BY length(path), path) AS place").where("place <= 500").groupBy("host").agg(F.collect_list("path").alias("skeleton"))
-    shared = stats.where("text > 0").join(size, "host").where(f"pages >= 3 AND pages >= {REPEATED} * whole")
+    shared = stats.where("text > 0").groupBy("host", "path", "text").agg(F.count("*").alias("pages")).where("pages >= 3")
+    shared = shared.join(size, "host").where(f"pages >= {REPEATED} * whole")
     shared = shared.selectExpr("host", "path", "text", "row_number() OVER (PARTITION BY host ORDER BY pages DESC, path, text) AS place").where("place <= 500").groupBy("host").agg(F.collect_list("text").alias("repeated"))
     joined = slots.join(frames, "host", "left").join(shared, "host", "left")
 
@@ -231,19 +239,23 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def main_text(source: str, root: str | None = None, repeated: frozenset[int] = frozenset()) -> str:
-    """The article's blocks below root, joined by two newlines; a page that lacks the root, or has no text there, is judged alone."""
+    """The article's blocks below root, joined by two newlines; a page that lacks the root, or has no text there, is judged alone.
+    Repeated texts are left out at their places below root, but never at the place with most text outside links, or below it."""
     page = Page(source)
     for place in ([root] if root else []) + [None]:
-        if place is None:
+        alone_now = place is None
+        if alone_now:
             alone = [(p, float(max(0, len(t) - links))) for p, t, links in page.blocks if not furniture(p, "")]
             place = roots_of(alone)
-        kept = [
-            text
-            for path, text, links in page.blocks
-            if (not place or path == place or path.startswith(place + "/")) and not furniture(path, place) and (not repeated or xxhash.xxh3_64_intdigest(text.encode()) >> 1 not in repeated)
-        ]
+        kept = [x for x in page.blocks if (not place or x[0] == place or x[0].startswith(place + "/")) and not furniture(x[0], place)]
+        if repeated and not alone_now and kept:
+            chars: Counter[str] = Counter()
+            for path, text, links in kept:
+                chars[path] += max(0, len(text) - links)
+            slot = max(chars, key=lambda p: (chars[p], p))
+            kept = [x for x in kept if x[0] == slot or x[0].startswith(slot + "/") or mark(x[0], x[1]) not in repeated]
         if kept:
-            return "\n\n".join(kept)
+            return "\n\n".join(text for _, text, _ in kept)
     return ""
 
 

@@ -127,6 +127,17 @@ def test_pages(spark):
     assert main_text("<p>" * 3000 + "deep") == "deep"
 
 
+def test_copies_keep_their_article_and_texts_repeat_by_place(spark):
+    page = '<body><div id="content"><h2>%s</h2><p>%s</p><p>Same line</p></div></body>'
+    copies = [(i, f"http://c.org/{i}", page % ("Head", "One long article that stands on three of the four pages.")) for i in range(3)]
+    rows = [*copies, (3, "http://c.org/3", page % ("Other", "Another long article of a page that has no copy at all."))]
+    rows += [(10 + i, f"http://m.org/{i}", page % (f"Head {i}", f"A long article number {i} of a host whose pages differ.")) for i in range(6)]
+    got = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == "Head\n\nOne long article that stands on three of the four pages.\n\nSame line" for i in range(3))
+    assert all(got[10 + i] == f"Head {i}\n\nA long article number {i} of a host whose pages differ.\n\nSame line" for i in range(6))
+
+
+
 def test_archives_round_trip(spark, tmp_path):
     same = "é" * 800
     rows = [(1, "http://a/1", same), (5, "http://a/5", same), (3, None, same), (7, "http://a/7", "small"), (8, "http://a/8", "small"), (9, "u", None), (10, "u", "WARC/1.1\r\nWARC-Type: response\r\n\r\n"), (None, "u", same)]
