@@ -19,6 +19,8 @@ from .common import durable, small
 #: Fixed values of HTML: elements without an end, with text that isn't markup, that stand in a line, and the ends that a start implies.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math object select option button".split())
+#: Of these the elements whose text is never markup. Without an end tag, script and style go on to the end of the page; the others are read like any element, which ends with its parent.
+PLAIN = frozenset("script style textarea title iframe".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES = {
     "p": frozenset(["p"]),
@@ -36,8 +38,8 @@ FURNITURE = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer header masthead menu modal nav navbar navigation newsletter notice notification pagination "
     "popup promo promoted related reply replies respond share sharing sidebar social sponsor sponsored subscribe widget".split()
 )
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(/?)>|<[!?/][^>]*>", re.S)
-NAMED = re.compile(r"""\b(class|id|role|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"'/]|/(?!>)|\"[^\"]*\"|'[^']*')*)(/?)>|<[!?/][^>]*>", re.S)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 WORDS = re.compile(r"[a-z]+")
 #: A text that this share of a host's different pages (three at least) has at one place is part of the template.
 REPEATED = 0.5
@@ -66,10 +68,13 @@ class Page:
                 self._close(tag)
                 continue
             self._start(tag, m[3])
-            if tag in RAW and not m[4]:
-                stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-                at = stop.end() if stop else end
+            if tag in RAW and m[4]:
                 self._close(tag)
+            elif tag in PLAIN:
+                stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
+                if stop or tag in ("script", "style"):
+                    at = stop.end() if stop else end
+                    self._close(tag)
         self._flush()
 
     def _say(self, text: str) -> None:
@@ -99,8 +104,11 @@ class Page:
                     break
         if tag in VOID:
             return
-        named = {a.lower(): (b or c or d or "").lower() for a, b, c, d in NAMED.findall(attributes)}
-        words = sorted({w for k in ("class", "id", "role") for w in WORDS.findall(named.get(k, ""))} | ({"hidden"} if "hidden" in named else set()))
+        named: dict[str, str] = {}
+        for a, b, c, d in ATTRIBUTE.findall(attributes):
+            named.setdefault(a.lower(), (b or c or d or "").lower())
+        # the word hidden stands for the attribute only
+        words = sorted({w for k in ("class", "id", "role") for w in WORDS.findall(named.get(k, "")) if w != "hidden"} | ({"hidden"} if "hidden" in named else set()))
         self._open.append((tag, ".".join([tag, *words])))
         if tag not in INLINE:
             self._at = self._path()

@@ -137,6 +137,17 @@ def test_copies_keep_their_article_and_texts_repeat_by_place(spark):
     assert all(got[10 + i] == f"Head {i}\n\nA long article number {i} of a host whose pages differ.\n\nSame line" for i in range(6))
 
 
+def test_attributes_and_unclosed_elements_lose_no_text():
+    for attribute in ('style="overflow:hidden"', 'aria-hidden="false"', 'class="overflow-hidden"', 'title="a hidden thing"', "data-x=hidden"):
+        assert main_text(f"<body><div {attribute}><p>Text of the page.</p></div></body>") == "Text of the page."
+    for attribute in ("hidden", 'hidden=""', "HIDDEN id=x"):
+        assert main_text(f"<body><div><p>Text of the page.</p></div><div {attribute}><p>Not to be seen.</p></div></body>") == "Text of the page."
+    for cut in ('<svg class="x"/>', "<svg class=x />", "<math/>", "<object />", "<div><button>Press</div>", "<div><noscript>No</div>", "<div><svg><title>x</div>"):
+        assert main_text(f"<body><article><p>First part.</p>{cut}<p>Second part.</p></article></body>") == "First part.\n\nSecond part."
+    assert main_text("<body><article><p>First part.</p><script>if (a < b) { '<p>no</p>' }</script><p>Second part.</p></article></body>") == "First part.\n\nSecond part."
+
+
+
 
 def test_archives_round_trip(spark, tmp_path):
     same = "é" * 800
