@@ -172,7 +172,7 @@ def mark(path: str, text: str) -> int:
 
 def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For each host and token of a partition: pages, occurrences, the most on a page, two fingerprints of the occurrence vector
-    (sums over pages of occurrences times a number of 30 bits drawn for the page) and characters outside links; for texts likewise, one token for each path, text and different page (page: digest of its source), and one with text -1 for the page."""
+    (sums over pages of occurrences times a number of 30 bits drawn for the page) and characters outside links and furniture; for texts likewise, one token for each path, text and different page (page: digest of its source), and one with text -1 for the page."""
     held: dict[tuple[str, str, int, int], list[int]] = {}
     for batch in batches:
         for sources, rows in slices(batch["html"].tolist(), batch):
@@ -193,7 +193,7 @@ def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     x[2] = max(x[2], n)
                     x[3] += n * one
                     x[4] += n * two
-                    x[5] += 0 if text else chars[path]
+                    x[5] += 0 if text or not chars[path] or furniture(path, "") else chars[path]
                 if len(held) > 200_000:
                     yield counted(held)
                     held = {}
@@ -220,30 +220,26 @@ def templates(pages: DataFrame) -> DataFrame:
     size = stats.where("text = -1").groupBy("host").agg(F.count("*").alias("whole"))
     valid = classes.where("most = 1 AND size >= 2").select("host", "one", "two", "n")
     skeleton = tokens.join(valid, ["host", "one", "two", "n"], "left_semi").select("host", "path")
-    slots = tokens.where("chars > 0").select("host", "path", "chars")
-    # paths are few: markup, not text, makes them; a host keeps the 500 with most text
-    ranked = slots.selectExpr("host", "path", "chars", "row_number() OVER (PARTITION BY host ORDER BY chars DESC, path) AS place").where("place <= 500")
-    slots = ranked.groupBy("host").agg(F.collect_list(F.struct("path", "chars")).alias("slots"))
-    frames = skeleton.selectExpr("host", "path", "row_number() OVER (PARTITION BY host ORDER BY length(path), path) AS place").where("place <= 500").groupBy("host").agg(F.collect_list("path").alias("skeleton"))
+    # the same choice as roots_of(), by sums over all paths of a host
+    above = lambda c: F.explode(F.transform(F.sequence(F.lit(1), F.size(F.split(c, "/"))), lambda k: F.array_join(F.slice(F.split(c, "/"), 1, k), "/")))
+    tag = lambda c: F.substring_index(F.substring_index(c, "/", -1), ".", 1)
+    depth = F.size(F.split("path", "/"))
+    totals = tokens.where("chars > 0").select("host", "chars", above(F.col("path")).alias("path")).groupBy("host", "path").agg(F.sum("chars").alias("total"))
+    first = F.max(F.when(tag(F.col("path")).isin("article", "main"), F.struct("total", depth.alias("depth"), "path")))
+    hosts = totals.groupBy("host").agg(F.max("total").alias("most"), first.alias("named"))
+    able = (F.col("total") >= 0.7 * F.col("most")) & tag(F.col("path")).isin(*sorted(SCOPES))
+    roots = totals.join(hosts, "host").groupBy("host").agg(F.first("named.path").alias("named"), F.max(F.when(able, F.struct(depth.alias("depth"), "total", "path"))).alias("deepest"))
+    roots = roots.select("host", F.coalesce("named", "deepest.path", F.lit("")).alias("root"))
+    # up to the nearest container in the skeleton, where a host has one
+    held = roots.select("host", above(F.col("root")).alias("path")).join(skeleton, ["host", "path"], "left_semi").groupBy("host").agg(F.max(F.struct(F.length("path").alias("n"), "path"))["path"].alias("held"))
+    framed = skeleton.select("host").distinct().withColumn("framed", F.lit(True))
+    roots = roots.join(held, "host", "left").join(framed, "host", "left").select("host", F.when(F.col("framed"), F.coalesce("held", F.lit(""))).otherwise(F.col("root")).alias("root"))
+    # each is on half of the pages, so that a host has at most twice as many as a page has texts
     shared = stats.where("text > 0").groupBy("host", "path", "text").agg(F.count("*").alias("pages")).where("pages >= 3")
     shared = shared.join(size, "host").where(f"pages >= {REPEATED} * whole")
-    shared = shared.selectExpr("host", "path", "text", "row_number() OVER (PARTITION BY host ORDER BY pages DESC, path, text) AS place").where("place <= 500").groupBy("host").agg(F.collect_list("text").alias("repeated"))
-    joined = slots.join(frames, "host", "left").join(shared, "host", "left")
-
-    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for host, slots, skeleton, repeated in zip(batch["host"], batch["slots"], batch["skeleton"], batch["repeated"]):
-                able = set(skeleton if skeleton is not None else ())
-                stats = [(s["path"], float(s["chars"])) for s in slots if not furniture(s["path"], "")]
-                root = roots_of(stats)
-                while root and able and root not in able:
-                    root = root.rpartition("/")[0]
-                named = root.rpartition("/")[2].split(".")[0] in ("article", "main")
-                out.append((host, root, [] if named or repeated is None else list(repeated)))
-            yield pd.DataFrame(out, columns=["host", "root", "repeated"])
-
-    return durable(joined.mapInPandas(choose, "host string, root string, repeated array<long>"), "templates")
+    shared = shared.groupBy("host").agg(F.collect_list("text").alias("repeated"))
+    joined = roots.join(shared, "host", "left").select("host", "root", F.when(~tag(F.col("root")).isin("article", "main"), F.col("repeated")).alias("repeated"))
+    return durable(joined, "templates")
 
 
 def main_text(source: str, root: str | None = None, repeated: frozenset[int] = frozenset()) -> str:

@@ -147,6 +147,15 @@ def test_attributes_and_unclosed_elements_lose_no_text():
     assert main_text("<body><article><p>First part.</p><script>if (a < b) { '<p>no</p>' }</script><p>Second part.</p></article></body>") == "First part.\n\nSecond part."
 
 
+def test_a_varied_host_is_not_capped(spark):
+    odd = lambda i: "".join(chr(97 + int(d)) for d in f"{i:04d}")
+    page = '<body><div id="wrap"><div class="strip">Offer %s of the day</div><div id="content"><p>A long article with the number %s in it, and some more words.</p></div></div>%s</body>'
+    rows = [(i, f"http://v.org/{i}", page % (odd(i), odd(i), f'<b class="x"></b><div id="{odd(i)}"></div><ul id="{odd(i)}"></ul>')) for i in range(600)]
+    got = extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 600 and all(r.text == f"A long article with the number {odd(r.page_id)} in it, and some more words." for r in got)
+
+
+
 
 
 def test_archives_round_trip(spark, tmp_path):
