@@ -16,8 +16,6 @@ from .common import durable, small
 
 #: Rows up to which the digests of repeated payloads are broadcast (about 60 bytes each).
 BROADCAST_DIGESTS = 1_000_000
-#: The longest header block that the reader accepts.
-LONGEST_HEADER = 1 << 16
 #: Fixed values of the WARC and gzip formats.
 END, BLANK, MEMBER = b"\r\n\r\n", b"\r\n\r\n", b"\x1f\x8b\x08"
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -81,7 +79,7 @@ def parse_record(data: bytes, at: int) -> Record | str:
     """The record at a place, or why there is none."""
     if not (m := VERSION.match(data, at)):
         return "no version line"
-    stop = data.find(BLANK, m.end() - 2, at + LONGEST_HEADER)
+    stop = data.find(BLANK, m.end() - 2)
     if stop < 0:
         return "headers don't end"
     headers: dict[str, str] = {}

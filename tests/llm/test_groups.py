@@ -155,6 +155,14 @@ def test_a_varied_host_is_not_capped(spark):
     assert len(got) == 600 and all(r.text == f"A long article with the number {odd(r.page_id)} in it, and some more words." for r in got)
 
 
+def test_a_record_with_a_very_long_url_is_read_back(spark, tmp_path):
+    url = "http://h.org/" + "x" * 100_000
+    write_warc(as_records(spark.createDataFrame([(1, url, "<p>Text.</p>")], "page_id long, url string, html string")), str(tmp_path / "long"))
+    got = read_warc(spark, str(tmp_path / "long")).collect()
+    assert [(r.kind, r.target_uri, r.payload.decode()) for r in got] == [("record", url, "<p>Text.</p>")]
+
+
+
 
 
 
