@@ -6,8 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Stands for null in canonical rows; no canonical cell can equal it.
+#: Stands for null in canonical rows; no canonical cell can equal it, as texts have their control characters escaped.
 NULL = "\x01N"
+BETWEEN = "\x1f"
+
+
+def escaped(c: Column) -> Column:
+    """A text in which the mark of null and the separator of cells can't stand."""
+    for raw, made in (("\\", "\\\\"), (BETWEEN, "\\u"), ("\x01", "\\1")):
+        c = F.replace(c, F.lit(raw), F.lit(made))
+    return c
 
 
 def routine_cell(c: Column, kind: T.DataType) -> Column:
@@ -28,21 +36,27 @@ def routine_cell(c: Column, kind: T.DataType) -> Column:
 
 
 def view_cell(c: Column, kind: T.DataType) -> Column:
-    """Cell of a view's result: plain decimals without trailing zeros, times in UTC to the second, dates as ISO text, null as NULL's mark."""
+    """Cell of a view's result: decimals exactly and without trailing zeros, doubles by the text that reads back as the same number, times in
+    UTC to the second, dates as ISO text, text escaped, null as NULL's mark."""
     if isinstance(kind, T.BooleanType):
         text = F.lower(c.cast("string"))
-    elif isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
-        plain = F.format_string("%.6f", c.cast("double"))
-        text = F.regexp_replace(F.regexp_replace(plain, "0+$", ""), r"\.$", "")
-        text = F.when(text == "-0", "0").otherwise(text)
+    elif isinstance(kind, T.DecimalType):
+        plain = c.cast("string")
+        text = F.when(plain.contains("."), F.regexp_replace(F.rtrim(plain, F.lit("0")), r"\.$", "")).otherwise(plain)
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        plain = F.regexp_replace(c.cast("string"), r"\.0$", "")
+        text = F.when(plain == "-0", "0").otherwise(plain)
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         text = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
     elif isinstance(kind, T.BinaryType):
         text = F.lower(F.hex(c))
     elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
-        text = F.to_json(c)
+        text = escaped(F.to_json(c))
+    elif isinstance(kind, T.StringType):
+        # fixed value: the form of a time stamp with or without fraction and zone
+        text = escaped(F.regexp_replace(c, r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2})(\.\d+)?(Z|[+-]\d{2}:?\d{2})?$", "$1 $2"))
     else:
-        text = F.regexp_replace(c.cast("string"), r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2})(\.\d+)?(Z|[+-]\d{2}:?\d{2})?$", "$1 $2")
+        text = c.cast("string")
     return F.coalesce(text, F.lit(NULL))
 
 
@@ -60,7 +74,7 @@ def serialised(c: Column, kind: T.DataType) -> Column:
 def canonical_row(df: DataFrame, cell=view_cell, columns: list[str] | None = None) -> Column:
     """One text for a row: its canonical cells between separators."""
     kinds = {f.name: f.dataType for f in df.schema}
-    return F.concat_ws("\x1f", *(cell(F.col(f"`{c}`"), kinds[c]) for c in columns or df.columns))
+    return F.concat_ws(BETWEEN, *(cell(F.col(f"`{c}`"), kinds[c]) for c in columns or df.columns))
 
 
 def row_number_of(row: Column) -> Column:

@@ -43,7 +43,7 @@ def point_text(blob: bytes | None) -> str | None:
     if blob is None or len(blob) != 22 or blob[4] != 1 or blob[5] != 0x0C:
         return None
     srid, _, _, lat, lon = struct.unpack("<IBBdd", blob)
-    return f"SRID={srid};POINT({lon:g} {lat:g})"
+    return f"SRID={srid};POINT({lon} {lat})"
 
 
 @F.pandas_udf(T.StringType())
@@ -57,7 +57,7 @@ def wkb_text(blob: bytes | None) -> str | None:
         return None
     order = "<" if blob[4] == 1 else ">"
     kind, x, y = struct.unpack(order + "Idd", blob[5:])
-    return f"POINT({x:g} {y:g})" if kind == 1 else None
+    return f"POINT({x} {y})" if kind == 1 else None
 
 
 @F.pandas_udf(T.StringType())

@@ -31,13 +31,14 @@ def spark_type(name: str, source: str, precision: int | None = None, scale: int
         return "binary"
     if source == "oracle" and n == "date":
         return "timestamp"
+    if source in ("mysql", "mariadb") and re.fullmatch(r"tinyint\s*\(\s*1\s*\)", name.strip().lower()):
+        return "boolean"
     if source == "oracle" and n == "number":
+        if precision is None:  # any number: int could not hold it
+            return "decimal(38,10)" if scale is None else f"decimal(38,{max(scale, 0)})"
         if not scale:
-            if precision is None or precision <= 9:
-                return "int"
-            if precision <= 18:
-                return "bigint"
-        return f"decimal({min(precision or 38, 38)},{scale or 0})"
+            return "int" if precision <= 9 else "bigint" if precision <= 18 else f"decimal({min(precision, 38)},0)"
+        return f"decimal({min(precision, 38)},{max(scale, 0)})"
     if source == "mysql" and n == "bit":
         return "binary" if (precision or 1) > 1 else "boolean"
     if unsigned:
@@ -65,7 +66,7 @@ def default_of(expression: str | None, kind: str) -> str | None:
     e = re.sub(r"^N'", "'", e)
     for pattern, made in DEFAULTS:
         if re.match(pattern, e):
-            return made
+            return "current_date()" if kind == "date" and made == "current_timestamp()" else made
     if kind == "boolean":
         return {"0": "false", "1": "true", "'0'": "false", "'1'": "true", "b'0'": "false", "b'1'": "true"}.get(e, e if e.lower() in ("true", "false") else None)
     if re.fullmatch(r"-?\d+(\.\d+)?", e):
@@ -141,7 +142,7 @@ def index_columns(rows: DataFrame) -> DataFrame:
 
 
 def boolean_columns(columns: DataFrame) -> DataFrame:
-    return columns.where(F.lower("type_name").isin("bit", "boolean", "tinyint(1)")).groupBy("table_name").agg(F.array_join(F.array_sort(F.collect_list("column_name")), ",").alias("columns"))
+    return columns.where(F.lower("type_name").isin("bit", "boolean", "tinyint(1)", "tinyint_bool")).groupBy("table_name").agg(F.array_join(F.array_sort(F.collect_list("column_name")), ",").alias("columns"))
 
 
 def source_lines(rows: DataFrame) -> DataFrame:

@@ -49,15 +49,40 @@ def topological_order(waved: DataFrame) -> DataFrame:
     return waved.select("fqn", F.row_number().over(Window.orderBy("wave", "fqn")).alias("place"), F.col("in_cycle").alias("cycle_warning"))
 
 
+#: Edges of a catalog that the driver takes at most; a larger graph is walked with joins.
+DRIVER_EDGES = 1_000_000
+
+
 def closure(deps: DataFrame) -> DataFrame:
-    """(src, dst, depth) for all that src needs, directly or not, by the shortest way."""
-    deps.createOrReplaceTempView("closure_edges")
-    return deps.sparkSession.sql("""
-        WITH RECURSIVE up(src, dst, depth) AS (
-          SELECT src, dst, 1 FROM closure_edges
-          UNION ALL
-          SELECT u.src, e.dst, u.depth + 1 FROM up u JOIN closure_edges e ON u.dst = e.src WHERE u.depth < 30 AND u.src <> u.dst)
-        SELECT src, dst, min(depth) AS depth FROM up GROUP BY src, dst""")
+    """(src, dst, depth) for all that src needs, directly or not, by the shortest way, however long. Each pair is found once, so neither cycles nor
+    many ways to one object repeat work."""
+    spark = deps.sparkSession
+    rows = deps.select("src", "dst").limit(DRIVER_EDGES + 1).collect()
+    if len(rows) > DRIVER_EDGES:
+        return joined_closure(deps)
+    needs: dict[str, list[str]] = {}
+    for r in rows:
+        needs.setdefault(r["src"], []).append(r["dst"])
+    out = []
+    for start in needs:
+        seen: dict[str, int] = {}
+        edge, depth = [start], 0
+        while edge:
+            depth += 1
+            edge = [d for d in dict.fromkeys(d for s in edge for d in needs.get(s, ())) if d not in seen]
+            seen |= dict.fromkeys(edge, depth)
+        out += [(start, d, n) for d, n in seen.items()]
+    return spark.createDataFrame(out, "src string, dst string, depth int")
+
+
+def joined_closure(deps: DataFrame) -> DataFrame:
+    """closure() with joins: each round steps from the pairs found last and leaves out those found before; checkpoints cut the lineage."""
+    edge = found = deps.select("src", "dst").distinct().withColumn("depth", F.lit(1)).checkpoint()
+    while edge.limit(1).count():
+        step = edge.select("src", F.col("dst").alias("mid"), "depth").join(deps.select(F.col("src").alias("mid"), "dst"), "mid")
+        edge = step.select("src", "dst", (F.col("depth") + 1).alias("depth")).distinct().join(found, ["src", "dst"], "left_anti").checkpoint()
+        found = found.unionByName(edge).checkpoint()
+    return found
 
 
 def cycle_members(deps: DataFrame) -> DataFrame:

@@ -104,47 +104,50 @@ def params_verdict(source: Column, target: Column) -> Column:
 
 #: For each type of a source, the types of a target that hold the same values.
 EQUIVALENT = {
-    "bit": ["boolean"],
-    "tinyint": ["smallint", "integer"],
-    "smallint": ["smallint"],
-    "int": ["integer"],
-    "bigint": ["bigint"],
-    "decimal": ["numeric", "decimal"],
-    "numeric": ["numeric", "decimal"],
-    "money": ["numeric"],
-    "smallmoney": ["numeric"],
-    "float": ["double precision"],
-    "real": ["real"],
-    "date": ["date"],
-    "datetime": ["timestamp with time zone", "timestamp without time zone"],
-    "datetime2": ["timestamp with time zone", "timestamp without time zone"],
-    "smalldatetime": ["timestamp without time zone"],
-    "datetimeoffset": ["timestamp with time zone"],
-    "time": ["time without time zone"],
-    "char": ["text", "character", "character varying"],
-    "varchar": ["text", "character varying"],
-    "nchar": ["text", "character"],
-    "nvarchar": ["text", "character varying"],
-    "text": ["text"],
-    "ntext": ["text"],
-    "xml": ["xml", "text"],
-    "uniqueidentifier": ["uuid"],
-    "varbinary": ["bytea"],
-    "binary": ["bytea"],
-    "image": ["bytea"],
-    "hierarchyid": ["ltree", "text"],
-    "geography": ["geography", "geometry", "user-defined"],
-    "geometry": ["geometry", "user-defined"],
-    "sql_variant": ["text"],
+    "int": "integer, int4, int, bigint, int8",
+    "bigint": "bigint, int8, integer, int4",
+    "smallint": "smallint, int2, integer, int4",
+    "tinyint": "smallint, integer, int2, int4, bigint",
+    "bit": "boolean, integer, int4",
+    "float": "double precision, float8, real, float4",
+    "real": "real, float4",
+    "decimal": "numeric, decimal",
+    "numeric": "numeric, decimal",
+    "money": "numeric, decimal, money",
+    "smallmoney": "numeric, decimal",
+    "varchar": "character varying, text, varchar",
+    "nvarchar": "character varying, text, varchar",
+    "char": "character, character varying, bpchar, text",
+    "nchar": "character, character varying, bpchar, text",
+    "text": "text",
+    "ntext": "text",
+    "datetime": "timestamp without time zone, timestamp, timestamp with time zone",
+    "datetime2": "timestamp without time zone, timestamp",
+    "smalldatetime": "timestamp without time zone, timestamp",
+    "date": "date",
+    "time": "time without time zone, time",
+    "uniqueidentifier": "uuid",
+    "binary": "bytea",
+    "varbinary": "bytea",
+    "image": "bytea",
+    "xml": "xml, text",
+    "geography": "geography, text",
+    "geometry": "geometry, text",
+    "sql_variant": "text, anyelement",
+    "hierarchyid": "text",
+    "sysname": "character varying, text, name",
 }
 
 
-def types_equivalent(source: Column, target: Column, table_type: Column | None = None) -> Column:
-    """Whether target may hold source's values: precision aside, by EQUIVALENT or equal names; a table type is an array."""
-    bare = lambda c: F.btrim(F.regexp_replace(F.lower(c), r"\(.*?\)", ""))
-    known = F.create_map(*(x for k, v in EQUIVALENT.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))
-    same = (bare(source) == bare(target)) | F.coalesce(F.array_contains(F.try_element_at(known, bare(source)), bare(target)), F.lit(False))
-    return same | (F.coalesce(table_type, F.lit(False)) & F.lower(target).startswith("array")) if table_type is not None else same
+def types_equivalent(source: Column, target: Column) -> Column:
+    """Whether a target's type may hold a source's values: equal names, or by EQUIVALENT, with the target's precision left aside; a source type of no
+    such name is a table type, which an array holds."""
+    s, whole = F.lower(F.btrim(source)), F.lower(F.btrim(target))
+    bare = F.btrim(F.regexp_replace(whole, r"\(.*\)", ""))
+    known = F.create_map(*(x for k, v in EQUIVALENT.items() for x in (F.lit(k), F.split(F.lit(v), ", "))))
+    held = F.try_element_at(known, s)
+    by_map = F.coalesce(F.array_contains(held, bare) | F.array_contains(held, whole), F.lit(False))
+    return (s == bare) | by_map | (held.isNull() & (bare == "array"))
 
 
 #: Error texts of a database that a procedure raises on purpose or for want of data.

@@ -7,57 +7,104 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Findings as (code, severity, pattern, types or *, sources or *); all patterns of one must match.
+#: Extensions that a target offers (a hyphen counts as an underscore), procedural languages that it lacks, parameters that it keeps to itself, functions that reach its files.
+EXTENSIONS = (
+    "address_standardizer address_standardizer_data_us amcheck age datasketches pgaudit autoinc bloom btree_gin btree_gist pg_buffercache citext pg_cron pgcrypto cube ddlx dict_int dict_xsyn earthdistance pg_freespacemap "
+    "fuzzystrmatch h3 h3_postgis pg_hint_plan hll hstore http hypopg pg_incremental insert_username intagg intarray isn pg_ivm lo ltree pglogical moddatetime orafce pageinspect pgrowlocks pg_partman pg_lake postgis postgis_raster "
+    "postgis_sfcgal postgis_topology postgres_fdw pg_prewarm pg_proctab refint pg_repack pgrouting semver pg_surgery seg sslinfo pg_stat_statements pgstattuple pg_squeeze tablefunc tsm_system_rows tsm_system_time tcn pg_trgm "
+    "unaccent pg_visibility vector pgx_ulid uuid-ossp pg_uuidv7 pg_walinspect xml2"
+).split()
+LANGUAGES = "plpython plpython3u plpython2u plperlu plperl pltcl pltclu plv8 plcoffee plls plruby plr pljava plphp plscheme".split()
+PROTECTED = "max_connections shared_buffers effective_cache_size wal_level archive_mode wal_keep_size max_wal_senders max_replication_slots shared_preload_libraries".split()
+FILE_FUNCTIONS = "pg_read_file pg_read_binary_file pg_ls_dir pg_ls_waldir pg_ls_logdir pg_stat_file lo_import lo_export pg_write_file".split()
+#: Findings as (code, severity, patterns of which all must match, types or *, sources or *).
 RULES: list[tuple[str, str, list[str], str, str]] = [
-    ("BLOCK-001", "BLOCK", [r"\b(plpython3?u|plperlu?|pltclu?|plv8|pljava|plr|plsh|pllua|plrust)\b"], "*", "*"),
-    ("BLOCK-002", "BLOCK", [r"\b(create|alter)\s+role\b.*\bsuperuser\b|\bset\s+role\s+postgres\b"], "*", "*"),
+    ("BLOCK-001", "BLOCK", ["|".join(LANGUAGES)], "*", "*"),
+    ("BLOCK-002", "BLOCK", [r"\b(?:create|alter)\s+role\s+\w+[^\n]*superuser|\bset\s+role\s+(?:postgres|\w*superuser)\b"], "*", "*"),
     ("BLOCK-003", "BLOCK", [r"\balter\s+system\b"], "*", "*"),
-    ("BLOCK-004", "BLOCK", [r"\b(pg_read_file|pg_read_binary_file|pg_write_file|pg_ls_dir|pg_stat_file|lo_import|lo_export|pg_file_write|pg_file_read)\b|\bcopy\b.*\bprogram\b"], "*", "*"),
-    ("BLOCK-005", "BLOCK", [r"\bpg_catalog\b", r"\b(insert|update|delete|alter|drop)\b"], "*", "*"),
-    ("WARN-001", "WARN", [r"\b(geometry|geography|sdo_geometry|point|polygon|linestring)\b"], "*", "*"),
-    ("WARN-003", "WARN", [r"\bset\s+(shared_buffers|max_connections|wal_level|listen_addresses|port|ssl|hba_file|data_directory|archive_mode)\b"], "*", "*"),
-    ("WARN-004", "WARN", [r"\bcreate\s+(or\s+replace\s+)?package\b"], "*", "oracle"),
-    ("WARN-005", "WARN", [r"\bdbms_scheduler\b|\bpg_agent\b|\bpg_cron\.schedule\b"], "*", "*"),
-    ("WARN-006", "WARN", [r"\bforeign\s+data\s+wrapper\s+(?!postgres_fdw|file_fdw)\w+"], "*", "*"),
-    ("WARN-007", "WARN", [r"\bdeclare\s+@?\w+\s+cursor\b|\bopen\s+\w+\b|\bfetch\s+next\b"], "procedure,function", "*"),
-    ("WARN-008", "WARN", [r"\bsp_executesql\b|\bexecute\s+immediate\b|\bprepare\b.*\bfrom\b"], "*", "*"),
+    ("BLOCK-004", "BLOCK", ["|".join(FILE_FUNCTIONS) + r"|\bcopy\b[^\n]+\bprogram\b"], "*", "*"),
+    ("BLOCK-005", "BLOCK", [r"\bpg_catalog\b|\bsystem\s+catalog\b", r"\b(?:insert|update|delete|alter)\b"], "*", "*"),
+    ("BLOCK-006", "BLOCK", [r"\bcreate\s+extension\s+(?:if\s+not\s+exists\s+)?[\"']?(?!(?:if\s|(?:" + "|".join(x.replace("-", "_").replace("_", "[-_]") for x in EXTENSIONS) + r")(?![\w-])))\w"], "*", "*"),
+    ("WARN-001", "WARN", [r"\b(?:geography|geometry|sdo_geometry|sdo_point_type)\b"], "*", "*"),
+    ("WARN-003", "WARN", [r"\bset\s+(?:" + "|".join(PROTECTED) + r")\b"], "*", "*"),
+    ("WARN-004", "WARN", [r"\bcreate\s+(?:or\s+replace\s+)?package\b"], "*", "oracle"),
+    ("WARN-005", "WARN", [r"\b(?:dbms_scheduler|pg_agent|pg_cron\.schedule)\b"], "*", "*"),
+    ("WARN-006", "WARN", [r"\bforeign\s+data\s+wrapper\s+(?!(?:postgres_fdw|file_fdw)\b)\w"], "*", "*"),
+    ("WARN-007", "WARN", [r"\b(?:declare\s+\w+\s+cursor|open\s+\w+|fetch\s+\w+|cursor\s+for)\b"], "procedure,function", "*"),
+    ("WARN-008", "WARN", [r"\bsp_executesql\b"], "*", "mssql"),
+    ("WARN-008", "WARN", [r"\bprepare\s+\w+\s+from\b"], "*", "mysql"),
+    ("WARN-008", "WARN", [r"\bexecute\s+immediate\b"], "*", "oracle,mariadb,other"),
     ("WARN-009", "WARN", [r"\bpivot\s*\("], "view", "*"),
+    ("WARN-010", "WARN", [r"\bhierarchyid\b"], "*", "*"),
     ("WARN-010", "WARN", [r"\breadonly\b|\btable\s+type\b|\bas\s+table\s*\("], "procedure,function", "*"),
     ("WARN-011", "WARN", [r"\b\w+\.\w+\.\w+\b"], "view", "mysql,mariadb"),
-    ("WARN-012", "WARN", [r"\bunion\b", r"\b(getdate|now|sysdate|current_date)\b", r"\bcast\b.*\bas\s+text\b"], "view", "*"),
-    ("RESOLVE-003", "RESOLVE", [r"\b(uuid_generate_v[14]|newid|gen_random_uuid|sys_guid)\b"], "*", "*"),
-    ("RESOLVE-005", "RESOLVE", [r"\b(pgp_sym_encrypt|crypt|gen_salt|hashbytes|dbms_crypto)\b"], "*", "*"),
+    ("WARN-012", "WARN", [r"\bunion\b", r"\bcurrent_date\b|\bcurrent_timestamp\b|\b(?:getdate|now)\s*\(\s*\)", r"cast\s*\([^)]+as\s+(?:text|n?varchar)\s*\)"], "view", "*"),
+    ("WARN-013", "WARN", [r"\bobjectkey\b", r"\b(?:orderid|itemid|clientid|vendorid|userid|personid)\b"], "view", "*"),
 ]
-#: Findings of which one, on the first object, stands for all.
-ONCE = ["RESOLVE-003", "RESOLVE-005"]
-#: Groups of deprecated objects: schemas, names, types and text.
+#: Extensions that must be there first: (code, extension, pattern, where the finding stands; without a name the least object that has it).
+PREREQUISITES = [
+    ("RESOLVE-001", "postgis", r"\b(?:geography|geometry|sdo_geometry|sdo_point_type)\b", "(pre-deploy)"),
+    ("RESOLVE-003", "ltree", r"\bhierarchyid\b", "(pre-deploy)"),
+    ("RESOLVE-003", "uuid-ossp", r"\b(?:newid|sys_guid|uuid_generate|gen_random_uuid|uuid)\s*\(", None),
+    ("RESOLVE-005", "pgcrypto", r"\b(?:hashbytes|md5|sha1|sha2|encrypt|decrypt|pgcrypto)\b", None),
+]
+#: What a target holds at most.
+MOST_ROLES, MOST_DATABASES = 64, 32
+#: Groups of deprecated objects: schemas, names, types and text, looked at in this order.
 DEPRECATED: list[tuple[str, str | None, str | None, str | None, str | None]] = [
-    ("membership", None, r"^aspnet_", None, None),
-    ("job_agent", r"^msdb$", r"^sp_(add|delete|update)_job", None, r"\bmsdb\.dbo\.sp_add_job\b"),
-    ("linked_servers", None, None, None, r"\bopenquery\s*\(|\bopenrowset\s*\(|\bsp_addlinkedserver\b"),
-    ("clr_objects", None, None, r"^(assembly|clr_.*)$", r"\bexternal\s+name\b"),
-    ("table_types", None, None, r"^(table_type|udtt)$", r"\bas\s+table\s*\("),
-    ("extended_procedures", None, r"^xp_", None, r"\bxp_(cmdshell|regread|sendmail|fileexist)\b"),
-    ("temporal_tables", None, None, None, r"\bsystem_versioning\s*=\s*on\b|\bperiod\s+for\s+system_time\b"),
+    ("aspnet_membership", r"^aspnet_", r"^(?:vw_)?aspnet_", None, None),
+    ("sql_server_agent", None, None, None, r"\b(?:msdb|xp_cmdshell|sp_add_job|sp_add_jobstep|sysjobs|sql\s+server\s+agent)\b"),
+    ("linked_servers", None, None, None, r"\b(?:[a-z_]\w*\.){3}[a-z_]\w+\b"),
+    ("clr_objects", None, None, None, r"\b(?:external\s+name|create\s+assembly|with\s+permission_set|clr)\b"),
+    ("udtt", None, None, r"^udtt$", r"\bcreate\s+type\b[^;]+\bas\s+table\b"),
+    ("extended_procs", None, r"^xp_", None, r"\bxp_\w+\s*\("),
+    ("temporal_tables", None, None, None, r"\bsystem_versioning\s*=\s*on\b|\b(?:period\s+)?for\s+system_time\b"),
 ]
 
 
 def findings(objects: DataFrame, source: str) -> DataFrame:
-    """(fqn, code, severity), one for each object and rule. objects: type, fqn, ddl.
+    """(fqn, code, severity), one for each object and detector, and for all objects together: prerequisites once each, TINYINT(1)
+    columns of MySQL, too many roles or databases, and the emulation that Oracle needs. objects: type, fqn, ddl.
 
-    The few dozen rules are expressions of one projection, so a scan of any size needs neither join nor shuffle, except for
-    the findings that count once.
+    The few dozen rules are expressions of one projection, so a scan of any size needs neither join nor shuffle; what counts over all objects is one
+    aggregate of one row.
     """
-    kind, ddl = F.lower("type"), F.col("ddl")
+    kind, ddl = F.lower("type"), F.coalesce(F.col("ddl"), F.lit(""))
+    of = source if source in ("mssql", "mysql", "mariadb", "oracle") else "other"
 
     def hit(patterns: list[str], types: str) -> Column:
-        ok = reduce(lambda a, b: a & b, (ddl.rlike(f"(?is){p}") for p in patterns))
+        ok = reduce(lambda a, b: a & b, (ddl.rlike(f"(?i){p}") for p in patterns))
         return ok if types == "*" else ok & kind.isin(types.split(","))
 
-    told = F.array_compact(F.array(*(F.when(hit(p, t), F.struct(F.lit(c).alias("code"), F.lit(s).alias("severity"))) for c, s, p, t, sources in RULES if sources == "*" or source in sources.split(","))))
+    told = F.array_compact(F.array(*(F.when(hit(p, t), F.struct(F.lit(c).alias("code"), F.lit(s).alias("severity"))) for c, s, p, t, sources in RULES if sources == "*" or of in sources.split(","))))
     rows = objects.select("fqn", F.explode(told).alias("f")).select("fqn", "f.code", "f.severity")
-    once = rows.where(F.col("code").isin(ONCE)).groupBy("code", "severity").agg(F.min("fqn").alias("fqn")).select("fqn", "code", "severity")
-    return rows.where(~F.col("code").isin(ONCE)).unionByName(once)
+
+    has = lambda p: ddl.rlike(f"(?i){p}")
+    sums = [F.min(F.when(has(p), F.col("fqn"))).alias(f"p{i}") for i, (_, _, p, _) in enumerate(PREREQUISITES)]
+    sums += [F.count_if(has("create role")).alias("roles"), F.count_if(has("create database")).alias("databases"), F.count_if(has(RULES[8][2][0])).alias("packages")]
+    sums += [F.coalesce(F.sum(F.when(kind == "table", F.regexp_count(ddl, F.lit(r"(?i)\btinyint\s*\(\s*1\s*\)")))), F.lit(0)).alias("tinyints")]
+    finding = lambda ok, fqn, code, severity: F.when(ok, F.struct(fqn.alias("fqn"), F.lit(code).alias("code"), F.lit(severity).alias("severity")))
+    once = [finding(F.col(f"p{i}").isNotNull(), F.lit(where) if where else F.col(f"p{i}"), c, "RESOLVE") for i, (c, _, _, where) in enumerate(PREREQUISITES)]
+    once += [finding(F.col("roles") > MOST_ROLES, F.lit("(schema)"), "BLOCK-007", "BLOCK"), finding(F.col("databases") > MOST_DATABASES, F.lit("(schema)"), "BLOCK-008", "BLOCK")]
+    if source in ("mysql", "mariadb"):
+        once.append(finding(F.col("tinyints") > 0, F.lit("(schema-wide)"), "WARN-014", "WARN"))
+    if source == "oracle":  # a package has asked for the same already
+        once.append(finding(F.col("packages") == 0, F.lit("(all objects)"), "RESOLVE-002", "RESOLVE"))
+    whole = objects.agg(*sums).select(F.explode(F.array_compact(F.array(*once))).alias("f")).select("f.fqn", "f.code", "f.severity")
+    return rows.unionByName(whole)
+
+
+def tinyint_columns(objects: DataFrame) -> DataFrame:
+    """n_columns: how many TINYINT(1) the tables' definitions have."""
+    return objects.where(F.lower("type") == "table").agg(F.coalesce(F.sum(F.regexp_count("ddl", F.lit(r"(?i)\btinyint\s*\(\s*1\s*\)"))), F.lit(0)).cast("bigint").alias("n_columns"))
+
+
+def prerequisites(objects: DataFrame) -> DataFrame:
+    """(extension, first): each extension that some object asks for, once, with the least object that does."""
+    ddl = F.coalesce(F.col("ddl"), F.lit(""))
+    first = objects.agg(*(F.min(F.when(ddl.rlike(f"(?i){p}"), F.col("fqn"))).alias(f"p{i}") for i, (_, _, p, _) in enumerate(PREREQUISITES)))
+    pairs = F.array(*(F.struct(F.lit(e).alias("extension"), F.col(f"p{i}").alias("first")) for i, (_, e, _, _) in enumerate(PREREQUISITES)))
+    return first.select(F.explode(pairs).alias("p")).select("p.extension", "p.first").where("first IS NOT NULL")
 
 
 def confidence(found: DataFrame) -> DataFrame:
@@ -74,7 +121,7 @@ def eligibility(kind: Column, source: str) -> Column:
 def deprecated(objects: DataFrame) -> DataFrame:
     """(fqn, grp, matched_by): for each object and group the first of schema, name, type and text that tells."""
     schema, name = F.lower(F.regexp_extract("fqn", r"^([^.]*)\.", 1)), F.lower(F.regexp_extract("fqn", r"([^.]*)$", 1))
-    told = []
+    told: list[Column] = []
     for group, *patterns in DEPRECATED:
         by = None
         for where, c, p in reversed(list(zip(("schema", "name", "type", "ddl"), (schema, name, F.lower("type"), F.col("ddl")), patterns))):

@@ -221,12 +221,12 @@ def value_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("id", values.from_field(F.col("n"), "int").alias("n"), values.from_field(F.col("s"), "string").alias("s"), values.from_field(F.col("b"), "boolean").alias("b"), values.tree_path(F.col("h")).alias("h"), values.copy_field(F.col("s")).alias("c"))
 
 
-@query("SELECT s_suppkey, printf('SRID=4326;POINT(%g %g)', -s_suppkey / 8.0::DOUBLE, s_suppkey / 4.0::DOUBLE) AS ewkt FROM supplier")
+@query("SELECT s_suppkey, 'SRID=4326;POINT(' || (-s_suppkey / 7.0::DOUBLE) || ' ' || (s_suppkey / 3.0::DOUBLE) || ')' AS ewkt FROM supplier")
 def spatial_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points of suppliers as 22-byte blobs, decoded again."""
     import struct
 
-    blob = F.udf(lambda k: bytearray(struct.pack("<IBBdd", 4326, 1, 12, k / 4, -k / 8)), "binary")
+    blob = F.pandas_udf(lambda keys: keys.map(lambda k: struct.pack("<IBBdd", 4326, 1, 12, k / 3.0, -k / 7.0)), "binary")
     return table(spark, sf_dir, "supplier").select("s_suppkey", values.spatial_text(blob("s_suppkey")).alias("ewkt"))
 
 

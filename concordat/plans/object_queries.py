@@ -84,39 +84,11 @@ TEXTS = [
 TEXT_VALUES = ", ".join("('{}', '{}', '{}')".format(t, f, d.replace("'", "''").replace("\n", "' || chr(10) || '")) for t, f, d in TEXTS)
 
 
-def hits(patterns: list[str], types: str) -> str:
-    ok = " AND ".join("regexp_matches(ddl, '(?is){}')".format(p.replace("'", "''").replace("(?!postgres_fdw|file_fdw)", "")) for p in patterns)
-    return ok if types == "*" else f"({ok}) AND type IN ({', '.join(repr(x) for x in types.split(','))})"
-
-
-FOUND = f"WITH o(type, fqn, ddl) AS (VALUES {TEXT_VALUES}), f AS (" + " UNION ALL ".join(f"SELECT fqn, '{c}' AS code, '{s}' AS severity FROM o WHERE {hits(p, t)}" for c, s, p, t, src in scan.RULES if src == "*" or "mssql" in src) + "), g AS (SELECT * FROM f WHERE code NOT IN ('RESOLVE-003', 'RESOLVE-005') UNION ALL SELECT min(fqn), code, severity FROM f WHERE code IN ('RESOLVE-003', 'RESOLVE-005') GROUP BY code, severity)"
-
-
-@query(FOUND + " SELECT fqn, code, severity FROM g")
-def assess_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.findings(scan.objects_frame(spark, TEXTS), "mssql")
-
-
-@query(FOUND + " SELECT count(*) FILTER (severity = 'BLOCK')::BIGINT AS blocks, count(*) FILTER (severity = 'WARN')::BIGINT AS warnings, count(*) FILTER (severity = 'RESOLVE')::BIGINT AS resolvable, round(greatest(0.0, least(1.0, 1 - 0.15 * count(*) FILTER (severity = 'BLOCK') - 0.05 * count(*) FILTER (severity = 'WARN'))), 2)::DOUBLE AS confidence FROM g")
-def assess_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.confidence(scan.findings(scan.objects_frame(spark, TEXTS), "mssql"))
-
-
 @query(f"WITH o(type, fqn, ddl) AS (VALUES {TEXT_VALUES}) SELECT CASE WHEN type = 'table' THEN 'catalog' ELSE 'rewrite' END AS path, count(*)::BIGINT AS n FROM o GROUP BY 1")
 def assess_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan.objects_frame(spark, TEXTS).groupBy(scan.eligibility(F.col("type"), "mssql").alias("path")).agg(F.count("*").alias("n"))
 
 
-def by(patterns: list[str | None]) -> str:
-    where = ("split_part(lower(fqn), '.', 1)", "split_part(lower(fqn), '.', -1)", "type", "ddl")
-    return "CASE " + " ".join(f"WHEN regexp_matches({c}, '(?is){p}') THEN '{n}'" for n, c, p in zip(("schema", "name", "type", "ddl"), where, patterns) if p) + " END"
-
-
-@query(f"WITH o(type, fqn, ddl) AS (VALUES {TEXT_VALUES}) SELECT * FROM (" + " UNION ALL ".join(f"SELECT fqn, '{g}' AS grp, {by(p)} AS matched_by FROM o" for g, *p in scan.DEPRECATED) + ") WHERE matched_by IS NOT NULL")
-def deprecated_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.deprecated(scan.objects_frame(spark, TEXTS))
-
-
 @query(f"""WITH o(type, fqn, ddl) AS (VALUES {TEXT_VALUES}), b AS (SELECT *, regexp_replace(regexp_replace(ddl, '--[^\\n]*', '', 'g'), '''(?:[^'']|'''')*''', '', 'g') AS bare FROM o), c AS (SELECT *, len(regexp_extract_all(bare, '\\(')) AS po, len(regexp_extract_all(bare, '\\)')) AS pc, len(regexp_extract_all(bare, '(?i)\\bbegin\\b')) + len(regexp_extract_all(bare, '(?i)\\bcase\\b')) AS bo, len(regexp_extract_all(bare, '(?i)\\bend\\b')) AS bc FROM b)
 SELECT fqn, CASE WHEN trim(ddl) = '' THEN 'empty' WHEN po <> pc OR (type IN ('procedure', 'function', 'trigger') AND bo > bc) THEN 'truncated' WHEN NOT (CASE type WHEN 'view' THEN regexp_matches(bare, '(?i)\\bselect\\b') WHEN 'table' THEN regexp_matches(bare, '(?i)\\bcreate\\s+table\\b') ELSE regexp_matches(bare, '(?i)\\bbegin\\b|\\breturn\\b') END) THEN 'incomplete' WHEN regexp_matches(ddl, '(?i)\\bEWI-\\d{{4}}\\b|\\bTODO\\b|unconverted') THEN 'marked' ELSE 'ok' END AS issue FROM c""")
 def audit_truncation(spark: SparkSession, sf_dir: str) -> DataFrame:

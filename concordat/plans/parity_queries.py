@@ -14,7 +14,7 @@ from .registry import query, table
 
 ORDERS_T = """t AS (SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 89 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 97 <> 0
  UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 101 = 0 AND o_orderkey <> 0)"""
-CELL = lambda c: f"coalesce(CASE WHEN rtrim(rtrim(printf('%.6f', {c}), '0'), '.') = '-0' THEN '0' ELSE rtrim(rtrim(printf('%.6f', {c}), '0'), '.') END, chr(1) || 'N')"
+CELL = lambda c: f"coalesce(CASE WHEN regexp_replace({c}::VARCHAR, '\\.0$', '') = '-0' THEN '0' ELSE regexp_replace({c}::VARCHAR, '\\.0$', '') END, chr(1) || 'N')"
 ROW = f"concat_ws(chr(31), o_orderkey::VARCHAR, o_custkey::VARCHAR, o_orderstatus, {CELL('o_totalprice')}, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), o_orderpriority)"
 HASHED = f"('0x' || substr(md5({ROW}), 1, 15))::BIGINT"
 DIGEST = f"count(*)::BIGINT AS n, CAST(sum({HASHED}::HUGEINT) AS VARCHAR) AS s, bit_xor({HASHED}) AS x"
@@ -174,18 +174,49 @@ def param_order_swapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("name", parity.params_verdict(F.col("s"), F.col("t")).alias("verdict"), text.alias("pairs"))
 
 
-TYPES = [("bit", "boolean"), ("INT", "integer"), ("decimal(10,2)", "numeric(10,2)"), ("nvarchar(50)", "character varying(50)"), ("datetime", "date"), ("money", "numeric(19,4)"), ("uniqueidentifier", "uuid"), ("int", "text"), ("xml", "text"), ("text", "text")]
+TYPES = [
+    ("bit", "boolean"), ("INT", "integer"), ("int", "bigint"), ("bit", "integer"), ("datetime2", "timestamp with time zone"), ("datetime", "timestamp with time zone"), ("sysname", "name"), ("decimal", "numeric(10,2)"), ("nvarchar", "character varying(50)"),
+    ("datetime", "date"), ("money", "numeric(19,4)"), ("uniqueidentifier", "uuid"), ("int", "text"), ("xml", "text"), ("text", "text"), ("IdList", "ARRAY"), ("int", "ARRAY"), ("hierarchyid", "ltree"), ("tinyint", "bigint"), ("real", "double precision"),
+]
 TYPE_VALUES = ", ".join(f"('{a}', '{b}')" for a, b in TYPES)
-TYPE_MAP = "MAP {" + ", ".join(f"'{k}': {v}" for k, v in parity.EQUIVALENT.items()) + "}"
 
 
-@query(f"""WITH v(s, t) AS (VALUES {TYPE_VALUES}), w AS (SELECT s, t, trim(regexp_replace(lower(s), '\\(.*?\\)', '', 'g')) AS a, trim(regexp_replace(lower(t), '\\(.*?\\)', '', 'g')) AS b FROM v)
-SELECT s AS source_type, t AS target_type, a = b OR coalesce(list_contains({TYPE_MAP}[a], b), false) AS equivalent FROM w""")
+@query(f"""WITH v(s, t) AS (VALUES {TYPE_VALUES}), w AS (SELECT s, t, lower(s) AS a, trim(regexp_replace(lower(t), '\\(.*\\)', '')) AS b FROM v),
+m(a, b) AS (VALUES ('bit', 'boolean'), ('bit', 'integer'), ('int', 'integer'), ('int', 'bigint'), ('bigint', 'integer'), ('tinyint', 'smallint'), ('tinyint', 'bigint'), ('real', 'float4'), ('float', 'double precision'), ('float', 'real'), ('decimal', 'numeric'), ('money', 'numeric'),
+ ('nvarchar', 'character varying'), ('nvarchar', 'text'), ('datetime', 'timestamp with time zone'), ('datetime', 'timestamp'), ('datetime2', 'timestamp'), ('datetime2', 'timestamp without time zone'), ('sysname', 'name'), ('sysname', 'text'), ('uniqueidentifier', 'uuid'), ('xml', 'text'), ('hierarchyid', 'text'), ('text', 'text'))
+SELECT s AS source_type, t AS target_type, a = b OR (a, b) IN (SELECT (a, b) FROM m) OR (b = 'array' AND a NOT IN (SELECT a FROM m)) AS equivalent FROM w""")
 def type_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = spark.createDataFrame(TYPES, "source_type string, target_type string")
     return v.withColumn("equivalent", parity.types_equivalent(F.col("source_type"), F.col("target_type")))
 
 
+# name, source and target values as (type, value) that look alike in a double, in six places, or beside a separator
+ADVERSARIES = [
+    ("big_decimal", "decimal(20,0)", "9007199254740993", "9007199254740992", "FAIL_HASH"),
+    ("small_double", "double", "1e-7", "4e-7", "FAIL_HASH"),
+    ("scale", "decimal(10,4)", "32.3800", "32.38", "PASS"),
+    ("separator", "string", "a\x1fb|c", "a|b\x1fc", "FAIL_HASH"),
+    ("null_mark", "string", "\x01N|x", "null|x", "FAIL_HASH"),
+    ("backslash", "string", "a\\u|b", "a\x1f|b", "FAIL_HASH"),
+    ("zone", "string", "1996-07-04 00:00:00.000|x", "1996-07-04 00:00:00+00:00|x", "PASS"),
+    ("zero", "double", "-0.0", "0.0", "PASS"),
+]
+
+
+@query(r"""SELECT * FROM (VALUES ('big_decimal', CASE WHEN 9007199254740993::DECIMAL(20,0) = 9007199254740992::DECIMAL(20,0) THEN 'PASS' ELSE 'FAIL_HASH' END), ('small_double', CASE WHEN 1e-7::DOUBLE = 4e-7::DOUBLE THEN 'PASS' ELSE 'FAIL_HASH' END), ('scale', CASE WHEN 32.3800 = 32.38 THEN 'PASS' ELSE 'FAIL_HASH' END),
+ ('separator', CASE WHEN ('a' || chr(31) || 'b', 'c') = ('a', 'b' || chr(31) || 'c') THEN 'PASS' ELSE 'FAIL_HASH' END), ('null_mark', CASE WHEN (chr(1) || 'N') IS NOT DISTINCT FROM NULL THEN 'PASS' ELSE 'FAIL_HASH' END), ('backslash', CASE WHEN '\u' = chr(31) THEN 'PASS' ELSE 'FAIL_HASH' END),
+ ('zone', CASE WHEN '1996-07-04 00:00:00.000'::TIMESTAMP = '1996-07-04 00:00:00'::TIMESTAMP THEN 'PASS' ELSE 'FAIL_HASH' END), ('zero', CASE WHEN -0.0::DOUBLE = 0.0::DOUBLE THEN 'PASS' ELSE 'FAIL_HASH' END)) t(probe, verdict)""")
+def parity_exact_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that differ although they look alike, and rows that are equal although they don't."""
+
+    def side(value: str, kind: str) -> DataFrame:
+        cells = [None if x == "null" else x for x in value.split("|")]
+        return spark.createDataFrame([tuple(cells)], ", ".join(f"c{i} string" for i in range(len(cells)))).select(*(F.col(f"c{i}").cast(kind).alias(f"c{i}") for i in range(len(cells))))
+
+    rows = [parity.digest_parity(side(s, k), side(t, k)).select(F.lit(n).alias("probe"), "verdict") for n, k, s, t, _ in ADVERSARIES]
+    return reduce(DataFrame.unionByName, rows)
+
+
 # verdicts of orders as if each were an object of a validation run
 RESULT = """r AS (SELECT 'S' || (o_custkey % 5) AS schema_name, CASE o_orderkey % 3 WHEN 0 THEN 'VIEW' WHEN 1 THEN 'PROCEDURE' ELSE 'FUNCTION' END AS object_type, 'obj' || (o_custkey % 200) AS object_name,
  (o_orderkey % 7)::INT AS run_number, CASE WHEN o_orderkey % 11 = 0 THEN 'SKIPPED' WHEN o_orderkey % 13 = 0 THEN 'FAIL' WHEN o_orderkey % 17 = 0 THEN 'TARGET_ERROR' WHEN o_orderkey % 19 = 0 THEN 'PASS_WRITE_PROC' WHEN o_orderkey % 23 = 0 THEN 'FAIL_MISSING_PREREQ' ELSE 'PASS' END AS verdict, o_orderkey FROM orders)"""
@@ -283,10 +314,27 @@ ERRORS = [
     (10, "app.p9", "ERROR 547 foreign key conflict"),
     (11, "app.p9", "SQLSTATE 23505 duplicate"),
     (12, "app.p2", 'type "t%rowcount" does not exist'),
+    (13, "app.q1", 'type "ROWCOUNT" does not exist'),
+    (14, "app.q2", "syntax error at or near \"```\""),
+    (15, "app.q3", "cannot use RETURN QUERY in a non-SETOF function"),
+    (16, "app.q4", "unterminated double quoted identifier"),
+    (17, "app.q5", "cursor loop must have a bound cursor"),
+    (18, "app.q6", "undeclared variable v_x"),
+    (19, "app.q7", "operator does not exist: integer = text"),
+    (20, "app.q8", "permission denied for table t"),
+    (21, "app.q9", 'relation "t" already exists'),
+    (22, "app.r1", "ambiguous column name"),
+    (23, "app.r2", "function f(integer) does not exist"),
+    (24, "app.r3", "syntax error in the middle"),
+    (25, "app.r4", "   "),
 ]
 quoted = lambda x: "NULL" if x is None else "'" + str(x).replace("'", "''") + "'"
 ERROR_VALUES = ", ".join(f"({a}, {quoted(b)}, {quoted(c)})" for a, b, c in ERRORS)
-LADDER = "CASE WHEN error IS NULL OR trim(error) = '' THEN 'unknown' " + " ".join(f"WHEN regexp_matches(error, {quoted(p)}) THEN '{n}'" for n, p in audit.ERROR_LADDER) + " ELSE 'other:' || substr(error, 1, 60) END"
+LADDER = """CASE WHEN trim(coalesce(error, '')) = '' THEN 'unknown' WHEN lower(error) LIKE '%column _% does not exist%' THEN 'column_does_not_exist' WHEN lower(error) LIKE '%relation _% does not exist%' THEN 'relation_does_not_exist'
+ WHEN lower(error) LIKE '%function _% does not exist%' THEN 'function_does_not_exist' WHEN regexp_matches(lower(error), 'type "(count|rowcount|_row_count)" does not exist') THEN 'rowcount_conversion_bug' WHEN lower(error) LIKE '%type _% does not exist%' THEN 'type_does_not_exist'
+ WHEN lower(error) LIKE '%syntax error at or near_%`%' THEN 'code_fence_leak' WHEN lower(error) LIKE '%syntax error at or near%' THEN 'syntax_error' WHEN lower(error) LIKE '%cannot use return query in a non_setof%' THEN 'non_setof_return_query' WHEN lower(error) LIKE '%unterminated % quoted%' THEN 'unterminated_quoted_identifier'
+ WHEN lower(error) LIKE '%division by zero%' THEN 'division_by_zero' WHEN lower(error) LIKE '%cursor%' THEN 'cursor_loop' WHEN lower(error) LIKE '%undeclared variable%' THEN 'undeclared_variable' WHEN lower(error) LIKE '%operator does not exist%' THEN 'operator_type_mismatch' WHEN lower(error) LIKE '%permission denied%' THEN 'permission_denied'
+ WHEN lower(error) LIKE '%already exists%' THEN 'already_exists' WHEN lower(error) LIKE '%cannot cast%' THEN 'cast_error' WHEN lower(error) LIKE '%ambiguous column%' THEN 'ambiguous_column' ELSE 'other:' || substr(error, 1, 60) END"""
 
 
 def errors(spark: SparkSession) -> DataFrame:
@@ -302,7 +350,7 @@ ROUTE_MAP = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in audit.ROUTES.items()
 
 
 @query(f"""WITH e(entry, object_name, error) AS (VALUES {ERROR_VALUES}), k AS (SELECT *, {LADDER} AS error_class FROM e), d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY object_name, error_class ORDER BY entry) AS p FROM k) WHERE p = 1),
-g AS (SELECT error_class, count(*)::BIGINT AS n, array_to_string(list_sort(list_distinct(list(object_name))), ',') AS objects, arg_min(error, entry) AS first_error, min(entry) AS first_entry FROM d GROUP BY 1)
+g AS (SELECT error_class, count(*)::BIGINT AS n, array_to_string(list_sort(list_distinct(list(object_name))), ',') AS objects, first(error ORDER BY entry) AS first_error, min(entry) AS first_entry FROM d GROUP BY 1)
 SELECT row_number() OVER (ORDER BY n DESC, first_entry)::INT AS rank, error_class, n, objects, first_error, coalesce({ROUTE_MAP}[error_class], 'manual') AS fix_route FROM g""")
 def error_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = errors(spark).withColumn("kind", audit.classify_error(F.col("error")))

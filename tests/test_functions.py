@@ -64,7 +64,7 @@ def test_table_definition_runs(spark):
 def test_spatial_and_literals():
     assert values.point_text(struct.pack("<IBBdd", 4326, 1, 12, 47.5, -122.25)) == "SRID=4326;POINT(-122.25 47.5)"
     assert values.point_text(b"x") is None and values.point_text(None) is None
-    assert values.wkb_text(struct.pack("<I", 0) + b"\x01" + struct.pack("<Idd", 1, 1.5, 2)) == "POINT(1.5 2)"
+    assert values.wkb_text(struct.pack("<I", 0) + b"\x01" + struct.pack("<Idd", 1, 1.5, 2)) == "POINT(1.5 2.0)"
     assert values.literal_text("{'b': 1, 'a': [True]}") == '{"a": [true], "b": 1}'
     assert values.literal_text("plain") == "plain"
 
