@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import datetime
+import re
+from collections.abc import Callable
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,10 +51,19 @@ def seed(spark: SparkSession, rows: int, columns: list[dict]) -> DataFrame:
 
 
 def assign_parents(children: DataFrame, parents: DataFrame, index: str, key: str, name: str) -> DataFrame:
-    """children with name: the key of parent number index modulo their count, parents ordered by key. Equi-join on the number."""
-    n = parents.count()
-    numbered = parents.select(F.col(key).alias(name), (F.row_number().over(Window.orderBy(key)) - 1).cast("bigint").alias("__at"))
-    return children.withColumn("__at", F.pmod(F.col(index), F.lit(max(n, 1)))).join(numbered, "__at", "left").drop("__at")
+    """children with name: the key of parent number index modulo their count, parents ordered by key. Equi-join on the number.
+
+    Parents are numbered by ranges of keys: within a range by a window, and from how many the ranges before it have, so no task holds all of them.
+    """
+    ranged = parents.select(F.col(key).alias(name)).repartitionByRange(name).withColumn("__range", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)  # one choice of ranges for all uses
+    sizes = ranged.groupBy("__range").agg(F.count("*").alias("__n"), F.min(name).alias("__least"))
+    ahead = Window.orderBy("__least").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    starts = sizes.select("__range", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__before"))
+    total = sizes.agg(F.greatest(F.sum("__n"), F.lit(1)).alias("__total"))
+    within = F.row_number().over(Window.partitionBy("__range").orderBy(name)) - 1
+    numbered = ranged.withColumn("__k", within).join(F.broadcast(starts), "__range").select(name, (F.col("__before") + F.col("__k")).cast("bigint").alias("__at"))
+    wanted_place = children.crossJoin(F.broadcast(total)).withColumn("__at", F.pmod(F.col(index), F.col("__total"))).drop("__total")  # one row
+    return wanted_place.join(numbered, "__at", "left").drop("__at")
 
 
 def check_values(definition: Column) -> tuple[Column, Column, Column]:
@@ -90,3 +104,167 @@ def predicate_columns(sql: Column) -> Column:
 def chain_status(expected: Column, rows: Column, failed: Column) -> Column:
     """Status of a checked object: unsupported, failed, validated (rows as expected), partial (none) or skipped."""
     return F.when(expected.isNull(), "unsupported").when(failed, "failed").when(~expected, "skipped").when(rows > 0, "validated").otherwise("partial")
+
+
+#: Words after a table's name that are no alias.
+NO_ALIAS = frozenset("FROM ON WHERE JOIN INNER LEFT RIGHT FULL CROSS OUTER GROUP ORDER HAVING UNION SET AS WITH LIMIT USING NATURAL AND OR SELECT EXCEPT INTERSECT APPLY LATERAL".split())
+
+
+def alias_map(sql: str) -> dict[str, str]:
+    """Aliases (lower-case) of a statement's tables, and the tables' own bare names, with the tables' names; names that WITH gives are none."""
+    bare = re.sub(r"--[^\n]*|/\*.*?\*/|'(?:[^']|'')*'", " ", sql, flags=re.S)
+    given = {m[1].lower() for m in re.finditer(r"(?i)(?:\bwith|,)\s+(\w+)\s*(?:\([^()]*\)\s*)?as\s*\(", bare)}
+    out: dict[str, str] = {}
+    named = re.compile(r"(?i)\s*((?:[\[`\"]?\w+[\]`\"]?\.)*[\[`\"]?\w+[\]`\"]?)(?:\s+(?:as\s+)?(\w+))?")
+    for start in re.finditer(r"(?i)\b(?:from|join)\b", bare):
+        m = named.match(bare, start.end())
+        while m:
+            table = re.sub(r"[\[\]`\"]", "", m[1])
+            if table.upper() in NO_ALIAS:
+                break
+            alias = m[2] if m[2] and m[2].upper() not in NO_ALIAS else None
+            if table.lower() not in given:
+                out[table.rpartition(".")[2].lower()] = table
+                if alias:
+                    out[alias.lower()] = table
+            comma = re.compile(r"\s*,").match(bare, m.end() if alias or not m[2] else m.start(2))
+            m = named.match(bare, comma.end()) if comma else None
+    return out
+
+
+def join_pairs(sql: str) -> list[tuple[str, str, str, str]]:
+    """(table, column, table, column) of the equal signs between columns of different tables, by their aliases, in order and once each."""
+    names = alias_map(sql)
+    out = []
+    for a, b, c, d in re.findall(r"(?<![\w.])\[?(\w+)\]?\.\[?(\w+)\]?\s*=\s*\[?(\w+)\]?\.\[?(\w+)\]?(?![\w.(])", re.sub(r"--[^\n]*|'(?:[^']|'')*'", " ", sql)):
+        if a.lower() in names and c.lower() in names and a.lower() != c.lower():
+            out.append((names[a.lower()], b, names[c.lower()], d))
+    return list(dict.fromkeys(out))
+
+
+def wanted(sql: str, columns: dict[str, list[str]] | None = None) -> list[tuple[str, str, str, str]]:
+    """(table, column, operator, value) of what a statement asks of columns: comparisons with literals, the first value of IN, the lower end of BETWEEN, IS NOT
+    NULL, LIKE, and COALESCE(column, ..) <> ''. Bare columns are looked for in columns, the columns of each table."""
+    names, out = alias_map(sql), []
+    text = re.sub(r"--[^\n]*|/\*.*?\*/", " ", sql, flags=re.S)
+    column = r"(?:\[?(\w+)\]?\.)?\[?([A-Za-z_]\w*)\]?"
+    value = r"('(?:[^']|'')*'|-?\d+(?:\.\d+)?)"
+    found = [
+        *((m[1], m[2], m[3], m[4]) for m in re.finditer(rf"(?<![\w.']){column}\s*(=|<>|!=|<=|>=|<|>)\s*N?{value}", text)),
+        *((m[1], m[2], "=", m[3]) for m in re.finditer(rf"(?i)(?<![\w.']){column}\s+in\s*\(\s*N?{value}", text)),
+        *((m[1], m[2], "=", m[3]) for m in re.finditer(rf"(?i)(?<![\w.']){column}\s+between\s+N?{value}", text)),
+        *((m[1], m[2], "LIKE", m[3]) for m in re.finditer(rf"(?i)(?<![\w.']){column}\s+like\s+N?{value}", text)),
+        *((m[1], m[2], "NOT NULL", "") for m in re.finditer(rf"(?i)(?<![\w.']){column}\s+is\s+not\s+null", text)),
+        *((m[1], m[2], "<>", m[3]) for m in re.finditer(rf"(?i)\b(?:coalesce|isnull|ifnull|nvl)\s*\(\s*{column}\s*,[^()]*\)\s*<>\s*N?{value}", text)),
+    ]
+    for alias, name, sign, literal in found:
+        table = names.get((alias or "").lower())
+        if not alias:
+            table = next((t for t in dict.fromkeys(names.values()) if name.lower() in {c.lower() for c in (columns or {}).get(t, [])}), None)
+        if table:
+            out.append((table, name, sign, literal.strip("'").replace("''", "'") if literal.startswith("'") else literal))
+    return list(dict.fromkeys(out))
+
+
+def satisfying(sign: str, value: str, kind: str) -> str | None:
+    """A value (as text) of a kind for which a comparison holds."""
+    number = kind in ("int", "bigint", "smallint", "double", "float") or kind.startswith("decimal")
+    if sign in ("=", "<=", ">="):
+        return value
+    if sign == "LIKE":
+        return value.replace("%", "").replace("_", "x")
+    if sign == "NOT NULL":
+        return None
+    if number:
+        return str(float(value) + {">": 1, "<": -1}.get(sign, 1)).removesuffix(".0")
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        day = datetime.date.fromisoformat(value[:10])
+        return str(day + datetime.timedelta(days=-1 if sign == "<" else 1))
+    return value + "x" if sign != "<" else ""
+
+
+def witness_rows(spark: SparkSession, sql: str, tables: dict[str, DataFrame], seed_value: int = 1) -> dict[str, DataFrame]:
+    """Tables of a statement with one row more each, so that the statement has a row to return: values that its comparisons ask for, columns that its
+    joins set equal given one value (that of a column with a wish, else the number of the join), other columns by type. What can't be met (other
+    comparisons between columns, aggregates over many rows) stays unmet, which the caller sees as an empty result."""
+    columns = {t: df.columns for t, df in tables.items()}
+    kinds = {t: {f.name.lower(): f.dataType.simpleString() for f in df.schema} for t, df in tables.items()}
+    by_name = {n.lower(): n for n in tables}
+    resolve = lambda t: by_name.get(t.lower()) or by_name.get(t.rpartition(".")[2].lower())
+    own: dict[tuple[str, str], str | None] = {}
+    for table, name, sign, value in wanted(sql, {**columns, **{a: columns[r] for a in alias_map(sql).values() if (r := resolve(a))}}):
+        t = resolve(table)
+        if t and name.lower() in kinds[t]:
+            made = satisfying(sign, value, kinds[t][name.lower()])
+            if made is not None:
+                own.setdefault((t, name.lower()), made)
+    # columns joined with each other are one group with one value
+    group: dict[tuple[str, str], int] = {}
+    for i, (a, b, c, d) in enumerate(join_pairs(sql)):
+        ends = [(t, x.lower()) for t, x in ((resolve(a), b), (resolve(c), d)) if t and x.lower() in kinds[t]]
+        old = {group[e] for e in ends if e in group}
+        for e, g in list(group.items()):
+            if g in old:
+                group[e] = i
+        group |= dict.fromkeys(ends, i)
+    for g in set(group.values()):
+        members = sorted(e for e, n in group.items() if n == g)
+        value = next((own[e] for e in members if e in own), str(900_000 + seed_value * 100 + g))
+        own |= {e: value for e in members}
+    out = {}
+    for t, df in tables.items():
+        row = []
+        for f in df.schema:
+            kind = f.dataType.simpleString()
+            value = F.lit(own[t, f.name.lower()]).try_cast(kind) if (t, f.name.lower()) in own else value_of(F.lit(seed_value), kind, f.name).cast(kind)
+            row.append(value.alias(f.name))
+        out[t] = df.unionByName(spark.range(1).select(*row))
+    return out
+
+
+def prerequisites(body: Column) -> Column:
+    """Tables that a routine looks for rows in before it works (IF NOT EXISTS (SELECT .. FROM t), status and log tables), lower-case and sorted."""
+    asked = F.regexp_extract_all(F.lower(body), F.lit(r"if\s+not\s+exists\s*\(\s*select\b.*?\bfrom\s+([\w.\[\]]+)"), 1)
+    logs = F.regexp_extract_all(F.lower(body), F.lit(r"\b(?:from|update|into)\s+((?:\w+\.)?\w*(?:status|log|staging)\w*)"), 1)
+    return F.array_sort(F.array_distinct(F.transform(F.concat(asked, logs), lambda x: F.regexp_replace(x, r"[\[\]]", ""))))
+
+
+def joined_rows(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """One row: joined (rows that a join gives) and orphans (rows of left whose key no row of right has)."""
+    counts = right.groupBy(F.col(right_key).alias("__k")).agg(F.count("*").alias("__n"))
+    rows = left.select(F.col(left_key).alias("__k")).groupBy("__k").agg(F.count("*").alias("__m")).join(counts, "__k", "left")
+    return rows.agg(F.coalesce(F.sum(F.col("__m") * F.col("__n")), F.lit(0)).alias("joined"), F.coalesce(F.sum(F.when(F.col("__n").isNull() & F.col("__k").isNotNull(), F.col("__m"))), F.lit(0)).alias("orphans"))
+
+
+def last_identity(written: DataFrame, column: str) -> DataFrame:
+    """identity: the largest number among the rows that were written, which a session's last identity is."""
+    return written.agg(F.max(column).alias("identity"))
+
+
+def rows_affected(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """One row: inserted, deleted and updated rows between two states of a table, by its key."""
+    mark = lambda df, n: df.select(F.col(key), F.xxhash64(*df.columns).alias(n))
+    both = mark(before, "__a").join(mark(after, "__b"), key, "full_outer")
+    a, b = F.col("__a"), F.col("__b")
+    return both.agg(F.count_if(a.isNull()).alias("inserted"), F.count_if(b.isNull()).alias("deleted"), F.count_if(a.isNotNull() & b.isNotNull() & (a != b)).alias("updated"))
+
+
+def copy_order(tables: list[str], references: list[tuple[str, str]]) -> list[str]:
+    """Tables so that each comes after those that it refers to, by levels and then by name; members of cycles come last."""
+    needs = {t: {b for a, b in references if a == t and b in tables and b != t} for t in tables}
+    out: list[str] = []
+    while needs:
+        ready = sorted(t for t, n in needs.items() if not n - set(out))
+        if not ready:
+            return out + sorted(needs)
+        out += ready
+        needs = {t: n for t, n in needs.items() if t not in ready}
+    return out
+
+
+def load_files(frames: dict[str, DataFrame], references: list[tuple[str, str]], write: Callable[[str, DataFrame], object]) -> list[str]:
+    """Loads tables in the order of their references, each in place of what was there, so that a load that is run again gives the same; returns the order."""
+    order = copy_order(list(frames), references)
+    for t in order:
+        write(t, frames[t])
+    return order

@@ -187,3 +187,31 @@ def conversion_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stands in the way of a script, told as codes above the statement."""
     rows = [(n, ",".join(sorted(annotated(t, s)[1]))) for n, s, t in HARD]
     return spark.createDataFrame(rows, "name string, codes string")
+
+
+@query("SELECT true AS today, true AS utc, true AS moment, '2024-02-29' AS added, 4::INT AS days, 2024::INT AS y, 2::INT AS m, 28::INT AS d, 13::INT AS h, 14::INT AS mi, 15::INT AS s, 3::INT AS at, 36::INT AS uuid_len, true AS drawn, 'abc' AS nested")
+def mysql_function_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms of the present, parts of times, intervals, places in texts, identifiers and draws."""
+    sql = "SELECT CURDATE() = CAST(NOW() AS DATE) AS today, SYSDATE() >= NOW() AS utc, CURRENT_TIMESTAMP <= NOW() AS moment, DATE_FORMAT(DATE_ADD('2024-02-28', INTERVAL 1 DAY), '%Y-%m-%d') AS added, DATEDIFF('2024-03-03', '2024-02-28') AS days, YEAR('2024-02-28') AS y, MONTH('2024-02-28') AS m, DAY('2024-02-28') AS d, HOUR('2024-02-28 13:14:15') AS h, MINUTE('2024-02-28 13:14:15') AS mi, SECOND('2024-02-28 13:14:15') AS s, INSTR('abcd', 'cd') AS at, LENGTH(UUID()) AS uuid_len, RAND() < 1 AS drawn, CAST(CAST('abc' AS CHAR) AS CHAR) AS nested"
+    return run(spark, sf_dir, sql, "mysql")
+
+
+@query("SELECT true AS today, true AS stamp, true AS utc, 2024::INT AS y, 2::INT AS m, 28::INT AS d, 36::INT AS id_len, true AS member, true AS errors, '2024-02-28' AS day")
+def tsql_function_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sql = "SELECT CAST(CONVERT(date, GETDATE()) AS date) = CAST(SYSDATETIME() AS date) AS today, CURRENT_TIMESTAMP <= SYSUTCDATETIME() AS stamp, GETUTCDATE() IS NOT NULL AS utc, YEAR('2024-02-28') AS y, MONTH('2024-02-28') AS m, DAY('2024-02-28') AS d, LEN(NEWID()) AS id_len, IS_MEMBER('x') = 1 AS member, @@ERROR = 0 AND @@TRANCOUNT = 0 AS errors, CONVERT(varchar(10), CAST('2024-02-28' AS datetime), 120) AS day"
+    return run(spark, sf_dir, sql, "mssql").withColumn("day", F.substring("day", 1, 10))
+
+
+@query("SELECT true AS today, true AS stamp, 36::INT AS id_len, 'x' AS v, 2::INT AS n")
+def oracle_function_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir, "SELECT SYSDATE <= SYSTIMESTAMP AS today, SYSTIMESTAMP IS NOT NULL AS stamp, LENGTH(SYS_GUID()) AS id_len, NVL(NULL, 'x') AS v, NVL2(1, 2, 3) AS n FROM DUAL", "oracle")
+
+
+@query("SELECT * FROM (VALUES ('schemas', 1::BIGINT), ('sequences', 1), ('tables', 1), ('indexes', 1), ('references', 1)) t(phase, n)")
+def phased_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from concordat.sources import sinks
+
+    made = sinks.definitions("app", [{"name": "t", "columns": [{"name": "id", "type_name": "int"}]}], [{"name": "q", "start": 1, "increment": 2}], [{"name": "ix", "table": "t", "columns": ["id DESC"], "is_unique": True}], [{"name": "fk", "from_table": "t", "from_cols": ["id"], "to_table": "u", "to_cols": ["id"]}], "mssql")
+    ran: list[str] = []
+    done = sinks.deploy_phases(made, ran.append)
+    return spark.createDataFrame([(p, r["ok"]) for p, r in done.items()], "phase string, n long")

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concordat.functions.values import copy_field, masked
+from concordat.operators.catalog import index_name, table_definition
 
 
 def bulk_fields(df: DataFrame) -> DataFrame:
@@ -62,17 +63,31 @@ def export_lines(df: DataFrame, path: str) -> None:
 
 
 def redacted(df: DataFrame) -> DataFrame:
-    """df with values masked where a column's name tells of a secret, in maps by their keys."""
-    out = []
-    for f in df.schema:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.MapType) and isinstance(f.dataType.valueType, T.StringType):
-            out.append(F.transform_values(c, lambda k, v: masked(v, k)).alias(f.name))
-        elif isinstance(f.dataType, T.StringType):
-            out.append(masked(c, F.lit(f.name)).alias(f.name))
-        else:
-            out.append(c)
-    return df.select(*out)
+    """df with values masked where a name tells of a secret: of a column, of a field at any depth of structs and lists, or a key of a map."""
+
+    def masked_value(c: Column, kind: T.DataType, name: Column) -> Column:
+        if isinstance(kind, T.StructType):
+            fields = [masked_value(c[f.name], f.dataType, F.lit(f.name)).alias(f.name) for f in kind]
+            return F.when(c.isNotNull(), F.struct(*fields))
+        if isinstance(kind, T.ArrayType):
+            return F.transform(c, lambda x: masked_value(x, kind.elementType, name))
+        if isinstance(kind, T.MapType):
+            return F.transform_values(c, lambda k, v: masked_value(v, kind.valueType, k.cast("string")))
+        return masked(c, name) if isinstance(kind, T.StringType) else c
+
+    return df.select(*(masked_value(F.col(f"`{f.name}`"), f.dataType, F.lit(f.name)).alias(f.name) for f in df.schema))
+
+
+def definitions(schema: str, tables: list[dict], sequences: list[dict], indexes: list[dict], references: list[dict], source: str) -> list[tuple[str, list[str]]]:
+    """Statements by phase for a catalog: schemas, sequences (as tables of their start and increment), tables, indexes and references (which Spark keeps
+    as properties of their tables, since it has neither)."""
+    name = lambda t: f"`{schema}`.`{t}`"
+    made = [("schemas", [f"CREATE SCHEMA IF NOT EXISTS `{schema}`"])]
+    made.append(("sequences", [f"CREATE TABLE {name(q['name'])} USING parquet AS SELECT cast({q['start']} AS bigint) AS start, cast({q['increment']} AS bigint) AS increment" for q in sequences]))
+    made.append(("tables", [table_definition(schema, t["name"], t["columns"], source) for t in tables]))
+    made.append(("indexes", [f"ALTER TABLE {name(i['table'])} SET TBLPROPERTIES ('index.{index_name(i['name'])}' = '{'unique ' if i.get('is_unique') else ''}{','.join(i['columns'])}')" for i in indexes]))
+    made.append(("references", [f"ALTER TABLE {name(r['from_table'])} SET TBLPROPERTIES ('reference.{r['name']}' = '{','.join(r['from_cols'])} -> {r['to_table']}({','.join(r['to_cols'])})')" for r in references]))
+    return made
 
 
 def deploy_views(spark: SparkSession, views: list[tuple[str, str]], order: list[str], tables: dict[str, str] | None = None) -> list[tuple[str, str, str]]:
