@@ -103,12 +103,10 @@ def deduplicated(entries: DataFrame, keys: list[str], order: str) -> DataFrame:
 def failure_ranking(entries: DataFrame, least: int = 1, sample: int = 20) -> DataFrame:
     """Kinds of errors by count: rank, objects (distinct, sorted, the first sample), first error by entry and route."""
     kinds = entries.withColumn("error_class", classify_error(F.col("error")))
-    rows = kinds.groupBy("error_class").agg(
-        F.count("*").alias("n"),
-        F.array_join(F.slice(F.array_sort(F.collect_set("object_name")), 1, sample), ",").alias("objects"),
-        F.min_by("error", "entry").alias("first_error"),
-        F.min("entry").alias("first_entry"),
-    )
+    # a kind's objects are told apart and cut before they are gathered
+    names = kinds.select("error_class", "object_name").distinct().withColumn("__p", F.row_number().over(Window.partitionBy("error_class").orderBy("object_name"))).where(F.col("__p") <= sample)
+    names = names.groupBy("error_class").agg(F.array_join(F.array_sort(F.collect_list("object_name")), ",").alias("objects"))
+    rows = kinds.groupBy("error_class").agg(F.count("*").alias("n"), F.min_by("error", "entry").alias("first_error"), F.min("entry").alias("first_entry")).join(names, "error_class", "left")
     rows = rows.where(F.col("n") >= least)
     return rows.select(F.row_number().over(Window.orderBy(F.col("n").desc(), "first_entry")).cast("int").alias("rank"), "error_class", "n", "objects", "first_error", route(F.col("error_class")).alias("fix_route"))
 

@@ -69,17 +69,17 @@ def diff_rows(source: DataFrame, target: DataFrame, keys: list[str], columns: li
 
     Rows with equal keys are aligned as multisets: equal rows first, the rest in the order of their canonical text.
     """
-    def side(df: DataFrame, name: str) -> DataFrame:
+    def side(df: DataFrame, sign: int) -> DataFrame:
         kinds = {f.name: f.dataType for f in df.schema}
-        cells = df.select(*keys, F.array(*(cell(F.col(c), kinds[c]) for c in columns)).alias(name))
-        return cells.withColumn("same", F.row_number().over(Window.partitionBy(*keys, name).orderBy(F.lit(0))))
-
-    s, t = side(source, "s"), side(target, "t")
-    # equal rows cancel by an equi-join on all cells, so that only the remains are ranked
-    rest_s = s.join(t.withColumnRenamed("t", "s"), [*keys, "s", "same"], "left_anti")
-    rest_t = t.join(s.withColumnRenamed("s", "t"), [*keys, "t", "same"], "left_anti")
-    rank = lambda df, c: df.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(c, "same"))).drop("same")
-    both = rank(rest_s, "s").join(rank(rest_t, "t"), [*keys, "place"], "full_outer")
+        return df.select(*keys, F.array(*(cell(F.col(c), kinds[c]) for c in columns)).alias("cells"), F.lit(sign).alias("sign"))
+
+    # equal rows cancel in one signed count over both sides, so that only the remains are ranked
+    rest = side(source, 1).unionByName(side(target, -1)).groupBy(*keys, "cells").agg(F.sum("sign").alias("n")).where("n <> 0")
+    rest = rest.withColumn("copy", F.explode(F.sequence(F.lit(1), F.abs("n").cast("int"))))
+    place = F.row_number().over(Window.partitionBy(*keys, F.col("n") > 0).orderBy("cells", "copy"))
+    rest = rest.withColumn("place", place)
+    # a key's remains meet by place: one row of each side at most
+    both = rest.groupBy(*keys, "place").agg(F.max(F.when(F.col("n") > 0, F.col("cells"))).alias("s"), F.max(F.when(F.col("n") < 0, F.col("cells"))).alias("t"))
     kind = F.when(F.col("t").isNull(), "ROW_MISSING").when(F.col("s").isNull(), "ROW_EXTRA").otherwise("VALUE_DIFF")
     differing = F.filter(F.array(*(F.when(F.col("s")[i] != F.col("t")[i], c) for i, c in enumerate(columns))), lambda x: x.isNotNull())
     return both.select(*keys, "place", kind.alias("kind"), F.array_join(F.when(kind == "VALUE_DIFF", differing).otherwise(F.array().cast("array<string>")), ",").alias("differing"))
@@ -221,7 +221,6 @@ def reclassified(error: Column, rules: list[tuple[str, list[str], list[str]]]) -
 
 def row_set_difference(source: DataFrame, target: DataFrame, cell=view_cell) -> DataFrame:
     """Canonical rows on one side only, as multisets: side and row."""
-    s, t = source.select(canonical_row(source, cell).alias("row")), target.select(canonical_row(target, cell).alias("row"))
-    return s.exceptAll(t).select(F.lit("source").alias("side"), "row").union(t.exceptAll(s).select(F.lit("target"), "row"))
-
-
+    row = lambda df, sign: df.select(canonical_row(df, cell).alias("row"), F.lit(sign).alias("sign"))
+    left = row(source, 1).unionByName(row(target, -1)).groupBy("row").agg(F.sum("sign").alias("n")).where("n <> 0")
+    return left.select(F.when(F.col("n") > 0, "source").otherwise("target").alias("side"), "row", F.explode(F.sequence(F.lit(1), F.abs("n").cast("int"))).alias("copy")).select("side", "row")

@@ -6,10 +6,11 @@ import datetime
 import re
 from collections.abc import Callable
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ranks import numbered
+
 
 def value_of(index: Column, kind: str, name: str = "", choices: list[str] | None = None, low: int | None = None, high: int | None = None, size: int | None = None) -> Column:
     """The value of row index (from 0) for a column of a kind: choices and ranges of its check first, then by type, text by name.
@@ -51,19 +52,11 @@ def seed(spark: SparkSession, rows: int, columns: list[dict]) -> DataFrame:
 
 
 def assign_parents(children: DataFrame, parents: DataFrame, index: str, key: str, name: str) -> DataFrame:
-    """children with name: the key of parent number index modulo their count, parents ordered by key. Equi-join on the number.
-
-    Parents are numbered by ranges of keys: within a range by a window, and from how many the ranges before it have, so no task holds all of them.
-    """
-    ranged = parents.select(F.col(key).alias(name)).repartitionByRange(name).withColumn("__range", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)  # one choice of ranges for all uses
-    sizes = ranged.groupBy("__range").agg(F.count("*").alias("__n"), F.min(name).alias("__least"))
-    ahead = Window.orderBy("__least").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
-    starts = sizes.select("__range", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__before"))
-    total = sizes.agg(F.greatest(F.sum("__n"), F.lit(1)).alias("__total"))
-    within = F.row_number().over(Window.partitionBy("__range").orderBy(name)) - 1
-    numbered = ranged.withColumn("__k", within).join(F.broadcast(starts), "__range").select(name, (F.col("__before") + F.col("__k")).cast("bigint").alias("__at"))
-    wanted_place = children.crossJoin(F.broadcast(total)).withColumn("__at", F.pmod(F.col(index), F.col("__total"))).drop("__total")  # one row
-    return wanted_place.join(numbered, "__at", "left").drop("__at")
+    """children with name: the key of parent number index modulo their count, parents ordered by key. Equi-join on the number, which no one task counts."""
+    places = numbered(parents.select(F.col(key).alias(name)), F.col(name), place="__place", total="__total")
+    total = F.broadcast(places.agg(F.coalesce(F.max("__total"), F.lit(1)).alias("__total")))  # one row
+    wanted_place = children.crossJoin(total).withColumn("__place", F.pmod(F.col(index), F.col("__total")) + 1).drop("__total")
+    return wanted_place.join(places.drop("__total"), "__place", "left").drop("__place")
 
 
 def check_values(definition: Column) -> tuple[Column, Column, Column]:
