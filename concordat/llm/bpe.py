@@ -11,16 +11,20 @@ from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import FORGET, SLICE, different_words, ends_of, fields, gathered, in_arrow, slices
+
 NONE = np.int32(2**31 - 1)
 #: Longer pieces (in bytes) are merged one at a time with a heap: a matrix round costs the width of the row.
 WIDEST = 256
-#: Distinct pieces remembered by a worker, and characters of text handled at a time.
-REMEMBER, SLICE = 200_000, 1 << 21
+#: Bytes that a memory of a worker takes, in two generations (a codec of words takes twice as much); an entry counts its key, its value and ENTRY.
+REMEMBER, ENTRY = 48 << 20, 150
+#: Fixed value: the pattern under which a space that has no white space beside it begins a piece, whatever stands around it.
+BY_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -29,21 +33,32 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Memory:
-    """What a worker remembers of keys seen: at most two generations of REMEMBER entries, of which the older goes first."""
+    """What a worker remembers of keys seen: two generations of half of REMEMBER bytes at most, of which the older goes first."""
+
+    def __init__(self, share: float = 1.0) -> None:
+        self.most = REMEMBER * share / 2
+        self.forget()
 
-    def __init__(self) -> None:
+    def forget(self) -> None:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.taken = 0
 
     def missing(self, keys: set[str]) -> list[str]:
         """The keys that are not known; the others are in new afterwards. Begins a generation where the last is full."""
-        if len(self.new) > REMEMBER:
-            self.old, self.new = self.new, {}
+        if self.taken > self.most:
+            self.old, self.new, self.taken = self.new, {}, 0
         fresh = keys.difference(self.new)
+        if not self.old:
+            return list(fresh)
         again = {k: self.old[k] for k in fresh if k in self.old}
-        self.new |= again
+        self.update(again)
         return list(fresh.difference(again))
 
+    def update(self, entries: dict[str, bytes]) -> None:
+        self.new |= entries
+        self.taken += len(entries) * ENTRY + sum(map(len, entries)) + sum(map(len, entries.values()))
+
 
 class Codec:
     """Encodes texts as a rank file and a split pattern say; decodes ids."""
@@ -51,11 +66,12 @@ class Codec:
     def __init__(self, path: str, pattern: str) -> None:
         ranks = read_ranks(path)
         self.token = {i: b for b, i in ranks.items()}
+        self.by_space = pattern == BY_SPACE
         self.split = regex.compile(pattern).findall
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         pairs = [(ranks[b[:k]], ranks[b[k:]], i) for b, i in ranks.items() for k in range(1, len(b)) if b[:k] in ranks and b[k:] in ranks]
         self._fill(np.array(pairs, np.int64))
-        self.pieces, self.words = Memory(), Memory()
+        self.pieces, self.words = Memory(0.5), Memory(0.5)
         self.uneven = re.compile(r"\s\s").search
 
     def _fill(self, pairs: np.ndarray) -> None:
@@ -163,7 +179,7 @@ class Codec:
     def learn(self, pieces: Iterable[str]) -> None:
         """Remembers the ids of pieces, in matrices of like lengths."""
         buckets: dict[int, list[tuple[str, bytes]]] = {}
-        known = self.pieces.new
+        known: dict[str, bytes] = {}
         for p in pieces:
             raw = p.encode()
             n = len(raw)
@@ -179,6 +195,7 @@ class Codec:
                 part = held[k : k + step]
                 for (p, _), ids in zip(part, self._rows([raw for _, raw in part], width)):
                     known[p] = ids.astype("<u4").tobytes()
+        self.pieces.update(known)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
@@ -194,27 +211,41 @@ class Codec:
         return out
 
     def _slice(self, texts: list[str]) -> list[bytes]:
-        """Where no two white spaces meet, a space begins a piece whatever stands around it, so that words with the space before
-        them are remembered whole; other texts are split as they are."""
-        even = [not self.uneven(t) for t in texts]
-        parts = [t.split(" ") if e else self.split(t) for t, e in zip(texts, even)]
-        words: set[str] = set()
-        pieces: set[str] = set()
-        heads: list[list[str]] = []
-        for p, e in zip(parts, even):
-            if e:
-                heads.append(self.split(p.pop(0)))
-                words.update(p)
-                pieces.update(heads[-1])
-            else:
-                pieces.update(p)
-        new = [(w, self.split(" " + w)) for w in self.words.missing(words)]
-        for _, p in new:
-            pieces.update(p)
-        self.learn(self.pieces.missing(pieces))
-        piece, word, head = self.pieces.new.__getitem__, self.words.new.__getitem__, iter(heads)
-        self.words.new.update((w, b"".join(map(piece, p))) for w, p in new)
-        return [b"".join(map(piece, next(head))) + b"".join(map(word, p)) if e else b"".join(map(piece, p)) for p, e in zip(parts, even)]
+        """Under BY_SPACE, where no two white spaces meet, words with the space before them are remembered whole; other texts, and all
+        under another pattern, are split as they are."""
+        even = [self.by_space and not self.uneven(t) for t in texts]
+        heads, tails = self._by_words([t for t, e in zip(texts, even) if e])
+        others = [self.split(t) for t, e in zip(texts, even) if not e]
+        first = [self.split(h) for h in heads]
+        self.learn(self.pieces.missing({p for ps in (*first, *others) for p in ps}))
+        piece = self.pieces.new.__getitem__
+        made, rest = iter([b"".join(map(piece, f)) + t for f, t in zip(first, tails)]), iter([b"".join(map(piece, p)) for p in others])
+        return [next(made if e else rest) for e in even]
+
+    def _by_words(self, texts: list[str]) -> tuple[list[str], list[bytes]]:
+        """What stands before the first space of each text, and the ids of all that follows."""
+        words, place, counts = different_words(texts, " ")
+        first = np.cumsum(counts) - counts
+        heads = [words[k] for k in place[first]]
+        later = np.ones(len(place), bool)
+        later[first] = False
+        place = place[later]
+        asked = np.zeros(len(words), bool)
+        asked[place] = True
+        tails = [w for w, a in zip(words, asked) if a]
+        self._learn_words(self.words.missing(set(tails)))
+        number = np.cumsum(asked) - 1
+        ids = list(map(self.words.new.__getitem__, tails))
+        out, ends = gathered(np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4, number[place])
+        raw, ends = out.tobytes(), (4 * ends_of(ends, counts - 1)).tolist()
+        return heads, [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Remembers the ids of words with a space before them."""
+        new = {w: self.split(" " + w) for w in words}
+        self.learn(self.pieces.missing({p for ps in new.values() for p in ps}))
+        piece = self.pieces.new.__getitem__
+        self.words.update({w: b"".join(map(piece, ps)) for w, ps in new.items()})
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -232,64 +263,48 @@ class LibraryCodec(Codec):
     def _slice(self, texts: list[str]) -> list[bytes]:
         """As above, but the library splits and encodes each new word with the space before it, and other texts whole."""
         encode = self.library.encode_ordinary
-        parts = [None if self.uneven(t) else t.split(" ") for t in texts]
-        words: set[str] = set()
-        for p in parts:
-            words.update(p[1:] if p else ())
-        new = self.words.missing(words)
-        word = self.words.new
-        for w in new:
-            word[w] = array("I", encode(" " + w)).tobytes()
-        get = word.__getitem__
-        return [array("I", encode(t)).tobytes() if p is None else array("I", encode(p[0])).tobytes() + b"".join(map(get, p[1:])) for t, p in zip(texts, parts)]
-
-
-@functools.lru_cache(maxsize=2)
+        even = [self.by_space and not self.uneven(t) for t in texts]
+        heads, tails = self._by_words([t for t, e in zip(texts, even) if e])
+        made = iter([array("I", encode(h)).tobytes() + t for h, t in zip(heads, tails)])
+        return [next(made) if e else array("I", encode(t)).tobytes() for t, e in zip(texts, even)]
+
+    def _learn_words(self, words: list[str]) -> None:
+        encode = self.library.encode_ordinary
+        self.words.update({w: array("I", encode(" " + w)).tobytes() for w in words})
+
+
+@functools.lru_cache(maxsize=1)
 def library_codec(path: str, pattern: str) -> LibraryCodec:
     return LibraryCodec(path, pattern)
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def codec(path: str, pattern: str) -> Codec:
-    """One codec for each worker process and rank file."""
+    """One codec for each task and rank file."""
     return Codec(path, pattern)
 
 
+FORGET += [library_codec.cache_clear, codec.cache_clear]
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str, keys: list[str] | None = None, ids: bool = False) -> DataFrame:
     """docs (text and keys) encoded and decoded again: keys, n_tokens, ids_sha256, decoded_sha256 and, if asked, ids (binary,
     little-endian unsigned 32-bit).
 
     A null or empty text has no ids. Pieces are split by pattern over the whole text, merged alone, and special tokens
-    are ordinary text. One pass without a shuffle; memory is a slice of text plus the pieces remembered. Other columns are left out.
+    are ordinary text. One pass without a shuffle; memory is a slice of text plus the pieces remembered. Keys (of any type, null or
+    repeated) are handed on as they are; other columns are left out.
     """
     keys = keys or ["doc_id"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
-        sha = lambda b: hashlib.sha256(b).hexdigest()
-        for batch in batches:
-            texts = batch.pop("text").tolist()
-            for part, rows in slices(texts, batch):
-                held = c.encode(part)
-                yield rows.assign(
-                    n_tokens=[len(b) // 4 for b in held],
-                    ids_sha256=[sha(b) for b in held],
-                    decoded_sha256=[sha(c.decode(b)) for b in held],
-                    **({"ids": held} if ids else {}),
-                )
-
-    kept = docs.select(*(F.col(f"`{k}`") for k in keys), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "text")
-    return kept.mapInPandas(run, schema + ", n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * ids)
-
-
-def slices(texts: list[str], rows: pd.DataFrame) -> Iterator[tuple[list[str], pd.DataFrame]]:
-    """Runs of rows whose texts hold about SLICE characters together."""
-    at = 0
-    while at < len(texts):
-        end, chars = at + 1, len(texts[at])
-        while end < len(texts) and chars + len(texts[end]) <= SLICE:
-            chars += len(texts[end])
-            end += 1
-        yield texts[at:end], rows.iloc[at:end]
-        at = end
+        sha = lambda held: pa.array([hashlib.sha256(b).hexdigest() for b in held], pa.string())
+        for texts, rows in slices(batches, "__text"):
+            held = c.encode(texts)
+            out = [rows.column(k) for k in range(len(keys))]
+            out += [pa.array([len(b) // 4 for b in held], pa.int64()), sha(held), sha(map(c.decode, held))]
+            yield pa.RecordBatch.from_arrays(out + [pa.array(held, pa.binary())] * ids, [*keys, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * ids)
+
+    kept = docs.select(*(F.col(f"`{k}`") for k in keys), F.col("text").cast("string").alias("__text"))
+    return in_arrow(kept, run, fields(kept, *keys) + ", n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * ids)

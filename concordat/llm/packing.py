@@ -13,12 +13,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import slices
-from .common import durable, group_lists
+from .common import durable, fields, in_arrow, made, slices, small, whole_groups
 
 #: Runs up to this many are broadcast (48 bytes each); beyond it they are joined by shuffle.
 BROADCAST_RUNS = 100_000
@@ -80,6 +80,7 @@ class VectorBins:
     def __init__(self, size: int, documents: int | None = None, cost: int | None = None, weights: tuple[float, float, float] = (1.0, 0.05, 0.05), score: str = "norm") -> None:
         self.start = (size, documents or size, cost or size * size)
         self.weights, self.score = np.array(weights), score
+        self.fewest = self.start[1]  # documents that the fullest sequence has room for
         self.keys: dict[tuple[int, int, int], int] = {}
         self.left = np.zeros((64, 3), np.int64)
         self.open = np.zeros(64, bool)
@@ -105,6 +106,7 @@ class VectorBins:
         return left[0] - length * pieces, left[1] - pieces, left[2] - length * length * pieces
 
     def change(self, left: tuple[int, int, int], bins: int) -> None:
+        self.fewest = min(self.fewest, left[1])
         at = self.keys.get(left)
         if at is None:
             if not self.free:
@@ -163,6 +165,32 @@ def plan(counts: dict[int, int], bins: TreeBins | VectorBins) -> list[tuple[int,
     return runs
 
 
+def sequences(runs: list[tuple[int, int, int, int, int, int]]) -> int:
+    """How many sequences a plan has."""
+    return max((first + -(-(end - rank) // each) for _, rank, end, each, first, _ in runs), default=0)
+
+
+def tightest(counts: dict[int, int], size: int, steps: int = 3, **options) -> VectorBins:
+    """Bins with a limit of documents a sequence that costs no sequence: the least found in some halvings between one and what the
+    fullest sequence of the plan without a limit has. Plans take the counts of lengths only, so this costs the same for any corpus.
+
+    Documents and not attention cost, as a piece of size tokens must fit: its cost is the square of size, and of the squares of lengths
+    that add up to size the sum is never more.
+    """
+    free = VectorBins(size, **options)
+    least = sequences(plan(counts, free))
+    low, high = 1, max(1, free.start[1] - free.fewest)
+    for _ in range(steps):
+        middle = max(low + 1, round((low * high) ** 0.5))
+        if middle >= high:
+            break
+        if sequences(plan(counts, VectorBins(size, documents=middle, **options))) <= least:
+            high = middle
+        else:
+            low = middle
+    return VectorBins(size, documents=high, **options)
+
+
 def ranked(pieces: DataFrame) -> tuple[DataFrame, dict[int, int]]:
     """pieces (..., length, pid, at) with a rank among those of equal length, and how many there are of each length.
 
@@ -171,14 +199,19 @@ def ranked(pieces: DataFrame) -> tuple[DataFrame, dict[int, int]]:
     counts = durable(pieces.groupBy("pid", "length").agg(F.count("*").alias("n")), "lengths")
     totals = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most one row a length
     before = counts.selectExpr("pid", "length", "sum(n) OVER (PARTITION BY length ORDER BY pid) - n AS before")
+    before = F.broadcast(before) if small(before, BROADCAST_RUNS) else before
     return pieces.join(before, ["pid", "length"]).withColumn("rank", F.col("before") + F.col("at")).drop("before", "at", "pid"), totals
 
 
-def pack(pieces: DataFrame, bins: TreeBins | VectorBins) -> DataFrame:
-    """pieces (..., length, pid, at), held durably, with sequence_id and offset (long)."""
+def pack(pieces: DataFrame, bins: TreeBins | VectorBins | Callable[[dict[int, int]], TreeBins | VectorBins]) -> DataFrame:
+    """pieces (..., length, pid, at), held durably, with sequence_id and offset (long). bins: open bins, or what gives them for the counts of lengths.
+
+    Columns are handed on as they are, whatever their types; repeated and null keys are pieces like any other; no pieces give no rows.
+    Pieces of equal length are alike to a plan: which of them goes where follows from the partition and place that cut() gave them.
+    """
     spark = pieces.sparkSession
     rows, totals = ranked(pieces)
-    runs = plan(totals, bins)
+    runs = plan(totals, bins if isinstance(bins, (TreeBins, VectorBins)) else bins(totals))
     schema = "length int, first long, end long, each long, sequence long, place long"
     told = spark.createDataFrame(pd.DataFrame(runs, columns=["length", "first", "end", "each", "sequence", "place"]).astype({"length": "int32"}) if runs else [], schema)
     if len(runs) <= BROADCAST_RUNS:
@@ -196,57 +229,89 @@ def cut(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[bytes]
     ids_crc32 long, pid int, at long and, if asked, ids (binary, little-endian, width bytes an id).
 
     encoder() gives, once a task, a function from texts to little-endian unsigned 32-bit ids. A null text is empty; a
-    document without any id has no piece. Written durably, as ranks need stable partitions.
+    document without any id has no piece; an id that width bytes don't hold is an error. Keys of any type are handed on as they are,
+    null or repeated; other columns are left out. Written durably, as ranks need stable partitions.
     """
     close = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, pid = encoder(), TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
-        for batch in batches:
-            for texts, rows in slices(batch["text"].tolist(), batch):
-                out: list[tuple] = []
-                for k, held in zip(rows[key].tolist(), encode(texts)):
-                    held += close
-                    for n, at in enumerate(range(0, len(held), 4 * size)):
-                        part = held[at : at + 4 * size]
-                        length = len(part) // 4
-                        row = (k, n, at // 4, length, zlib.crc32(part), pid, seen[length])
-                        seen[length] += 1
-                        out.append(row + ((part if width == 4 else np.frombuffer(part, "<u4").astype(f"<u{width}").tobytes(),) if ids else ()))
-                made = pd.DataFrame(out, columns=[key, "piece", "start", "length", "ids_crc32", "pid", "at", *["ids"] * ids])
-                if rows[key].hasnans:
-                    made[key] = made[key].astype("Int64")
-                yield made
-
-    kept = docs.select(F.col(f"`{key}`"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    schema = f"`{key}` {kept.schema[0].dataType.simpleString()}, piece int, start long, length int, ids_crc32 long, pid int, at long" + ", ids binary" * ids
-    return durable(kept.mapInPandas(run, schema), "pieces")
+        for texts, rows in slices(batches, "__text"):
+            from_, out = [], []
+            for k, held in enumerate(encode(texts)):
+                held += close
+                for n, at in enumerate(range(0, len(held), 4 * size)):
+                    part = held[at : at + 4 * size]
+                    length = len(part) // 4
+                    crc = zlib.crc32(part)
+                    if ids and width < 4:
+                        wide = np.frombuffer(part, "<u4")
+                        if int(wide.max()) >> 8 * width:
+                            raise ValueError(f"an id of {int(wide.max())} needs more than {width} bytes")
+                        part = wide.astype(f"<u{width}").tobytes()
+                    from_.append(k)
+                    out.append((n, at // 4, length, crc, seen[length], part if ids else None))
+                    seen[length] += 1
+            piece, start, length, crc, at, parts = zip(*out) if out else ((),) * 6
+            columns = {
+                key: rows.column(0).take(pa.array(from_, pa.int64())),
+                "piece": pa.array(piece, pa.int32()),
+                "start": pa.array(start, pa.int64()),
+                "length": pa.array(length, pa.int32()),
+                "ids_crc32": pa.array(crc, pa.int64()),
+                "pid": pa.array([pid] * len(out), pa.int32()),
+                "at": pa.array(at, pa.int64()),
+            }
+            yield made(**columns, **({"ids": pa.array(parts, pa.binary())} if ids else {}))
+
+    kept = docs.select(F.col(f"`{key}`"), F.col("text").cast("string").alias("__text"))
+    schema = fields(kept, key) + ", piece int, start long, length int, ids_crc32 long, pid int, at long" + ", ids binary" * ids
+    return durable(in_arrow(kept, run, schema), "pieces")
 
 
 def assemble(packed: DataFrame, size: int, key: str = "doc_id", width: int = 2, pad: int = 0) -> DataFrame:
     """Rows of the packed id matrix: sequence_id, n_tokens, doc_ids, pieces (both by place), cu_seqlens (0, then where each
-    segment ends), position_resets (where positions start again at 0) and input_ids (size ids of width bytes, padded)."""
+    segment ends), position_resets (where positions start again at 0) and input_ids (size ids of width bytes, padded).
+
+    packed: what pack() gives for pieces with ids. Keys are handed on as they are, null or repeated; other columns are left out; no
+    pieces give no rows. A sequence is at most size tokens, so no task holds more than some hundred of them.
+    """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out: list[tuple] = []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fill = np.full(size, pad, f"<u{width}").tobytes()
-        for rows in group_lists(batches, "sequence_id"):
-            ends = [a + n for a, n in zip(rows["offset"], rows["length"])]
-            row = b"".join(rows["ids"])
-            if ends[-1] * width != len(row):
-                raise ValueError(f"sequence {rows['sequence_id'][0]} has gaps")
-            out.append((rows["sequence_id"][0], ends[-1], rows[key], rows["piece"], [0, *ends], rows["offset"], row + fill[len(row) :]))
-            if len(out) == 256:
-                yield pd.DataFrame(out, columns=names)
-                out = []
-        if out:
-            yield pd.DataFrame(out, columns=names)
-
-    names = ["sequence_id", "n_tokens", f"{key}s", "pieces", "cu_seqlens", "position_resets", "input_ids"]
+        for rows in whole_groups(batches, "sequence_id", 256):
+            rows = rows.combine_chunks()
+            sequence, offset, length = (rows.column(c).to_numpy() for c in ("sequence_id", "offset", "length"))
+            first = np.flatnonzero(np.concatenate([[True], sequence[1:] != sequence[:-1]]))
+            last = np.append(first[1:], len(sequence))
+            whole = (offset + length)[last - 1]
+            if (np.add.reduceat(length, first) != whole).any():
+                raise ValueError("a sequence has gaps")
+            ids = rows.column("ids").to_pylist()
+            matrix = [b"".join(ids[a:b]) for a, b in zip(first, last)]
+            bounds = pa.array(np.append(first, len(sequence)).astype(np.int32))
+            lists = lambda values: pa.ListArray.from_arrays(bounds, values)
+            yield made(
+                sequence_id=pa.array(sequence[first]),
+                n_tokens=pa.array(whole.astype(np.int32)),
+                **{f"{key}s": lists(rows.column(key).combine_chunks()), "pieces": lists(rows.column("piece").combine_chunks())},
+                cu_seqlens=pa.array([[0, *(offset[a:b] + length[a:b]).tolist()] for a, b in zip(first, last)], pa.list_(pa.int32())),
+                position_resets=lists(pa.array(offset.astype(np.int32))),
+                input_ids=pa.array([row + fill[len(row) :] for row in matrix], pa.binary()),
+            )
+
     kind = packed.schema[key].dataType.simpleString()
     schema = f"sequence_id long, n_tokens int, `{key}s` array<{kind}>, pieces array<int>, cu_seqlens array<int>, position_resets array<int>, input_ids binary"
-    return packed.repartition("sequence_id").sortWithinPartitions("sequence_id", "offset").mapInPandas(run, schema)
+    rows = packed.select("sequence_id", "offset", "length", key, "piece", "ids").repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
+    return in_arrow(rows, run, schema)
+
+
+def write_matrices(rows: DataFrame, path: str, size: int, width: int = 2, pad: int = 0) -> None:
+    """Assembled rows as Parquet shards in order of sequence, each with its part of the id matrix, the cumulative lengths and the
+    position resets, and size, width and pad as columns of one value, which Parquet keeps in a few bytes."""
+    told = rows.withColumns({"row_tokens": F.lit(size), "id_bytes": F.lit(width), "pad_id": F.lit(pad)})
+    told.repartitionByRange("sequence_id").sortWithinPartitions("sequence_id").write.parquet(path)
 
 
 def matrices(rows: pd.DataFrame, size: int, width: int = 2) -> tuple[np.ndarray, np.ndarray]:

@@ -7,17 +7,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import REMEMBER, slices
-from .common import MIX, durable, groups, mix64
+from .common import MIX, different_words, durable, ends_of, fields, gathered, in_arrow, made, mix64, slices, whole_groups
 
-#: Words are hashed to so many rows of the vector table; each row has so many parts. The table is a fixed 2 MB at any size of corpus.
-ROWS, PARTS = 1 << 14, 32
+#: Words are hashed to so many rows of the vector table; each row has so many parts. The table is a fixed 4 MB at any size of corpus, and words that share a row share its vector.
+ROWS, PARTS = 1 << 15, 32
+#: Words of which a worker remembers the rows.
+REMEMBER = 150_000
 #: Each word's index vector has so many parts of +1 or -1; neighbours this far away count.
 NONZERO, REACH = 2, 2
 #: Rows of the table in one block of the sums.
@@ -35,13 +36,14 @@ class Tokens:
         """The rows of all tokens of all texts, and how many each text has."""
         if len(self.known) > REMEMBER:
             self.known.clear()
-        out = []
-        for t in texts:
-            words = t.split()
-            for w in set(words).difference(self.known):
+        words, place, counts = different_words(texts)
+        for w in words:
+            if w not in self.known:
                 self.known[w] = np.array([xxhash.xxh3_64_intdigest(x.encode()) % ROWS for x in self.split(w)], "<i4").tobytes()
-            out.append(b"".join(map(self.known.__getitem__, words)))
-        return np.frombuffer(b"".join(out), "<i4"), np.array([len(x) // 4 for x in out], np.int64)
+        rows = list(map(self.known.__getitem__, words))
+        out, ends = gathered(np.frombuffer(b"".join(rows), "<i4"), np.fromiter(map(len, rows), np.int64, len(rows)) // 4, place)
+        ends = ends_of(ends, counts)
+        return out, np.diff(ends, prepend=0)
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -50,38 +52,41 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return (h % np.uint64(PARTS)).astype(np.int64), np.where(h >> np.uint64(63), 1.0, -1.0)
 
 
-def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums of the index vectors of neighbours for each row of the table, over a partition; blocks of it as 64-bit integers."""
+def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the index vectors of neighbours for each row of the table, over a partition; blocks of it as 32-bit integers."""
     tokens, total, (place, sign) = Tokens(), np.zeros(ROWS * PARTS), index_vectors()
-    for batch in batches:
-        for part, _ in slices(batch["text"].tolist(), batch):
-            ids, size = tokens.rows(part)
-            ids, doc = ids.astype(np.int64), np.repeat(np.arange(len(size)), size)
-            for d in range(1, REACH + 1):
-                same = doc[:-d] == doc[d:]
-                a, b = ids[:-d][same], ids[d:][same]
-                for k in range(NONZERO):
-                    total += np.bincount(a * PARTS + place[b, k], sign[b, k], ROWS * PARTS)
-                    total += np.bincount(b * PARTS + place[a, k], sign[a, k], ROWS * PARTS)
-    pid, blocks = TaskContext.get().partitionId(), total.astype("<i8").reshape(-1, BLOCK * PARTS)
+    for part, _ in slices(batches):
+        ids, size = tokens.rows(part)
+        ids, doc = ids.astype(np.int64), np.repeat(np.arange(len(size)), size)
+        for d in range(1, REACH + 1):
+            same = doc[:-d] == doc[d:]
+            a, b = ids[:-d][same], ids[d:][same]
+            for k in range(NONZERO):
+                at = np.concatenate([a * PARTS + place[b, k], b * PARTS + place[a, k]])
+                total += np.bincount(at, np.concatenate([sign[b, k], sign[a, k]]), ROWS * PARTS)
+    pid, blocks = TaskContext.get().partitionId(), np.clip(total, -(2**31), 2**31 - 1).astype("<i4").reshape(-1, BLOCK * PARTS)
     some = np.flatnonzero(blocks.any(1))
-    yield pd.DataFrame({"block": some.astype(np.int32), "pid": np.int32(pid), "sums": [blocks[k].tobytes() for k in some]})
+    yield made(block=pa.array(some.astype(np.int32)), k=pa.array(some * 64 + pid % 64), sums=pa.array([blocks[k].tobytes() for k in some], pa.binary()))
 
 
-def add_up(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
-    """Sums of blocks with equal keys, in a stream sorted by key."""
-    for rows in groups(batches, key):
-        yield pd.DataFrame({"block": rows["block"].iloc[:1], "pid": rows["pid"].iloc[:1], "sums": [np.sum([np.frombuffer(x, "<i8") for x in rows["sums"]], 0).tobytes()]})
+def add_up(batches: Iterator[pa.RecordBatch], key: str, width: str) -> Iterator[pa.RecordBatch]:
+    """Sums of blocks with equal keys, in a stream sorted by key, as 64-bit integers."""
+    for rows in whole_groups(batches, key, 64):
+        keys = rows.column(key).to_numpy()
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        sums = rows.column("sums").to_pylist()
+        total = [np.sum([np.frombuffer(x, width) for x in sums[a:b]], 0, dtype=np.int64).astype("<i8").tobytes() for a, b in zip(first, [*first[1:], len(keys)])]
+        yield made(block=rows.column("block").take(pa.array(first)).combine_chunks(), k=rows.column("k").take(pa.array(first)).combine_chunks(), sums=pa.array(total, pa.binary()))
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """Vectors of all rows of the table, from the whole corpus: centred, of length 1. Blocks are added up in two levels; the table has a fixed size."""
-    schema = "block int, pid int, sums binary"
-    blocks = durable(docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInPandas(contexts, schema), "contexts")
-    level = blocks.withColumn("k", F.expr("block * 64L + pid % 64")).repartition("k").sortWithinPartitions("k")
-    level = level.mapInPandas(lambda x: add_up(x, "k"), schema).repartition("block").sortWithinPartitions("block").mapInPandas(lambda x: add_up(x, "block"), schema)
+    schema = "block int, k long, sums binary"
+    blocks = durable(in_arrow(docs, contexts, schema), "contexts")
+    level = in_arrow(blocks.repartition("k").sortWithinPartitions("k"), lambda x: add_up(x, "k", "<i4"), schema)
+    level = in_arrow(level.repartition("block").sortWithinPartitions("block"), lambda x: add_up(x, "block", "<i8"), schema)
     table = np.zeros((ROWS // BLOCK, BLOCK * PARTS))
-    for r in level.collect():
+    for r in level.select("block", "sums").collect():  # the table: ROWS rows, whatever the corpus
         table[r["block"]] = np.frombuffer(r["sums"], "<i8")
     table = table.reshape(ROWS, PARTS)
     norm = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
@@ -102,16 +107,12 @@ def pool(tokens: Tokens, vectors: np.ndarray, texts: list[str]) -> np.ndarray:
             mine = ids[ends[d] - size[d] : ends[d]]
             if not len(mine):
                 continue
-            n = len(mine)
-            if n > 200_000:  # a very long text by its counts
-                often = np.bincount(mine, minlength=ROWS).astype(np.float32)
-                mean, square = often @ vectors / n, often @ vectors**2 / n
-                different = int((often > 0).sum())
-            else:
-                v = vectors[mine]
-                mean, square = v.mean(0), np.einsum("ij,ij->j", v, v) / n
-                different = len(np.unique(mine))
-            out[d] = [*mean, *np.sqrt(np.maximum(square - mean**2, 0)), np.log1p(n), different / n, float((mine[1:] == mine[:-1]).sum()) / n]
+            n, mean, square = len(mine), np.zeros(PARTS), np.zeros(PARTS)
+            for k in range(0, n, 100_000):  # some tokens at a time, however long the text
+                v = vectors[mine[k : k + 100_000]]
+                mean += v.sum(0, dtype=np.float64) / n
+                square += np.einsum("ij,ij->j", v, v) / n
+            out[d] = [*mean, *np.sqrt(np.maximum(square - mean**2, 0)), np.log1p(n), len(np.unique(mine)) / n, float((mine[1:] == mine[:-1]).sum()) / n]
         at = end
     return out
 
@@ -177,39 +178,43 @@ def held_out(key: str) -> Column:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = 20_000, threshold: float = 0.7, key: str = "doc_id", passing: bool = False) -> DataFrame:
-    """docs (key, text) scored: key, held_out, score (0 to 1) and predicted (1 if score >= threshold, else 0); with passing, all columns of docs too.
+    """docs (key, text) scored: key, held_out, score (0 to 1) and predicted (1 if score >= threshold, else 0); with passing, row (a
+    struct of all columns of docs, whatever their names) instead of key.
 
     Learns from labels (key, quality 0 or 1): of rows whose key is not held out (crc32 of the key as text, modulo 4, is not
     2), at most sample, those with the least hashes of their keys; a key with several labels has the least. Word vectors come
     from all docs. Only the text makes a score. A null or empty text is scored as one without tokens; equal texts have equal
-    scores; a null key is not held out and never labelled. Without labels of both kinds all scores are the same.
+    scores; a null key is not held out and never labelled; of rows that share a labelled key the least text is learned from.
+    Without labels of both kinds all scores are the same, and no documents give no rows.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    vectors = word_vectors(docs.select(text))
+    spark, text = docs.sparkSession, F.col("text").cast("string")
+    table = spark.sparkContext.broadcast(word_vectors(docs.select(text.alias("text"))))  # 4 MB
     known = labels.where(F.col(f"`{key}`").isNotNull() & F.col("quality").isin(0, 1)).where(~held_out(key))
     known = known.groupBy(F.col(f"`{key}`").alias("k")).agg(F.min("quality").cast("int").alias("quality"))
     known = durable(known.orderBy(F.xxhash64("k"), "k").limit(sample), "labels")  # at most sample rows, so fit to be broadcast
 
-    def pooled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()
-        for batch in batches:
-            for part, rows in slices(batch["text"].tolist(), batch):
-                yield pd.DataFrame({"quality": rows["quality"].to_numpy(), "x": list(pool(tokens, vectors, part))})
+        for part, rows in slices(batches):
+            yield made(quality=rows.column("quality"), x=pa.array(list(pool(tokens, table.value, part)), pa.list_(pa.float32())))
 
-    seen = docs.select(F.col(f"`{key}`").alias("k"), text).join(F.broadcast(known), "k").dropDuplicates(["k"]).select("quality", "text")
-    rows = seen.mapInPandas(pooled, "quality int, x array<float>").collect()  # at most sample rows
+    # of rows that share a key the least text counts
+    seen = docs.select(F.col(f"`{key}`").alias("k"), F.coalesce(text, F.lit("")).alias("text")).join(F.broadcast(known), "k").groupBy("k").agg(F.min("text").alias("text"), F.min("quality").alias("quality"))
+    rows = in_arrow(seen.select("quality", "text"), pooled, "quality int, x array<float>").collect()  # at most sample rows
     rows = sorted((tuple(r["x"]), r["quality"]) for r in rows)  # the same net however rows arrive
     x, y = np.array([r[0] for r in rows], np.float32).reshape(len(rows), 2 * PARTS + 3), np.array([r[1] for r in rows], np.int64)
     net = fit(x, y)
+    # columns of docs travel in one, so that none can clash
+    held = F.struct(*(F.col(f"`{c}`") for c in (docs.columns if passing else [key])))
 
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()
-        for batch in batches:
-            for part, rows in slices(batch["__text"].tolist(), batch):
-                yield rows.drop(columns="__text").assign(score=net.score(pool(tokens, vectors, part)))
-
-    kept = docs.drop("held_out", "score", "predicted") if passing else docs.select(F.col(f"`{key}`"))
-    source = kept.select("*", text.alias("__text")) if passing else docs.select(F.col(f"`{key}`"), text.alias("__text"))
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    out = source.mapInPandas(scored, f"{columns}, score double")
-    return out.select(*(F.col(f"`{c}`") for c in kept.columns), held_out(key).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+        for part, rows in slices(batches, "__text"):
+            yield made(__row=rows.column("__row"), __score=pa.array(net.score(pool(tokens, table.value, part)), pa.float64()))
+
+    source = docs.select(held.alias("__row"), text.alias("__text"))
+    out = in_arrow(source, scored, fields(source, "__row") + ", __score double")
+    own = {"held_out": held_out(f"__row`.`{key}"), "score": F.col("__score"), "predicted": (F.col("__score") >= threshold).cast("int")}
+    if passing:
+        return out.select(F.col("__row").alias("row"), *(c.alias(n) for n, c in own.items()))
+    return out.select(F.col("__row")[key].alias(key), *(c.alias(n) for n, c in own.items()))

@@ -14,9 +14,9 @@ from .common import shared_dir, table
 from .html import extract_main_text
 from .itq import embedding_dedup
 from .licences import scan
-from .lines import BOILERPLATE, clean_lines
+from .lines import BOILERPLATE, ENDS, clean_lines
 from .ngram import ngram_join
-from .packing import TreeBins, VectorBins, assemble, cut, pack
+from .packing import TreeBins, assemble, cut, pack, tightest
 from .quality import quality_scores
 from .warc import as_records, read_warc, write_warc
 from .wordbpe import word_codec
@@ -46,6 +46,7 @@ lines AS (SELECT r, line, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0
 verdict AS (SELECT r, line, len(array_to_string(lw, '')) AS chars,
   (len(line) - len(replace(line, '|', '')) >= 3 AND 2 * (len(line) - len(replace(line, '|', ''))) >= len(lw) - (len(line) - len(replace(line, '|', ''))))
   OR len(line) - len(regexp_replace(line, '[#*$%&|<>{{}}~^=]', '', 'g')) > 0.1 * len(line)
+  OR (len(lw) < 3 AND NOT regexp_matches(line, '{ENDS.replace("'", "''")}[\x20\x09-\x0D]*$'))
   OR (len(lw) >= 3 AND len(line) - len(regexp_replace(line, '\p{{Lu}}', '', 'g')) > 0.5 * len(array_to_string(lw, '')))
   OR (len(lw) <= 20 AND ({" OR ".join(f"contains(lower(line), '{p}')" for p in BOILERPLATE)})) AS fails FROM lines),
 byline AS (SELECT r, count(*) - count(DISTINCT line) AS dup, coalesce(sum(chars) FILTER (WHERE fails), 0) AS lost FROM verdict GROUP BY r),
@@ -68,7 +69,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     pieces = cut(table(spark, sf_dir, "documents"), lambda: word_codec(path).encode, 4096, end_id=1)
-    return pack(pieces, VectorBins(4096)).select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
+    return pack(pieces, lambda counts: tightest(counts, 4096)).select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
 
 
 @query

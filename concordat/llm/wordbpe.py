@@ -9,6 +9,7 @@ import re
 import numpy as np
 
 from .bpe import Memory
+from .common import FORGET, different_words, ends_of, gathered
 
 #: Letters and digits of Latin-1, and the split pattern of the vocabulary file within it.
 LETTER, DIGIT = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
@@ -27,40 +28,56 @@ class WordCodec:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.split = re.compile(SPLIT).findall
-        self.simple = re.compile(r"[\x00-\x1b\x20-\xff]*").fullmatch  # separators \x1c-\x1f are white space for Python only
-        self.words, self.pieces = Memory(), Memory()
+        self.odd = re.compile(r"[^\x00-\x1b\x20-\xff]").search  # separators \x1c-\x1f are white space for Python only
+        self.known = Memory()  # of words and of pieces: a piece alone is a word with the same ids
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
+    def simple(self, text: str) -> bool:
+        return not self.odd(text)
+
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, pieces: list[str]) -> None:
+    def learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Encodes pieces some hundreds in one text, which takes half the time, and cuts the ids where a piece ends."""
+        out: dict[str, bytes] = {}
         for at in range(0, len(pieces), 512):
             part = pieces[at : at + 512]
             ids = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(part):
-                self.pieces.new.update(zip(part, (ids[a:b].tobytes() for a, b in zip([0, *ends], ends))))
+                raw, ends = ids.tobytes(), (4 * ends).tolist()
+                out.update(zip(part, (raw[a:b] for a, b in zip([0, *ends], ends))))
             else:
-                self.pieces.new.update(zip(part, self.whole(part)))
+                out.update(zip(part, self.whole(part)))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words: list[list[str] | None] = []
-        seen: set[str] = set()
-        for t in texts:
-            words.append(t.lower().split() if self.simple(t) else None)
-            seen.update(words[-1] or ())
-        new = [(w, self.split(w)) for w in self.words.missing(seen)]
-        self.learn(self.pieces.missing({p for _, ps in new for p in ps}))
-        piece, word = self.pieces.new.__getitem__, self.words.new.__getitem__
-        self.words.new.update((w, b"".join(map(piece, ps))) for w, ps in new)
-        rest = iter(self.whole([t for t, w in zip(texts, words) if w is None]))
-        return [next(rest) if w is None else b"".join(map(word, w)) for w in words]
-
-
-@functools.lru_cache(maxsize=2)
+        mine = [bool(self.simple(t)) for t in texts]
+        words, place, counts = different_words([t.lower() for t, m in zip(texts, mine) if m])
+        new = self.known.missing(set(words))
+        alone = [w for w in new if w.isalpha()]  # a word of letters is one piece
+        split = {w: self.split(w) for w in new if not w.isalpha()}
+        known = self.known.new
+        parts = {p for ps in split.values() for p in ps}
+        pieces = self.learn([*alone, *(p for p in parts.difference(alone) if p not in known)])
+        self.known.update(pieces)
+        piece = known.__getitem__
+        self.known.update({w: b"".join(map(piece, ps)) for w, ps in split.items()})
+        ids = list(map(known.__getitem__, words))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        out, ends = gathered(np.frombuffer(b"".join(ids), "<u4"), sizes, place)
+        raw, ends = out.tobytes(), (4 * ends_of(ends, counts)).tolist()
+        texts_ids = iter([raw[a:b] for a, b in zip([0, *ends], ends)])
+        rest = iter(self.whole([t for t, m in zip(texts, mine) if not m]))
+        return [next(texts_ids if m else rest) for m in mine]
+
+
+@functools.lru_cache(maxsize=1)
 def word_codec(path: str) -> WordCodec:
     return WordCodec(path)
+
+
+FORGET.append(word_codec.cache_clear)
