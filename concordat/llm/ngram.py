@@ -7,22 +7,23 @@ from fractions import Fraction
 from math import comb
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import REMEMBER, slices
-from .common import MIX, durable, groups, mix64, settle, small
+from .common import MIX, dealt, different_words, discard, durable, fields, in_arrow, in_units, made, mix64, pair_blocks, partners, settle, slices, small, whole_groups, with_cores
 
 BANDS, ROWS = 20, 4
 HASHES = BANDS * ROWS
 #: Hashes compared before each decision.
 STEP = 16
 #: Members of a bucket compared in one unit, and shingles they may hold together; larger buckets are cut in chunks, and pairs of chunks are units.
-CHUNK, CHUNK_SHINGLES = 1024, 1 << 20
-#: Rows up to which a list of ids is broadcast (8 bytes each).
-BROADCAST_IDS = 1_000_000
+CHUNK, CHUNK_SHINGLES = 512, 1 << 19
+#: Rows up to which a list of ids is broadcast (8 bytes each), and of shingle sets of representatives (some KB each).
+BROADCAST_IDS, BROADCAST_SETS = 1_000_000, 2_000
+#: Words of which a worker remembers the hashes.
+REMEMBER = 150_000
 SEEDS = mix64(np.arange(1, HASHES + 1, dtype=np.uint64) * MIX) | np.uint64(1)
 
 
@@ -36,23 +37,30 @@ class Shingler:
     def sets(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBER:
             self.known.clear()
-        out = []
-        for t in texts:
-            words = t.lower().split()
-            for w in set(words).difference(self.known):
+        words, place, counts = different_words([t.lower() for t in texts])
+        for w in words:
+            if w not in self.known:
                 self.known[w] = xxhash.xxh3_64_intdigest(w.encode())
-            h = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
-            k = min(self.n, len(h))  # a shorter text is one shingle
-            if not k:
-                out.append(h)
-                continue
-            with np.errstate(over="ignore"):
-                g = mix64(h[: len(h) - k + 1] + np.uint64(k))
-                for i in range(1, k):
-                    g = mix64(g * MIX + h[i : len(h) - k + 1 + i])
-            out.append(np.unique(g))
+        hashes = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))[place]
+        ends = np.cumsum(counts)
+        whole = self.windows(hashes) if len(hashes) >= self.n else hashes[:0]
+        out = []
+        for a, b in zip((ends - counts).tolist(), ends.tolist()):
+            if b - a >= self.n:
+                out.append(np.unique(whole[a : b - self.n + 1]))
+            else:  # a shorter text is one shingle
+                out.append(self.windows(hashes[a:b], b - a) if b > a else hashes[:0])
         return out
 
+    def windows(self, h: np.ndarray, width: int | None = None) -> np.ndarray:
+        """A hash for each window of words; those over two texts are not used."""
+        k = width or self.n
+        with np.errstate(over="ignore"):
+            g = mix64(h[: len(h) - k + 1] + np.uint64(k))
+            for i in range(1, k):
+                g = mix64(g * MIX + h[i : len(h) - k + 1 + i])
+        return g
+
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
     """MinHash values, one row of HASHES 32-bit numbers for each (not empty) set."""
@@ -122,24 +130,21 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def compare(unit: pd.DataFrame, threshold: Fraction, least: list[int]) -> pd.DataFrame:
-    """One unit: members of a bucket (side 0 and 1 of a pair of chunks, or one chunk with itself). A pair counts where its first common band is the bucket's."""
-    sigs = np.frombuffer(b"".join(unit["sig"]), np.uint32).reshape(len(unit), HASHES)
-    bands = np.ascontiguousarray(sigs).view(np.dtype((np.void, 4 * ROWS))).reshape(len(unit), BANDS)
-    bands = np.stack([np.unique(bands[:, k], return_inverse=True)[1] for k in range(BANDS)], 1)
-    side, band = unit["side"].to_numpy(), int(unit["band"].iloc[0])
-    alone = not (unit["lo"].to_numpy() != unit["hi"].to_numpy()).any()
-    rows, others = (np.arange(len(unit)), np.arange(len(unit))) if alone else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+def meetings(rows: pa.Table, least: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows (whole units) that the pruning leaves: those whose first common band is their bucket's, that share no core, and
+    whose matches keep up with least after every STEP hashes."""
+    sigs = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint32).reshape(rows.num_rows, HASHES)
+    halves = np.ascontiguousarray(sigs).view(np.uint64).reshape(len(sigs), BANDS, ROWS // 2)
+    unit, side, band, core, lo, hi = (rows.column(c).to_numpy() for c in ("unit", "side", "band", "core", "lo", "hi"))
     found_a, found_b = [], []
-    for at in range(0, len(rows), 256):
-        block = rows[at : at + 256]
-        ok = bands[block, band][:, None] == bands[others, band][None, :]
-        for k in range(band):
-            ok &= bands[block, k][:, None] != bands[others, k][None, :]
-        if alone:
-            ok &= block[:, None] < others[None, :]
-        i, j = np.nonzero(ok)
-        a, b = block[i], others[j]
+    for a, b in pair_blocks(*partners(unit, side, lo == hi)):
+        stay = (core[a] == 0) | (core[a] != core[b])
+        a, b = a[stay], b[stay]
+        for k in range(int(band.max()) + 1):
+            # the bucket's band must be equal, and no band before it
+            same = (halves[a, k] == halves[b, k]).all(1)
+            stay = np.where(band[a] == k, same, (band[a] < k) | ~same)
+            a, b = a[stay], b[stay]
         matches = np.zeros(len(a), np.int64)
         for n in range(0, HASHES, STEP):
             matches += (sigs[a, n : n + STEP] == sigs[b, n : n + STEP]).sum(1)
@@ -147,16 +152,28 @@ def compare(unit: pd.DataFrame, threshold: Fraction, least: list[int]) -> pd.Dat
             a, b, matches = a[stay], b[stay], matches[stay]
         found_a.append(a)
         found_b.append(b)
-    a, b = np.concatenate(found_a or [np.empty(0, int)]), np.concatenate(found_b or [np.empty(0, int)])
-    if len(a):
-        sets = [np.frombuffer(s, np.uint64) for s in unit["shingles"]]
-        yes = linked(sets, a, b, threshold)
-        a, b = a[yes], b[yes]
-    copies = unit["copies"].to_numpy()
-    links = np.bincount(a, copies[b], len(unit)) + np.bincount(b, copies[a], len(unit))
+    none = np.empty(0, np.int64)
+    return np.concatenate(found_a or [none]), np.concatenate(found_b or [none])
+
+
+def verified(rows: pa.Table, least: list[int], threshold: Fraction) -> pa.RecordBatch:
+    """For rows (whole units) with similar partners: the class, one that it reaches, and how many rows are linked with it here."""
+    a, b = meetings(rows, least)
+    copies, cls, unit = rows.column("copies").to_numpy(), rows.column("cls").combine_chunks(), rows.column("unit").to_numpy()
+    sets = rows.column("shingles")
+    yes = np.zeros(len(a), bool)
+    cuts = np.flatnonzero(unit[a][1:] != unit[a][:-1]) + 1 if len(a) else []
+    for lo, hi in zip([0, *cuts], [*cuts, len(a)]):  # a unit at a time
+        if lo < hi:
+            who, place = np.unique(np.concatenate([a[lo:hi], b[lo:hi]]), return_inverse=True)
+            held = [np.frombuffer(sets[int(i)].as_py(), np.uint64) for i in who]
+            yes[lo:hi] = linked(held, place[: hi - lo], place[hi - lo :], threshold)
+    a, b = a[yes], b[yes]
+    n = len(copies)
+    links = (np.bincount(a, copies[b], n) + np.bincount(b, copies[a], n)).astype(np.int64)
     some = np.flatnonzero(links)
-    cls = unit["cls"].to_numpy()
-    return pd.DataFrame({"a": cls[some], "b": cls[roots(len(unit), a, b)[some]], "links": links[some].astype(np.int64)})
+    root = roots(n, a, b)[some] if len(some) else some
+    return made(a=cls.take(pa.array(some)), b=cls.take(pa.array(root)), links=pa.array(links[some]))
 
 
 def ngram_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, tolerance: float = 1e-6, key: str = "doc_id") -> DataFrame:
@@ -170,62 +187,87 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, tolerance: f
 
     Candidates share one of 20 bands of 4 MinHash values (a pair at the threshold is missed once in 40,000); comparing 16
     values at a time drops those whose posterior chance of reaching the threshold is under tolerance; the rest are verified
-    on whole sets. A bucket is cut in chunks, so that no task holds all of it, and no pair leaves a task.
+    on whole sets. A bucket is cut in chunks, so that no task holds all of it, and no pair leaves a task. In a bucket of more than a
+    chunk, classes with a similarity to its first one so high that they must be linked with each other (distances add up) are
+    not compared but counted together.
     """
     spark, exact, least = docs.sparkSession, Fraction(threshold).limit_denominator(1000), least_matches(threshold, tolerance)
     texts = docs.select(F.col(f"`{key}`").alias("key"), F.col("text").cast("string").alias("text"))
     kind = texts.schema["key"].dataType.simpleString()
 
-    def shingled(batches: Iterator[pd.DataFrame], whole: bool) -> Iterator[pd.DataFrame]:
+    def shingled(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
-        for batch in batches:
-            for part, rows in slices(batch["text"].fillna("").tolist(), batch):
-                sets = shingler.sets(part)
-                made = pd.DataFrame({"key": rows["key"].to_numpy(), "cls": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]})
-                if whole:
-                    made["shingles"] = [s.tobytes() for s in sets]
-                else:
-                    full = [s for s in sets if len(s)]
-                    sigs = iter(signatures(full)) if full else iter(())
-                    made["size"] = [len(s) for s in sets]
-                    made["sig"] = [next(sigs).tobytes() if len(s) else None for s in sets]
-                yield made
-
-    rows = durable(texts.mapInPandas(lambda x: shingled(x, False), f"key {kind}, cls binary, size long, sig binary"), "signatures")
+        for part, rows in slices(batches):
+            sets = shingler.sets(part)
+            names = pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
+            if whole:
+                yield made(cls=names, shingles=pa.array([s.tobytes() for s in sets], pa.binary()))
+                continue
+            full = [s for s in sets if len(s)]
+            sigs = iter(signatures(full)) if full else iter(())
+            size, sig = pa.array([len(s) for s in sets], pa.int64()), pa.array([next(sigs).tobytes() if len(s) else None for s in sets], pa.binary())
+            yield made(key=rows.column("key"), cls=names, size=size, sig=sig)
+
+    rows = durable(in_arrow(texts, lambda x: shingled(x, False), f"key {kind}, cls binary, size long, sig binary"), "signatures")
     classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.count("*").alias("copies"), F.min("key").alias("first"), F.max("size").alias("size"), F.max("sig").alias("sig"))
     classes = durable(classes, "classes")
 
+    def with_sets(wanted: DataFrame) -> DataFrame:
+        """wanted (cls, ...) with the shingles of each class, from the text of its first row."""
+        ids = classes.join(wanted.select("cls").distinct(), "cls", "left_semi").select("first")
+        ids = F.broadcast(ids) if small(ids, BROADCAST_IDS) else ids
+        sources = texts.join(ids, texts["key"].eqNullSafe(ids["first"]), "left_semi").select("text")
+        sets = in_arrow(sources, lambda x: shingled(x, True), "cls binary, shingles binary").where("cls IS NOT NULL")
+        return wanted.join(sets.groupBy("cls").agg(F.max("shingles").alias("shingles")), "cls")
+
     bands = classes.select("cls", "size", F.posexplode(F.array(*(F.expr(f"substring(sig, {4 * ROWS * k + 1}, {4 * ROWS})") for k in range(BANDS)))).alias("band", "part"))
     bands = bands.select("cls", "size", "band", F.xxhash64("band", "part").alias("bucket"))
     # buckets with the same members in several bands: the first is enough, as it holds all that the others hold
-    buckets = bands.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"), F.min("band").alias("band"), F.expr("bit_xor(xxhash64(cls))").alias("x"), F.expr("bit_xor(xxhash64(cls, 1))").alias("y"))
-    buckets = buckets.where("n > 1").groupBy("x", "y", "n", "shingles").agg(F.min(F.struct("band", "bucket")).alias("held"))
-    buckets = buckets.select("held.bucket", F.expr(f"cast(greatest(ceil(n / {CHUNK}), ceil(shingles / {CHUNK_SHINGLES})) AS int)").alias("chunks"))
-    members = durable(bands.join(buckets, "bucket").select("cls", "bucket", "band", "chunks"), "members")
-
-    wanted = members.select("cls").distinct().join(classes, "cls").select("cls", "copies", "first", "sig")
-    wanted = durable(wanted, "wanted")
-    ids = wanted.select("first")
-    few = small(ids, BROADCAST_IDS)
-    sources = texts.join(F.broadcast(ids) if few else ids, texts["key"].eqNullSafe(ids["first"]), "left_semi")
-    shingles = sources.mapInPandas(lambda x: shingled(x, True), f"key {kind}, cls binary, shingles binary").select("cls", "shingles").groupBy("cls").agg(F.max("shingles").alias("shingles"))
-    data = wanted.select("cls", "copies", "sig").join(shingles, "cls")
-
-    units = members.withColumn("own", F.expr("pmod(xxhash64(cls, 7), chunks)").cast("int")).withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
-    units = units.select("cls", "bucket", "band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    units = units.withColumn("unit", F.xxhash64("bucket", "lo", "hi")).drop("bucket").join(data, "cls")
-    units = units.repartition("unit").sortWithinPartitions("unit")
-
-    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out: list[pd.DataFrame] = []
-        for unit in groups(batches, "unit"):
-            if len(unit) > 1:
-                out.append(compare(unit, exact, least))
-            if len(out) == 200:
-                yield pd.concat(out)
-                out = []
-        if out:
-            yield pd.concat(out)
-
-    found = durable(units.mapInPandas(compared, "a binary, b binary, links long"), "links")
-    return settle(rows, classes, found, key)
+    buckets = bands.groupBy("bucket").agg(F.count("*").alias("n"), F.min("cls").alias("rep"), F.min("band").alias("band"), F.expr("bit_xor(xxhash64(cls))").alias("x"), F.expr("bit_xor(xxhash64(1L, cls))").alias("y"))
+    buckets = buckets.where("n > 1").groupBy("x", "y", "n", "rep").agg(F.min(F.struct("band", "bucket")).alias("held")).select("held.bucket", "n", "rep")
+    members = durable(bands.join(buckets, "bucket").select("cls", "size", "bucket", "band", "n", "rep"), "members")
+
+    # classes that a large bucket's first member resembles so much that by the triangle inequality they are all linked with each other
+    large = members.where(F.col("n") > CHUNK)
+    near = (1 + exact) / 2
+    cores = None
+    if large.limit(1).count():
+        told = durable(large.groupBy("cls").agg(F.max_by("rep", F.struct("n", "bucket")).alias("rep")), "large")
+        reps = durable(with_sets(told.select(F.col("rep").alias("cls")).distinct()).select(F.col("cls").alias("rep"), F.col("shingles").alias("other")), "representatives")
+        reps = F.broadcast(reps) if small(reps, BROADCAST_SETS) else reps
+
+        def resembling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yes = []
+                for x, y in zip(batch.column("shingles").to_pylist(), batch.column("other").to_pylist()):
+                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    yes.append(both * near.denominator >= near.numerator * (len(x) + len(y) - both))
+                yield batch.select(["cls", "rep"]).filter(pa.array(yes, pa.bool_()))
+
+        cores = in_arrow(with_sets(told).join(reps, "rep").select("cls", "rep", "shingles", "other"), resembling, "cls binary, rep binary")
+        cores = cores.select("cls", F.expr("shiftrightunsigned(xxhash64(rep), 1)").alias("core")).join(classes.select("cls", "copies"), "cls")
+        cores = durable(cores, "cores")
+
+    units = members.select("cls", "size", "bucket", "band")
+    units = units.join(cores.select("cls", "core"), "cls", "left").fillna(0, "core") if cores is not None else units.withColumn("core", F.lit(0).cast("long"))
+    units = in_units(units, CHUNK, CHUNK_SHINGLES).select("unit", "side", "lo", "hi", "band", "core", "cls")
+    names = units.columns
+    schema = fields(units, *names)
+
+    def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, "unit", 4 * CHUNK):
+            a, b = meetings(rows, least)
+            seen = np.unique(np.concatenate([a, b]))
+            yield from rows.select(names).take(pa.array(seen)).combine_chunks().to_batches()
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, "unit", 4 * CHUNK):
+            yield verified(rows, least, exact)
+
+    # signatures first; shingles only for what the pruning leaves
+    close = durable(in_arrow(dealt(units.join(classes.select("cls", "sig"), "cls")), meeting, schema), "close")
+    discard(spark, members)
+    data = durable(with_sets(close.select("cls").distinct()), "sets").join(classes.select("cls", "copies", "sig"), "cls")
+    found = durable(in_arrow(dealt(close.join(data, "cls")), compared, "a binary, b binary, links long"), "links")
+    return settle(rows, classes, with_cores(found, cores) if cores is not None else found, key)
