@@ -8,17 +8,20 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import durable, small
+from .common import durable, in_arrow, made, small
 
 #: Rows up to which the digests of repeated payloads are broadcast (about 60 bytes each).
 BROADCAST_DIGESTS = 1_000_000
 #: Fixed values of the WARC and gzip formats.
 END, BLANK, MEMBER = b"\r\n\r\n", b"\r\n\r\n", b"\x1f\x8b\x08"
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Bytes that an archive may hold (the reader takes one whole), beyond which a record has one to itself; bytes to which a gzip member may inflate.
+ARCHIVE, MEMBER_BYTES = 128 << 20, 1 << 30
+LENGTH = re.compile(r"[0-9]{1,18}")
 VERSION = re.compile(rb"WARC/[01]\.[0-9]+\r?\n")
 START = re.compile(rb"WARC/[01]\.[0-9]+\r?\n|\x1f\x8b\x08")
 
@@ -63,8 +66,22 @@ def record_text(prefix: str, date: str) -> Column:
 
 
 def write_warc(records: DataFrame, path: str, per_file: int = 2000, prefix: str = "urn:x-page:", date: str = "2024-01-01T00:00:00Z") -> None:
-    """Archives of at most per_file records, one or more a task. The text sink writes the records as they are, with the end mark of a record as its line end, so nothing leaves the JVM."""
-    records.select(record_text(prefix, date).alias("value")).write.option("lineSep", END.decode()).option("maxRecordsPerFile", per_file).text(path)
+    """Archives of at most per_file records and, but for a longer record alone, ARCHIVE bytes, one or more a task. The text sink writes
+    the records as they are, with the end mark of a record as its line end, so nothing leaves the JVM. Records are written by classes of
+    size, each a folder, as the sink counts records only; an empty table gives an empty folder."""
+    # a record's length but for the payload comes from its url; a class has records of at most four times the length of its shortest
+    size = F.when(F.col("record_type") == "revisit", 0).otherwise(F.col("payload_bytes")) + F.coalesce(F.octet_length(F.col("url").cast("string")), F.lit(0)) + 1024
+    least = max(1, ARCHIVE // per_file)
+    rows = records.select(record_text(prefix, date).alias("value"), F.greatest(F.lit(0), F.ceil(F.log2(size / least) / 2)).cast("int").alias("size_class"))
+    classes = records.select(F.max(size).alias("most")).first()["most"] or 0
+    k = 0
+    while True:
+        many = max(1, per_file >> 2 * k)
+        part = rows.where(F.col("size_class") == k).select("value")
+        part.write.option("lineSep", END.decode()).option("maxRecordsPerFile", many).mode("append").text(path)
+        if least << 2 * k >= classes:
+            break
+        k += 1
 
 
 @dataclass
@@ -89,7 +106,7 @@ def parse_record(data: bytes, at: int) -> Record | str:
             return "a header without a colon"
         headers[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
     length = headers.get("content-length", "")
-    if not length.isdigit():
+    if not LENGTH.fullmatch(length):
         return "no length"
     begin, end = stop + 4, stop + 4 + int(length)
     if end > len(data):
@@ -112,36 +129,87 @@ def payload_of(record: Record) -> bytes:
     return record.block.partition(BLANK)[2]
 
 
-def parse_member(data: bytes, at: int) -> tuple[list[Record], int] | str:
-    """The records of a gzip member at a place and where it ends, or why there are none. An empty member is a separator."""
-    unzip = zlib.decompressobj(31)
+def inflate(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What a gzip member holds as far as it can be read, where it ends, and why it does not end well (else empty)."""
+    unzip, view, out, place, size = zlib.decompressobj(31), memoryview(data), [], at, 0
     try:
-        plain = unzip.decompress(memoryview(data)[at:])
+        while not unzip.eof and place < len(data):
+            out.append(unzip.decompress(view[place : place + (1 << 16)], 1 << 22))
+            place += 1 << 16
+            size += len(out[-1])
+            while unzip.unconsumed_tail and not unzip.eof:
+                out.append(unzip.decompress(unzip.unconsumed_tail, 1 << 22))
+                size += len(out[-1])
+                if size > MEMBER_BYTES:
+                    return b"".join(out), at, "gzip member too large"
     except zlib.error as e:
-        return f"gzip: {e}"
+        return b"".join(out), at, f"gzip: {e}"
     if not unzip.eof:
-        return "gzip member cut short"
-    end, held, place = len(data) - len(unzip.unused_data), [], 0
-    while place < len(plain):
-        found = parse_record(plain, place)
-        if isinstance(found, str):
-            return found
-        held.append(found)
-        place = found.end
+        return b"".join(out), at, "gzip member cut short"
+    return b"".join(out), min(place, len(data)) - len(unzip.unused_data), ""
+
+
+def parse_member(data: bytes, at: int) -> tuple[list[Record | tuple[int, int, str]], int] | str:
+    """The records of a gzip member at a place, with a gap (all its bytes) for what of it fails, and where the member ends; or why there are
+    none. Of a damaged member the records before the damage count, and its end is where the next member or version line begins. An empty member is a separator."""
+    plain, end, why = inflate(data, at)
+    found = list(records_of(plain)) if plain else []
+    if why and not any(isinstance(r, Record) for r in found):
+        return why
+    if why:
+        following = START.search(data, at + 1)
+        while following and not whole_at(data, following.start()):
+            following = START.search(data, following.start() + 1)
+        end = following.start() if following else len(data)
+    reasons = [r[2] for r in found if isinstance(r, tuple)]
+    held: list[Record | tuple[int, int, str]] = [r for r in found if isinstance(r, Record)]
+    if not held and reasons:
+        return reasons[0]
     for r in held:
         r.start, r.end = at, end
+    if why or reasons:
+        held.append((at, end, why or f"within the member: {reasons[0]}"))
     return held, end
 
 
+def whole_at(data: bytes, at: int) -> bool:
+    """Whether a record or a whole member begins at a place."""
+    if not data.startswith(MEMBER, at):
+        return not isinstance(parse_record(data, at), str)
+    plain, _, why = inflate(data, at)
+    return not why and (not plain or any(isinstance(r, Record) for r in records_of(plain)))
+
+
+def records_of(data: bytes) -> Iterator[Record | tuple[int, int, str]]:
+    """Plain records and the gaps between them: after a failed check the search goes on for a version line from which a whole record passes all checks."""
+    at, bad, why = 0, -1, ""
+    while at < len(data):
+        found = parse_record(data, at)
+        if isinstance(found, Record):
+            if bad >= 0:
+                yield bad, at, why
+                bad = -1
+            yield found
+            at = found.end
+            continue
+        if bad < 0:
+            bad, why = at, found
+        following = VERSION.search(data, at + 1)
+        at = following.start() if following else len(data)
+    if bad >= 0:
+        yield bad, len(data), why
+
+
 def salvage(data: bytes) -> Iterator[Record | tuple[int, int, str]]:
     """Records of an archive, plain or of gzip members, and a (start, end, reason) for each stretch of bytes without one.
 
     After a failed check the search goes on for a version line or member from which a whole record passes all checks, so that
-    such bytes inside a payload don't mislead it.
+    such bytes inside a payload don't mislead it. Of a member that is cut short or damaged the records that can still be
+    read count, and the member is logged as a gap too. No bytes raise an error.
     """
     at, bad, why = 0, -1, ""
     while at < len(data):
-        found: list[Record] | str
+        found: list[Record | tuple[int, int, str]] | str
         if data.startswith(MEMBER, at):
             member = parse_member(data, at)
             found, end = (member, at) if isinstance(member, str) else member
@@ -159,7 +227,7 @@ def salvage(data: bytes) -> Iterator[Record | tuple[int, int, str]]:
             bad, why = at, found
         following = START.search(data, at + 1)
         at = following.start() if following else len(data)
-    if bad >= 0 and data[bad:].strip():
+    if bad >= 0:
         yield bad, len(data), why
 
 
@@ -168,32 +236,37 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
     refers_to, payload_bytes, payload_digest and payload (binary; null unless asked for, and for revisits).
 
     payload_digest is computed for records with a payload; a revisit has what its headers say. Archives are read whole, one at a
-    time, so each must fit a worker's memory (the writer bounds its files by records). An empty archive gives no row.
+    time, so each must fit a worker's memory (the writer bounds its files by bytes). An empty archive gives no row.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, data in zip(batch["path"], batch["content"]):
-                out = []
-                for r in salvage(bytes(data)):
+            for path, data in zip(batch.column("path").to_pylist(), batch.column("content")):
+                out, held = [], 0
+                for r in salvage(data.as_py()):
                     if isinstance(r, tuple):
                         out.append((path, r[0], r[1], "gap", r[2], None, None, None, None, None, None, None))
                         continue
                     h = r.headers
                     if revisit := h.get("warc-type") == "revisit":
-                        told = re.search(rb"(?im)^content-length:\s*(\d+)", r.block)
+                        told = re.search(rb"(?im)^content-length:[ \t]*([0-9]{1,18})\r?$", r.block)
                         size, digest, payload = int(told[1]) if told else None, h.get("warc-payload-digest", "").rpartition(":")[2].lower() or None, None
                     else:
                         payload = payload_of(r)
                         size, digest = len(payload), hashlib.sha1(payload).hexdigest()
                     out.append((path, r.start, r.end, "record", None, h.get("warc-type"), h.get("warc-record-id"), h.get("warc-target-uri"), h.get("warc-refers-to"), size, digest, payload if payloads and not revisit else None))
-                    if len(out) == 1000:
-                        yield frame(out)
-                        out = []
-                yield frame(out)
+                    held += len(payload or b"") if payloads else 0
+                    if len(out) == 1000 or held > 1 << 24:
+                        yield rows_of(out)
+                        out, held = [], 0
+                yield rows_of(out)
+
+    text, number = pa.string(), pa.int64()
+    columns = {"file": text, "start": number, "end": number, "kind": text, "reason": text, "record_type": text, "record_id": text, "target_uri": text, "refers_to": text, "payload_bytes": number, "payload_digest": text, "payload": pa.binary()}
+
+    def rows_of(rows: list[tuple]) -> pa.RecordBatch:
+        return made(**{n: pa.array([r[k] for r in rows], kind) for k, (n, kind) in enumerate(columns.items())})
 
-    columns = ["file", "start", "end", "kind", "reason", "record_type", "record_id", "target_uri", "refers_to", "payload_bytes", "payload_digest", "payload"]
-    frame = lambda rows: pd.DataFrame(rows, columns=columns).astype({"payload_bytes": "Int64"})
     schema = "file string, start long, end long, kind string, reason string, record_type string, record_id string, target_uri string, refers_to string, payload_bytes long, payload_digest string, payload binary"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
-    return files.select("path", "content").mapInPandas(run, schema)
+    return in_arrow(files.select("path", "content"), run, schema)
