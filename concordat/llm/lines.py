@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACE
 
-#: Phrases of menus and page furniture; a short line that holds one is boilerplate.
+#: Phrases of menus and page furniture in English, German, French and Spanish; a short line that holds one is boilerplate.
 BOILERPLATE = (
     "all rights reserved",
     "click here",
@@ -23,7 +25,21 @@ BOILERPLATE = (
     "skip to content",
     "powered by",
     "enable javascript",
+    "alle rechte vorbehalten",
+    "hier klicken",
+    "jetzt anmelden",
+    "zum inhalt springen",
+    "tous droits réservés",
+    "politique de confidentialité",
+    "mentions légales",
+    "cliquez ici",
+    "todos los derechos reservados",
+    "política de privacidad",
+    "aviso legal",
+    "haga clic aquí",
 )
+#: Fixed value: marks with which a sentence, a quotation or the head of a list ends.
+ENDS = r"""[.!?…:;"'»”’)\]]"""
 #: Fixed value: characters that prose hardly uses.
 SYMBOLS = r"[#*$%&|<>{}~^=]"
 
@@ -73,7 +89,7 @@ def repeated_words(windows: Column, width: int) -> Column:
 
 def line_fails(line: Column, min_words: int, symbol_share: float, upper_share: float) -> Column:
     """The rules on one line with a word. Navigation: half as many bars as words, from three bars. Punctuation: symbols
-    make up a share of its characters beyond symbol_share. Capitals: beyond upper_share of the characters of a line of at
+    make up a share of its characters beyond symbol_share, or fewer than min_words words end without one of ENDS. Capitals: beyond upper_share of the characters of a line of at
     least min_words words. Boilerplate: a phrase of BOILERPLATE on a line of at most 20 words."""
     bars = F.length(line) - F.length(F.replace(line, F.lit("|"), F.lit("")))
     symbols = F.regexp_count(line, F.lit(SYMBOLS))
@@ -82,23 +98,23 @@ def line_fails(line: Column, min_words: int, symbol_share: float, upper_share: f
         words(line),
         lambda ws: ((bars >= 3) & (2 * bars >= F.size(ws) - bars))
         | (symbols > symbol_share * F.length(line))
+        | ((F.size(ws) < min_words) & ~line.rlike(ENDS + r"[\x20\x09-\x0D]*$"))
         | ((F.size(ws) >= min_words) & (capitals > upper_share * F.length(F.array_join(ws, ""))))
         | ((F.size(ws) <= 20) & boilerplate(line)),
     )
 
 
 def boilerplate(text: Column) -> Column:
-    found = F.lit(False)
-    for phrase in BOILERPLATE:
-        found = found | F.lower(text).contains(phrase)
-    return found
+    return let(F.lower(text), lambda t: reduce(lambda a, b: a | b, (t.contains(p) for p in BOILERPLATE)))
 
 
-def suspect(text: Column) -> Column:
-    """Whether a line of the text can fail: it has a symbol, a phrase, or two capitals with only white space between (a
+def suspect(text: Column, min_words: int) -> Column:
+    """Whether a line of the text can fail: it has a symbol, a phrase, a line of few words, or two capitals with only white space between (a
     line of which most characters are capitals has two such). Spares clean texts the rules; never changes a verdict
     while upper_share is at least one half."""
-    return text.rlike(SYMBOLS) | text.rlike(r"\p{Lu}[\x20\x09-\x0D]*\p{Lu}") | boilerplate(text)
+    space, other = r"[\x20\x09\x0B-\x0D]", r"[^\x20\x09-\x0D]"
+    few = rf"(?:^|\n){space}*{other}+(?:{space}+{other}+){{0,{max(0, min_words - 2)}}}{space}*(?:\n|$)"
+    return text.rlike(SYMBOLS) | text.rlike(r"\p{Lu}[\x20\x09-\x0D]*\p{Lu}") | text.rlike(few) | boilerplate(text)
 
 
 def clean_lines(
@@ -130,7 +146,7 @@ def clean_lines(
         lambda x: F.struct(
             (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
             F.size(x).alias("n"),
-            F.when(suspect(text), F.filter(x, lambda y: ~line_fails(y, line_words, symbol_share, upper_share))).otherwise(x).alias("good"),
+            F.when(suspect(text, line_words) if upper_share >= 0.5 and symbol_share >= 0 else F.lit(True), F.filter(x, lambda y: ~line_fails(y, line_words, symbol_share, upper_share))).otherwise(x).alias("good"),
         ),
     )
     kept_columns = [c for c in docs.columns if c.lower() not in fresh]
