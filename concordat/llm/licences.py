@@ -166,7 +166,8 @@ class Model:
 @functools.lru_cache(maxsize=1)
 def fit(seed: int = 5, copies: int = 12, rounds: int = 400, rate: float = 0.5, decay: float = 2e-4) -> Model:
     """Multinomial logistic regression on shares of known n-grams. Each template is seen whole and in copies with words dropped,
-    cut off or amid other words, other paragraphs and scrambled words as unknown; temperature and least probability come from copies that the fit hasn't seen."""
+    cut off or amid other words, other paragraphs and scrambled words as unknown. Temperature and least probability come from texts that a model hasn't
+    seen in any form: two models, each fitted without every other template and paragraph, judge copies of those left out."""
     rng = np.random.default_rng(seed)
     families = [*TEMPLATES, UNKNOWN]
     plain = sorted({w for t in OTHERS for w in terms(t)} | {w for ts in TEMPLATES.values() for t in ts for w in terms(t)})
@@ -180,23 +181,25 @@ def fit(seed: int = 5, copies: int = 12, rounds: int = 400, rate: float = 0.5, d
         around = [str(rng.choice(plain)) for _ in range(int(rng.integers(0, 5)))]
         return around[:2] + words + around[2:]
 
-    def rows(n: int) -> tuple[list[set[str]], list[int]]:
+    def rows(n: int, fold: int | None = None) -> tuple[list[set[str]], np.ndarray]:
+        """Copies of all texts, or of every other one."""
         x, y = [], []
         for k, family in enumerate(families[:-1]):
-            for t in TEMPLATES[family]:
-                for c in range(n):
-                    x.append(ngrams(altered(t) if c else terms(t)))
-                    y.append(k)
-        for t in OTHERS:
-            for _ in range(2 * n):
-                x.append(ngrams(altered(t)))
-                y.append(len(families) - 1)
-        for _ in range(60 * n):
+            for j, t in enumerate(TEMPLATES[family]):
+                if fold in (None, j % 2):
+                    for c in range(n):
+                        x.append(ngrams(altered(t) if c else terms(t)))
+                        y.append(k)
+        for j, t in enumerate(OTHERS):
+            if fold in (None, j % 2):
+                for _ in range(2 * n):
+                    x.append(ngrams(altered(t)))
+                    y.append(len(families) - 1)
+        for _ in range(60 * n if fold is None else 30 * n):
             x.append(ngrams([str(w) for w in rng.choice(plain, int(rng.integers(3, 30)))]))
             y.append(len(families) - 1)
-        return x, y
+        return x, np.array(y)
 
-    x, y = rows(copies)
     vocabulary = sorted({g for t in (*(t for ts in TEMPLATES.values() for t in ts), *OTHERS) for g in ngrams(terms(t))})
     place = {g: i for i, g in enumerate(vocabulary)}
 
@@ -207,20 +210,28 @@ def fit(seed: int = 5, copies: int = 12, rounds: int = 400, rate: float = 0.5, d
             out[r, known] = 1 / math.sqrt(max(1, len(known)))
         return out
 
-    z, t = matrix(x), np.eye(len(families), dtype=np.float32)[y]
-    weigh = (1 / np.maximum(1, t.sum(0)))[y][:, None]
-    weigh = weigh / weigh.mean() / len(z)
-    w, b = np.zeros((len(vocabulary), len(families)), np.float32), np.zeros(len(families), np.float32)
-    mw, mb = np.zeros_like(w), np.zeros_like(b)
-    for _ in range(rounds):
-        s = z @ w + b
-        p = np.exp(s - s.max(1, keepdims=True))
-        e = (p / p.sum(1, keepdims=True) - t) * weigh
-        mw, mb = 0.9 * mw + z.T @ e + decay * w, 0.9 * mb + e.sum(0)
-        w, b = w - rate * 4 * mw, b - rate * mb
-    held, truth = rows(4)
-    s = matrix(held) @ w + b
-    truth = np.array(truth)
+    def trained(x: list[set[str]], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        z, t = matrix(x), np.eye(len(families), dtype=np.float32)[y]
+        weigh = (1 / np.maximum(1, t.sum(0)))[y][:, None]
+        weigh = weigh / weigh.mean() / len(z)
+        w, b = np.zeros((len(vocabulary), len(families)), np.float32), np.zeros(len(families), np.float32)
+        mw, mb = np.zeros_like(w), np.zeros_like(b)
+        for _ in range(rounds):
+            s = z @ w + b
+            p = np.exp(s - s.max(1, keepdims=True))
+            e = (p / p.sum(1, keepdims=True) - t) * weigh
+            mw, mb = 0.9 * mw + z.T @ e + decay * w, 0.9 * mb + e.sum(0)
+            w, b = w - rate * 4 * mw, b - rate * mb
+        return w, b
+
+    w, b = trained(*rows(copies))
+    scores, truth = [], []
+    for fold in (0, 1):
+        half_w, half_b = trained(*rows(copies, 1 - fold))
+        held, mine = rows(4, fold)
+        scores.append(matrix(held) @ half_w + half_b)
+        truth.append(mine)
+    s, truth = np.concatenate(scores), np.concatenate(truth)
 
     def probability(temperature: float) -> np.ndarray:
         q = s / temperature
