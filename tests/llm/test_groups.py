@@ -236,3 +236,169 @@ def test_pipeline_stages_match_brute_force(spark, sf_dir, tmp_path):
     kept = {r.doc_id for r in judged.collect()}
     long_enough = {r.doc_id for r in spark.read.parquet(str(tmp_path / "documents.parquet")).collect() if len(r.text.split()) >= 20}
     assert (good & long_enough) <= kept
+
+
+BIG = 1152921504606846977
+PROSE = [" ".join(f"word{i * 50 + k}" for k in range(40)) + "." for i in range(8)]
+
+
+def test_pipeline_stages_of_odd_rows(spark, tmp_path):
+    import corpus_pipeline as pipeline
+
+    spark.createDataFrame([(BIG, 1), (BIG + 1, 1), (5, 0), (None, 1)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    names = "doc_id long, text string, n_words string, kept string, score string, predicted string, row string, key string, cls string, length string, rows string"
+    rows = [(BIG, PROSE[0]), (None, PROSE[1]), (BIG + 1, PROSE[2]), (5, PROSE[3]), (5, PROSE[3]), (5, PROSE[4]), (1, PROSE[5]), (2, PROSE[5] + " tail"), (None, None), (7, ""), (8, PROSE[6] + " " + "long " * 3), (None, PROSE[5])]
+    docs = spark.createDataFrame([(*r, *["mine"] * 9) for r in rows], names)
+    for name, stage in pipeline.STAGES:
+        got = stage(spark, docs, str(tmp_path)).collect()
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name
+        if name == "quality rules":
+            assert sorted((r.doc_id or 0, r.text) for r in got) == sorted((i or 0, t) for i, t in rows if t)
+        elif name == "quality classifier":
+            assert {(r.doc_id, r.text) for r in got} <= set(rows)
+        elif name == "n-gram Jaccard join":
+            assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted([(BIG, PROSE[0]), (0, PROSE[1]), (BIG + 1, PROSE[2]), (5, PROSE[3]), (5, PROSE[4]), (1, PROSE[5]), (0, ""), (7, ""), rows[10]])
+        else:
+            assert sorted(r.doc_id or 0 for r in got) == sorted(i or 0 for i, _ in rows)
+        if name != "best-fit packing":
+            assert all(tuple(r)[2:] == ("mine",) * 9 for r in got), name
+
+
+def test_big_ids_beside_nulls_stay_as_they_are(spark):
+    import public_tokenizers
+
+    from concordat.llm.bpe import encode_documents
+
+    docs = spark.createDataFrame([(BIG, "some text"), (None, "some text"), (BIG + 2, None)], "doc_id long, text string").coalesce(1)
+    for got in (
+        encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN),
+        ngram_join(docs),
+        quality_scores(docs, spark.createDataFrame([(BIG, 1)], "doc_id long, quality int")),
+    ):
+        assert {r.doc_id for r in got.collect()} == {BIG, None, BIG + 2}
+    assert {r.doc_id for r in encode_documents(docs.selectExpr("cast(doc_id as string) doc_id", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).collect()} == {str(BIG), None, str(BIG + 2)}
+
+
+def test_cores_count_what_brute_force_counts(spark, monkeypatch):
+    import concordat.llm.itq as itq
+    import concordat.llm.ngram as ngram
+
+    monkeypatch.setattr(ngram, "CHUNK", 12)
+    rng = np.random.default_rng(9)
+    texts = {}
+    for g in range(2):
+        words = [f"g{g}w{i}" for i in range(120)]
+        for k in range(60):
+            copy = list(words)
+            for _ in range(int(rng.integers(0, 4))):
+                copy[int(rng.integers(0, 120))] = f"n{rng.integers(0, 10**6)}"
+            texts[len(texts)] = " ".join(copy)
+    got = {r.doc_id: r for r in ngram_join(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(116)} for i, t in texts.items()}
+    links, roots = linked_groups(sets, lambda a, b: 5 * len(a & b) >= 4 * len(a | b))
+    for i in texts:
+        assert (got[i].n_links, got[i].component_id) == (len(links[i]), roots[i])
+
+    monkeypatch.setattr(itq, "CHUNK", 12)
+    x = np.vstack([c + s * rng.standard_normal((50, 24)) for c, s in ((rng.standard_normal(24) * 3, 0.3), (rng.standard_normal(24) * 3, 0.9))])
+    got = {r.vec_id: r for r in embedding_dedup(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    truth, mine = (u @ u.T >= 0.9).sum(1) - 1, np.array([got[i].n_links for i in range(len(x))])
+    assert (mine <= truth).all() and mine.sum() >= 0.9 * truth.sum() and (mine[:50] == truth[:50]).all()
+
+
+def test_no_damage_raises(spark):
+    rng = np.random.default_rng(8)
+    plain = record(b"first " * 20) + record("zweiter é".encode() * 30) + record(b"x")
+    for whole in (plain, gzip.compress(plain), b"".join(gzip.compress(record(bytes([65 + i]) * 50)) for i in range(5))):
+        for _ in range(400):
+            hurt = bytearray(whole)
+            for _ in range(int(rng.integers(1, 6))):
+                hurt[int(rng.integers(0, len(hurt)))] = int(rng.integers(0, 256))
+            hurt = bytes(hurt[: int(rng.integers(1, len(hurt) + 1))])
+            spans = [(r.start, r.end) if not isinstance(r, tuple) else r[:2] for r in salvage(hurt)]
+            assert all(0 <= a <= b <= len(hurt) for a, b in spans) and sum({s: s[1] - s[0] for s in spans}.values()) == len(hurt)
+    for length in ("²", "9" * 5000, "-1", "1.0"):
+        assert parse_record(f"WARC/1.1\r\nContent-Length: {length}\r\n\r\nx\r\n\r\n".encode(), 0) == "no length"
+
+
+def test_a_damaged_member_gives_the_records_before_the_damage():
+    bodies = [bytes([97 + i]) * 5000 + hashlib.sha512(bytes([i])).digest() * 40 for i in range(6)]
+    whole = gzip.compress(b"".join(map(record, bodies)))
+    cut_short = list(salvage(whole[: len(whole) // 2]))
+    found = [r.block for r in cut_short if not isinstance(r, tuple)]
+    assert 1 <= len(found) < 6 and found == bodies[: len(found)] and [x[2] for x in cut_short if isinstance(x, tuple)] == ["gzip member cut short"]
+    parts = [record(b) for b in bodies]
+    inside = gzip.compress(parts[0] + parts[1].replace(b"bbbb", b"bxbb", 1) + parts[2])
+    found = list(salvage(inside))
+    assert [r.block for r in found if not isinstance(r, tuple)] == [bodies[0], bodies[2]] and found[-1][:2] == (0, len(inside))
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    import os
+
+    import concordat.llm.warc as warc
+
+    monkeypatch.setattr(warc, "ARCHIVE", 40_000)
+    rows = [(i, f"http://h/{i}", f"{i} " * (20 if i % 5 else 3000)) for i in range(60)]
+    write_warc(as_records(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)), str(tmp_path / "b"), per_file=20)
+    sizes = [os.path.getsize(tmp_path / "b" / f) for f in os.listdir(tmp_path / "b") if f.startswith("part-")]
+    assert max(sizes) <= 45_000 and len(sizes) >= 4
+    assert {r.record_id for r in read_warc(spark, str(tmp_path / "b")).where("kind = 'record'").collect()} == {f"<urn:x-page:{i}>" for i in range(60)}
+
+
+def test_articles_are_not_lost_by_class_names(spark):
+    article = '<article><h1>Head {0}</h1><div class="share-price"><p>The share price of number {0} rose a little today.</p></div><section class="notice-board"><p>The board number {0} gave notice.</p></section></article>'
+    page = "<html><body><nav><a href=x>Menu</a></nav>" + article + '<div class="comments"><p>Nice number {0}</p></div></body></html>'
+    want = "Head {0}\n\nThe share price of number {0} rose a little today.\n\nThe board number {0} gave notice."
+    rows = [(i, f"http://s.org/{i}", page.format(i)) for i in range(8)] + [(100, "http://alone.org/", page.format(100))]
+    got = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == want.format(i) for i, *_ in rows)
+
+
+def test_templates_find_articles_without_names(spark):
+    """A host without article elements or telling names: the template's slots decide. A page judged alone gets more than the article."""
+    rng = np.random.default_rng(6)
+    say = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 5000, n)) + "."
+    rows, want = [], {}
+    for i in range(24):
+        paragraphs = [say(int(rng.integers(20, 60))) for _ in range(int(rng.integers(2, 6)))]
+        links = "".join(f"<li><a href=x>{say(3)}</a></li>" for _ in range(int(rng.integers(2, 9))))
+        rows.append((i, f"http://n.org/{i}", f'<html><body><div id="a"><ul>{links}</ul></div><div id="b"><p>{say(8)}</p></div><div id="c"><h2>{say(4)}</h2>{"".join(f"<p>{p}</p>" for p in paragraphs)}<div id="d"><a href=x>{say(9)}</a></div></div><div id="e"><p>{say(12)}</p></div></body></html>'))
+        want[i] = paragraphs
+    got = {r.page_id: r.text.split("\n\n") for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i][1:] == want[i] for i in want)
+    assert sum(main_text(h).split("\n\n")[1:] != want[i] for i, _, h in rows) > 0
+
+
+def brute_force_classes(sources):
+    """Paths by their occurrence vectors over all pages, of those on half of the pages."""
+    from concordat.llm.html import Page
+
+    pages = [Page(s).tokens for s in sources]
+    vectors = {}
+    for path in {p for t in pages for p in t}:
+        vector = tuple(t.get(path, 0) for t in pages)
+        if 2 * sum(n > 0 for n in vector) >= len(pages):
+            vectors.setdefault(vector, set()).add(path)
+    return {frozenset(v) for v in vectors.values()}
+
+
+def test_classes_are_those_of_whole_vectors(spark):
+    from concordat.llm.html import COUNTS, occurrences, templates
+
+    rng = np.random.default_rng(12)
+    sources = []
+    for i in range(20):
+        rows = "".join(f"<li><a href=x>l{k}</a></li>" for k in range(int(rng.integers(1, 5))))
+        extra = "<div id=x><p>z</p></div>" if rng.random() < 0.3 else ""
+        sources.append(f"<body><div id=m><ul>{rows}</ul></div><div id=t>{extra}<h3>t</h3>" + "<p>some text</p>" * int(rng.integers(1, 4)) + f"</div><div id=f>{i}</div></body>")
+    pages = spark.createDataFrame([(f"http://q.org/{i}", s) for i, s in enumerate(sources)], "url string, html string")
+    held = {}
+    for batch in occurrences(iter(pages.toArrow().to_batches())):
+        for r in batch.to_pylist():
+            if r["text"] == 0 and 2 * r["pages"] >= 20:
+                held.setdefault((r["one"], r["two"], r["n"]), set()).add(r["path"])
+    assert {frozenset(v) for v in held.values()} == brute_force_classes(sources) and len(COUNTS) == 8
+    (found,) = templates(pages).collect()
+    assert found.root == "body/div.t" and {"body/div.m", "body/div.t", "body/div.f"} <= set(found.order)

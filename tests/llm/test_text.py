@@ -13,7 +13,7 @@ import pytest
 from concordat.llm.bpe import Codec, LibraryCodec, encode_documents
 from concordat.llm.licences import OTHERS, TEMPLATES, licence_paragraphs, scan
 from concordat.llm.lines import clean_lines
-from concordat.llm.packing import CapacityTree, TreeBins, VectorBins, assemble, cut, matrices, pack, plan
+from concordat.llm.packing import CapacityTree, TreeBins, VectorBins, assemble, cut, matrices, pack, plan, sequences, tightest, write_matrices
 from concordat.llm.wordbpe import WordCodec, word_codec
 
 RANKS, WORDS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("word_bpe_49k.json")
@@ -116,6 +116,90 @@ def test_plans_hold_all_pieces_under_every_limit(bins):
         assert len(held) <= -(-lengths.sum() // 100) + 1
 
 
+def one_by_one(lengths, start, score):
+    """Best fit by decreasing length, each piece by itself: residuals of the bins and how many pieces each holds."""
+    bins = []
+    for n in sorted(lengths, reverse=True):
+        need = np.array([n, 1, n * n])[: len(start)]
+        fits = [b for b in bins if (b >= need).all()]
+        if fits:
+            best = min(fits, key=lambda b: (score(b, need), tuple(b)))
+            best -= need
+        else:
+            bins.append(np.array(start) - need)
+    return sorted(map(tuple, bins))
+
+
+@pytest.mark.parametrize("kind", ["tree", "norm", "dot"])
+def test_plans_are_best_fit_of_one_piece_after_the_other(kind):
+    rng = np.random.default_rng(4)
+    for size, documents, cost in ((50, 50, 2500), (50, 4, 2500), (50, 6, 900)):
+        lengths = rng.integers(1, 30, 60).tolist()
+        start, weights = (size, documents, cost), np.array([1.0, 0.05, 0.05])
+        whole = np.array(start, float)
+        if kind == "tree":
+            bins, wanted = TreeBins(size), one_by_one(lengths, (size,), lambda b, need: b[0])
+        elif kind == "norm":
+            bins, wanted = VectorBins(size, documents, cost), one_by_one(lengths, start, lambda b, need: ((((b - need) / whole) ** 2) * weights).sum())
+        else:
+            bins, wanted = VectorBins(size, documents, cost, score="dot"), one_by_one(lengths, start, lambda b, need: -((b / whole) * (need / whole) * weights).sum())
+        values, counts = np.unique(lengths, return_counts=True)
+        held = {}
+        for length, first, end, each, sequence, _ in plan(dict(zip(values.tolist(), counts.tolist())), bins):
+            for k in range(first, end):
+                held.setdefault(sequence + (k - first) // each, []).append(length)
+        got = sorted((size - sum(v), documents - len(v), cost - sum(n * n for n in v))[: 1 if kind == "tree" else 3] for v in held.values())
+        if kind == "tree":
+            assert got == wanted
+        else:  # pieces of one length go in runs, so that ties may fall otherwise
+            assert len(got) <= len(wanted) + 1 and all(min(x) >= 0 for x in got)
+
+
+def test_a_free_limit_of_documents_binds():
+    rng = np.random.default_rng(7)
+    values, counts = np.unique(np.concatenate([rng.integers(1, 6, 4000), rng.integers(100, 400, 300)]), return_counts=True)
+    counts = dict(zip(values.tolist(), counts.tolist()))
+    bins = tightest(counts, 400, steps=6)
+    free, bound = plan(counts, VectorBins(400)), plan(counts, VectorBins(400, documents=bins.start[1]))
+    assert sequences(bound) == sequences(free) and bins.start[1] < 400
+    held = Counter()
+    for _, first, end, each, sequence, _ in bound:
+        for k in range(first, end):
+            held[sequence + (k - first) // each] += 1
+    assert max(held.values()) <= bins.start[1]
+
+
+def test_ids_that_are_too_wide_are_an_error(spark):
+    docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    with pytest.raises(Exception, match="needs more than 2 bytes"):
+        cut(docs, lambda: lambda texts: [np.array([70_000], "<u4").tobytes() for _ in texts], 8, end_id=None, ids=True, width=2)
+
+
+def test_another_pattern_is_split_as_it_says():
+    import tiktoken
+
+    pattern = r"\S+|\s+"
+    codec = Codec(RANKS, pattern)
+    library = tiktoken.Encoding("t", pat_str=pattern, mergeable_ranks={b: i for i, b in codec.token.items()}, special_tokens={})
+    for c in (codec, LibraryCodec(RANKS, pattern)):
+        assert [np.frombuffer(b, "<u4").tolist() for b in c.encode(["one two three", "a  b"])] == [library.encode_ordinary(t) for t in ("one two three", "a  b")]
+
+
+def test_short_lines_without_an_end_and_phrases_of_other_languages_go(spark):
+    prose = " ".join(f"word{i}" for i in range(30)) + "."
+    cases = ["Startseite", "Mehr Themen", "Ende.", "(siehe oben)", "Tous droits réservés", "Aviso legal | Contacto hoy", "One two three"]
+    got = {r.doc_id: r.clean_text for r in clean_lines(spark.createDataFrame([(i, f"{prose}\n{c}") for i, c in enumerate(cases)], "doc_id int, text string")).collect()}
+    assert [i for i in got if got[i] == prose] == [0, 1, 4, 5] and [i for i in got if got[i] != prose] == [2, 3, 6]
+
+
+def test_lines_do_not_depend_on_their_neighbours(spark):
+    prose = " ".join(f"word{i}" for i in range(30)) + "."
+    line = "Ab Cd Ef Gh word of small letters"
+    rows = spark.createDataFrame([(1, prose + "\n" + line), (2, prose + " #\n" + line)], "doc_id int, text string")
+    got = {r.doc_id: r for r in clean_lines(rows, upper_share=0.1).collect()}
+    assert got[1].lost_chars == got[2].lost_chars > 0
+
+
 def test_packing_loses_nothing(docs, spark):
     pieces = cut(docs, lambda: word_codec(WORDS).encode, 512, end_id=1)
     rows = pack(pieces, VectorBins(512)).collect()
@@ -134,12 +218,15 @@ def test_packing_loses_nothing(docs, spark):
     assert sum(r.doc_id is None for r in rows) == 1
 
 
-def test_matrices_give_the_documents_back(spark):
+def test_matrices_give_the_documents_back(spark, tmp_path):
     texts = [t for t in TEXTS if t is not None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     codec = LibraryCodec(RANKS, public_tokenizers.PATTERN)
     pieces = cut(docs, lambda: LibraryCodec(RANKS, public_tokenizers.PATTERN).encode, 256, end_id=50256, ids=True, width=2)
-    rows = assemble(pack(pieces, TreeBins(256)), 256, pad=50256).toPandas()
+    made = assemble(pack(pieces, TreeBins(256)), 256, pad=50256)
+    write_matrices(made, str(tmp_path / "matrices"), 256, pad=50256)
+    rows = spark.read.parquet(str(tmp_path / "matrices")).toPandas()
+    assert set(rows["row_tokens"]) == {256} and rows["sequence_id"].is_unique and made.count() == len(rows)
     ids, places = matrices(rows, 256)
     found = {}
     for k, r in enumerate(rows.itertuples()):
@@ -157,6 +244,7 @@ def test_empty_tables(spark):
     assert encode_documents(none, RANKS, public_tokenizers.PATTERN).count() == 0
     assert pack(cut(none, lambda: word_codec(WORDS).encode, 512, end_id=1), VectorBins(512)).count() == 0
     assert scan(none).count() == 0
+    assert assemble(pack(cut(none, lambda: word_codec(WORDS).encode, 512, end_id=1, ids=True), TreeBins(512)), 512).count() == 0
 
 
 def test_licences(spark):
@@ -169,6 +257,25 @@ def test_licences(spark):
     assert rows[len(texts) - 1].family == "MIT"
 
 
+def test_wordings_that_are_no_template(spark):
+    """Texts that neither the fit nor its calibration has seen."""
+    cases = [
+        ("MIT", "This code may be used under the terms of the MIT License, a copy of which is included."),
+        ("MIT", "Copyright (c) 2019 Jane Roe. Released under the MIT License; see the file LICENSE."),
+        ("Apache-2.0", "The project is available under the Apache License, Version 2.0, as found in the root folder."),
+        ("GPL", "This file is part of Foo, which is distributed under the terms of the GNU General Public License, version 3."),
+        ("BSD", "Use of this source code is governed by a license: Released under the BSD 3-Clause License."),
+        ("MPL-2.0", "All files are licensed under the Mozilla Public License 2.0 unless noted."),
+        ("CC-BY", "The photographs here are licensed under a Creative Commons Attribution 4.0 International License, thanks to the author."),
+        ("Unlicense", "What follows is free and unencumbered software released into the public domain by its author."),
+        (None, "The driver was asked for a license and for the papers of the car."),
+        (None, "The public version of the report was released in general terms last week."),
+        (None, "Permission to leave was granted, and she went home under the trees."),
+    ]
+    rows = {r.doc_id: r.families for r in scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id int, text string")).collect()}
+    assert [(f, t, rows.get(i)) for i, (f, t) in enumerate(cases) if (rows.get(i) or []) != ([f] if f else [])] == []
+
+
 def test_licences_of_odd_rows(docs):
     assert scan(docs).count() == 0
 
