@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +28,29 @@ def pass_percent(passed: Column, failed: Column) -> Column:
     return F.when(passed + failed == 0, "N/A").otherwise(F.format_string("%.1f%%", 100.0 * passed / (passed + failed)))
 
 
+def share_percent(passed: Column, failed: Column, skipped: Column) -> Column:
+    """Share of passed in all, skipped ones too, as a whole number; a dash without any."""
+    total = passed + failed + skipped
+    return F.when(total == 0, "-").otherwise(F.concat(F.round(100.0 * passed / total).cast("int"), F.lit("%")))
+
+
+def frequent_markers(objects: DataFrame, least: int = 5) -> DataFrame:
+    """(code, n, objects): markers (array codes) met in least objects or more, by how often."""
+    return objects.select("fqn", F.explode("codes").alias("code")).groupBy("code").agg(F.count("*").alias("n"), F.count_distinct("fqn").alias("objects")).where(F.col("n") >= least)
+
+
+#: Parts of names that tell a routine that writes.
+WRITE_WORDS = (
+    "update delete insert archive cancel upsert precartdelete moveprecart posusercartarchive cartdeleteall closecartprocessing deleteschedulecart deleteuserhierarchyaccessbyuser deleteuserroles "
+    "deletlocationcatalogaccessbylocation cancelpriceschedule locationcatalogdelete menuitemlocationshare processlogexport audit_update"
+).split()
+
+
+def writes(name: Column) -> Column:
+    """Whether a routine's name tells that it writes, so that it isn't run."""
+    return reduce(lambda a, b: a | b, (F.lower(name).contains(w) for w in WRITE_WORDS))
+
+
 def rollup(results: DataFrame, schema: str = "schema_name", kind: str = "object_type") -> DataFrame:
     """Tallies by schema and type, and a grand total (TOTAL, TOTAL)."""
     rows = results.groupingSets([[F.col(schema), F.col(kind)], []], F.col(schema), F.col(kind)).agg(F.grouping(schema).alias("__all"), F.count("*").alias("n"), *tallies(F.col("verdict")))
@@ -77,22 +102,27 @@ def classify_error(error: Column) -> Column:
     return F.when(error.isNull() | (F.btrim(error) == ""), "unknown").otherwise(out)
 
 
-#: What repairs which kind of error.
+#: What repairs which kind of error; others go to a prompt.
 ROUTES = {
     "column_does_not_exist": "rule",
-    "relation_does_not_exist": "dependency",
-    "function_does_not_exist": "function_map",
-    "type_does_not_exist": "type_map",
+    "relation_does_not_exist": "rule",
+    "function_does_not_exist": "function-sub",
+    "type_does_not_exist": "type-mapping",
+    "rowcount_conversion_bug": "script",
+    "code_fence_leak": "script",
+    "non_setof_return_query": "prompt",
     "syntax_error": "rule",
-    "cast_error": "type_map",
-    "operator_type_mismatch": "type_map",
-    "permission_denied": "environment",
-    "already_exists": "idempotency",
+    "cursor_loop": "prompt",
+    "undeclared_variable": "rule",
+    "operator_type_mismatch": "rule",
+    "cast_error": "type-mapping",
+    "row_count_mismatch": "script",
+    "missing_in_target": "script",
 }
 
 
 def route(kind: Column) -> Column:
-    return F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in ROUTES.items() for x in kv)), kind), F.lit("manual"))
+    return F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in ROUTES.items() for x in kv)), kind), F.lit("prompt"))
 
 
 def deduplicated(entries: DataFrame, keys: list[str], order: str) -> DataFrame:

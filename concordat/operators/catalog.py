@@ -160,3 +160,7 @@ def selected_by_name(df: DataFrame, target: list[str]) -> list[Column]:
     return [F.col(f"`{have[t.lower()]}`").alias(t) for t in target if t.lower() in have]
 
 
+def copied_columns(source: list[dict], target: list[str]) -> list[str]:
+    """Columns that a copy takes: of source those that aren't computed or generated and that target has, whatever the case, under target's names."""
+    have = {t.lower(): t for t in target}
+    return [have[c["name"].lower()] for c in source if not c.get("is_computed") and not c.get("is_generated") and c["name"].lower() in have]

@@ -59,6 +59,14 @@ def assign_parents(children: DataFrame, parents: DataFrame, index: str, key: str
     return wanted_place.join(places.drop("__total"), "__place", "left").drop("__place")
 
 
+def assign_self_parents(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """rows with name: for a reference of a table to itself, the key of the row at half a row's place by key, and null for the first, so that every
+    parent is there before its children and the reference has no cycle."""
+    places = numbered(rows, F.col(key), place="__place").withColumn("__half", F.expr("__place div 2"))
+    parents = places.select(F.col(key).alias(name), F.col("__place").alias("__half"))
+    return places.join(parents, "__half", "left").drop("__place", "__half")
+
+
 def check_values(definition: Column) -> tuple[Column, Column, Column]:
     """Choices (sorted), least and largest value that a CHECK constraint's text allows; null where it doesn't say."""
     quoted = F.regexp_extract_all(definition, F.lit(r"'((?:[^']|'')*)'"), 1)

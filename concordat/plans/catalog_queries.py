@@ -471,3 +471,47 @@ def field_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     for r in rows[1:]:
         out = out.unionByName(one(*r))
     return out
+
+
+SCRIPT_FILES = [("v.sql", "CREATE VIEW v AS SELECT 1\nGO"), ("t.sql", "CREATE TABLE t (a int)\nGO\nCREATE PROCEDURE p AS SELECT 1\nGO"), ("s.sql", "CREATE SCHEMA s\nGO\nCREATE FUNCTION f() RETURNS int AS BEGIN RETURN 1 END\nGO")]
+
+
+@query("SELECT * FROM (VALUES (1::BIGINT, 'schema'), (2, 'table'), (3, 'function'), (4, 'view'), (5, 'procedure')) t(place, kind)")
+def combined_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of scripts in the order in which its statements are run."""
+    rows = files.in_kind_order(files.statements(spark.createDataFrame(SCRIPT_FILES, "file string, value string"), "mssql"))
+    kinds = [r["kind"] for r in rows.select("kind").collect()]
+    return spark.createDataFrame([(i + 1, k) for i, k in enumerate(kinds)], "place long, kind string")
+
+
+@query("SELECT * FROM (VALUES ('jdbc:sqlserver://h:1433;databaseName=d;encrypt=true;trustServerCertificate=true', 'mssql'), ('jdbc:mysql://h:3307/d', 'mysql'), ('jdbc:oracle:thin:@//h:1521/d', 'oracle')) t(url, source)")
+def source_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [(catalogs.connection(s, "h", "d", p)["url"], s) for s, p in (("mssql", None), ("mysql", 3307), ("oracle", None))]
+    return spark.createDataFrame(rows, "url string, source string")
+
+
+@query("SELECT 'Id,Amount' AS copied")
+def copied_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = [{"name": "id"}, {"name": "amount"}, {"name": "total", "is_computed": True}, {"name": "gone"}]
+    return spark.createDataFrame([(",".join(types.copied_columns(source, ["Id", "Amount", "Total"])),)], "copied string")
+
+
+@query("SELECT n_nationkey, nullif(p.up, -1) AS parent FROM (SELECT n_nationkey, row_number() OVER (ORDER BY n_nationkey) AS r FROM nation) n LEFT JOIN (SELECT n_nationkey AS up, row_number() OVER (ORDER BY n_nationkey) AS r FROM nation) p ON p.r = n.r // 2")
+def seed_self_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return witness.assign_self_parents(table(spark, sf_dir, "nation").select("n_nationkey"), "n_nationkey", "parent")
+
+
+@query("SELECT 3::INT AS attempts, 'done' AS result, 1.5::DOUBLE AS waited")
+def write_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A write that fails twice and is made the third time."""
+    seen: list[int] = []
+    waits: list[float] = []
+
+    def attempt() -> str:
+        seen.append(1)
+        if len(seen) < 3:
+            raise OSError("deadlock")
+        return "done"
+
+    result = sinks.with_retries(attempt, sleep=waits.append)
+    return spark.createDataFrame([(len(seen), result, sum(waits))], "attempts int, result string, waited double")

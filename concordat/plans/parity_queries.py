@@ -346,12 +346,13 @@ def error_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return errors(spark).select("entry", audit.classify_error(F.col("error")).alias("error_class"))
 
 
-ROUTE_MAP = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in audit.ROUTES.items()) + "}"
+ROUTE = """CASE WHEN error_class IN ('column_does_not_exist', 'relation_does_not_exist', 'syntax_error', 'undeclared_variable', 'operator_type_mismatch') THEN 'rule' WHEN error_class = 'function_does_not_exist' THEN 'function-sub' WHEN error_class IN ('type_does_not_exist', 'cast_error') THEN 'type-mapping'
+ WHEN error_class IN ('rowcount_conversion_bug', 'code_fence_leak', 'row_count_mismatch', 'missing_in_target') THEN 'script' ELSE 'prompt' END"""
 
 
 @query(f"""WITH e(entry, object_name, error) AS (VALUES {ERROR_VALUES}), k AS (SELECT *, {LADDER} AS error_class FROM e), d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY object_name, error_class ORDER BY entry) AS p FROM k) WHERE p = 1),
 g AS (SELECT error_class, count(*)::BIGINT AS n, array_to_string(list_sort(list_distinct(list(object_name))), ',') AS objects, first(error ORDER BY entry) AS first_error, min(entry) AS first_entry FROM d GROUP BY 1)
-SELECT row_number() OVER (ORDER BY n DESC, first_entry)::INT AS rank, error_class, n, objects, first_error, coalesce({ROUTE_MAP}[error_class], 'manual') AS fix_route FROM g""")
+SELECT row_number() OVER (ORDER BY n DESC, first_entry)::INT AS rank, error_class, n, objects, first_error, {ROUTE} AS fix_route FROM g""")
 def error_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = errors(spark).withColumn("kind", audit.classify_error(F.col("error")))
     return audit.failure_ranking(audit.deduplicated(kinds, ["object_name", "kind"], "entry"))
@@ -467,3 +468,32 @@ def union_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [table(spark, sf_dir, t).agg(F.lit(t).alias("table_name"), F.count("*").alias("n")) for t in TABLES])
 
 
+
+
+@query("SELECT o_custkey % 9 AS k, sum(o_orderkey % 3 = 0)::BIGINT AS p, sum(o_orderkey % 3 = 1)::BIGINT AS f, sum(o_orderkey % 3 = 2)::BIGINT AS s, round(100.0 * sum(o_orderkey % 3 = 0) / count(*))::INT || '%' AS pct FROM orders GROUP BY 1 UNION ALL SELECT -1, 0, 0, 0, '-'")
+def share_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    g = o.groupBy((F.col("o_custkey") % 9).alias("k")).agg(*(F.count_if(F.col("o_orderkey") % 3 == i).alias(n) for i, n in enumerate("pfs")))
+    g = g.unionByName(spark.createDataFrame([(-1, 0, 0, 0)], "k long, p long, f long, s long"))
+    return g.withColumn("pct", audit.share_percent(F.col("p"), F.col("f"), F.col("s")))
+
+
+@query("WITH m AS (SELECT 'o' || o_orderkey AS fqn, unnest(['EWI-' || (o_orderkey % 40), 'EWI-' || (o_custkey % 3)]) AS code FROM orders WHERE o_orderkey % 9 = 0) SELECT code, count(*)::BIGINT AS n, count(DISTINCT fqn)::BIGINT AS objects FROM m GROUP BY 1 HAVING count(*) >= 5")
+def frequent_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = lambda c, n: F.concat(F.lit("EWI-"), F.col(c) % n)
+    o = table(spark, sf_dir, "orders").where("o_orderkey % 9 = 0").select(F.concat(F.lit("o"), "o_orderkey").alias("fqn"), F.array(code("o_orderkey", 40), code("o_custkey", 3)).alias("codes"))
+    return audit.frequent_markers(o)
+
+
+ROUTINES = ["app.GetOrders", "app.UpdateOrder", "app.PosUserCartArchive", "app.audit_update_x", "app.list_insertions", "app.read"]
+
+
+@query("SELECT n AS name, regexp_matches(lower(n), 'update|delete|insert|archive|cancel|upsert|moveprecart|closecartprocessing|menuitemlocationshare|processlogexport') AS skipped FROM (VALUES " + ", ".join(f"('{n}')" for n in ROUTINES) + ") t(n)")
+def write_routines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame([(n,) for n in ROUTINES], "name string").withColumn("skipped", audit.writes(F.col("name")))
+
+
+@query("SELECT o_orderstatus AS verdict, o_orderpriority AS name, count(*)::BIGINT AS n, row_number() OVER (ORDER BY o_orderstatus DESC, o_orderpriority) AS place FROM orders GROUP BY 1, 2")
+def lexicographic_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("verdict"), F.col("o_orderpriority").alias("name")).agg(F.count("*").alias("n"))
+    return g.selectExpr("*", "cast(row_number() OVER (ORDER BY verdict DESC, name) AS bigint) AS place")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from .dialect_queries import run
 from .registry import query, table
-from .scripts import annotated, call, to_script
+from .repairs import repaired, run_effects, trigger_effects
+from .scripts import annotated, call, executed, to_script
 
 TOPS = """SELECT TOP 3 o_orderkey AS k FROM dbo.orders ORDER BY o_totalprice DESC, o_orderkey UNION ALL SELECT TOP (2) c_custkey FROM dbo.customer WHERE c_nationkey IN (SELECT TOP 1 n_nationkey FROM dbo.nation ORDER BY n_name) ORDER BY c_custkey"""
 
@@ -215,3 +216,66 @@ def phased_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ran: list[str] = []
     done = sinks.deploy_phases(made, ran.append)
     return spark.createDataFrame([(p, r["ok"]) for p, r in done.items()], "phase string, n long")
+
+
+@query("WITH RECURSIVE t AS (SELECT c_custkey AS k, 1 AS l FROM customer WHERE c_custkey = 1 UNION ALL SELECT c_custkey, l + 1 FROM customer JOIN t ON c_custkey // 2 = k AND c_custkey > 1) SELECT k, l::INT AS depth FROM t WHERE k % 2 = 1 AND k <= 100")
+def oracle_connect_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run(spark, sf_dir, "SELECT 1 AS x", "mssql")
+    table(spark, sf_dir, "customer").selectExpr("c_custkey AS k", "c_custkey div 2 AS up").where("k BETWEEN 1 AND 100").createOrReplaceTempView("staff")
+    sql = "SELECT e.k, LEVEL AS depth FROM app.staff e WHERE MOD(e.k, 2) = 1 START WITH e.k = 1 CONNECT BY NOCYCLE PRIOR e.k = e.up AND e.k > 1"
+    return run(spark, sf_dir, sql, "oracle")
+
+
+@query("SELECT n_nationkey FROM nation WHERE n_nationkey < 5")
+def bare_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir, "SELECT n_nationkey FROM app.nation WHERE n_nationkey < 5 LIMIT ;", "mysql")
+
+
+TRIGGERS = "CREATE TRIGGER dbo.trg_orders ON dbo.orders AFTER INSERT, UPDATE AS BEGIN SET NOCOUNT ON; INSERT INTO dbo.audit_log (k, what) SELECT i.o_orderkey, ISNULL(d.o_orderstatus, 'new') FROM inserted i LEFT JOIN deleted d ON d.o_orderkey = i.o_orderkey; END"
+
+
+@query("SELECT 'audit_log' AS target, 'INSERT,UPDATE' AS events, o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE 'new' END AS what FROM orders WHERE o_orderkey % 10 < 4")
+def trigger_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a trigger would write for a batch of changed rows."""
+    o = table(spark, sf_dir, "orders").where("o_orderkey % 10 < 4")
+    o.createOrReplaceTempView("new_rows")
+    o.where("o_orderkey % 2 = 0").createOrReplaceTempView("old_rows")
+    _, events, effects = trigger_effects(TRIGGERS, "mssql")
+    got: dict[str, DataFrame] = {}
+    run_effects(spark, effects, got.__setitem__)
+    (name, rows), = got.items()
+    return rows.toDF("o_orderkey", "what").select(F.lit(name).alias("target"), F.lit(",".join(events)).alias("events"), "o_orderkey", "what")
+
+
+BROKEN = [
+    ("fine", "CREATE VIEW v1 AS SELECT 'getdat()' AS t"),
+    ("fixed", "CREATE VIEW v2 AS SELECT getdat() AS t, 'getdat()' AS kept"),
+    ("renamed", "CREATE VIEW v_bad AS SELECT nothing_like_it() AS t"),
+    ("hopeless", "CREATE VIEW v4 AS SELECT nothing_like_it() AS t"),
+]
+
+
+@query("SELECT * FROM (VALUES ('fine', 'succeeded', 'CREATE VIEW v1 AS SELECT ''getdat()'' AS t'), ('fixed', 'fixed', 'CREATE VIEW v2 AS SELECT current_date() AS t, ''getdat()'' AS kept'), ('renamed', 'failed', 'CREATE VIEW v_bad AS SELECT nothing_like_it() AS t'), ('hopeless', 'failed', 'CREATE VIEW v4 AS SELECT nothing_like_it() AS t')) t(name, status, statement)")
+def rule_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules mend what is outside of quotes; a rule that would rename an object is not taken."""
+    rules = [(r"\bgetdat\(\)", "current_date()"), (r"\bv_bad\b", "v_good")]
+    attempt = lambda sql: spark.sql(sql.replace("CREATE VIEW", "CREATE OR REPLACE TEMPORARY VIEW"))
+    return spark.createDataFrame([(n, *repaired(sql, rules, attempt)[:2]) for n, sql in BROKEN], "name string, status string, statement string")
+
+
+ROUTINES = [
+    ("script", "mysql", "CREATE PROCEDURE p() BEGIN SELECT 1 AS x; END"),
+    ("select", "mssql", "CREATE PROCEDURE p AS BEGIN DECLARE c CURSOR FOR SELECT 1; OPEN c; SELECT n_name FROM dbo.nation WHERE n_nationkey < 3; END"),
+    ("neither", "mssql", "CREATE PROCEDURE p @s NVARCHAR(9) AS BEGIN EXEC sp_executesql @s; END"),
+]
+
+
+@query("SELECT * FROM (VALUES ('script', 'call', 1::BIGINT), ('select', 'select', 3), ('neither', 'failed', 0)) t(name, way, n_rows)")
+def routine_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A routine runs as a script, else by the last SELECT of its body."""
+    run(spark, sf_dir, "SELECT 1 AS x", "mssql")
+    out = []
+    for name, source, sql in ROUTINES:
+        way, rows, _ = executed(spark, sql, source)
+        out.append((name, way, rows.count() if rows is not None else 0))
+    return spark.createDataFrame(out, "name string, way string, n_rows long")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -29,6 +30,18 @@ def bulk_fields(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws("\t", *map(field, df.schema)).alias("value"))
 
 
+def with_retries(run: Callable[[], object], tries: int = 3, wait: float = 0.5, sleep: Callable[[float], object] = time.sleep) -> object:
+    """What run gives; after an error it is run again, at most tries times, with a wait that doubles. The last error is raised."""
+    for k in range(tries):
+        try:
+            return run()
+        except Exception:  # noqa: BLE001  any error may pass
+            if k == tries - 1:
+                raise
+            sleep(wait * 2**k)
+    return None
+
+
 def write_bulk(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     bulk_fields(df).write.mode(mode).text(path)
 
