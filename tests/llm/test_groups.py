@@ -402,3 +402,49 @@ def test_classes_are_those_of_whole_vectors(spark):
     assert {frozenset(v) for v in held.values()} == brute_force_classes(sources) and len(COUNTS) == 8
     (found,) = templates(pages).collect()
     assert found.root == "body/div.t" and {"body/div.m", "body/div.t", "body/div.f"} <= set(found.order)
+
+
+def test_word_vectors_match_a_loop(spark):
+    import concordat.llm.quality as quality
+
+    texts = ["The cat sat, on the mat.", "a b c d e a b", "", "one", "The cat sat, on the mat.", "x-y z!! über 12"]
+    tokens, (place, sign) = quality.Tokens(), quality.index_vectors()
+    total = np.zeros((quality.ROWS, quality.PARTS))
+    for t in texts:
+        ids, _ = tokens.rows([t])
+        for i in range(len(ids)):
+            for j in range(max(0, i - quality.REACH), min(len(ids), i + quality.REACH + 1)):
+                if i != j:
+                    for k in range(quality.NONZERO):
+                        total[ids[i], place[ids[j], k]] += sign[ids[j], k]
+    norm = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    unit = norm(total)
+    seen = unit.any(1)
+    want = np.where(seen[:, None], norm(unit - unit[seen].mean(0)), 0)
+    got = quality.word_vectors(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    assert np.allclose(got, want, atol=1e-5)
+    v = got[tokens.rows(["a b c d e a b"])[0]].astype(float)
+    x = quality.pool(quality.Tokens(), got, ["a b c d e a b"])[0]
+    assert np.allclose(x[: quality.PARTS], v.mean(0), atol=1e-5) and np.allclose(x[quality.PARTS : 2 * quality.PARTS], v.std(0), atol=1e-4) and np.isclose(x[-2], 5 / 7)
+
+
+def test_scores_of_repeated_keys_do_not_depend_on_the_order_of_rows(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i % 40, " ".join(f"w{x}" for x in rng.integers(0, 30 if i % 2 else 60, 30))) for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    one, two = ({(r.doc_id, r.score) for r in quality_scores(spark.createDataFrame(x, "doc_id long, text string"), labels).collect()} for x in (rows, rows[::-1]))
+    assert one == two
+
+
+def test_a_very_long_page(spark):
+    rows = [(1, "http://l.org/1", "<body><article>" + "<p>Paragraph of the page.</p>" * 60_000 + "</article></body>"), (1, "http://l.org/1", "<p>short</p>")]
+    got = sorted((r.page_id, r.n_chars) for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
+    assert got == [(1, 5), (1, 60_000 * 22 + 59_999 * 2)]
+
+
+def test_repeated_pages_and_ties_of_archives(spark, tmp_path):
+    same = "z" * 1500
+    rows = [(4, "u", same), (4, "u", same), (2, "u", same), (2, None, "small")]
+    write_warc(as_records(spark.createDataFrame(rows, "page_id long, url string, html string")), str(tmp_path / "r"))
+    got = sorted((r.record_id, r.record_type, r.refers_to) for r in read_warc(spark, str(tmp_path / "r")).collect())
+    assert [x[1] for x in got] == ["response", "revisit", "response", "response"] and got[1][2] == "<urn:x-page:4>"

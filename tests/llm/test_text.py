@@ -298,3 +298,39 @@ def test_wrapped_licences_are_one_paragraph(spark):
     assert wrong == []
     assert rows[len(cases)].families == ["Apache-2.0", "MIT"] and rows[len(cases)].n_paragraphs == 2
     assert rows[len(cases) + 1].families == ["MIT"] and rows[len(cases) + 1].n_paragraphs == 1
+
+
+def judged(text):
+    """One line by the model's own arrays: family, probability, template, overlap, confirmed."""
+    from concordat.llm.licences import UNKNOWN, fit, ngrams, terms
+
+    m = fit()
+    grams = ngrams(terms(re.sub(r"\b([al]?gpl)v?(\d)", r"\1 v\2", text.lower())))
+    place = {g: i for i, g in enumerate(m.vocabulary)}
+    known = [place[g] for g in grams if g in place]
+    if not known:
+        return None
+    s = (m.weights[known].astype(float).sum(0) / np.sqrt(len(known)) + m.bias) / m.temperature
+    p = np.exp(s - s.max()) / np.exp(s - s.max()).sum()
+    k = int(p[:-1].argmax())
+    overlaps = [(max(len(grams & t) / len(t), len(grams & t) / len(grams)), -n) for n, t in enumerate(ngrams(terms(x)) for x in TEMPLATES[m.families[k]])]
+    overlap, n = max(overlaps)
+    confirmed = bool(p[k] >= m.least and p[k] > p[-1] and overlap >= 0.5)
+    return (m.families[k] if confirmed else UNKNOWN, round(float(p[k]), 6), -n, round(overlap, 6), confirmed)
+
+
+def test_licences_match_the_model_by_hand(spark):
+    texts = [t for ts in TEMPLATES.values() for t in ts] + list(OTHERS) + ["Copyright held by nobody in particular.", "Released under GPLv2 or the MIT licence, as you like", "license " * 40]
+    rows = licence_paragraphs(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()
+    assert len(rows) >= len(texts) - len(OTHERS)
+    for r in rows:
+        family, probability, template, overlap, confirmed = judged(texts[r.doc_id])
+        assert (r.family, r.confirmed, r.lines) == (family, confirmed, 1) and abs(r.probability - probability) < 1e-4 and abs(r.overlap - overlap) < 1e-6
+        assert r.template == template or abs(judged(texts[r.doc_id])[3] - r.overlap) < 1e-6
+
+
+def test_a_licence_in_a_very_long_text_and_repeated_rows(spark):
+    prose = "She walked along the river and thought of nothing at all.\n" * 20_000
+    rows = [(1, prose + "Released under the MIT License.\n" + prose), (1, "Released under the MIT License."), (None, "Released under the MIT License."), (2, None)]
+    got = {r.doc_id: (r.families, r.n_paragraphs) for r in scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert got == {1: (["MIT"], 2), None: (["MIT"], 1)}
