@@ -1,6 +1,7 @@
 """Dependency graphs of objects: edges by name, waves, order, cycles, closure and missing references.
 
-Objects are metadata, thousands at most, yet all steps but the final order are joins; rounds are bounded by the longest path.
+Objects are metadata, thousands at most: graphs of up to DRIVER_EDGES edges are walked on the driver, larger ones with joins, a round for each step
+of the longest path.
 """
 
 from __future__ import annotations
@@ -9,6 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Edges of a catalog that the driver takes at most; a larger graph is walked with joins.
+DRIVER_EDGES = 1_000_000
+
+
 def edges(objects: DataFrame) -> DataFrame:
     """(src, dst) for each object (fqn, name, depends_on) and each object that it depends on: by full name, else by bare name
     (the same schema first, then the least full name), whatever the case; without edges to itself or repeats."""
@@ -26,9 +31,11 @@ def waves(objects: DataFrame, deps: DataFrame) -> DataFrame:
     """(fqn, wave, in_cycle): wave 0 needs nothing; an object comes after all that it needs. Members of cycles and what lies
     downstream of them are the last wave. Each round peels the objects whose needs are met."""
     spark = objects.sparkSession
-    left = [r["fqn"] for r in objects.select("fqn").distinct().collect()]  # metadata
-    needs: dict[str, set[str]] = {x: set() for x in left}
-    for r in deps.collect():
+    names, rows = objects.select("fqn").distinct().limit(DRIVER_EDGES + 1).collect(), deps.select("src", "dst").limit(DRIVER_EDGES + 1).collect()
+    if max(len(names), len(rows)) > DRIVER_EDGES:
+        return joined_waves(objects, deps)
+    needs: dict[str, set[str]] = {r["fqn"]: set() for r in names}
+    for r in rows:
         if r["src"] in needs and r["dst"] in needs:
             needs[r["src"]].add(r["dst"])
     out, wave = [], 0
@@ -44,15 +51,29 @@ def waves(objects: DataFrame, deps: DataFrame) -> DataFrame:
     return spark.createDataFrame(out, "fqn string, wave int, in_cycle boolean")
 
 
+def joined_waves(objects: DataFrame, deps: DataFrame) -> DataFrame:
+    """waves() with joins: each round takes the objects without an edge that is left; checkpoints cut the lineage."""
+    left = objects.select("fqn").distinct()
+    known = left.select(F.col("fqn").alias("dst"))
+    edge = deps.select("src", "dst").distinct().join(known, "dst", "left_semi").join(left.select(F.col("fqn").alias("src")), "src", "left_semi").checkpoint()
+    out = left.limit(0).select("fqn", F.lit(0).alias("wave"), F.lit(False).alias("in_cycle"))
+    wave = 0
+    while left.limit(1).count():
+        ready = left.join(edge.select(F.col("src").alias("fqn")).distinct(), "fqn", "left_anti").checkpoint()
+        if not ready.limit(1).count():
+            return out.unionByName(left.select("fqn", F.lit(wave).alias("wave"), F.lit(True).alias("in_cycle")))
+        out = out.unionByName(ready.select("fqn", F.lit(wave).alias("wave"), F.lit(False).alias("in_cycle")))
+        left = left.join(ready, "fqn", "left_anti").checkpoint()
+        edge = edge.join(ready.select(F.col("fqn").alias("dst")), "dst", "left_anti").select("src", "dst").checkpoint()
+        wave += 1
+    return out
+
+
 def topological_order(waved: DataFrame) -> DataFrame:
     """(fqn, place, cycle_warning): by wave, then by name."""
     return waved.select("fqn", F.row_number().over(Window.orderBy("wave", "fqn")).alias("place"), F.col("in_cycle").alias("cycle_warning"))
 
 
-#: Edges of a catalog that the driver takes at most; a larger graph is walked with joins.
-DRIVER_EDGES = 1_000_000
-
-
 def closure(deps: DataFrame) -> DataFrame:
     """(src, dst, depth) for all that src needs, directly or not, by the shortest way, however long. Each pair is found once, so neither cycles nor
     many ways to one object repeat work."""

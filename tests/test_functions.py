@@ -106,3 +106,15 @@ def test_functions_of_one_return():
     assert made == "CREATE OR REPLACE TEMPORARY FUNCTION f(a int, b string) RETURNS string RETURN cast(coalesce(b, 'x') AS string)"
     with pytest.raises(ValueError):
         function_to_spark("CREATE FUNCTION f(@a INT) RETURNS INT AS BEGIN DECLARE @x INT; SET @x = 1; RETURN @x END", "mssql")
+
+
+def test_graphs_by_joins_are_those_by_walks(spark, tmp_path):
+    from concordat.operators import graph
+
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    rows = [("a", "b"), ("b", "c"), ("d", "b"), ("e", "f"), ("f", "e"), ("g", "e"), ("h", "gone")]
+    objects = spark.createDataFrame([(x,) for x in "abcdefgh"], "fqn string")
+    deps = spark.createDataFrame(rows, "src string, dst string")
+    as_set = lambda df: {tuple(r) for r in df.collect()}
+    assert as_set(graph.closure(deps)) == as_set(graph.joined_closure(deps))
+    assert as_set(graph.waves(objects, deps)) == as_set(graph.joined_waves(objects, deps))
