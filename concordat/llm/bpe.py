@@ -7,6 +7,7 @@ import functools
 import hashlib
 import heapq
 import re
+import weakref
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -16,13 +17,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FORGET, SLICE, different_words, ends_of, fields, gathered, in_arrow, slices
+from .common import DROP, FORGET, SLICE, different_words, ends_of, fields, gathered, in_arrow, slices
 
 NONE = np.int32(2**31 - 1)
 #: Longer pieces (in bytes) are merged one at a time with a heap: a matrix round costs the width of the row.
 WIDEST = 256
-#: Bytes that a memory of a worker takes, in two generations (a codec of words takes twice as much); an entry counts its key, its value and ENTRY.
-REMEMBER, ENTRY = 48 << 20, 150
+#: Bytes that a memory of a worker takes, in two generations (a codec of words takes twice as much), and bytes that an entry of a word takes.
+REMEMBER, ENTRY = 48 << 20, 210
 #: Fixed value: the pattern under which a space that has no white space beside it begins a piece, whatever stands around it.
 BY_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -38,6 +39,7 @@ class Memory:
     def __init__(self, share: float = 1.0) -> None:
         self.most = REMEMBER * share / 2
         self.forget()
+        MEMORIES.add(self)
 
     def forget(self) -> None:
         self.new: dict[str, bytes] = {}
@@ -57,7 +59,18 @@ class Memory:
 
     def update(self, entries: dict[str, bytes]) -> None:
         self.new |= entries
-        self.taken += len(entries) * ENTRY + sum(map(len, entries)) + sum(map(len, entries.values()))
+        self.taken += len(entries) * ENTRY
+        if len(entries) < 1000:  # a few may be of any length
+            self.taken += sum(map(len, entries)) + sum(map(len, entries.values()))
+
+
+MEMORIES: weakref.WeakSet[Memory] = weakref.WeakSet()
+
+
+@FORGET.append
+def forget_words() -> None:
+    for m in list(MEMORIES):
+        m.forget()
 
 
 class Codec:
@@ -280,11 +293,11 @@ def library_codec(path: str, pattern: str) -> LibraryCodec:
 
 @functools.lru_cache(maxsize=1)
 def codec(path: str, pattern: str) -> Codec:
-    """One codec for each task and rank file."""
+    """One codec for each worker, as long as its tasks are of one kind."""
     return Codec(path, pattern)
 
 
-FORGET += [library_codec.cache_clear, codec.cache_clear]
+DROP += [library_codec.cache_clear, codec.cache_clear]
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, keys: list[str] | None = None, ids: bool = False) -> DataFrame:

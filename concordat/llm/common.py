@@ -21,8 +21,10 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 BATCH_ROWS, BATCH_BYTES, SLICE = 2000, 8 << 20, 1 << 21
 #: Rows of a small table of pairs that a file holds.
 FILE_ROWS = 200_000
-#: What a worker forgets when its task ends.
+#: What a worker forgets when its task ends, what it drops before a task of another kind, and the kind of its last task.
 FORGET: list[Callable[[], None]] = []
+DROP: list[Callable[[], None]] = []
+LAST: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isEmpty():
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.split("[")[0] == "local":
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpus-"))
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
@@ -55,6 +57,14 @@ def passing(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
 
 
+def begin(kind: str) -> None:
+    """Drops what a worker holds for tasks of another kind."""
+    if LAST != [kind]:
+        LAST[:] = [kind]
+        for drop in DROP:
+            drop()
+
+
 def release() -> None:
     """Gives what a worker holds back to the system."""
     for forget in FORGET:
@@ -75,7 +85,10 @@ def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[p
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
         conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
+    kind = f"{run.__module__}.{run.__qualname__}"
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(kind)
         try:
             yield from run(batches)
         finally:

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import durable, fields, in_arrow, made, slices, small, whole_groups
 
-#: Runs up to this many are broadcast (48 bytes each); beyond it they are joined by shuffle.
-BROADCAST_RUNS = 100_000
+#: Runs up to this many are broadcast (48 bytes each); beyond it they are joined by shuffle, by so many ranks of a length at a time.
+BROADCAST_RUNS, STRETCH = 100_000, 1 << 16
 
 
 class CapacityTree:
@@ -170,7 +170,7 @@ def sequences(runs: list[tuple[int, int, int, int, int, int]]) -> int:
     return max((first + -(-(end - rank) // each) for _, rank, end, each, first, _ in runs), default=0)
 
 
-def tightest(counts: dict[int, int], size: int, steps: int = 3, **options) -> VectorBins:
+def tightest(counts: dict[int, int], size: int, steps: int = 2, **options) -> VectorBins:
     """Bins with a limit of documents a sequence that costs no sequence: the least found in some halvings between one and what the
     fullest sequence of the plan without a limit has. Plans take the counts of lengths only, so this costs the same for any corpus.
 
@@ -214,11 +214,16 @@ def pack(pieces: DataFrame, bins: TreeBins | VectorBins | Callable[[dict[int, in
     runs = plan(totals, bins if isinstance(bins, (TreeBins, VectorBins)) else bins(totals))
     schema = "length int, first long, end long, each long, sequence long, place long"
     told = spark.createDataFrame(pd.DataFrame(runs, columns=["length", "first", "end", "each", "sequence", "place"]).astype({"length": "int32"}) if runs else [], schema)
+    within = (rows["rank"] >= told["first"]) & (rows["rank"] < told["end"])
     if len(runs) <= BROADCAST_RUNS:
-        told = F.broadcast(told)
-    found = rows.join(told, (rows["length"] == told["length"]) & (rows["rank"] >= told["first"]) & (rows["rank"] < told["end"]))
+        found = rows.join(F.broadcast(told), (rows["length"] == told["length"]) & within)
+    else:  # by length and stretch of ranks, so that neither a length nor its runs are one key
+        told = told.withColumn("stretch", F.explode(F.expr(f"sequence(first div {STRETCH}, (end - 1) div {STRETCH})")))
+        rows = rows.withColumn("stretch", F.expr(f"rank div {STRETCH}"))
+        within = (rows["rank"] >= told["first"]) & (rows["rank"] < told["end"])
+        found = rows.join(told, (rows["length"] == told["length"]) & (rows["stretch"] == told["stretch"]) & within)
     return found.select(
-        *(rows[c] for c in rows.columns if c != "rank"),
+        *(rows[c] for c in rows.columns if c not in ("rank", "stretch")),
         (F.col("sequence") + F.expr("(rank - first) div each")).alias("sequence_id"),
         (F.col("place") + F.expr("(rank - first) % each") * rows["length"]).cast("long").alias("offset"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode_documents, library_codec
-from .common import shared_dir, table
+from .common import passing, shared_dir, table
 from .html import extract_main_text
 from .itq import embedding_dedup
 from .licences import scan
@@ -98,6 +98,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_warc(as_records(table(spark, sf_dir, "pages")), path)
+    passing(spark, path)
     number = lambda c: F.regexp_extract(c, r"(-?\d+)>$", 1).try_cast("long")
     back = read_warc(spark, path, payloads=False).where("kind = 'record'")
     return back.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.when(F.col("record_type") == "revisit", number("refers_to")).alias("refers_to"))

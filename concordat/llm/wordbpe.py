@@ -9,7 +9,7 @@ import re
 import numpy as np
 
 from .bpe import Memory
-from .common import FORGET, different_words, ends_of, gathered
+from .common import DROP, different_words, ends_of, gathered
 
 #: Letters and digits of Latin-1, and the split pattern of the vocabulary file within it.
 LETTER, DIGIT = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
@@ -29,12 +29,14 @@ class WordCodec:
         self.library.encode_special_tokens = True
         self.split = re.compile(SPLIT).findall
         self.odd = re.compile(r"[^\x00-\x1b\x20-\xff]").search  # separators \x1c-\x1f are white space for Python only
-        self.known = Memory()  # of words and of pieces: a piece alone is a word with the same ids
+        self.known = Memory(2)  # of words and of pieces: a piece alone is a word with the same ids
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def simple(self, text: str) -> bool:
+        if text.isascii():
+            return not ("\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text)
         return not self.odd(text)
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -57,15 +59,14 @@ class WordCodec:
     def encode(self, texts: list[str]) -> list[bytes]:
         mine = [bool(self.simple(t)) for t in texts]
         words, place, counts = different_words([t.lower() for t, m in zip(texts, mine) if m])
-        new = self.known.missing(set(words))
-        alone = [w for w in new if w.isalpha()]  # a word of letters is one piece
-        split = {w: self.split(w) for w in new if not w.isalpha()}
-        known = self.known.new
-        parts = {p for ps in split.values() for p in ps}
-        pieces = self.learn([*alone, *(p for p in parts.difference(alone) if p not in known)])
-        self.known.update(pieces)
-        piece = known.__getitem__
-        self.known.update({w: b"".join(map(piece, ps)) for w, ps in split.items()})
+        alone, others = [], []
+        for w in self.known.missing(set(words)):
+            (alone if w.isalpha() else others).append(w)  # a word of letters is one piece
+        known, piece = self.known.new, self.known.new.__getitem__
+        self.known.update(self.learn(alone))
+        split = list(map(self.split, others))
+        self.known.update(self.learn([p for p in {p for ps in split for p in ps} if p not in known]))
+        self.known.update({w: b"".join(map(piece, ps)) for w, ps in zip(others, split)})
         ids = list(map(known.__getitem__, words))
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         out, ends = gathered(np.frombuffer(b"".join(ids), "<u4"), sizes, place)
@@ -80,4 +81,4 @@ def word_codec(path: str) -> WordCodec:
     return WordCodec(path)
 
 
-FORGET.append(word_codec.cache_clear)
+DROP.append(word_codec.cache_clear)
