@@ -7,9 +7,9 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.functions import values
+from concordat.functions import canonical, values
+from concordat.operators import audit, parity, verification, witness, workspace
 from concordat.operators import catalog as types
-from concordat.operators import parity, verification, witness, workspace
 from concordat.sources import catalogs, definitions, files, sinks
 
 from .registry import query, table
@@ -515,3 +515,51 @@ def write_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     result = sinks.with_retries(attempt, sleep=waits.append)
     return spark.createDataFrame([(len(seen), result, sum(waits))], "attempts int, result string, waited double")
+
+
+@query("SELECT 'a' || chr(92) || 't' || 'b' || chr(9) || 't' || chr(9) || chr(92) || chr(92) || 'x00ff' || chr(9) || chr(92) || 'N' AS line")
+def bulk_field_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Escapes, booleans, bytes in hex and nulls of a bulk load."""
+    rows = spark.createDataFrame([("a\tb", True, bytearray(b"\x00\xff"), None)], "t string, b boolean, x binary, n int")
+    return sinks.bulk_fields(rows).select(F.col("value").alias("line"))
+
+
+@query("SELECT 'dbo.' || lower(n_name) AS name, count(*)::BIGINT AS n FROM nation GROUP BY 1")
+def identifier_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forms = F.array(F.concat(F.lit("[DBO].["), "n_name", F.lit("]")), F.concat(F.lit('"dbo"."'), "n_name", F.lit('"')), F.concat(F.lit("dbo.`"), F.lower("n_name"), F.lit("`")))
+    rows = table(spark, sf_dir, "nation").select(F.explode(forms).alias("form")).select(parity.identifier(F.col("form")).alias("name"))
+    return rows.groupBy("name").agg((F.count("*") / 3).cast("bigint").alias("n"))
+
+
+@query("SELECT o_custkey, min(o_orderkey) AS entry FROM orders GROUP BY 1")
+def first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first entry of each key."""
+    return audit.deduplicated(table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").alias("entry")), ["o_custkey"], "entry")
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS at, round(o_totalprice, 6)::VARCHAR AS price, lower(hex(o_orderstatus)) AS raw FROM orders")
+def log_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of an execution log."""
+    o = table(spark, sf_dir, "orders").withColumn("raw", F.col("o_orderstatus").cast("binary"))
+    kinds = {f.name: f.dataType for f in o.schema}
+    cell = lambda c: canonical.serialised(F.col(c), kinds[c])
+    return o.select("o_orderkey", cell("o_orderdate").alias("at"), cell("o_totalprice").alias("price"), cell("raw").alias("raw"))
+
+
+VIEWS = [("v_top", "SELECT n FROM v_base WHERE n > 1"), ("v_base", "SELECT count(*) AS n FROM short_nation"), ("v_bad", "SELECT * FROM no_such_thing_at_all")]
+
+
+@query("SELECT * FROM (VALUES ('v_base', 'auto_fixed'), ('v_top', 'succeeded'), ('v_bad', 'failed')) t(name, status)")
+def view_deployment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views in order of need; a short name is tried once more under its full one."""
+    table(spark, sf_dir, "nation").createOrReplaceTempView("app_short_nation")
+    done = sinks.deploy_views(spark, VIEWS, ["v_base", "v_top"], {"short_nation": "app_short_nation"})
+    return spark.createDataFrame([(n, s) for n, s, _ in done], "name string, status string")
+
+
+@query("SELECT 7::BIGINT AS run_number, 'app' AS source_db, count(*)::BIGINT AS total, sum(o_orderkey % 3 = 0)::BIGINT AS passed, sum(o_orderkey % 3 = 1)::BIGINT AS failed, sum(o_orderkey % 3 = 2)::BIGINT AS skipped, 'COMPLETE' AS status FROM orders")
+def run_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run begun after six others and completed by its results."""
+    runs = sinks.new_run(spark.range(1, 7).select(F.col("id").alias("run_number")), "app", "target", ["s"], "notes")
+    results = table(spark, sf_dir, "orders").select(F.lit(7).cast("bigint").alias("run_number"), F.element_at(F.array(*map(F.lit, ("PASS", "FAIL", "SKIPPED"))), (F.col("o_orderkey") % 3 + 1).cast("int")).alias("verdict"))
+    return sinks.completed_run(runs, results, ["PASS"], ["SKIPPED"]).select("run_number", "source_db", "total", "passed", "failed", "skipped", "status")

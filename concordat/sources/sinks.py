@@ -71,6 +71,18 @@ def run_row(results: DataFrame, passed: list[str], skipped: list[str]) -> DataFr
     return results.groupBy("run_number").agg(F.count("*").alias("total"), F.count_if(v.isin(passed)).alias("passed"), F.count_if(v.isin(skipped)).alias("skipped"), F.count_if(~v.isin(passed) & ~v.isin(skipped)).alias("failed"))
 
 
+def new_run(runs: DataFrame, source_db: str, target_db: str, schemas: list[str], notes: str = "") -> DataFrame:
+    """The row of a run that begins: the number after the largest of runs, when, and what it compares; its counts come with completed_run()."""
+    number = F.coalesce(F.max("run_number"), F.lit(0)) + 1
+    row = runs.agg(number.cast("bigint").alias("run_number"))
+    return row.select("run_number", F.uuid().alias("run_id"), F.current_timestamp().alias("started"), F.lit(source_db).alias("source_db"), F.lit(target_db).alias("target_db"), F.array(*map(F.lit, schemas)).alias("schemas"), F.lit(notes).alias("notes"))
+
+
+def completed_run(run: DataFrame, results: DataFrame, passed: list[str], skipped: list[str]) -> DataFrame:
+    """A run's row with the counts of its results, when it ended and its status."""
+    return run.join(run_row(results, passed, skipped), "run_number", "left").withColumns({"ended": F.current_timestamp(), "status": F.when(F.coalesce("total", F.lit(0)) == 0, "EMPTY").otherwise("COMPLETE")})
+
+
 def export_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
