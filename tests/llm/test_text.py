@@ -218,6 +218,17 @@ def test_packing_loses_nothing(docs, spark):
     assert sum(r.doc_id is None for r in rows) == 1
 
 
+def test_runs_that_are_not_broadcast_give_the_same(docs, spark, monkeypatch):
+    import concordat.llm.packing as packing
+
+    pieces = cut(docs, lambda: word_codec(WORDS).encode, 64, end_id=1)
+    place = lambda: sorted((r.doc_id or 0, r.piece, r.ids_crc32, r.sequence_id, r.offset) for r in pack(pieces, VectorBins(64)).collect())
+    want = place()
+    monkeypatch.setattr(packing, "BROADCAST_RUNS", -1)
+    monkeypatch.setattr(packing, "STRETCH", 7)
+    assert place() == want
+
+
 def test_matrices_give_the_documents_back(spark, tmp_path):
     texts = [t for t in TEXTS if t is not None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
