@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Rows and bytes of an Arrow batch that goes to a Python worker, and characters of text handled at a time there.
-BATCH_ROWS, BATCH_BYTES, SLICE = 2000, 8 << 20, 1 << 21
+BATCH_ROWS, BATCH_BYTES, SLICE = 1000, 4 << 20, 1 << 20
 #: Rows of a small table of pairs that a file holds.
 FILE_ROWS = 200_000
 #: What a worker forgets when its task ends, what it drops before a task of another kind, and the kind of its last task.
@@ -129,12 +129,12 @@ def different_words(texts: list[str], separator: str | None = None) -> tuple[lis
     return names, place, size.astype(np.int64)
 
 
-def gathered(values: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs of values (of so many each) at places, one after the other, and where each ends."""
+def gathered(values: np.ndarray, sizes: np.ndarray, place: np.ndarray, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of values (of so many each, one after the other unless starts says where) at places, one after the other, and where each ends."""
     n = sizes[place]
     ends = np.cumsum(n)
-    starts = (np.cumsum(sizes) - sizes)[place]
-    return values[np.repeat(starts - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)], ends
+    first = (np.cumsum(sizes) - sizes if starts is None else starts)[place]
+    return values[np.repeat(first - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)], ends
 
 
 def ends_of(ends: np.ndarray, counts: np.ndarray) -> np.ndarray:

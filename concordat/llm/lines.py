@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE
-
 #: Phrases of menus and page furniture in English, German, French and Spanish; a short line that holds one is boilerplate.
 BOILERPLATE = (
     "all rights reserved",

@@ -37,9 +37,11 @@ class Tokens:
         if len(self.known) > REMEMBER:
             self.known.clear()
         words, place, counts = different_words(texts)
-        for w in words:
-            if w not in self.known:
-                self.known[w] = np.array([xxhash.xxh3_64_intdigest(x.encode()) % ROWS for x in self.split(w)], "<i4").tobytes()
+        new = [w for w in words if w not in self.known]
+        parts = [[w] if w.isalnum() else self.split(w) for w in new]
+        raw = np.array([xxhash.xxh3_64_intdigest(x) % ROWS for p in parts for x in p], "<i4").tobytes()
+        ends = np.cumsum([0, *map(len, parts)]) * 4
+        self.known.update((w, raw[a:b]) for w, a, b in zip(new, ends.tolist(), ends[1:].tolist()))
         rows = list(map(self.known.__getitem__, words))
         out, ends = gathered(np.frombuffer(b"".join(rows), "<i4"), np.fromiter(map(len, rows), np.int64, len(rows)) // 4, place)
         ends = ends_of(ends, counts)

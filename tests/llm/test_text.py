@@ -14,7 +14,7 @@ from concordat.llm.bpe import Codec, LibraryCodec, encode_documents
 from concordat.llm.licences import OTHERS, TEMPLATES, licence_paragraphs, scan
 from concordat.llm.lines import clean_lines
 from concordat.llm.packing import CapacityTree, TreeBins, VectorBins, assemble, cut, matrices, pack, plan, sequences, tightest, write_matrices
-from concordat.llm.wordbpe import WordCodec, word_codec
+from concordat.llm.wordbpe import WordCodec, WordTable, word_codec
 
 RANKS, WORDS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("word_bpe_49k.json")
 LONG = "word and another one. " * 8000
@@ -80,6 +80,10 @@ def test_word_codec_is_the_library():
     letters = [chr(i) for i in range(256)] + ["'s", "'LL", " ", "hello", "<|endoftext|>"] * 6
     texts = [t or "" for t in TEXTS] + ["".join(rng.choice(letters, rng.integers(0, 40))) for _ in range(500)]
     assert c.encode(texts) == c.whole(texts)
+    for most in (1, 30, 300):  # a table that begins anew again and again
+        c.known = WordTable(most)
+        assert [b for k in range(0, len(texts), 7) for b in c.encode(texts[k : k + 7])] == c.whole(texts)
+    assert c.encode([]) == [] and c.encode(["", "  "]) == [b"", b""]
 
 
 def test_capacity_tree():
