@@ -22,7 +22,7 @@ from .common import DROP, FORGET, SLICE, different_words, ends_of, fields, gathe
 NONE = np.int32(2**31 - 1)
 #: Longer pieces (in bytes) are merged one at a time with a heap: a matrix round costs the width of the row.
 WIDEST = 256
-#: Bytes that a memory of a worker takes, in two generations (a codec of words takes twice as much), and bytes that an entry of a word takes.
+#: Bytes that a memory of a worker takes, in two generations, and bytes that an entry of a word takes.
 REMEMBER, ENTRY = 48 << 20, 210
 #: Fixed value: the pattern under which a space that has no white space beside it begins a piece, whatever stands around it.
 BY_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
