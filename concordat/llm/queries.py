@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_documents, library_codec
 from .common import passing, shared_dir, table
 from .html import extract_main_text
+from .interactions import audit, judged
 from .itq import embedding_dedup
 from .licences import scan
 from .lines import BOILERPLATE, ENDS, clean_lines
@@ -121,3 +122,33 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))).drop("filter")
+
+
+ORACLE_SQL["op12_filter_interactions"] = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d),
+lowest AS (SELECT text, min(doc_id) AS first FROM d GROUP BY text),
+known AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+  (len(ws) < 100)::INT + 2 * (100 * len(list_distinct(ws)) < 80 * len(ws))::INT + 4 * (100 * (len(text) - len(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * len(text))::INT
+  + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first, false)::INT AS mask
+  FROM w JOIN lowest USING (text) LEFT JOIN known USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS b),
+o AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits FROM f a, f b, f c, f d, f e WHERE a.b + b.b + c.b + d.b + e.b = 31 AND a.b | b.b | c.b | d.b | e.b = 31),
+s AS (SELECT filter_order, step::INT AS step, bits[step] AS b, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before FROM o, range(1, 6) AS t(step)),
+r AS (SELECT part, filter_order, step, b,
+  coalesce(sum(n) FILTER (WHERE mask & (before | b) = 0), 0)::BIGINT AS kept,
+  coalesce(sum(n) FILTER (WHERE mask & before = 0 AND mask & b <> 0), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (WHERE mask & before <> 0 AND mask & b <> 0), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (WHERE mask = b), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (WHERE mask & before = 0 AND mask & b <> 0), 0)::BIGINT AS good_lost,
+  coalesce(sum(toxic) FILTER (WHERE mask & before = 0 AND mask & b <> 0), 0)::BIGINT AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, b)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, b))::BIGINT AS shapley FROM r
+"""
