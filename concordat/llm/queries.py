@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode_documents, library_codec
+from .collocations import collocations
 from .common import passing, shared_dir, table
 from .html import extract_main_text
 from .interactions import audit, judged
@@ -152,3 +153,25 @@ r AS (SELECT part, filter_order, step, b,
   FROM c, s GROUP BY part, filter_order, step, b)
 SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, b))::BIGINT AS shapley FROM r
 """
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op13_collocations"] = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (SELECT unnest([1, 2, 3]) AS m))),
+f AS (SELECT lang, m, phrase, count(*) AS n FROM g GROUP BY lang, m, phrase),
+size AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND n >= 10),
+inner_ AS (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a AS longer FROM c WHERE m = 3),
+kept AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM inner_ i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.longer >= 50 * c.a)),
+cut AS (SELECT kept.*, k, array_to_string(w[1:k], ' ') AS one, array_to_string(w[k + 1:m], ' ') AS two FROM kept, (SELECT unnest([1, 2]) AS k) WHERE k < m),
+s AS (SELECT cut.lang, cut.phrase, a, k, x.n AS l, y.n AS r, ((1000000::HUGEINT * a * a) // (x.n::HUGEINT * y.n))::BIGINT AS score FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = one JOIN f y ON y.lang = cut.lang AND y.phrase = two),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b QUALIFY rank <= 2000)
+SELECT t.lang, rank, phrase, a, l, r, size.n, score FROM t JOIN size ON size.lang = t.lang
+"""
