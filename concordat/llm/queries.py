@@ -17,6 +17,7 @@ from .interactions import audit, judged
 from .itq import embedding_dedup
 from .licences import scan
 from .lines import BOILERPLATE, ENDS, clean_lines
+from .mixing import lm_scores
 from .ngram import ngram_join
 from .packing import TreeBins, assemble, cut, pack, tightest
 from .quality import quality_scores
@@ -125,6 +126,11 @@ def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op11_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))).drop("filter")
