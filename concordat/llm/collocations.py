@@ -229,7 +229,7 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, least: int = 10) -> tupl
 
 def first_of_each(ranked: DataFrame, group: str, order: Callable[[], list], most: int) -> DataFrame:
     """The first most rows of each group with their rank: the first of many hashed shares of it, then of fewer, so that no task takes in a large group."""
-    for shares in (256, 16, 1):
+    for shares in (256, 32, 4, 1):
         window = Window.partitionBy(group, F.pmod(F.xxhash64("phrase"), F.lit(shares))).orderBy(*order())
         ranked = ranked.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= most)
     return ranked
@@ -245,6 +245,11 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, inside_perc
     count each; langs without candidates and empty tables give no rows; other columns are left out.
     """
     grams, sizes = frequent_phrases(docs, longest, least)
+    return ranked_candidates(grams, sizes, inside_percent, most)
+
+
+def ranked_candidates(grams: DataFrame, sizes: DataFrame, inside_percent: int, most: int) -> DataFrame:
+    """The collocations among grams (lang, phrase, words, n), all frequent phrases with their counts; sizes: lang, words."""
     parts = grams.select("lang", "phrase", "n")
     candidates = grams.where("words > 1").select("lang", "phrase", "words", F.col("n").alias("a"))
     pieces = F.split("phrase", " ")
