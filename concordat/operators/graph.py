@@ -1,7 +1,8 @@
 """Dependency graphs of objects: edges by name, waves, order, cycles, closure and missing references.
 
-Objects are metadata, thousands at most: graphs of up to DRIVER_EDGES edges are walked on the driver, larger ones with joins, a round for each step
-of the longest path.
+Results of a row for each object (waves, components) are worked out on the driver for graphs of up to DRIVER_EDGES edges, larger graphs with joins. The
+closure has a row for each pair that a way connects, which a short list of edges doesn't bound, so that only the first DRIVER_PAIRS of them are
+looked for on the driver; beyond that it is a table that grows by doubling, a round for each doubling of the longest way.
 """
 
 from __future__ import annotations
@@ -9,22 +10,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .durable import durable
 
-#: Edges of a catalog that the driver takes at most; a larger graph is walked with joins.
-DRIVER_EDGES = 1_000_000
+#: Edges that the driver takes at most, and pairs of a closure.
+DRIVER_EDGES, DRIVER_PAIRS = 1_000_000, 200_000
 
 
 def edges(objects: DataFrame) -> DataFrame:
     """(src, dst) for each object (fqn, name, depends_on) and each object that it depends on: by full name, else by bare name
-    (the same schema first, then the least full name), whatever the case; without edges to itself or repeats."""
-    o = objects.select("fqn", F.explode("depends_on").alias("dep"))
-    known = objects.select(F.col("fqn").alias("dst"), F.upper("fqn").alias("full"), F.upper("name").alias("bare"))
-    schema = lambda c: F.regexp_extract(F.upper(c), r"^(.*)\.[^.]*$", 1)
-    exact = o.join(known, F.upper("dep") == F.col("full")).select("fqn", "dep", "dst", F.lit(0).alias("rank"))
-    loose = o.join(known, F.regexp_extract(F.upper("dep"), r"([^.]*)$", 1) == F.col("bare")).select("fqn", "dep", "dst", F.when(schema("fqn") == schema("dst"), 1).otherwise(2).alias("rank"))
-    best = Window.partitionBy("fqn", "dep").orderBy("rank", "dst")
-    found = exact.union(loose).withColumn("p", F.row_number().over(best)).where("p = 1 AND fqn <> dst")
-    return found.select(F.col("fqn").alias("src"), "dst").distinct()
+    (the same schema first, then the least full name), whatever the case; without edges to itself or repeats. Names are looked up among the least full
+    names for a full, a schema's bare and a bare name, so that a bare name in a thousand schemas is one row."""
+    schema, bare = (lambda c: F.regexp_extract(F.upper(c), r"^(.*)\.[^.]*$", 1)), lambda c: F.regexp_extract(F.upper(c), r"([^.]*)$", 1)
+    wanted = objects.select("fqn", F.explode("depends_on").alias("dep")).withColumns({"full": F.upper("dep"), "schema": schema("fqn"), "bare": bare("dep")})
+    known = objects.select("fqn", F.upper("fqn").alias("full"), schema("fqn").alias("schema"), F.upper("name").alias("bare"))
+    for level, keys in (("exact", ["full"]), ("same", ["schema", "bare"]), ("any", ["bare"])):
+        wanted = wanted.join(known.groupBy(*keys).agg(F.min("fqn").alias(level)), keys, "left")
+    found = wanted.select(F.col("fqn").alias("src"), F.coalesce("exact", "same", "any").alias("dst"))
+    return found.where("src <> dst").distinct()
 
 
 def waves(objects: DataFrame, deps: DataFrame) -> DataFrame:
@@ -52,19 +54,19 @@ def waves(objects: DataFrame, deps: DataFrame) -> DataFrame:
 
 
 def joined_waves(objects: DataFrame, deps: DataFrame) -> DataFrame:
-    """waves() with joins: each round takes the objects without an edge that is left; checkpoints cut the lineage."""
+    """waves() with joins: each round takes the objects without an edge that is left; a durable table after each cuts the lineage."""
     left = objects.select("fqn").distinct()
     known = left.select(F.col("fqn").alias("dst"))
-    edge = deps.select("src", "dst").distinct().join(known, "dst", "left_semi").join(left.select(F.col("fqn").alias("src")), "src", "left_semi").checkpoint()
+    edge = durable(deps.select("src", "dst").distinct().join(known, "dst", "left_semi").join(left.select(F.col("fqn").alias("src")), "src", "left_semi"), "edges")
     out = left.limit(0).select("fqn", F.lit(0).alias("wave"), F.lit(False).alias("in_cycle"))
     wave = 0
     while left.limit(1).count():
-        ready = left.join(edge.select(F.col("src").alias("fqn")).distinct(), "fqn", "left_anti").checkpoint()
+        ready = durable(left.join(edge.select(F.col("src").alias("fqn")).distinct(), "fqn", "left_anti"), "ready")
         if not ready.limit(1).count():
             return out.unionByName(left.select("fqn", F.lit(wave).alias("wave"), F.lit(True).alias("in_cycle")))
         out = out.unionByName(ready.select("fqn", F.lit(wave).alias("wave"), F.lit(False).alias("in_cycle")))
-        left = left.join(ready, "fqn", "left_anti").checkpoint()
-        edge = edge.join(ready.select(F.col("fqn").alias("dst")), "dst", "left_anti").select("src", "dst").checkpoint()
+        left = durable(left.join(ready, "fqn", "left_anti"), "left")
+        edge = durable(edge.join(ready.select(F.col("fqn").alias("dst")), "dst", "left_anti").select("src", "dst"), "edges")
         wave += 1
     return out
 
@@ -78,44 +80,155 @@ def closure(deps: DataFrame) -> DataFrame:
     """(src, dst, depth) for all that src needs, directly or not, by the shortest way, however long. Each pair is found once, so neither cycles nor
     many ways to one object repeat work."""
     spark = deps.sparkSession
-    rows = deps.select("src", "dst").limit(DRIVER_EDGES + 1).collect()
-    if len(rows) > DRIVER_EDGES:
-        return joined_closure(deps)
-    needs: dict[str, list[str]] = {}
+    rows = deps.select("src", "dst").limit(DRIVER_PAIRS + 1).collect()
+    if len(rows) > DRIVER_PAIRS:
+        return doubled_closure(deps)
+    needs: dict[object, list[object]] = {}
     for r in rows:
         needs.setdefault(r["src"], []).append(r["dst"])
-    out = []
+    out: list[tuple[object, object, int]] = []
     for start in needs:
-        seen: dict[str, int] = {}
+        seen: dict[object, int] = {}
         edge, depth = [start], 0
         while edge:
             depth += 1
             edge = [d for d in dict.fromkeys(d for s in edge for d in needs.get(s, ())) if d not in seen]
             seen |= dict.fromkeys(edge, depth)
+            if len(out) + len(seen) > DRIVER_PAIRS:
+                return doubled_closure(deps)
         out += [(start, d, n) for d, n in seen.items()]
-    return spark.createDataFrame(out, "src string, dst string, depth int")
-
-
-def joined_closure(deps: DataFrame) -> DataFrame:
-    """closure() with joins: each round steps from the pairs found last and leaves out those found before; checkpoints cut the lineage."""
-    edge = found = deps.select("src", "dst").distinct().withColumn("depth", F.lit(1)).checkpoint()
+    kind = dict(deps.dtypes)["src"]
+    return spark.createDataFrame(out, f"src {kind}, dst {kind}, depth int")
+
+
+def doubled_closure(deps: DataFrame) -> DataFrame:
+    """closure() with joins. With all pairs up to a distance and those at just that distance in hand, a way of up to twice it is one of the latter
+    and one of the former, so each round doubles the distance, and comes on a pair once for each object halfway. Pairs of before have the least depths and stay."""
+    found, reach = durable(deps.select("src", "dst").distinct().withColumn("depth", F.lit(1)), "pairs"), 1
+    while True:
+        far = found.where(F.col("depth") == reach).select("src", F.col("dst").alias("mid"))
+        step = far.join(found.select(F.col("src").alias("mid"), "dst", (F.col("depth") + reach).alias("depth")), "mid").select("src", "dst", "depth")
+        found = durable(found.unionByName(step).groupBy("src", "dst").agg(F.min("depth").alias("depth")), "pairs")
+        reach *= 2
+        if (found.agg(F.max("depth")).first()[0] or 0) < reach:
+            return found  # nothing is farther
+
+
+def components(deps: DataFrame) -> DataFrame:
+    """(node, component) for each node that an edge of deps (src, dst) names: the least node of those that it reaches and that reach it."""
+    rows = deps.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").limit(DRIVER_EDGES + 1).collect()
+    if len(rows) > DRIVER_EDGES:
+        return joined_components(deps)
+    needs: dict[object, list[object]] = {}
+    for r in rows:
+        needs.setdefault(r["src"], []).append(r["dst"])
+        needs.setdefault(r["dst"], [])
+    place: dict[object, int] = {}
+    low: dict[object, int] = {}
+    stack: list[object] = []
+    out: list[tuple[object, object]] = []
+    held: set[object] = set()
+    for start in needs:
+        if start in place:
+            continue
+        place[start] = low[start] = len(place)
+        stack.append(start)
+        held.add(start)
+        way = [(start, iter(needs[start]))]
+        while way:
+            node, rest = way[-1]
+            following = next((d for d in rest if d not in place or d in held), None)
+            if following is None:
+                way.pop()
+                if way:
+                    low[way[-1][0]] = min(low[way[-1][0]], low[node])
+                if low[node] == place[node]:
+                    members = []
+                    while not members or members[-1] != node:
+                        members.append(stack.pop())
+                    held.difference_update(members)
+                    out += [(m, min(members)) for m in members]
+            elif following in place:
+                low[node] = min(low[node], place[following])
+            else:
+                place[following] = low[following] = len(place)
+                stack.append(following)
+                held.add(following)
+                way.append((following, iter(needs[following])))
+    kind = dict(deps.dtypes)["src"]
+    return deps.sparkSession.createDataFrame(out, f"node {kind}, component {kind}")
+
+
+def joined_components(deps: DataFrame) -> DataFrame:
+    """components() with joins. Nodes that nothing needs, or that need nothing, are components of their own and trimmed, again and again; of what
+    is left, each node takes the largest name that reaches it, and those that reach the node of their name through nodes of that name are its component."""
+    edge = durable(deps.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct(), "edges")
+    nodes = edge.select(F.col("src").alias("node")).union(edge.select("dst")).distinct()
+    found: list[DataFrame] = []
+    edge = durable(edge.where("src <> dst"), "edges")
     while edge.limit(1).count():
-        step = edge.select("src", F.col("dst").alias("mid"), "depth").join(deps.select(F.col("src").alias("mid"), "dst"), "mid")
-        edge = step.select("src", "dst", (F.col("depth") + 1).alias("depth")).distinct().join(found, ["src", "dst"], "left_anti").checkpoint()
-        found = found.unionByName(edge).checkpoint()
-    return found
+        rows, last = edge.count(), -1
+        while rows != last:
+            ins, outs = edge.select(F.col("dst").alias("src")).distinct(), edge.select(F.col("src").alias("dst")).distinct()
+            edge = durable(edge.join(ins, "src", "left_semi").join(outs, "dst", "left_semi").select("src", "dst"), "edges")
+            last, rows = rows, edge.count()
+        if not rows:
+            break
+        name = durable(edge.select(F.col("src").alias("node")).union(edge.select("dst")).distinct().withColumn("name", F.col("node")), "names")
+        changed = 1
+        while changed:
+            heard = edge.join(name.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg(F.max("name").alias("heard"))
+            name = durable(name.join(heard, "node", "left").select("node", F.greatest("name", "heard").alias("name"), (F.coalesce("heard", "name") > F.col("name")).alias("changed")), "names")
+            changed = name.where("changed").limit(1).count()
+            name = name.drop("changed")
+        inside = durable(edge.join(name.withColumnRenamed("node", "src"), "src").join(name.select(F.col("node").alias("dst"), F.col("name").alias("other")), "dst").where("name = other").select("src", "dst", "name"), "inside")
+        reached = durable(name.where("node = name"), "reached")
+        front = reached
+        while front.limit(1).count():  # backwards from the node of the name
+            step = inside.join(front.select(F.col("node").alias("dst"), "name"), ["dst", "name"]).select(F.col("src").alias("node"), "name").distinct()
+            front = durable(step.join(reached, ["node", "name"], "left_anti"), "front")
+            reached = durable(reached.unionByName(front), "reached")
+        found.append(reached)
+        gone = reached.select(F.col("node").alias("src"))
+        edge = durable(edge.join(gone, "src", "left_anti").join(gone.withColumnRenamed("src", "dst"), "dst", "left_anti").select("src", "dst"), "edges")
+    if not found:
+        return nodes.select("node", F.col("node").alias("component"))
+    named = found[0]
+    for f in found[1:]:
+        named = named.unionByName(f)
+    least = named.groupBy("name").agg(F.min("node").alias("component"))
+    return nodes.join(named.join(least, "name").select("node", "component"), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+def condensed(deps: DataFrame, parts: DataFrame) -> DataFrame:
+    """Edges between components (src, dst), each once."""
+    ends = deps.select("src", "dst").join(parts.select(F.col("node").alias("src"), F.col("component").alias("a")), "src").join(parts.select(F.col("node").alias("dst"), F.col("component").alias("b")), "dst")
+    return ends.where("a <> b").select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct()
+
+
+def reachable(deps: DataFrame) -> DataFrame:
+    """(src, dst) for all that src needs, directly or not, itself included if it lies on a cycle: the closure between components, and all pairs within one."""
+    parts = durable(components(deps), "components")
+    members = parts.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
+    alone = deps.where("src = dst").select(F.col("src").alias("component")).distinct()
+    within = members.union(alone).distinct().select(F.col("component").alias("src"), F.col("component").alias("dst"))
+    pairs = closure(condensed(deps, parts)).select("src", "dst").unionByName(within)
+    ends = pairs.join(parts.select(F.col("component").alias("src"), F.col("node").alias("a")), "src").join(parts.select(F.col("component").alias("dst"), F.col("node").alias("b")), "dst")
+    return ends.select(F.col("a").alias("src"), F.col("b").alias("dst"))
 
 
 def cycle_members(deps: DataFrame) -> DataFrame:
-    """Objects that need themselves."""
-    return closure(deps).where("src = dst").select(F.col("src").alias("fqn"))
+    """Objects that need themselves: members of components of two or more, and those with an edge to themselves."""
+    parts = components(deps)
+    large = parts.join(parts.groupBy("component").agg(F.count("*").alias("n")).where("n > 1"), "component", "left_semi").select(F.col("node").alias("fqn"))
+    return large.union(deps.where("src = dst").select("src")).distinct()
 
 
 def base_tables(objects: DataFrame, deps: DataFrame) -> DataFrame:
     """For each view the tables at the end of its ways."""
     tables = objects.where("type = 'TABLE'").select(F.col("fqn").alias("dst"))
     views = objects.where("type = 'VIEW'").select(F.col("fqn").alias("src"))
-    return closure(deps).join(tables, "dst", "left_semi").join(views, "src", "left_semi").groupBy("src").agg(F.array_join(F.array_sort(F.collect_set("dst")), ",").alias("base_tables")).withColumnRenamed("src", "fqn")
+    return reachable(deps).join(tables, "dst", "left_semi").join(views, "src", "left_semi").groupBy("src").agg(F.array_join(F.array_sort(F.collect_set("dst")), ",").alias("base_tables")).withColumnRenamed("src", "fqn")
 
 
 def missing_references(objects: DataFrame) -> DataFrame:

@@ -83,7 +83,7 @@ FKS = [("fk1", 2, "orders", "b", "customer", "y"), ("fk1", 1, "orders", "a", "cu
 
 
 @query("WITH f(name, ordinal, from_table, from_col, to_table, to_col) AS (VALUES " + ", ".join(str(x) for x in FKS) + ") SELECT name, from_table, to_table, string_agg(from_col, ',' ORDER BY ordinal) AS from_cols, string_agg(to_col, ',' ORDER BY ordinal) AS to_cols FROM f GROUP BY ALL")
-def catalog_foreign_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+def foreign_keys_by_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.foreign_keys(spark.createDataFrame(FKS, "name string, ordinal int, from_table string, from_col string, to_table string, to_col string"))
 
 
@@ -91,7 +91,7 @@ INDEXES = [("ix1", "orders", 1, "a", False, False), ("ix1", "orders", 2, "b", Tr
 
 
 @query("WITH f(index_name, table_name, ordinal, column_name, is_desc, is_included) AS (VALUES " + ", ".join(str(x) for x in INDEXES) + ") SELECT index_name, table_name, coalesce(string_agg(column_name || CASE WHEN is_desc THEN ' DESC' ELSE '' END, ',' ORDER BY ordinal) FILTER (NOT is_included), '') AS columns, coalesce(string_agg(column_name, ',' ORDER BY ordinal) FILTER (is_included), '') AS include_cols FROM f GROUP BY ALL")
-def catalog_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def index_columns_by_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.index_columns(spark.createDataFrame(INDEXES, "index_name string, table_name string, ordinal int, column_name string, is_desc boolean, is_included boolean"))
 
 

@@ -2,31 +2,36 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concordat.operators import graph, scan, witness
 from concordat.sources import files
 
-from .registry import query, table
+from .registry import for_each, query, table
 
 OBJECTS = [
     ("TABLE", "app.region", []), ("TABLE", "app.nation", ["app.region"]), ("TABLE", "app.customer", ["APP.NATION"]), ("TABLE", "app.orders", ["customer"]), ("TABLE", "app.part", []), ("TABLE", "app.lineitem", ["orders", "app.part", "app.lineitem"]),
     ("VIEW", "app.v_sales", ["app.orders", "app.lineitem"]), ("VIEW", "app.v_top", ["app.v_sales", "app.gone"]), ("VIEW", "rep.v_a", ["rep.v_b"]), ("VIEW", "rep.v_b", ["rep.v_a", "app.region"]), ("VIEW", "rep.v_c", ["rep.v_b", "nowhere.t"]),
 ]
 OBJECT_VALUES = ", ".join(f"('{t}', '{f}', '{f.split('.')[1]}', [{', '.join(repr(d) for d in deps)}]::VARCHAR[])" for t, f, deps in OBJECTS)
-EDGES = f"""o(type, fqn, name, deps) AS (VALUES {OBJECT_VALUES}), d AS (SELECT fqn, unnest(deps) AS dep FROM o),
+#: One copy of the objects for each supplier, in schemas of its own; bare names are in all of them.
+EDGES = f"""t(type, fqn, name, deps) AS (VALUES {OBJECT_VALUES}), o AS (SELECT type, replace(fqn, '.', s_suppkey || '.') AS fqn, name, list_transform(deps, lambda x: replace(x, '.', s_suppkey || '.')) AS deps FROM t, supplier), d AS (SELECT fqn, unnest(deps) AS dep FROM o),
 c AS (SELECT d.fqn, d.dep, k.fqn AS dst, CASE WHEN upper(d.dep) = upper(k.fqn) THEN 0 WHEN split_part(d.fqn, '.', 1) = split_part(k.fqn, '.', 1) THEN 1 ELSE 2 END AS r FROM d JOIN o k ON upper(d.dep) = upper(k.fqn) OR upper(split_part(d.dep, '.', -1)) = upper(k.name)),
 e AS (SELECT DISTINCT fqn AS src, dst FROM (SELECT *, row_number() OVER (PARTITION BY fqn, dep ORDER BY r, dst) AS p FROM c) WHERE p = 1 AND fqn <> dst)"""
 
 
-def objects(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(t, f, f.split(".")[1], d) for t, f, d in OBJECTS], "type string, fqn string, name string, depends_on array<string>")
+def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = for_each(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("k")), [(t, f, f.split(".")[1], d) for t, f, d in OBJECTS], "type string, fqn string, name string, depends_on array<string>")
+    own = lambda c: F.replace(c, F.lit("."), F.concat("k", F.lit(".")))
+    return rows.select("type", own(F.col("fqn")).alias("fqn"), "name", F.transform("depends_on", own).alias("depends_on"))
 
 
 @query(f"WITH {EDGES} SELECT src, dst FROM e")
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.edges(objects(spark))
+    return graph.edges(objects(spark, sf_dir))
 
 
 CLOSURE = f"WITH RECURSIVE {EDGES}, up(src, dst, depth) AS (SELECT src, dst, 1 FROM e UNION ALL SELECT u.src, e.dst, u.depth + 1 FROM up u JOIN e ON u.dst = e.src WHERE u.depth < 30 AND u.src <> u.dst), cl AS (SELECT src, dst, min(depth) AS depth FROM up GROUP BY ALL), bad AS (SELECT src AS fqn FROM cl WHERE src = dst UNION SELECT c.src FROM cl c JOIN cl s ON c.dst = s.src AND s.src = s.dst)"
@@ -35,35 +40,63 @@ DEEP = ", lv AS (SELECT fqn, 0 AS l FROM o WHERE fqn NOT IN (SELECT fqn FROM bad
 
 @query(CLOSURE + DEEP + " SELECT fqn, wave::INT AS wave, in_cycle FROM z")
 def graph_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = objects(spark)
+    o = objects(spark, sf_dir)
     return graph.waves(o, graph.edges(o))
 
 
 @query(CLOSURE + DEEP + " SELECT fqn, row_number() OVER (ORDER BY wave, fqn)::INT AS place, in_cycle AS cycle_warning FROM z")
 def graph_toposort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = objects(spark)
+    o = objects(spark, sf_dir)
     return graph.topological_order(graph.waves(o, graph.edges(o)))
 
 
 @query(CLOSURE + " SELECT src, dst, depth::INT AS depth FROM cl")
 def graph_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.closure(graph.edges(objects(spark)))
+    return graph.closure(graph.edges(objects(spark, sf_dir)))
 
 
 @query(CLOSURE + " SELECT src AS fqn FROM cl WHERE src = dst")
 def graph_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.cycle_members(graph.edges(objects(spark)))
+    return graph.cycle_members(graph.edges(objects(spark, sf_dir)))
 
 
 @query(CLOSURE + " SELECT src AS fqn, string_agg(dst, ',' ORDER BY dst) AS base_tables FROM cl WHERE src IN (SELECT fqn FROM o WHERE type = 'VIEW') AND dst IN (SELECT fqn FROM o WHERE type = 'TABLE') GROUP BY 1")
 def graph_base_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = objects(spark)
+    o = objects(spark, sf_dir)
     return graph.base_tables(o, graph.edges(o))
 
 
 @query(f"WITH {EDGES} SELECT DISTINCT fqn, dep AS missing FROM d WHERE upper(dep) NOT IN (SELECT upper(fqn) FROM o UNION SELECT upper(name) FROM o)")
 def graph_missing_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.missing_references(objects(spark))
+    return graph.missing_references(objects(spark, sf_dir))
+
+
+#: Keys as a graph: lines need orders and parts, orders customers, customers nations, nations regions; customers of a hundred's first three places need each other in a ring.
+KEYS = """k(src, dst) AS (SELECT 'l' || l_orderkey || '-' || l_linenumber, 'o' || l_orderkey FROM lineitem UNION SELECT 'l' || l_orderkey || '-' || l_linenumber, 'p' || l_partkey FROM lineitem UNION SELECT 'o' || o_orderkey, 'c' || o_custkey FROM orders
+UNION SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer UNION SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation
+UNION SELECT 'c' || c_custkey, 'c' || CASE WHEN c_custkey % 100 = 2 THEN c_custkey - 2 ELSE c_custkey + 1 END FROM customer WHERE c_custkey % 100 < 3)"""
+
+
+def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line, orders, customer, nation = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "nation"))
+    edge = lambda df, src, dst: df.selectExpr(f"concat({src}) AS src", f"concat({dst}) AS dst")
+    number = "'l', l_orderkey, '-', l_linenumber"
+    ring = edge(customer.where("c_custkey % 100 < 3"), "'c', c_custkey", "'c', CASE WHEN c_custkey % 100 = 2 THEN c_custkey - 2 ELSE c_custkey + 1 END")
+    found = [edge(line, number, "'o', l_orderkey"), edge(line, number, "'p', l_partkey"), edge(orders, "'o', o_orderkey", "'c', o_custkey"), edge(customer, "'c', c_custkey", "'n', c_nationkey"), edge(nation, "'n', n_nationkey", "'r', n_regionkey"), ring]
+    return reduce(DataFrame.union, found).distinct()
+
+
+@query(f"WITH RECURSIVE {KEYS}, up(src, dst, depth) AS (SELECT src, dst, 1 FROM k UNION SELECT up.src, k.dst, depth + 1 FROM up JOIN k ON up.dst = k.src WHERE depth < 9), s AS (SELECT src, dst, min(depth) AS depth FROM up GROUP BY ALL) SELECT left(src, 1) AS src_kind, left(dst, 1) AS dst_kind, depth::INT AS depth, count(*)::BIGINT AS n FROM s GROUP BY ALL")
+def graph_keys_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closure of more edges than the driver takes pairs, with rings in it: how many pairs of each kind lie how far apart."""
+    return graph.closure(keys(spark, sf_dir)).groupBy(F.left("src", F.lit(1)).alias("src_kind"), F.left("dst", F.lit(1)).alias("dst_kind"), "depth").agg(F.count("*").alias("n"))
+
+
+@query("WITH e AS (SELECT c_custkey - c_custkey % 100 AS first, c_custkey FROM customer WHERE c_custkey % 100 < 3), whole AS (SELECT first FROM e GROUP BY first HAVING count(*) = 3) SELECT 'c' || c_custkey AS node, 'c' || first AS component FROM e JOIN whole USING (first)")
+def graph_keys_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of two nodes or more, found with joins: the rings."""
+    parts = graph.joined_components(keys(spark, sf_dir))
+    return parts.join(parts.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component"), "component").select("node", "component")
 
 
 TEXTS = [

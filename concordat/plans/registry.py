@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -13,6 +14,8 @@ ORACLE_SQL: dict[str, str] = {}
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def keep(f: Query) -> Query:
+        if f.__name__ in QUERIES:
+            raise ValueError(f"there is a query {f.__name__} already")
         QUERIES[f.__name__] = f
         if sql:
             ORACLE_SQL[f.__name__] = sql
@@ -23,3 +26,26 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def for_each(df: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
+    """Each row of df with each of a few rows of these columns: df's columns and theirs."""
+    held = df.sparkSession.createDataFrame(rows, schema)
+    names = held.columns
+    literals = F.expr("array(" + ", ".join("struct(" + ", ".join(f"CAST({spelled(v)} AS {f.dataType.simpleString()}) AS `{f.name}`" for v, f in zip(r, held.schema)) + ")" for r in rows) + ")")
+    return df.select("*", F.explode(literals).alias("__row")).select(*df.columns, *(F.col("__row")[n].alias(n) for n in names))
+
+
+def one_of(df: DataFrame, key: str, rows: list[tuple], schema: str) -> DataFrame:
+    """Each row of df with the one of these rows at the place that its key, modulo how many there are, tells."""
+    placed = [(i, *r) for i, r in enumerate(rows)]
+    return df.withColumn("__place", (F.col(key) % len(rows)).cast("int")).join(F.broadcast(df.sparkSession.createDataFrame(placed, f"__place int, {schema}")), "__place").drop("__place")  # a few rows
+
+
+def spelled(value: object) -> str:
+    """A value in SQL."""
+    if value is None or isinstance(value, bool):
+        return {None: "NULL", True: "true", False: "false"}[value]
+    if isinstance(value, (list, tuple)):
+        return "array(" + ", ".join(map(spelled, value)) + ")"
+    return str(value) if not isinstance(value, str) else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from concordat.operators import graph, scan
 
-from .registry import query
+from .registry import for_each, one_of, query, table
 
 TEXTS = [
     ("function", "a.block1", "CREATE FUNCTION f() LANGUAGE plpython2u"), ("function", "a.block1b", "LANGUAGE plphp"), ("function", "a.fine1", "CREATE FUNCTION f() LANGUAGE plpgsql"),
@@ -126,20 +126,22 @@ def deprecated_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 LONG = [(f"o{i:03d}", f"o{i + 1:03d}") for i in range(100)]
 LADDER = [(f"d{i:02d}", f"d{i:02d}{s}") for i in range(20) for s in "ab"] + [(f"d{i:02d}{s}", f"d{i + 1:02d}") for i in range(20) for s in "ab"]
 RING = [("r0", "r1"), ("r1", "r2"), ("r2", "r0"), ("r3", "r0")]
-SHAPE = "e(src, dst) AS (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in [*LONG, *LADDER, *RING]) + ")"
+#: One copy for each nation.
+SHAPE = "e AS (SELECT n_nationkey || src AS src, n_nationkey || dst AS dst FROM nation, (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in [*LONG, *LADDER, *RING]) + ") t(src, dst))"
 WALK = f"RECURSIVE {SHAPE}, up(src, dst) AS (SELECT src, dst FROM e UNION SELECT u.src, e.dst FROM up u JOIN e ON u.dst = e.src)"
 
 
-def shape(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([*LONG, *LADDER, *RING], "src string, dst string")
+def shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = for_each(table(spark, sf_dir, "nation").select("n_nationkey"), [*LONG, *LADDER, *RING], "src string, dst string")
+    return rows.select(F.concat("n_nationkey", "src").alias("src"), F.concat("n_nationkey", "dst").alias("dst"))
 
 
 @query(f"WITH {WALK} SELECT src, count(*)::BIGINT AS n_reached, min(dst) AS first, max(dst) AS last FROM up GROUP BY src")
 def graph_closure_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A chain of a hundred objects, twenty diamonds in a row, and a ring: no cap on depth, no work for each way."""
-    return graph.closure(shape(spark)).groupBy("src").agg(F.count("*").alias("n_reached"), F.min("dst").alias("first"), F.max("dst").alias("last"))
+    return graph.closure(shape(spark, sf_dir)).groupBy("src").agg(F.count("*").alias("n_reached"), F.min("dst").alias("first"), F.max("dst").alias("last"))
 
 
 @query(f"WITH {WALK} SELECT src AS fqn FROM up WHERE src = dst")
 def graph_cycles_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.cycle_members(shape(spark))
+    return graph.cycle_members(shape(spark, sf_dir))
