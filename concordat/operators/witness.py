@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
 import re
 from collections.abc import Callable
 
@@ -10,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ranks import numbered
+from .wishes import conditions, solved
 
 
 def value_of(index: Column, kind: str, name: str = "", choices: list[str] | None = None, low: int | None = None, high: int | None = None, size: int | None = None) -> Column:
@@ -167,51 +167,29 @@ def wanted(sql: str, columns: dict[str, list[str]] | None = None) -> list[tuple[
     return list(dict.fromkeys(out))
 
 
-def satisfying(sign: str, value: str, kind: str) -> str | None:
-    """A value (as text) of a kind for which a comparison holds."""
-    number = kind in ("int", "bigint", "smallint", "double", "float") or kind.startswith("decimal")
-    if sign in ("=", "<=", ">="):
-        return value
-    if sign == "LIKE":
-        return value.replace("%", "").replace("_", "x")
-    if sign == "NOT NULL":
-        return None
-    if number:
-        return str(float(value) + {">": 1, "<": -1}.get(sign, 1)).removesuffix(".0")
-    if kind in ("date", "timestamp", "timestamp_ntz"):
-        day = datetime.date.fromisoformat(value[:10])
-        return str(day + datetime.timedelta(days=-1 if sign == "<" else 1))
-    return value + "x" if sign != "<" else ""
+def solution(sql: str, tables: dict[str, DataFrame], seed_value: int = 1) -> tuple[dict[tuple[str, str], str | None], list[str]]:
+    """Values (as text) by table and column for which the comparisons of a statement hold together, and the columns for which there are none."""
+    columns = {t: {f.name.lower(): f.dataType.simpleString() for f in df.schema} for t, df in tables.items()}
+    by_name = {n.lower(): n for n in tables}
+    resolve = lambda t: by_name.get(t.lower()) or by_name.get(t.rpartition(".")[2].lower())
+    names = {alias: r for alias, t in alias_map(sql).items() if (r := resolve(t))}
+
+    def place(alias: str, column: str) -> tuple[str, str] | None:
+        t = names.get(alias) if alias else next((t for t in dict.fromkeys(names.values()) if column in columns[t]), None)
+        return (t, column) if t and column in columns[t] else None
+
+    ways = [[(c, w) for w in way if (c := place(w.alias, w.column))] for way in conditions(sql)]
+    pairs = [((t, b.lower()), (u, d.lower())) for a, b, c, d in join_pairs(sql) if (t := resolve(a)) and (u := resolve(c)) and b.lower() in columns[t] and d.lower() in columns[u]]
+    return solved(ways, {(t, c): kind for t, held in columns.items() for c, kind in held.items()}, pairs, seed_value)
 
 
 def witness_rows(spark: SparkSession, sql: str, tables: dict[str, DataFrame], seed_value: int = 1) -> dict[str, DataFrame]:
-    """Tables of a statement with one row more each, so that the statement has a row to return: values that its comparisons ask for, columns that its
-    joins set equal given one value (that of a column with a wish, else the number of the join), other columns by type. What can't be met (other
-    comparisons between columns, aggregates over many rows) stays unmet, which the caller sees as an empty result."""
-    columns = {t: df.columns for t, df in tables.items()}
-    kinds = {t: {f.name.lower(): f.dataType.simpleString() for f in df.schema} for t, df in tables.items()}
-    by_name = {n.lower(): n for n in tables}
-    resolve = lambda t: by_name.get(t.lower()) or by_name.get(t.rpartition(".")[2].lower())
-    own: dict[tuple[str, str], str | None] = {}
-    for table, name, sign, value in wanted(sql, {**columns, **{a: columns[r] for a in alias_map(sql).values() if (r := resolve(a))}}):
-        t = resolve(table)
-        if t and name.lower() in kinds[t]:
-            made = satisfying(sign, value, kinds[t][name.lower()])
-            if made is not None:
-                own.setdefault((t, name.lower()), made)
-    # columns joined with each other are one group with one value
-    group: dict[tuple[str, str], int] = {}
-    for i, (a, b, c, d) in enumerate(join_pairs(sql)):
-        ends = [(t, x.lower()) for t, x in ((resolve(a), b), (resolve(c), d)) if t and x.lower() in kinds[t]]
-        old = {group[e] for e in ends if e in group}
-        for e, g in list(group.items()):
-            if g in old:
-                group[e] = i
-        group |= dict.fromkeys(ends, i)
-    for g in set(group.values()):
-        members = sorted(e for e, n in group.items() if n == g)
-        value = next((own[e] for e in members if e in own), str(900_000 + seed_value * 100 + g))
-        own |= {e: value for e in members}
+    """Tables of a statement with one row more each, so that the statement has a row to return: values that meet all its comparisons together, one for
+    columns that its joins set equal, other columns by type. Comparisons that no value meets raise ValueError with their columns; what can't be met
+    by one row a table (other comparisons between columns, aggregates over many rows) stays unmet, which the caller sees as an empty result."""
+    own, clashes = solution(sql, tables, seed_value)
+    if clashes:
+        raise ValueError(f"contradictory: {', '.join(clashes)}")
     out = {}
     for t, df in tables.items():
         row = []
