@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concordat.functions.canonical import routine_cell
-from concordat.operators import audit, parity
+from concordat.operators import audit, digests, parity
 
 from .registry import query, table
 
@@ -39,14 +39,36 @@ def parity_row_hash_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity.digest_parity(*orders(spark, sf_dir), by=["o_orderpriority"])
 
 
-@query("""WITH c AS (SELECT * EXCLUDE (c_acctbal), c_acctbal + 0.0 AS c_acctbal FROM customer)
-SELECT md5(string_agg(r, chr(10) ORDER BY r)) AS set_hash, count(*)::BIGINT AS n_rows, c_nationkey FROM (SELECT c_nationkey, concat_ws('|', trim(c_name), trim(c_mktsegment), printf('%.4f', c_nationkey::DOUBLE)) AS r FROM c) GROUP BY c_nationkey""")
+@query("""WITH r AS (SELECT c_nationkey, md5(concat_ws(chr(31), trim(c_name), trim(c_mktsegment), printf('%.4f', c_nationkey::DOUBLE))) AS h FROM customer),
+l AS (SELECT c_nationkey, left(h, 3) AS range, count(*) AS n, sum(('0x' || left(h, 15))::BIGINT::HUGEINT) AS total, bit_xor(('0x' || left(h, 15))::BIGINT) AS mixed FROM r GROUP BY ALL)
+SELECT c_nationkey, md5(string_agg(range || ':' || n || ':' || total || ':' || mixed, ',' ORDER BY range)) AS set_hash, sum(n)::BIGINT AS n_rows FROM l GROUP BY c_nationkey""")
 def result_set_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MD5 over the sorted canonical rows of a small result (one nation's customers)."""
-    c = table(spark, sf_dir, "customer")
-    kinds = {f.name: f.dataType for f in c.schema}
-    row = F.concat_ws("|", *(routine_cell(F.col(x), kinds[x]) for x in ("c_name", "c_mktsegment", "c_nationkey")))
-    return c.select("c_nationkey", row.alias("r")).groupBy("c_nationkey").agg(F.md5(F.array_join(F.array_sort(F.collect_list("r")), "\n").cast("binary")).alias("set_hash"), F.count("*").alias("n_rows"))
+    """One hash for each nation's customers, whatever their order, from digests of ranges."""
+    return digests.tree_hash(table(spark, sf_dir, "customer"), ["c_nationkey"], routine_cell, ["c_name", "c_mktsegment", "c_nationkey"])
+
+
+TREE = f"""WITH {ORDERS_T}, s AS (SELECT md5(o_orderkey::VARCHAR) AS p, o_orderkey, o_custkey, o_totalprice FROM orders), u AS (SELECT md5(o_orderkey::VARCHAR) AS p, o_orderkey, o_custkey, o_totalprice FROM t),
+d AS ((SELECT * FROM s EXCEPT ALL SELECT * FROM u) UNION ALL (SELECT * FROM u EXCEPT ALL SELECT * FROM s)),
+lv AS (SELECT unnest([1, 2]) AS level), pre AS (SELECT DISTINCT level, left(p, (3 * level)::INT) AS r FROM d, lv)"""
+
+
+@query(TREE + """, before AS (SELECT 2 AS level, r AS above FROM pre WHERE level = 1), rows_of AS (SELECT level, left(p, (3 * level)::INT) AS r, left(p, 3) AS above, side FROM lv, (SELECT p, 's' AS side FROM s UNION ALL SELECT p, 't' FROM u)),
+seen AS (SELECT level, r, side FROM rows_of WHERE level = 1 OR above IN (SELECT above FROM before))
+SELECT level::INT AS level, count(DISTINCT r)::BIGINT AS ranges, count(DISTINCT CASE WHEN hit THEN r END)::BIGINT AS differing, count(*) FILTER (hit AND side = 's')::BIGINT AS source_rows, count(*) FILTER (hit AND side = 't')::BIGINT AS target_rows
+FROM (SELECT seen.*, pre.r IS NOT NULL AS hit FROM seen LEFT JOIN pre ON pre.level = seen.level AND pre.r = seen.r) GROUP BY level""")
+def digest_tree_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two levels of digests narrow orders down to the rows in which the sides differ."""
+    _, told = digests.digest_diff(*orders(spark, sf_dir), ["o_orderkey"], ["o_custkey", "o_totalprice"], levels=2, enough=0)
+    return spark.createDataFrame(told, "level int, ranges long, differing long, source_rows long, target_rows long")
+
+
+@query(f"""WITH {ORDERS_T}, s AS (SELECT o_orderkey AS k, row_number() OVER (PARTITION BY o_orderkey ORDER BY o_custkey) AS p, o_custkey AS c, {CELL('o_totalprice')} AS v FROM orders),
+u AS (SELECT o_orderkey AS k, row_number() OVER (PARTITION BY o_orderkey ORDER BY o_custkey) AS p, o_custkey AS c, {CELL('o_totalprice')} AS v FROM t)
+SELECT coalesce(s.k, u.k) AS o_orderkey, coalesce(s.p, u.p)::INT AS place, CASE WHEN u.k IS NULL THEN 'ROW_MISSING' WHEN s.k IS NULL THEN 'ROW_EXTRA' ELSE 'VALUE_DIFF' END AS kind,
+ CASE WHEN s.k IS NOT NULL AND u.k IS NOT NULL THEN 'o_totalprice' ELSE '' END AS differing FROM s FULL JOIN u ON s.k = u.k AND s.p = u.p WHERE s.k IS NULL OR u.k IS NULL OR s.v <> u.v""")
+def digest_tree_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row differences from only the ranges of keys whose digests differ."""
+    return digests.digest_diff(*orders(spark, sf_dir), ["o_orderkey"], ["o_custkey", "o_totalprice"])[0]
 
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
