@@ -46,9 +46,9 @@ WRITE_WORDS = (
 ).split()
 
 
-def writes(name: Column) -> Column:
-    """Whether a routine's name tells that it writes, so that it isn't run."""
-    return reduce(lambda a, b: a | b, (F.lower(name).contains(w) for w in WRITE_WORDS))
+def writes(name: Column, words: tuple[str, ...] | list[str] = WRITE_WORDS) -> Column:
+    """Whether a routine's name tells that it writes, so that it isn't run: by general words, and those that a database has besides."""
+    return reduce(lambda a, b: a | b, (F.lower(name).contains(w.lower()) for w in words), F.lit(False))
 
 
 def rollup(results: DataFrame, schema: str = "schema_name", kind: str = "object_type") -> DataFrame:

@@ -23,10 +23,10 @@ def tree_hash(df: DataFrame, by: list[str] | None = None, cell=view_cell, column
     """set_hash and n_rows of df, or of each group: the MD5 of the digests of 16 ** DIGITS ranges of row hashes, in their order. It tells multisets of rows
     apart as a hash of all sorted rows would, but what is gathered are digests, a few thousand whatever the size of a group. No rows: the MD5 of nothing."""
     text = canonical_row(df, cell, columns)
-    rows = df.select(*(by or []), text.alias("__row")).select(*(by or []), F.substring(F.md5(F.col("__row").cast("binary")), 1, DIGITS).alias("__range"), row_number_of(F.col("__row")).alias("__n"))
-    ranges = rows.groupBy(*(by or []), "__range").agg(F.count("*").alias("n"), F.sum(F.col("__n").cast("decimal(38,0)")).cast("string").alias("total"), F.bit_xor("__n").alias("mixed"))
-    digest = F.concat_ws(":", "__range", "n", "total", "mixed")
-    return ranges.groupBy(*(by or [])).agg(F.md5(F.array_join(F.array_sort(F.collect_list(digest)), ",").cast("binary")).alias("set_hash"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+    rows = df.select(*(by or []), text.alias("__row")).select(*(by or []), F.substring(F.md5(F.col("__row").cast("binary")), 1, DIGITS).alias("__range"), row_number_of(F.col("__row")).alias("__number"))
+    ranges = rows.groupBy(*(by or []), "__range").agg(F.count("*").alias("__n"), F.sum(F.col("__number").cast("decimal(38,0)")).cast("string").alias("__total"), F.bit_xor("__number").alias("__mixed"))
+    digest = F.concat_ws(":", "__range", "__n", "__total", "__mixed")
+    return ranges.groupBy(*(by or [])).agg(F.md5(F.array_join(F.array_sort(F.collect_list(digest)), ",").cast("binary")).alias("set_hash"), F.coalesce(F.sum("__n"), F.lit(0)).alias("n_rows"))
 
 
 def signed(source: DataFrame, target: DataFrame, keys: list[str], columns: list[str], cell) -> DataFrame:

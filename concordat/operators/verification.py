@@ -127,13 +127,29 @@ def verdict_place(verdict: Column) -> Column:
 
 def label_match(labels: DataFrame, names: DataFrame) -> DataFrame:
     """(label, fqn): the object a shortened label means: its full name, its bare name, or one of which the other is a beginning; the least
-    full name of the best kind. Labels and names are metadata."""
-    full, bare = F.lower("fqn"), F.lower(F.substring_index("fqn", ".", -1))
-    label = F.lower("label")
-    kind = F.when(label == full, 1).when(label == bare, 2).when(bare.startswith(label) | label.startswith(bare), 3).when(full.startswith(label) | label.startswith(full), 4)
-    pairs = labels.join(F.broadcast(names), kind.isNotNull(), "left").withColumn("kind", kind)
-    best = F.min_by("fqn", F.struct("kind", "fqn"))
-    return pairs.groupBy("label").agg(best.alias("fqn"))
+    full name of the best kind, or none. Beginnings meet by equality: each side is cut at the lengths that the other has, and of the names with one
+    beginning only the least goes on, so that no pairs of labels and names are made."""
+    label = labels.select("label").distinct().withColumn("text", F.lower("label"))
+    own = {"full": F.lower("fqn"), "bare": F.lower(F.substring_index("fqn", ".", -1))}
+    sizes = lambda df: [r[0] for r in df.select(F.length("text")).where("text IS NOT NULL").distinct().collect()]  # noqa: E731  at most as many as the longest has characters
+
+    def least(text: Column) -> DataFrame:
+        return names.select("fqn", text.alias("text")).groupBy("text").agg(F.min("fqn").alias("fqn"))
+
+    def beginnings(df: DataFrame, lengths: list[int]) -> DataFrame:
+        """Rows with each beginning of their text, of one of these lengths."""
+        cuts = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("text"))
+        return df.withColumn("text", F.explode(F.transform(cuts, lambda n: F.substring(F.col("text"), F.lit(1), n))))
+
+    found = []
+    for kind, text in ((1, own["full"]), (2, own["bare"])):
+        found.append(label.join(least(text), "text").select("label", F.lit(kind).alias("kind"), "fqn"))
+    for kind, text in ((3, own["bare"]), (4, own["full"])):
+        known = least(text)
+        found.append(label.join(beginnings(known, sizes(label)).groupBy("text").agg(F.min("fqn").alias("fqn")), "text").select("label", F.lit(kind).alias("kind"), "fqn"))
+        found.append(beginnings(label, sizes(known)).join(known, "text").select("label", F.lit(kind).alias("kind"), "fqn"))
+    best = reduce(DataFrame.unionByName, found).groupBy("label").agg(F.min_by("fqn", F.struct("kind", "fqn")).alias("fqn"))
+    return label.select("label").join(best, "label", "left")
 
 
 def overall_status(row: dict[str, Column]) -> Column:

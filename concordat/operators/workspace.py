@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable
 from pathlib import PurePosixPath
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Documents by name: the files that may hold each (the first that is there counts) and its schema.
@@ -72,12 +72,20 @@ def feedback_entries(lines: DataFrame) -> DataFrame:
 
 def feedback_summary(entries: DataFrame, least: int = 1, most: int = 20) -> DataFrame:
     """(error_class, n, sources, testers, objects, first_error): distinct sorted names, the first most objects, the first error by file and line."""
-    distinct = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
-    return (
-        entries.groupBy("error_class")
-        .agg(F.count("*").alias("n"), distinct("source_type").alias("sources"), distinct("tester").alias("testers"), F.array_join(F.slice(F.array_sort(F.collect_set("object_name")), 1, most), ",").alias("objects"), F.min_by("error", F.struct("file", "line")).alias("first_error"))
-        .where(F.col("n") >= least)
-    )
+    counts = entries.groupBy("error_class").agg(F.count("*").alias("n"), F.min_by("error", F.struct("file", "line")).alias("first_error")).where(F.col("n") >= least)
+
+    def listed(column: str, name: str, first: int | None) -> DataFrame:
+        """Distinct names of each class; where there may be many, tasks keep the first of their share before one has the class."""
+        rows = entries.select("error_class", F.col(column).alias("v")).where("v IS NOT NULL").distinct()
+        if first is not None:
+            for shares in (64, 1):
+                window = Window.partitionBy("error_class", F.pmod(F.xxhash64("v"), F.lit(shares))).orderBy("v")
+                rows = rows.withColumn("place", F.row_number().over(window)).where(F.col("place") <= first).drop("place")
+        return rows.groupBy("error_class").agg(F.array_join(F.array_sort(F.collect_list("v")), ",").alias(name))
+
+    for column, name, first in (("source_type", "sources", None), ("tester", "testers", None), ("object_name", "objects", most)):
+        counts = counts.join(listed(column, name, first).withColumnRenamed("error_class", "__class"), F.col("error_class").eqNullSafe(F.col("__class")), "left").drop("__class").withColumn(name, F.coalesce(name, F.lit("")))
+    return counts
 
 
 def rules(spark: SparkSession, read: Callable[[str], str | None], source: str, name: str, phase: str | None = None, context: str | None = None) -> DataFrame:

@@ -21,19 +21,20 @@ def values_of(rows: list[tuple]) -> str:
     return ", ".join(f"({', '.join(map(quoted, r))})" for r in rows)
 
 
-MYSQL_DDL = """CREATE TABLE `ev_drug` (
-  `record_id` int(11) NOT NULL AUTO_INCREMENT, -- the key
-  `drug_name` varchar(255) NOT NULL,
-  `dose_unit` text,
-  `active` tinyint(1) DEFAULT 1,
-  PRIMARY KEY (`record_id`), KEY `ix` (`drug_name`),
-  CONSTRAINT `fk1` FOREIGN KEY (`fk_reaction_id`) REFERENCES `evdas`.`ev_reaction` (`reaction_id`) ON DELETE CASCADE
+MYSQL_DDL = """CREATE TABLE `ship_note` (
+  `note_no` int(11) NOT NULL AUTO_INCREMENT, -- counted up
+  `carrier` varchar(80) NOT NULL,
+  `remark` text,
+  `sealed` tinyint(1) DEFAULT 0,
+  `line_no` int(11),
+  PRIMARY KEY (`note_no`), KEY `by_carrier` (`carrier`, `sealed`),
+  CONSTRAINT `of_line` FOREIGN KEY (`line_no`) REFERENCES `depot`.`line` (`no`) ON DELETE SET NULL
 ) ENGINE=InnoDB;
-DELIMITER $$
-CREATE DEFINER=`root`@`localhost` PROCEDURE `evdas`.`proc_test`(IN p_id INT)
+DELIMITER //
+CREATE DEFINER=`clerk`@`%` PROCEDURE `depot`.`notes_of`(IN p_carrier VARCHAR(80))
 BEGIN
-  SELECT * FROM ev_drug WHERE record_id = p_id; SELECT 'a;b';
-END$$
+  SELECT note_no, remark FROM ship_note WHERE carrier = p_carrier; SELECT 'x//;y' AS t;
+END//
 DELIMITER ;"""
 MSSQL_DDL = """CREATE TABLE [dbo].[orders] (
   [id] INT IDENTITY(1,1) NOT NULL,
@@ -52,10 +53,10 @@ GO"""
 
 def scripts(spark: SparkSession) -> DataFrame:
     t = "file string, value string"
-    return definitions.inventory(spark.createDataFrame([("a.sql", MYSQL_DDL)], t), "mysql", "evdas").unionByName(definitions.inventory(spark.createDataFrame([("b.sql", MSSQL_DDL)], t), "mssql"))
+    return definitions.inventory(spark.createDataFrame([("a.sql", MYSQL_DDL)], t), "mysql", "depot").unionByName(definitions.inventory(spark.createDataFrame([("b.sql", MSSQL_DDL)], t), "mssql"))
 
 
-@query("SELECT * FROM (VALUES ('TABLE', 'evdas.ev_drug', 4, 'record_id', 'record_id', 'evdas.ev_reaction', '', false), ('PROCEDURE', 'evdas.proc_test', 0, '', '', 'ev_drug', '', true), ('TABLE', 'dbo.orders', 3, 'id', 'id', 'dbo.customers', '', false), ('TRIGGER', 'dbo.trg', 0, '', '', 'dbo.log', 'dbo.orders', false), ('VIEW', 'dbo.v', 0, '', '', 'dbo.orders', '', true)) t(type, fqn, n_columns, identity, pk, deps, target_table, row_producing)")
+@query("SELECT * FROM (VALUES ('TABLE', 'depot.ship_note', 5, 'note_no', 'note_no', 'depot.line', '', false), ('PROCEDURE', 'depot.notes_of', 0, '', '', 'ship_note', '', true), ('TABLE', 'dbo.orders', 3, 'id', 'id', 'dbo.customers', '', false), ('TRIGGER', 'dbo.trg', 0, '', '', 'dbo.log', 'dbo.orders', false), ('VIEW', 'dbo.v', 0, '', '', 'dbo.orders', '', true)) t(type, fqn, n_columns, identity, pk, deps, target_table, row_producing)")
 def ddl_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects of two scripts: a changing delimiter, a key added later, comments, definers and storage options."""
     identity = F.array_join(F.transform(F.filter("columns", lambda c: c["is_identity"]), lambda c: c["name"]), ",")
@@ -63,23 +64,23 @@ def ddl_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("type", "fqn", F.size("columns").alias("n_columns"), identity.alias("identity"), F.array_join("pk_columns", ",").alias("pk"), F.array_join("depends_on", ",").alias("deps"), F.coalesce("target_table", F.lit("")).alias("target_table"), "row_producing")
 
 
-@query("SELECT * FROM (VALUES ('dbo.orders', 'id', 'INT', 'int', false), ('dbo.orders', 'amount', 'DECIMAL(10,2)', 'decimal(10,2)', true), ('dbo.orders', 'cust', 'INT', 'int', false), ('evdas.ev_drug', 'record_id', 'int(11)', 'int', false), ('evdas.ev_drug', 'drug_name', 'varchar(255)', 'string', false), ('evdas.ev_drug', 'dose_unit', 'text', 'string', true), ('evdas.ev_drug', 'active', 'tinyint(1)', 'boolean', true)) t(fqn, name, type_name, spark_type, nullable)")
+@query("SELECT * FROM (VALUES ('dbo.orders', 'id', 'INT', 'int', false), ('dbo.orders', 'amount', 'DECIMAL(10,2)', 'decimal(10,2)', true), ('dbo.orders', 'cust', 'INT', 'int', false), ('depot.ship_note', 'note_no', 'int(11)', 'int', false), ('depot.ship_note', 'carrier', 'varchar(80)', 'string', false), ('depot.ship_note', 'remark', 'text', 'string', true), ('depot.ship_note', 'sealed', 'tinyint(1)', 'boolean', true), ('depot.ship_note', 'line_no', 'int(11)', 'int', true)) t(fqn, name, type_name, spark_type, nullable)")
 def ddl_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scripts(spark).select("fqn", F.explode("columns").alias("c")).select("fqn", "c.name", "c.type_name", "c.nullable")
     spark_type = F.pandas_udf(lambda s: s.map(lambda t: types.spark_type(t.partition("(")[0] if not t.lower().startswith("tinyint(1") else t, "mysql" if "tinyint" in t else "mssql", *(int(x) for x in t.partition("(")[2].rstrip(")").split(",") if x.strip().isdigit()))), "string")
     return rows.withColumn("spark_type", spark_type("type_name"))
 
 
-@query("SELECT * FROM (VALUES ('dbo.orders', 'cust', 'dbo.customers', 'id'), ('evdas.ev_drug', 'fk_reaction_id', 'evdas.ev_reaction', 'reaction_id')) t(from_table, from_cols, to_table, to_cols)")
+@query("SELECT * FROM (VALUES ('dbo.orders', 'cust', 'dbo.customers', 'id'), ('depot.ship_note', 'line_no', 'depot.line', 'no')) t(from_table, from_cols, to_table, to_cols)")
 def ddl_foreign_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return definitions.foreign_key_rows(scripts(spark))
 
 
-@query("SELECT * FROM (VALUES ('TABLE', 1::BIGINT, 4::BIGINT), ('PROCEDURE', 1, 0)) t(type, n, n_columns)")
+@query("SELECT * FROM (VALUES ('TABLE', 1::BIGINT, 5::BIGINT), ('PROCEDURE', 1, 0)) t(type, n, n_columns)")
 def inventory_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An inventory kept as JSON, its columns taken from definitions."""
-    held = [{"type": "table", "schema": "evdas", "name": "ev_drug", "fqn": "evdas.ev_drug", "ddl": MYSQL_DDL.partition("DELIMITER")[0], "depends_on": []}, {"type": "procedure", "schema": "evdas", "name": "p", "fqn": "evdas.p", "ddl": "CREATE PROCEDURE evdas.p() BEGIN SELECT 1; END", "depends_on": []}]
-    o = definitions.enriched(spark.createDataFrame([(json.dumps({"objects": held}),)], "value string"), "mysql", "evdas")
+    held = [{"type": "table", "schema": "depot", "name": "ship_note", "fqn": "depot.ship_note", "ddl": MYSQL_DDL.partition("DELIMITER")[0], "depends_on": []}, {"type": "procedure", "schema": "depot", "name": "p", "fqn": "depot.p", "ddl": "CREATE PROCEDURE depot.p() BEGIN SELECT 1; END", "depends_on": []}]
+    o = definitions.enriched(spark.createDataFrame([(json.dumps({"objects": held}),)], "value string"), "mysql", "depot")
     return o.groupBy("type").agg(F.count("*").alias("n"), F.sum(F.size("columns")).cast("bigint").alias("n_columns"))
 
 
@@ -276,14 +277,16 @@ def verdict_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verification.in_verdict_order(rows.selectExpr("o_orderkey", "verdict", "row_number() OVER (ORDER BY __place, o_orderkey) AS position"), "o_orderkey")
 
 
-LABELS = [("app.get_orders",), ("get_orders",), ("get",), ("GET_CUSTOMERS_LONG",), ("nothing",)]
-NAMES = [("app.get_orders",), ("app.get_customers",), ("rep.get_orders",)]
+#: Labels cut from the names of parts, cut too long, or of no part; objects named after parts in two schemas.
+LABELS = "CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN left(upper(p_name), 12) WHEN 2 THEN concat('app.', p_name) WHEN 3 THEN concat(left(p_name, 14), '_LONG') ELSE concat('none', p_partkey) END"
+NAMES = "concat(CASE WHEN p_partkey % 2 = 0 THEN 'app.' ELSE 'rep.' END, left(p_name, 14))"
 
 
-@query(f"""WITH l(label) AS (VALUES {values_of(LABELS)}), n(fqn) AS (VALUES {values_of(NAMES)}), p AS (SELECT label, fqn, CASE WHEN lower(label) = lower(fqn) THEN 1 WHEN lower(label) = split_part(lower(fqn), '.', -1) THEN 2 WHEN starts_with(split_part(lower(fqn), '.', -1), lower(label)) OR starts_with(lower(label), split_part(lower(fqn), '.', -1)) THEN 3
+@query(f"""WITH l AS (SELECT DISTINCT {LABELS} AS label FROM part WHERE p_partkey % 7 = 0), n AS (SELECT DISTINCT {NAMES} AS fqn FROM part), p AS (SELECT label, fqn, CASE WHEN lower(label) = lower(fqn) THEN 1 WHEN lower(label) = split_part(lower(fqn), '.', -1) THEN 2 WHEN starts_with(split_part(lower(fqn), '.', -1), lower(label)) OR starts_with(lower(label), split_part(lower(fqn), '.', -1)) THEN 3
  WHEN starts_with(lower(fqn), lower(label)) OR starts_with(lower(label), lower(fqn)) THEN 4 END AS kind FROM l, n) SELECT label, (SELECT fqn FROM p q WHERE q.label = l.label AND kind IS NOT NULL ORDER BY kind, fqn LIMIT 1) AS fqn FROM l""")
 def label_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return verification.label_match(spark.createDataFrame(LABELS, "label string"), spark.createDataFrame(NAMES, "fqn string"))
+    parts = table(spark, sf_dir, "part")
+    return verification.label_match(parts.where("p_partkey % 7 = 0").selectExpr(f"{LABELS} AS label").distinct(), parts.selectExpr(f"{NAMES} AS fqn").distinct())
 
 
 STATUS = ["blocked", "failed_objects", "checks", "checks_failed", "witness_ran", "witness_failed", "parity_ran", "parity_failed", "parity_missing"]

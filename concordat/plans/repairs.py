@@ -51,26 +51,38 @@ def outside_quotes(sql: str, rules: list[tuple[str, str]]) -> str:
 TRIGGER = re.compile(r"(?is)^\s*create\s+(?:or\s+(?:alter|replace)\s+)?trigger\s+([\w.\[\]`]+)\s+(?:(?:on\s+([\w.\[\]`]+)\s+)?(?:after|for|before|instead\s+of)\s+([\w, ]+?))(?:\s+on\s+([\w.\[\]`]+))?\s+(?:for\s+each\s+row\s+)?(?:as\s+)?begin\s+(.*?)\s*;?\s*end\s*;?\s*$")
 
 
+def statements_of(body: str) -> list[str]:
+    """Statements between semicolons; those in texts and comments end none."""
+    out: list[list[str]] = [[]]
+    for t in tokens(body):
+        if t.text == ";":
+            out.append([])
+        else:
+            out[-1].append(t.text)
+    return ["".join(x) for x in out]
+
+
 def trigger_effects(sql: str, source: str) -> tuple[str, list[str], list[tuple[str, str]]]:
     """A trigger as what it does with changed rows: its table, its events, and for each INSERT .. SELECT of its body the table that gets rows and the query that
-    gives them, from the views new_rows and old_rows of a batch of changes (inserted and deleted, NEW and OLD). Spark runs no triggers; a
+    gives them, by the names of the statement's list of columns where it has one, from the views new_rows and old_rows of a batch of changes (inserted and deleted, NEW and OLD). Spark runs no triggers; a
     batch writer runs these. Other statements raise ValueError."""
     m = TRIGGER.match(sql)
     if not m:
         raise ValueError("not a trigger")
     bare = lambda x: re.sub(r"[`\[\]]", "", x or "").rpartition(".")[2]
     out = []
-    for statement in (x.strip() for x in m[5].split(";") if x.strip()):
+    for statement in (x.strip() for x in statements_of(m[5]) if x.strip()):
         if re.match(r"(?i)set\s+nocount\b", statement):
             continue
-        into = re.match(r"(?is)^insert\s+into\s+([\w.\[\]`]+)\s*(?:\([^()]*\)\s*)?(?:(select\b.*)|values\s*\((.*)\))$", statement)
+        into = re.match(r"(?is)^insert\s+into\s+([\w.\[\]`]+)\s*(\([^()]*\)\s*)?(?:(select\b.*)|values\s*\((.*)\))$", statement)
         if not into:
             raise ValueError(f"needs a hand: {statement[:60]}")
-        select = into[2] or f"SELECT {into[3]} FROM {'OLD' if re.search(r'(?i)\bold\.', into[3]) else 'NEW'}"
+        select = into[3] or f"SELECT {into[4]} FROM {'OLD' if re.search(r'(?i)\bold\.', into[4]) else 'NEW'}"
         select = to_spark(select, source)
         for old, new in (("inserted", "new_rows"), ("deleted", "old_rows"), ("new", "new_rows"), ("old", "old_rows")):
             select = "".join(new if t.kind == "word" and t.text.lower() == old else t.text for t in tokens(select))
-        out.append((bare(into[1]), select))
+        named = [bare(c.strip()) for c in into[2].strip()[1:-1].split(",")] if into[2] else []
+        out.append((bare(into[1]), f"SELECT * FROM ({select}) AS made({', '.join(f'`{c}`' for c in named)})" if named else select))
     return bare(m[2] or m[4]), [e.strip().upper() for e in re.split(r",|\bor\b", m[3], flags=re.I)], out
 
 

@@ -29,7 +29,8 @@ TEXTS = [
     ("procedure", "dbo.xp_own", "SELECT 1"), ("procedure", "dbo.ext", "EXEC xp_logevent (1)"), ("procedure", "dbo.noext", "EXEC xp_logevent 1"), ("table", "dbo.hist", "CREATE TABLE t (x int) WITH (SYSTEM_VERSIONING = ON)"), ("view", "dbo.hist2", "SELECT * FROM t FOR SYSTEM_TIME ALL"), ("table", "dbo.nohist", "CREATE TABLE t (x int) WITH (SYSTEM_VERSIONING = OFF)"),
 ]
 text = lambda x: "NULL" if x is None else "'" + x.replace("'", "''") + "'"
-OBJECTS = "o AS (SELECT type, fqn, coalesce(ddl, '') AS ddl, lower(coalesce(ddl, '')) AS d FROM (VALUES " + ", ".join(f"({text(t)}, {text(f)}, {text(d)})" for t, f, d in TEXTS) + ") t(type, fqn, ddl))"
+#: An object for each part: the text at the place that its key tells, under a name of its own.
+OBJECTS = f"o AS (SELECT type, fqn || '_' || p_partkey AS fqn, coalesce(ddl, '') AS ddl, lower(coalesce(ddl, '')) AS d FROM part JOIN (VALUES " + ", ".join(f"({i}, {text(t)}, {text(f)}, {text(d)})" for i, (t, f, d) in enumerate(TEXTS)) + f") t(place, type, fqn, ddl) ON p_partkey % {len(TEXTS)} = place)"
 word = lambda *ws: "regexp_matches(d, '\\b(" + "|".join(ws) + ")\\b')"
 
 #: What each code means, written out again in SQL.
@@ -70,46 +71,48 @@ def found(source: str) -> str:
     return f"WITH {OBJECTS}, f AS ({' UNION ALL '.join(parts)})"
 
 
-def objects(spark: SparkSession) -> DataFrame:
-    return scan.objects_frame(spark, TEXTS)
+def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = one_of(table(spark, sf_dir, "part").select("p_partkey"), "p_partkey", TEXTS, "type string, fqn string, ddl string")
+    return rows.select("type", F.concat_ws("_", "fqn", "p_partkey").alias("fqn"), "ddl")
 
 
 @query(found("mssql") + " SELECT * FROM f")
 def assess_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.findings(objects(spark), "mssql")
+    return scan.findings(objects(spark, sf_dir), "mssql")
 
 
 @query(found("mysql") + " SELECT * FROM f")
 def assess_findings_mysql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.findings(objects(spark), "mysql")
+    return scan.findings(objects(spark, sf_dir), "mysql")
 
 
 @query(found("oracle") + " SELECT * FROM f")
 def assess_findings_oracle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.findings(objects(spark), "oracle")
+    return scan.findings(objects(spark, sf_dir), "oracle")
 
 
 @query(found("mssql") + " SELECT count(*) FILTER (severity = 'BLOCK')::BIGINT AS blocks, count(*) FILTER (severity = 'WARN')::BIGINT AS warnings, count(*) FILTER (severity = 'RESOLVE')::BIGINT AS resolvable, round(greatest(0.0, least(1.0, 1 - 0.15 * count(*) FILTER (severity = 'BLOCK') - 0.05 * count(*) FILTER (severity = 'WARN'))), 2)::DOUBLE AS confidence FROM f")
 def assess_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.confidence(scan.findings(objects(spark), "mssql"))
+    return scan.confidence(scan.findings(objects(spark, sf_dir), "mssql"))
 
 
-@query("SELECT * FROM (SELECT '(schema)' AS fqn, 'BLOCK-007' AS code, 'BLOCK' AS severity, count(*) AS n FROM range(70) t(i) WHERE i < 65 UNION ALL SELECT '(schema)', 'BLOCK-008', 'BLOCK', count(*) FROM range(70) t(i) WHERE i >= 65 AND i < 98) q WHERE n > CASE code WHEN 'BLOCK-007' THEN 64 ELSE 32 END".replace("SELECT * FROM (SELECT", "SELECT fqn, code, severity FROM (SELECT"))
+@query("SELECT * FROM (SELECT '(schema)' AS fqn, 'BLOCK-007' AS code, 'BLOCK' AS severity, count(*) AS n FROM part WHERE p_partkey % 30 <> 0 UNION ALL SELECT '(schema)', 'BLOCK-008', 'BLOCK', count(*) FROM part WHERE p_partkey % 30 = 0 AND p_partkey < 700) q WHERE n > CASE code WHEN 'BLOCK-007' THEN 64 ELSE 32 END".replace("SELECT * FROM (SELECT", "SELECT fqn, code, severity FROM (SELECT"))
 def assess_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """65 roles are one too many, 5 databases are not."""
-    i = spark.range(70)
-    return scan.findings(i.select(F.lit("script").alias("type"), F.concat(F.lit("x"), F.col("id")).alias("fqn"), F.when(F.col("id") < 65, F.concat(F.lit("CREATE ROLE r"), F.col("id"))).otherwise(F.concat(F.lit("CREATE DATABASE d"), F.col("id"))).alias("ddl")), "mssql")
+    """A role for most parts, which are too many, and a database for some, which are not."""
+    k = F.col("p_partkey")
+    p = table(spark, sf_dir, "part").where((k % 30 != 0) | (k < 700))
+    return scan.findings(p.select(F.lit("script").alias("type"), F.concat(F.lit("x"), k).alias("fqn"), F.when(k % 30 != 0, F.concat(F.lit("CREATE ROLE r"), k)).otherwise(F.concat(F.lit("CREATE DATABASE d"), k)).alias("ddl")), "mssql")
 
 
 @query(f"WITH {OBJECTS} SELECT coalesce(sum(len(regexp_extract_all(d, 'tinyint\\s*\\(\\s*1\\s*\\)'))), 0)::BIGINT AS n_columns FROM o WHERE type = 'table'")
 def tinyint_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.tinyint_columns(objects(spark))
+    return scan.tinyint_columns(objects(spark, sf_dir))
 
 
 @query(f"""WITH {OBJECTS}, p AS (SELECT 'postgis' AS extension, min(fqn) FILTER ({CODES['WARN-001']}) AS first FROM o UNION ALL SELECT 'ltree', min(fqn) FILTER ({word('hierarchyid')}) FROM o
  UNION ALL SELECT 'uuid-ossp', min(fqn) FILTER (regexp_matches(d, '\\b(newid|sys_guid|uuid_generate|gen_random_uuid|uuid)\\s*\\(')) FROM o UNION ALL SELECT 'pgcrypto', min(fqn) FILTER ({word('hashbytes', 'md5', 'sha1', 'sha2', 'encrypt', 'decrypt', 'pgcrypto')}) FROM o) SELECT * FROM p WHERE first IS NOT NULL""")
 def extension_prerequisites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.prerequisites(objects(spark))
+    return scan.prerequisites(objects(spark, sf_dir))
 
 
 DEPRECATED = """SELECT fqn, 'aspnet_membership' AS grp, CASE WHEN starts_with(sch, 'aspnet_') THEN 'schema' WHEN starts_with(nam, 'aspnet_') OR starts_with(nam, 'vw_aspnet_') THEN 'name' END AS matched_by FROM n
@@ -120,7 +123,7 @@ DEPRECATED = """SELECT fqn, 'aspnet_membership' AS grp, CASE WHEN starts_with(sc
 
 @query(f"WITH {OBJECTS}, n AS (SELECT *, split_part(lower(fqn), '.', 1) AS sch, split_part(lower(fqn), '.', -1) AS nam FROM o) SELECT * FROM ({DEPRECATED}) WHERE matched_by IS NOT NULL")
 def deprecated_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.deprecated(objects(spark))
+    return scan.deprecated(objects(spark, sf_dir))
 
 
 LONG = [(f"o{i:03d}", f"o{i + 1:03d}") for i in range(100)]

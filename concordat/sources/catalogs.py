@@ -68,7 +68,8 @@ STATEMENTS: dict[str, dict[str, str]] = {
         "indexes": """SELECT i.owner AS schema_name, i.table_name, i.index_name, i.index_type AS kind, CASE i.uniqueness WHEN 'UNIQUE' THEN 1 ELSE 0 END AS is_unique, CASE WHEN c.constraint_type = 'P' THEN 1 ELSE 0 END AS is_primary_key, NULL AS predicate, x.column_position AS ordinal, x.column_name, CASE x.descend WHEN 'DESC' THEN 1 ELSE 0 END AS is_desc, 0 AS is_included
  FROM all_indexes i JOIN all_ind_columns x ON x.index_owner = i.owner AND x.index_name = i.index_name LEFT JOIN all_constraints c ON c.owner = i.owner AND c.index_name = i.index_name AND c.constraint_type = 'P' WHERE i.owner = SYS_CONTEXT('USERENV', 'CURRENT_SCHEMA')""",
         "sequences": "SELECT sequence_owner AS schema_name, sequence_name, last_number AS start_value, increment_by AS increment, min_value, max_value, CASE cycle_flag WHEN 'Y' THEN 1 ELSE 0 END AS is_cycling FROM all_sequences WHERE sequence_owner = SYS_CONTEXT('USERENV', 'CURRENT_SCHEMA') AND sequence_name NOT LIKE 'ISEQ$$%'",
-        "texts": "SELECT owner AS schema_name, name AS object_name, type AS kind, line, text FROM all_source WHERE owner = SYS_CONTEXT('USERENV', 'CURRENT_SCHEMA') UNION ALL SELECT owner, view_name, 'VIEW', 1, text_vc FROM all_views WHERE owner = SYS_CONTEXT('USERENV', 'CURRENT_SCHEMA')",
+        "texts": "SELECT owner AS schema_name, name AS object_name, type AS kind, line, text FROM all_source WHERE owner = SYS_CONTEXT('USERENV', 'CURRENT_SCHEMA')",
+        "view_texts": "SELECT owner AS schema_name, view_name AS object_name, 'VIEW' AS kind, 1 AS line, text FROM all_views WHERE owner = SYS_CONTEXT('USERENV', 'CURRENT_SCHEMA')",
         "parameters": "SELECT owner AS schema_name, object_name AS routine_name, position AS place, argument_name AS parameter_name, data_type AS type_name, CASE WHEN in_out = 'IN' THEN 0 ELSE 1 END AS is_output FROM all_arguments WHERE position > 0 AND owner = SYS_CONTEXT('USERENV', 'CURRENT_SCHEMA')",
     },
     "postgres": {
@@ -164,7 +165,10 @@ class Catalog:
         """Views, routines and triggers as type, schema, name, fqn and ddl, lines joined in order."""
         kind = F.upper("kind")
         type_ = F.when(kind.contains("VIEW"), "VIEW").when(kind.contains("TRIGGER"), "TRIGGER").when(kind.contains("FUNCTION"), "FUNCTION").when(kind.contains("PACKAGE"), "PACKAGE").otherwise("PROCEDURE")
-        lines = self.rows("texts").select(type_.alias("type"), F.col("schema_name").alias("schema"), F.col("object_name").alias("name"), F.col("line").cast("int").alias("line"), "text")
+        texts = self.rows("texts")
+        if "view_texts" in STATEMENTS[self.source]:  # a column of a type that no set operation takes, and whole only there
+            texts = texts.unionByName(self.rows("view_texts"))
+        lines = texts.select(type_.alias("type"), F.col("schema_name").alias("schema"), F.col("object_name").alias("name"), F.col("line").cast("int").alias("line"), "text")
         text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "")
         return lines.groupBy("type", "schema", "name").agg(text.alias("ddl")).withColumn("fqn", F.concat_ws(".", "schema", "name"))
 
@@ -183,10 +187,17 @@ def catalog(spark: SparkSession, source: str, **where: object) -> Catalog:
 
 
 def session_catalog(spark: SparkSession, tables: dict[str, DataFrame], schema: str = "app") -> Catalog:
-    """Tables of a session under the same names as a system's catalog, from their schemas, without a job."""
+    """Tables of a session under the same names as a system's catalog, from their schemas, without a job. A session has columns only: what else a catalog is
+    asked for raises ValueError."""
     rows = [(schema, t, i + 1, f.name, f.dataType.simpleString(), None, None, None, f.nullable, False, None, None, None, False, None) for t, df in tables.items() for i, f in enumerate(df.schema)]
     kinds = "schema_name string, table_name string, place int, column_name string, type_name string, max_length int, precision int, scale int, is_nullable boolean, is_identity boolean, seed long, increment long, default_expr string, is_computed boolean, computed_expr string"
-    return Catalog("postgres", lambda statement: spark.createDataFrame(rows, kinds))
+
+    def read(statement: str) -> DataFrame:
+        if statement != STATEMENTS["postgres"]["columns"]:
+            raise ValueError("a session holds nothing but columns")
+        return spark.createDataFrame(rows, kinds)
+
+    return Catalog("postgres", read)
 
 
 def sample(table: DataFrame, columns: list[str], most_needed: int = 3, key: str | None = None) -> DataFrame:
