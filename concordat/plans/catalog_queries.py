@@ -12,7 +12,7 @@ from concordat.operators import audit, parity, verification, witness, workspace
 from concordat.operators import catalog as types
 from concordat.sources import catalogs, definitions, files, sinks
 
-from .registry import query, table
+from .registry import for_each, one_of, query, sql_rows, table
 
 quoted = lambda x: "NULL" if x is None else str(x).lower() if isinstance(x, bool) else str(x) if isinstance(x, (int, float)) else "'" + x.replace("'", "''") + "'"
 
@@ -196,25 +196,27 @@ def bounded_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SOURCE_OBJECTS = [("TABLE", "dbo.Orders", "id,amount"), ("TABLE", "dbo.lost", "id"), ("VIEW", "dbo.[v]", "a,b,c"), ("PROCEDURE", "dbo.p", "x,y"), ("TRIGGER", "dbo.trg", ""), ("TRIGGER", "dbo.trg2", ""), ("SEQUENCE", "dbo.s", "")]
 TARGET_OBJECTS = [("TABLE", "dbo.orders", "ID,amount"), ("VIEW", "dbo.v", "a,b,d"), ("PROCEDURE", "dbo.p", "x"), ("FUNCTION", "dbo.trg_fn", "z"), ("SEQUENCE", "dbo.s", "")]
-VERIFY = f"""s(type, fqn, m) AS (VALUES {values_of(SOURCE_OBJECTS)}), t(type, fqn, m) AS (VALUES {values_of(TARGET_OBJECTS)}), k AS (SELECT s.type, s.fqn, t.fqn AS target_fqn, CASE WHEN s.type IN ('TRIGGER', 'SEQUENCE') THEN '' ELSE lower(s.m) END AS a, CASE WHEN s.type IN ('TRIGGER', 'SEQUENCE') THEN '' ELSE lower(t.m) END AS b
+COPIES = "SELECT type, replace(fqn, '.', s_suppkey || '.') AS fqn, m FROM supplier, (VALUES {}) v(place, type, fqn, m)"  # in a schema of each supplier
+VERIFY = f"""s AS ({COPIES.format(sql_rows(SOURCE_OBJECTS))}), t AS ({COPIES.format(sql_rows(TARGET_OBJECTS))}), k AS (SELECT s.type, s.fqn, t.fqn AS target_fqn, CASE WHEN s.type IN ('TRIGGER', 'SEQUENCE') THEN '' ELSE lower(s.m) END AS a, CASE WHEN s.type IN ('TRIGGER', 'SEQUENCE') THEN '' ELSE lower(t.m) END AS b
  FROM s LEFT JOIN t ON regexp_replace(lower(s.fqn), '[\\[\\]"]', '', 'g') = lower(t.fqn) OR (s.type = 'TRIGGER' AND lower(s.fqn) || '_fn' = lower(t.fqn))),
 d AS (SELECT *, list_filter(string_split(a, ','), lambda x: x <> '' AND NOT list_contains(string_split(b, ','), x)) AS os, list_filter(string_split(b, ','), lambda x: x <> '' AND NOT list_contains(string_split(a, ','), x)) AS ot FROM k),
 v AS (SELECT fqn, type, target_fqn, CASE WHEN target_fqn IS NULL THEN 'missing' WHEN len(os) + len(ot) = 0 THEN 'match' WHEN type IN ('TABLE', 'VIEW') THEN 'col_mismatch' ELSE 'param_mismatch' END AS status, CASE WHEN target_fqn IS NULL THEN '' ELSE array_to_string(list_sort(os), ',') END AS only_source, CASE WHEN target_fqn IS NULL THEN '' ELSE array_to_string(list_sort(ot), ',') END AS only_target FROM d)"""
 
 
-def verified(spark: SparkSession) -> DataFrame:
-    side = lambda rows: spark.createDataFrame(rows, "type string, fqn string, m string").select("type", "fqn", F.filter(F.split("m", ","), lambda x: x != "").alias("members"))
+def verified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    each = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"))
+    side = lambda rows: for_each(each, rows, "type string, fqn string, m string").select("type", F.replace("fqn", F.lit("."), F.concat("k", F.lit("."))).alias("fqn"), F.filter(F.split("m", ","), lambda x: x != "").alias("members"))
     return verification.catalog_verification(side(SOURCE_OBJECTS), side(TARGET_OBJECTS))
 
 
 @query(f"WITH {VERIFY} SELECT * FROM v")
 def catalog_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return verified(spark)
+    return verified(spark, sf_dir)
 
 
 @query(f"WITH {VERIFY} SELECT type, count(*) FILTER (status = 'match')::BIGINT AS match, count(*) FILTER (status = 'col_mismatch')::BIGINT AS col_mismatch, count(*) FILTER (status = 'param_mismatch')::BIGINT AS param_mismatch, count(*) FILTER (status = 'missing')::BIGINT AS missing FROM v GROUP BY type")
 def catalog_verification_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return verification.verification_summary(verified(spark))
+    return verification.verification_summary(verified(spark, sf_dir))
 
 
 @query("""WITH s AS (SELECT 'T' || s_nationkey AS t, s_suppkey AS k FROM supplier), q AS (SELECT * FROM s WHERE k % 11 <> 0), n AS (SELECT count(DISTINCT t) AS a FROM s), m AS (SELECT count(DISTINCT t) AS a FROM q)
@@ -240,9 +242,11 @@ SOURCE_TRIGGERS = [("dbo.a", "dbo.t", "INSERT,update", True), ("dbo.b", "dbo.t",
 TARGET_TRIGGERS = [("a_trigger", "DBO.T", "UPDATE,INSERT", True), ("b_fn", "dbo.t", "INSERT", True), ("x.c", "dbo.t", "INSERT", True), ("d", "dbo.t", "INSERT", False), ("f", "dbo.t", "INSERT", True)]
 
 
-@query("SELECT * FROM (VALUES ('a', 'PASS'), ('b', 'FAIL_EVENTS'), ('c', 'FAIL_TABLE'), ('d', 'FAIL_ENABLED'), ('e', 'SOURCE_ONLY'), ('f', 'TARGET_ONLY')) t(trigger, verdict)")
+@query("SELECT 'q' || s_suppkey || trigger AS trigger, verdict FROM supplier, (VALUES ('a', 'PASS'), ('b', 'FAIL_EVENTS'), ('c', 'FAIL_TABLE'), ('d', 'FAIL_ENABLED'), ('e', 'SOURCE_ONLY'), ('f', 'TARGET_ONLY')) t(trigger, verdict)")
 def trigger_full_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    side = lambda rows: spark.createDataFrame(rows, "name string, table_name string, e string, enabled boolean").withColumn("events", F.split("e", ","))
+    each = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"))
+    own = F.concat(F.regexp_extract("name", r"^(\w+\.)?", 0), F.lit("q"), "k", F.regexp_replace("name", r"^\w+\.", ""))  # a trigger of its own for each supplier
+    side = lambda rows: for_each(each, rows, "name string, table_name string, e string, enabled boolean").withColumn("name", own).drop("k").withColumn("events", F.split("e", ","))
     return verification.trigger_parity(side(SOURCE_TRIGGERS), side(TARGET_TRIGGERS))
 
 
@@ -311,9 +315,9 @@ def tier_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
 FAMILY_RULES = [("etl_rows", "etl", ["staging", "no rows"], []), ("any_timeout", None, [], ["time", "out"])]
 
 
-@query("SELECT e, f, CASE WHEN (contains(e, 'staging') OR contains(e, 'no rows')) AND f = 'etl' THEN 'etl_rows' WHEN contains(e, 'time') AND contains(e, 'out') THEN 'any_timeout' END AS rule FROM (VALUES ('no rows in staging', 'etl'), ('no rows', 'report'), ('it timed out', 'x'), ('time', 'etl')) t(e, f)")
+@query("SELECT o_orderkey, e, f, CASE WHEN (contains(e, 'staging') OR contains(e, 'no rows')) AND f = 'etl' THEN 'etl_rows' WHEN contains(e, 'time') AND contains(e, 'out') THEN 'any_timeout' END AS rule FROM orders JOIN (VALUES (0, 'no rows in staging', 'etl'), (1, 'no rows', 'report'), (2, 'it timed out', 'x'), (3, 'time', 'etl')) t(place, e, f) ON o_orderkey % 4 = place")
 def error_family(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = spark.createDataFrame([("no rows in staging", "etl"), ("no rows", "report"), ("it timed out", "x"), ("time", "etl")], "e string, f string")
+    e = one_of(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", [("no rows in staging", "etl"), ("no rows", "report"), ("it timed out", "x"), ("time", "etl")], "e string, f string")
     return e.withColumn("rule", verification.reclassified_by_family(F.col("e"), F.col("f"), FAMILY_RULES))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from concordat.operators import graph, scan, witness
 from concordat.sources import files
 
-from .registry import for_each, query, table
+from .registry import for_each, query, rows_for_parts, sql_for_parts, table
 
 OBJECTS = [
     ("TABLE", "app.region", []), ("TABLE", "app.nation", ["app.region"]), ("TABLE", "app.customer", ["APP.NATION"]), ("TABLE", "app.orders", ["customer"]), ("TABLE", "app.part", []), ("TABLE", "app.lineitem", ["orders", "app.part", "app.lineitem"]),
@@ -114,24 +114,24 @@ TEXTS = [
     ("procedure", "dbo.p3", "BEGIN EXEC xp_cmdshell 'dir'; INSERT INTO pg_catalog.x VALUES (newid()) END"),
     ("view", "dbo.v4", "x FROM y"),
 ]
-TEXT_VALUES = ", ".join("('{}', '{}', '{}')".format(t, f, d.replace("'", "''").replace("\n", "' || chr(10) || '")) for t, f, d in TEXTS)
+TEXT_ROWS = sql_for_parts("o", "type, fqn, ddl", TEXTS, "fqn")
 
 
-@query(f"WITH o(type, fqn, ddl) AS (VALUES {TEXT_VALUES}) SELECT CASE WHEN type = 'table' THEN 'catalog' ELSE 'rewrite' END AS path, count(*)::BIGINT AS n FROM o GROUP BY 1")
+@query(f"WITH {TEXT_ROWS} SELECT CASE WHEN type = 'table' THEN 'catalog' ELSE 'rewrite' END AS path, count(*)::BIGINT AS n FROM o GROUP BY 1")
 def assess_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.objects_frame(spark, TEXTS).groupBy(scan.eligibility(F.col("type"), "mssql").alias("path")).agg(F.count("*").alias("n"))
+    return rows_for_parts(spark, sf_dir, TEXTS, "type string, fqn string, ddl string", "fqn").groupBy(scan.eligibility(F.col("type"), "mssql").alias("path")).agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH o(type, fqn, ddl) AS (VALUES {TEXT_VALUES}), b AS (SELECT *, regexp_replace(regexp_replace(ddl, '--[^\\n]*', '', 'g'), '''(?:[^'']|'''')*''', '', 'g') AS bare FROM o), c AS (SELECT *, len(regexp_extract_all(bare, '\\(')) AS po, len(regexp_extract_all(bare, '\\)')) AS pc, len(regexp_extract_all(bare, '(?i)\\bbegin\\b')) + len(regexp_extract_all(bare, '(?i)\\bcase\\b')) AS bo, len(regexp_extract_all(bare, '(?i)\\bend\\b')) AS bc FROM b)
+@query(f"""WITH {TEXT_ROWS}, b AS (SELECT *, regexp_replace(regexp_replace(ddl, '--[^\\n]*', '', 'g'), '''(?:[^'']|'''')*''', '', 'g') AS bare FROM o), c AS (SELECT *, len(regexp_extract_all(bare, '\\(')) AS po, len(regexp_extract_all(bare, '\\)')) AS pc, len(regexp_extract_all(bare, '(?i)\\bbegin\\b')) + len(regexp_extract_all(bare, '(?i)\\bcase\\b')) AS bo, len(regexp_extract_all(bare, '(?i)\\bend\\b')) AS bc FROM b)
 SELECT fqn, CASE WHEN trim(ddl) = '' THEN 'empty' WHEN po <> pc OR (type IN ('procedure', 'function', 'trigger') AND bo > bc) THEN 'truncated' WHEN NOT (CASE type WHEN 'view' THEN regexp_matches(bare, '(?i)\\bselect\\b') WHEN 'table' THEN regexp_matches(bare, '(?i)\\bcreate\\s+table\\b') ELSE regexp_matches(bare, '(?i)\\bbegin\\b|\\breturn\\b') END) THEN 'incomplete' WHEN regexp_matches(ddl, '(?i)\\bEWI-\\d{{4}}\\b|\\bTODO\\b|unconverted') THEN 'marked' ELSE 'ok' END AS issue FROM c""")
 def audit_truncation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.conversion_audit(scan.objects_frame(spark, TEXTS))
+    return scan.conversion_audit(rows_for_parts(spark, sf_dir, TEXTS, "type string, fqn string, ddl string", "fqn"))
 
 
-@query(f"""WITH o(type, fqn, ddl) AS (VALUES {TEXT_VALUES}) SELECT fqn, array_to_string(list_sort(list_distinct(regexp_extract_all(regexp_replace(lower(ddl), '--[^\\n]*|[\\[\\]"`]', '', 'g'), '\\b(?:from|join|into|update|exec|execute)\\s+([a-z_][\\w$]*(?:\\.[a-z_][\\w$]*)*)', 1))), ',') AS refs,
+@query(f"""WITH {TEXT_ROWS} SELECT fqn, array_to_string(list_sort(list_distinct(regexp_extract_all(regexp_replace(lower(ddl), '--[^\\n]*|[\\[\\]"`]', '', 'g'), '\\b(?:from|join|into|update|exec|execute)\\s+([a-z_][\\w$]*(?:\\.[a-z_][\\w$]*)*)', 1))), ',') AS refs,
  type = 'view' OR (type = 'function' AND regexp_matches(ddl, '(?is)\\breturns\\s+(@\\w+\\s+)?table\\b')) OR (type = 'procedure' AND regexp_matches(ddl, '(?im)^\\s*select\\b')) AS row_producing FROM o""")
 def referenced_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = scan.objects_frame(spark, TEXTS)
+    o = rows_for_parts(spark, sf_dir, TEXTS, "type string, fqn string, ddl string", "fqn")
     return o.select("fqn", F.array_join(graph.references(F.col("ddl")), ",").alias("refs"), scan.row_producing(F.col("type"), F.col("ddl")).alias("row_producing"))
 
 
@@ -154,15 +154,14 @@ def seed_fk_round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CHECKS = [("c1", "status IN ('open', 'closed', 'new')"), ("c2", "age >= 18 AND age <= 65"), ("c3", "qty BETWEEN 1 AND 10"), ("c4", "x > 0"), ("c5", "len(a) = len(b)")]
-CHECK_VALUES = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in CHECKS)
 
 
-@query(f"""WITH v(name, d) AS (VALUES {CHECK_VALUES}), n AS (SELECT *, regexp_extract_all(d, '''([^'']*)''', 1) AS q FROM v) SELECT name, CASE WHEN regexp_matches(d, '(?i)\\bin\\s*\\(') AND len(q) > 0 THEN array_to_string(list_sort(q), ',') END AS choices,
+@query(f"""WITH {sql_for_parts("v", "name, d", CHECKS, "name")}, n AS (SELECT *, regexp_extract_all(d, '''([^'']*)''', 1) AS q FROM v) SELECT name, CASE WHEN regexp_matches(d, '(?i)\\bin\\s*\\(') AND len(q) > 0 THEN array_to_string(list_sort(q), ',') END AS choices,
  coalesce(nullif(regexp_extract(d, '(?i)between\\s+(-?\\d+)', 1), '')::BIGINT, nullif(regexp_extract(d, '>=\\s*\\(?(-?\\d+)', 1), '')::BIGINT, nullif(regexp_extract(d, '>\\s*\\(?(-?\\d+)', 1), '')::BIGINT + 1) AS low,
  coalesce(nullif(regexp_extract(d, '(?i)between\\s+-?\\d+\\s+and\\s+(-?\\d+)', 1), '')::BIGINT, nullif(regexp_extract(d, '<=\\s*\\(?(-?\\d+)', 1), '')::BIGINT, nullif(regexp_extract(d, '<\\s*\\(?(-?\\d+)', 1), '')::BIGINT - 1) AS high FROM n""")
 def check_enum_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, low, high = witness.check_values(F.col("d"))
-    return spark.createDataFrame(CHECKS, "name string, d string").select("name", F.array_join(c, ",").alias("choices"), low.alias("low"), high.alias("high"))
+    return rows_for_parts(spark, sf_dir, CHECKS, "name string, d string", "name").select("name", F.array_join(c, ",").alias("choices"), low.alias("low"), high.alias("high"))
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 13 <> 0)")

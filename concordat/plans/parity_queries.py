@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from concordat.functions.canonical import routine_cell
 from concordat.operators import audit, digests, parity
 
-from .registry import query, table
+from .registry import for_each, one_of, query, rows_for_parts, sql_for_parts, sql_rows, table
 
 ORDERS_T = """t AS (SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 89 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 97 <> 0
  UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 101 = 0 AND o_orderkey <> 0)"""
@@ -169,28 +169,26 @@ def structural_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 COLUMN_SETS = [("a.v1", "id,name,amount", "id,name,amount"), ("a.v2", "id,name,amount", "id,amount"), ("a.v3", "id", "id,extra"), ("a.v4", "b,a", "a,b"), ("a.v5", "x,y", "y,z")]
-COLUMN_VALUES = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in COLUMN_SETS)
 
 
-@query(f"""WITH v(name, s, t) AS (VALUES {COLUMN_VALUES}), w AS (SELECT name, string_split(s, ',') AS a, string_split(t, ',') AS b FROM v),
+@query(f"""WITH {sql_for_parts("v", "name, s, t", COLUMN_SETS, "name")}, w AS (SELECT name, string_split(s, ',') AS a, string_split(t, ',') AS b FROM v),
 d AS (SELECT name, array_to_string(list_sort(list_filter(a, lambda x: NOT list_contains(b, x))), ',') AS only_source, array_to_string(list_sort(list_filter(b, lambda x: NOT list_contains(a, x))), ',') AS only_target, array_to_string(list_sort(list_filter(a, lambda x: list_contains(b, x))), ',') AS shared FROM w)
 SELECT *, CASE WHEN only_source <> '' THEN 'FAIL' WHEN only_target <> '' THEN 'WARN' ELSE 'PASS' END AS verdict FROM d""")
 def column_set_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = spark.createDataFrame(COLUMN_SETS, "name string, s string, t string").select("name", F.split("s", ",").alias("s"), F.split("t", ",").alias("t"))
+    v = rows_for_parts(spark, sf_dir, COLUMN_SETS, "name string, s string, t string", "name").select("name", F.split("s", ",").alias("s"), F.split("t", ",").alias("t"))
     a, b, c = parity.set_diff(F.col("s"), F.col("t"))
     return v.select("name", F.array_join(a, ",").alias("only_source"), F.array_join(b, ",").alias("only_target"), F.array_join(c, ",").alias("shared"), parity.columns_verdict(F.col("s"), F.col("t")).alias("verdict"))
 
 
 PARAMS = [("p1", "@id,@name", "p_id,p_name"), ("p2", "@id,@name", "par_name,par_id"), ("p3", "@id", "p_id,p_x"), ("p4", "@a,@b", "p_a,p_c")]
-PARAM_VALUES = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in PARAMS)
 
 
-@query(f"""WITH v(name, s, t) AS (VALUES {PARAM_VALUES}), w AS (SELECT name, list_transform(string_split(s, ','), lambda x: regexp_replace(regexp_replace(lower(x), '^@', ''), '^(par_|p_)', '')) AS a, list_transform(string_split(t, ','), lambda x: regexp_replace(regexp_replace(lower(x), '^@', ''), '^(par_|p_)', '')) AS b FROM v)
+@query(f"""WITH {sql_for_parts("v", "name, s, t", PARAMS, "name")}, w AS (SELECT name, list_transform(string_split(s, ','), lambda x: regexp_replace(regexp_replace(lower(x), '^@', ''), '^(par_|p_)', '')) AS a, list_transform(string_split(t, ','), lambda x: regexp_replace(regexp_replace(lower(x), '^@', ''), '^(par_|p_)', '')) AS b FROM v)
 SELECT name, CASE WHEN len(a) <> len(b) THEN 'PARAM_COUNT_DIFFERS' WHEN a = b THEN 'PASS' WHEN list_sort(a) = list_sort(b) THEN 'PARAM_ORDER_SWAPPED' ELSE 'PARAM_NAMES_DIFFER' END AS verdict,
  coalesce(array_to_string(list_transform(list_filter(list_zip(a, b), lambda z: z[1] IS DISTINCT FROM z[2]), lambda z: coalesce(z[1], '-') || ':' || coalesce(z[2], '-')), ','), '') AS pairs FROM w""")
 def param_order_swapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = lambda c: F.transform(F.split(c, ","), parity.parameter_name)
-    v = spark.createDataFrame(PARAMS, "name string, s string, t string").select("name", names("s").alias("s"), names("t").alias("t"))
+    v = rows_for_parts(spark, sf_dir, PARAMS, "name string, s string, t string", "name").select("name", names("s").alias("s"), names("t").alias("t"))
     pairs = F.filter(F.arrays_zip("s", "t"), lambda z: ~z["s"].eqNullSafe(z["t"]))
     text = F.array_join(F.transform(pairs, lambda z: F.concat(F.coalesce(z["s"], F.lit("-")), F.lit(":"), F.coalesce(z["t"], F.lit("-")))), ",")
     return v.select("name", parity.params_verdict(F.col("s"), F.col("t")).alias("verdict"), text.alias("pairs"))
@@ -200,15 +198,14 @@ TYPES = [
     ("bit", "boolean"), ("INT", "integer"), ("int", "bigint"), ("bit", "integer"), ("datetime2", "timestamp with time zone"), ("datetime", "timestamp with time zone"), ("sysname", "name"), ("decimal", "numeric(10,2)"), ("nvarchar", "character varying(50)"),
     ("datetime", "date"), ("money", "numeric(19,4)"), ("uniqueidentifier", "uuid"), ("int", "text"), ("xml", "text"), ("text", "text"), ("IdList", "ARRAY"), ("int", "ARRAY"), ("hierarchyid", "ltree"), ("tinyint", "bigint"), ("real", "double precision"),
 ]
-TYPE_VALUES = ", ".join(f"('{a}', '{b}')" for a, b in TYPES)
 
 
-@query(f"""WITH v(s, t) AS (VALUES {TYPE_VALUES}), w AS (SELECT s, t, lower(s) AS a, trim(regexp_replace(lower(t), '\\(.*\\)', '')) AS b FROM v),
+@query(f"""WITH {sql_for_parts("v", "s, t", TYPES)}, w AS (SELECT s, t, lower(s) AS a, trim(regexp_replace(lower(t), '\\(.*\\)', '')) AS b FROM v),
 m(a, b) AS (VALUES ('bit', 'boolean'), ('bit', 'integer'), ('int', 'integer'), ('int', 'bigint'), ('bigint', 'integer'), ('tinyint', 'smallint'), ('tinyint', 'bigint'), ('real', 'float4'), ('float', 'double precision'), ('float', 'real'), ('decimal', 'numeric'), ('money', 'numeric'),
  ('nvarchar', 'character varying'), ('nvarchar', 'text'), ('datetime', 'timestamp with time zone'), ('datetime', 'timestamp'), ('datetime2', 'timestamp'), ('datetime2', 'timestamp without time zone'), ('sysname', 'name'), ('sysname', 'text'), ('uniqueidentifier', 'uuid'), ('xml', 'text'), ('hierarchyid', 'text'), ('text', 'text'))
 SELECT s AS source_type, t AS target_type, a = b OR (a, b) IN (SELECT (a, b) FROM m) OR (b = 'array' AND a NOT IN (SELECT a FROM m)) AS equivalent FROM w""")
 def type_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = spark.createDataFrame(TYPES, "source_type string, target_type string")
+    v = rows_for_parts(spark, sf_dir, TYPES, "source_type string, target_type string")
     return v.withColumn("equivalent", parity.types_equivalent(F.col("source_type"), F.col("target_type")))
 
 
@@ -351,7 +348,8 @@ ERRORS = [
     (25, "app.r4", "   "),
 ]
 quoted = lambda x: "NULL" if x is None else "'" + str(x).replace("'", "''") + "'"
-ERROR_VALUES = ", ".join(f"({a}, {quoted(b)}, {quoted(c)})" for a, b, c in ERRORS)
+#: An error of each order: the one at the place that its key tells.
+ERROR_ROWS = f"e AS (SELECT o_orderkey AS entry, object_name, error FROM orders JOIN (VALUES {sql_rows([(b, c) for _, b, c in ERRORS])}) t(place, object_name, error) ON o_orderkey % {len(ERRORS)} = place)"
 LADDER = """CASE WHEN trim(coalesce(error, '')) = '' THEN 'unknown' WHEN lower(error) LIKE '%column _% does not exist%' THEN 'column_does_not_exist' WHEN lower(error) LIKE '%relation _% does not exist%' THEN 'relation_does_not_exist'
  WHEN lower(error) LIKE '%function _% does not exist%' THEN 'function_does_not_exist' WHEN regexp_matches(lower(error), 'type "(count|rowcount|_row_count)" does not exist') THEN 'rowcount_conversion_bug' WHEN lower(error) LIKE '%type _% does not exist%' THEN 'type_does_not_exist'
  WHEN lower(error) LIKE '%syntax error at or near_%`%' THEN 'code_fence_leak' WHEN lower(error) LIKE '%syntax error at or near%' THEN 'syntax_error' WHEN lower(error) LIKE '%cannot use return query in a non_setof%' THEN 'non_setof_return_query' WHEN lower(error) LIKE '%unterminated % quoted%' THEN 'unterminated_quoted_identifier'
@@ -359,24 +357,25 @@ LADDER = """CASE WHEN trim(coalesce(error, '')) = '' THEN 'unknown' WHEN lower(e
  WHEN lower(error) LIKE '%already exists%' THEN 'already_exists' WHEN lower(error) LIKE '%cannot cast%' THEN 'cast_error' WHEN lower(error) LIKE '%ambiguous column%' THEN 'ambiguous_column' ELSE 'other:' || substr(error, 1, 60) END"""
 
 
-def errors(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ERRORS, "entry int, object_name string, error string")
+def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("entry"))
+    return one_of(orders, "entry", [(b, c) for _, b, c in ERRORS], "object_name string, error string")
 
 
-@query(f"WITH e(entry, object_name, error) AS (VALUES {ERROR_VALUES}) SELECT entry, {LADDER} AS error_class FROM e")
+@query(f"WITH {ERROR_ROWS} SELECT entry, {LADDER} AS error_class FROM e")
 def error_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return errors(spark).select("entry", audit.classify_error(F.col("error")).alias("error_class"))
+    return errors(spark, sf_dir).select("entry", audit.classify_error(F.col("error")).alias("error_class"))
 
 
 ROUTE = """CASE WHEN error_class IN ('column_does_not_exist', 'relation_does_not_exist', 'syntax_error', 'undeclared_variable', 'operator_type_mismatch') THEN 'rule' WHEN error_class = 'function_does_not_exist' THEN 'function-sub' WHEN error_class IN ('type_does_not_exist', 'cast_error') THEN 'type-mapping'
  WHEN error_class IN ('rowcount_conversion_bug', 'code_fence_leak', 'row_count_mismatch', 'missing_in_target') THEN 'script' ELSE 'prompt' END"""
 
 
-@query(f"""WITH e(entry, object_name, error) AS (VALUES {ERROR_VALUES}), k AS (SELECT *, {LADDER} AS error_class FROM e), d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY object_name, error_class ORDER BY entry) AS p FROM k) WHERE p = 1),
+@query(f"""WITH {ERROR_ROWS}, k AS (SELECT *, {LADDER} AS error_class FROM e), d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY object_name, error_class ORDER BY entry) AS p FROM k) WHERE p = 1),
 g AS (SELECT error_class, count(*)::BIGINT AS n, array_to_string(list_sort(list_distinct(list(object_name))), ',') AS objects, first(error ORDER BY entry) AS first_error, min(entry) AS first_entry FROM d GROUP BY 1)
 SELECT row_number() OVER (ORDER BY n DESC, first_entry)::INT AS rank, error_class, n, objects, first_error, {ROUTE} AS fix_route FROM g""")
 def error_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kinds = errors(spark).withColumn("kind", audit.classify_error(F.col("error")))
+    kinds = errors(spark, sf_dir).withColumn("kind", audit.classify_error(F.col("error")))
     return audit.failure_ranking(audit.deduplicated(kinds, ["object_name", "kind"], "entry"))
 
 
@@ -385,19 +384,19 @@ EXPECTED = "coalesce(regexp_extract(error, '(?i)(?:error|msg)\\s*:?\\s*(\\d+)',
 )
 
 
-@query(f"WITH e(entry, object_name, error) AS (VALUES {ERROR_VALUES}) SELECT entry, {EXPECTED} AS expected, CASE WHEN error IS NULL THEN 'PASS_WRITE_PROC' WHEN {EXPECTED} THEN 'WRITE_EXPECTED_FAIL' ELSE 'WRITE_BOTH_FAILED' END AS verdict FROM e")
+@query(f"WITH {ERROR_ROWS} SELECT entry, {EXPECTED} AS expected, CASE WHEN error IS NULL THEN 'PASS_WRITE_PROC' WHEN {EXPECTED} THEN 'WRITE_EXPECTED_FAIL' ELSE 'WRITE_BOTH_FAILED' END AS verdict FROM e")
 def expected_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("error")
     ok = e.isNull()
-    return errors(spark).select("entry", parity.expected_error(e).alias("expected"), parity.write_verdict(ok, ok, e, e).alias("verdict"))
+    return errors(spark, sf_dir).select("entry", parity.expected_error(e).alias("expected"), parity.write_verdict(ok, ok, e, e).alias("verdict"))
 
 
 RULES = [("fk_parent", ["foreign key", "violates"], []), ("cast", [], ["cast", "integer"])]
 
 
-@query(f"WITH e(entry, object_name, error) AS (VALUES {ERROR_VALUES}) SELECT entry, CASE WHEN contains(error, 'foreign key') OR contains(error, 'violates') THEN 'fk_parent' WHEN contains(error, 'cast') AND contains(error, 'integer') THEN 'cast' END AS rule FROM e")
+@query(f"WITH {ERROR_ROWS} SELECT entry, CASE WHEN contains(error, 'foreign key') OR contains(error, 'violates') THEN 'fk_parent' WHEN contains(error, 'cast') AND contains(error, 'integer') THEN 'cast' END AS rule FROM e")
 def error_reclassify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return errors(spark).select("entry", parity.reclassified(F.col("error"), RULES).alias("rule"))
+    return errors(spark, sf_dir).select("entry", parity.reclassified(F.col("error"), RULES).alias("rule"))
 
 
 MERGE = [("a", "tables", 1, 5, 1), ("a", "tables", 2, 6, 0), ("b", "tables", 1, 3, 2), ("a", "views", 1, 2, 2)]
@@ -473,13 +472,13 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TRIGGERS = [("source", "app.trg_a_trigger", "t1", "INSERT,UPDATE"), ("source", "app.trg_b", "t2", "DELETE"), ("source", "app.trg_c", "t3", "INSERT"), ("target", "trg_a_fn", "t1", "UPDATE,INSERT"), ("target", "x.trg_b", "t2", "DELETE,INSERT"), ("target", "trg_d", "t9", "INSERT")]
-TRIGGER_VALUES = ", ".join(f"({quoted(a)}, {quoted(b)}, {quoted(c)}, {quoted(d)})" for a, b, c, d in TRIGGERS)
 
 
-@query(f"""WITH v(side, name, tab, events) AS (VALUES {TRIGGER_VALUES}), w AS (SELECT side, regexp_replace(regexp_replace(lower(name), '^.*\\.', ''), '(_trigger|_fn)$', '') AS name, tab, list_sort(string_split(events, ',')) AS events FROM v)
+@query(f"""WITH v AS (SELECT side, replace(name, 'trg', 'trg' || s_suppkey) AS name, tab, events FROM supplier, (VALUES {sql_rows(TRIGGERS)}) t(place, side, name, tab, events)), w AS (SELECT side, regexp_replace(regexp_replace(lower(name), '^.*\\.', ''), '(_trigger|_fn)$', '') AS name, tab, list_sort(string_split(events, ',')) AS events FROM v)
 SELECT coalesce(s.name, t.name) AS name, CASE WHEN t.name IS NULL THEN 'SOURCE_ONLY' WHEN s.name IS NULL THEN 'TARGET_ONLY' WHEN s.tab <> t.tab THEN 'TABLE_DIFFERS' WHEN s.events <> t.events THEN 'EVENTS_DIFFER' ELSE 'PASS' END AS verdict FROM (FROM w WHERE side = 'source') s FULL JOIN (FROM w WHERE side = 'target') t ON s.name = t.name""")
 def trigger_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = spark.createDataFrame(TRIGGERS, "side string, name string, tab string, events string").select("side", parity.trigger_name(F.col("name")).alias("name"), "tab", F.array_sort(F.split("events", ",")).alias("events"))
+    v = for_each(table(spark, sf_dir, "supplier").select("s_suppkey"), TRIGGERS, "side string, name string, tab string, events string")
+    v = v.withColumn("name", F.replace("name", F.lit("trg"), F.concat(F.lit("trg"), "s_suppkey"))).select("side", parity.trigger_name(F.col("name")).alias("name"), "tab", F.array_sort(F.split("events", ",")).alias("events"))
     s, t = (v.where(F.col("side") == x).select("name", F.col("tab").alias(f"{x}_tab"), F.col("events").alias(f"{x}_events")) for x in ("source", "target"))
     verdict = F.when(F.col("target_tab").isNull(), "SOURCE_ONLY").when(F.col("source_tab").isNull(), "TARGET_ONLY").when(F.col("source_tab") != F.col("target_tab"), "TABLE_DIFFERS").when(F.col("source_events") != F.col("target_events"), "EVENTS_DIFFER").otherwise("PASS")
     return s.join(t, "name", "full_outer").select("name", verdict.alias("verdict"))

@@ -49,3 +49,21 @@ def spelled(value: object) -> str:
     if isinstance(value, (list, tuple)):
         return "array(" + ", ".join(map(spelled, value)) + ")"
     return str(value) if not isinstance(value, str) else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_rows(rows: list[tuple]) -> str:
+    """Rows in DuckDB's SQL, each with its place in front."""
+    cell = lambda v: {None: "NULL", True: "true", False: "false"}[v] if v is None or isinstance(v, bool) else str(v) if not isinstance(v, str) else "'" + v.replace("'", "''") + "'"
+    return ", ".join(f"({i}, {', '.join(map(cell, r))})" for i, r in enumerate(rows))
+
+
+def sql_for_parts(name: str, columns: str, rows: list[tuple], own: str | None = None) -> str:
+    """A common table for DuckDB: for each part the row at the place that its key tells, with the key behind the column own."""
+    made = ", ".join(f"{c} || '_' || p_partkey AS {c}" if c == own else c for c in columns.split(", "))
+    return f"{name} AS (SELECT {made} FROM part JOIN (VALUES {sql_rows(rows)}) t(place, {columns}) ON p_partkey % {len(rows)} = place)"
+
+
+def rows_for_parts(spark: SparkSession, sf_dir: str, rows: list[tuple], schema: str, own: str | None = None) -> DataFrame:
+    """sql_for_parts() of Spark."""
+    df = one_of(table(spark, sf_dir, "part").select("p_partkey"), "p_partkey", rows, schema)
+    return (df.withColumn(own, F.concat_ws("_", own, "p_partkey")) if own else df).drop("p_partkey")
