@@ -6,7 +6,7 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-from concordat.plans import catalog_queries, check_queries, dialect_queries, function_queries, object_queries, parity_queries, rule_queries, view_queries, witness_queries, write_queries  # noqa: F401
+from concordat.plans import catalog_queries, check_queries, dialect_queries, form_queries, function_queries, object_queries, parity_queries, rule_queries, view_queries, witness_queries, write_queries  # noqa: F401
 from concordat.plans.registry import ORACLE_SQL, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
