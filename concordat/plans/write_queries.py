@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from concordat.operators.durable import shared_folder
+from concordat.sources.ledger import Ledger
+from concordat.streaming.triggers import TriggerStream
 
 from .registry import query, table
 from .transitions import Tables, compare_routines, run_routine
@@ -108,3 +115,34 @@ def write_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = [("same", (MYSQL_RAISE, "mysql"), (ORACLE_RAISE, "oracle"), {"p_by": 7}), ("wrong", (MYSQL_RAISE, "mysql"), (WRONG_RAISE, "oracle"), {"p_by": 7}), ("both", (TWICE, "mssql"), (LOST, "mysql"), {})]
     rows = [(run, t, v) for run, a, b, given in runs for t, v, _ in compare_routines(make, a, b, given, {"p_by": "p_amount"})]
     return spark.createDataFrame(rows, "run string, table_name string, verdict string")
+
+
+@query("SELECT 1::BIGINT AS run_number, count(*)::BIGINT AS total, count(*) FILTER (o_orderkey % 3 = 0)::BIGINT AS passed, count(*) FILTER (o_orderkey % 3 = 1)::BIGINT AS failed, count(*) FILTER (o_orderkey % 3 = 2)::BIGINT AS skipped, 'COMPLETE' AS status FROM orders UNION ALL SELECT 3, 0, 0, 0, 0, 'EMPTY'")
+def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs begun, of which two are complete: the third's results aren't seen."""
+    ledger = Ledger(spark, f"{shared_folder(spark)}/runs-{uuid.uuid4().hex}")
+    results = table(spark, sf_dir, "orders").select("o_orderkey", F.element_at(F.array(*map(F.lit, ("PASS", "FAIL", "SKIPPED"))), (F.col("o_orderkey") % 3 + 1).cast("int")).alias("verdict"))
+    first, second, third = (ledger.begin("app", "target", ["s"]) for _ in range(3))
+    for number, rows in ((first, results), (second, results), (third, results.limit(0))):
+        ledger.write(number, "results", rows)
+    for number in (first, third):
+        ledger.complete(number, ["PASS"], ["SKIPPED"])
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return ledger.runs().select("run_number", *map(zero, ("total", "passed", "failed", "skipped")), "status")
+
+
+AUDIT = "CREATE TRIGGER dbo.trg_orders ON dbo.orders AFTER INSERT, UPDATE AS BEGIN SET NOCOUNT ON; INSERT INTO dbo.audit_log (what, k) SELECT ISNULL(d.o_orderstatus, 'new;'), i.o_orderkey FROM inserted i LEFT JOIN deleted d ON d.o_orderkey = i.o_orderkey; END"
+
+
+@query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 1 THEN o_orderstatus ELSE 'new;' END AS what FROM orders WHERE o_orderkey % 3 <> 2")
+def trigger_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trigger's effects on three batches of changes, each of which comes twice: inserts, updates, and deletes that the trigger doesn't name."""
+    stream = TriggerStream(spark, f"{shared_folder(spark)}/trigger-{uuid.uuid4().hex}", AUDIT, "mssql")
+    row = F.struct("o_orderkey", "o_orderstatus")
+    none = F.lit(None).cast("struct<o_orderkey: bigint, o_orderstatus: string>")
+    orders = table(spark, sf_dir, "orders")
+    for batch, (op, new, old) in enumerate((("INSERT", row, none), ("UPDATE", row, row), ("DELETE", none, row))):
+        changes = orders.where(F.col("o_orderkey") % 3 == batch).select(F.lit(op).alias("op"), new.alias("new"), old.alias("old"))
+        for _ in range(2):
+            stream.run_batch(changes, batch)
+    return stream.written("audit_log", "what string, k bigint")
