@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +47,47 @@ def value_of(index: Column, kind: str, name: str = "", choices: list[str] | None
     return F.substring(text, 1, size) if size else text
 
 
+def permuted(index: Column, domain: int, key: int = 1) -> Column:
+    """A number below domain for each index (from 0, below domain) such that no two indexes have the same: a permutation, of which each key gives another.
+    Whole numbers of 38 digits, so domains of up to 10**18 are exact; no row needs to know of another."""
+    if not 0 < domain <= 10**18:
+        raise ValueError(f"a domain of {domain}")
+    factor = int(domain * 0.6180339887498949) + 2 * key + 1
+    while gcd(factor, domain) != 1:
+        factor += 1
+    shift = mixed(key) % domain
+    long = lambda v: F.lit(v).cast("decimal(19,0)")
+    return F.pmod(index.cast("decimal(18,0)") * long(factor % domain) + long(shift), long(domain)).cast("bigint")
+
+
+def mixed(key: int) -> int:
+    x = (key + 0x9E3779B97F4A7C15) & (2**64 - 1)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = ((x ^ x >> shift) * factor) & (2**64 - 1)
+    return x ^ x >> 31
+
+
+def unique_text(index: Column, size: int, key: int = 1) -> Column:
+    """A text of size letters for each index such that no two indexes have the same; there are 26 ** size of them, 12 letters counting at most."""
+    letters = min(size, 12)
+    number = permuted(index, 26**letters, key)
+    text = reduce(F.concat, (F.char(F.lit(97) + F.floor(number / F.lit(26**k)) % 26) if k else F.char(F.lit(97) + number % 26) for k in range(letters))) if letters > 1 else F.char(F.lit(97) + number % 26)
+    return F.rpad(text, size, "a")
+
+
+def assign_unique_pairs(children: DataFrame, index: str, rows: int, first: tuple[DataFrame, str, str], second: tuple[DataFrame, str, str], key: int = 1) -> DataFrame:
+    """children (with an index below rows) with a pair of references, to first and second (table, key column, name here), that no other child has. There must
+    be as many pairs of parents as rows, or ValueError. Pairs are permuted numbers of all pairs, parents found by equality of their places."""
+    sizes = [df.count() for df, _, _ in (first, second)]
+    if sizes[0] * sizes[1] < rows:
+        raise ValueError(f"{rows} rows and {sizes[0] * sizes[1]} pairs")
+    out = children.withColumn("__pair", permuted(F.col(index), max(1, sizes[0] * sizes[1]), key))
+    out = out.withColumns({"__first": F.expr(f"__pair div {max(1, sizes[1])}") + 1, "__second": F.pmod("__pair", F.lit(max(1, sizes[1]))) + 1})
+    for (df, column, name), place in ((first, "__first"), (second, "__second")):
+        out = out.join(numbered(df.select(F.col(column).alias(name)), F.col(name), place=place), place, "left")
+    return out.drop("__pair", "__first", "__second")
+
+
 def seed(spark: SparkSession, rows: int, columns: list[dict]) -> DataFrame:
     """rows rows of columns, each a dict of value_of's arguments with name and kind."""
     i = F.col("id")

@@ -68,3 +68,14 @@ def anchor_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = reducer.anchor({t: table(spark, sf_dir, t).where(w) for t, (_, w) in KEYS.items()}, witness.join_pairs(SALES)) or {}
     first = {"lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey", "nation": "n_nationkey"}
     return spark.createDataFrame([(t, int(row[first[t]])) for t, row in found.items()], "table_name string, key_value long")
+
+
+@query("SELECT count(*)::BIGINT AS n, count(*)::BIGINT AS ids, count(*)::BIGINT AS codes, count(*)::BIGINT AS pairs, 0::BIGINT AS orphans FROM lineitem")
+def seed_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many rows as lineitem has, with a key, a code and a pair of references that each row has alone, and no reference without its row."""
+    rows = table(spark, sf_dir, "lineitem").count()
+    customer, part = table(spark, sf_dir, "customer"), table(spark, sf_dir, "part")
+    made = spark.range(rows).select("id", witness.permuted(F.col("id"), 10**9, 7).alias("number"), witness.unique_text(F.col("id"), 8).alias("code"))
+    made = witness.assign_unique_pairs(made, "id", rows, (customer, "c_custkey", "customer"), (part, "p_partkey", "part"))
+    lost = F.col("customer").isNull() | F.col("part").isNull()
+    return made.agg(F.count("*").alias("n"), F.count_distinct("number").alias("ids"), F.count_distinct("code").alias("codes"), F.count_distinct("customer", "part").alias("pairs"), F.count_if(lost).alias("orphans"))

@@ -77,3 +77,27 @@ def test_survivors_are_the_joins_rows(spark, seed):
 def test_tables_must_be_joined(spark):
     with pytest.raises(ValueError, match="not joined: b"):
         reducer.join_tree(["a", "b"], [], "a")
+
+
+@pytest.mark.parametrize("domain", [1, 2, 26, 97, 1000, 10**18])
+def test_permutations_repeat_nothing(spark, domain):
+    from pyspark.sql import functions as F
+
+    from concordat.operators import witness
+
+    n = min(domain, 1000)
+    got = [tuple(r) for r in spark.range(n).select(*(witness.permuted(F.col("id"), domain, k) for k in (1, 2))).collect()]
+    for k in (0, 1):
+        assert len({r[k] for r in got}) == n and all(0 <= r[k] < domain for r in got)
+    texts = [r[0] for r in spark.range(min(n, 26)).select(witness.unique_text(F.col("id"), 1)).collect()]
+    assert len(set(texts)) == len(texts) and all(len(t) == 1 and t.islower() for t in texts)
+
+
+def test_pairs_must_suffice(spark):
+    from concordat.operators import witness
+
+    parents = spark.createDataFrame([("a",), ("b",)], "k string")
+    got = witness.assign_unique_pairs(spark.range(4), "id", 4, (parents, "k", "x"), (parents, "k", "y")).collect()
+    assert {(r.x, r.y) for r in got} == {(a, b) for a in "ab" for b in "ab"}
+    with pytest.raises(ValueError, match="pairs"):
+        witness.assign_unique_pairs(spark.range(5), "id", 5, (parents, "k", "x"), (parents, "k", "y"))
