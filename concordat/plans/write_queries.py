@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concordat.operators.durable import shared_folder
+from concordat.sources.dumps import insert_lines, statements, table_rows, text_lines
 from concordat.sources.ledger import Ledger
 from concordat.streaming.triggers import TriggerStream
 
@@ -146,3 +147,18 @@ def trigger_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         for _ in range(2):
             stream.run_batch(changes, batch)
     return stream.written("audit_log", "what string, k bigint")
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority || ' it''s; ' || chr(10) || 'more' AS note FROM orders")
+def dump_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written as a dump of INSERT statements, whose texts hold quotes, semicolons and line breaks, and read back from splits of 256 KB."""
+    orders = table(spark, sf_dir, "orders").withColumns({"note": F.concat("o_orderpriority", F.lit(" it's; \nmore")), "o_orderdate": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")}).drop("o_orderpriority")
+    path = f"{shared_folder(spark)}/dump-{uuid.uuid4().hex}"
+    insert_lines(orders, "app.orders", "mysql").write.option("lineSep", "\n").text(path)
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        found = statements(text_lines(spark, path), "mysql")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    return table_rows(found, "mysql", "orders", "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate string, note string")
