@@ -19,8 +19,11 @@ BROADCAST_DIGESTS = 1_000_000
 #: Fixed values of the WARC and gzip formats.
 END, BLANK, MEMBER = b"\r\n\r\n", b"\r\n\r\n", b"\x1f\x8b\x08"
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Bytes that an archive may hold (the reader takes one whole), beyond which a record has one to itself; bytes to which a gzip member may inflate.
-ARCHIVE, MEMBER_BYTES = 128 << 20, 1 << 30
+#: Bytes that an archive may hold (the reader takes one whole), beyond which a record has one to itself; inflated bytes of a gzip member that are held at
+#: once: a larger one is inflated again and parsed as it goes, with the same records.
+ARCHIVE, MEMBER_BYTES, WINDOW = 128 << 20, 64 << 20, 4 << 20
+#: Fixed value: characters that a version line has at most.
+VERSION_BYTES = 32
 LENGTH = re.compile(r"[0-9]{1,18}")
 VERSION = re.compile(rb"WARC/[01]\.[0-9]+\r?\n")
 START = re.compile(rb"WARC/[01]\.[0-9]+\r?\n|\x1f\x8b\x08")
@@ -129,47 +132,108 @@ def payload_of(record: Record) -> bytes:
     return record.block.partition(BLANK)[2]
 
 
-def inflate(data: bytes, at: int) -> tuple[bytes, int, str]:
-    """What a gzip member holds as far as it can be read, where it ends, and why it does not end well (else empty)."""
-    unzip, view, out, place, size = zlib.decompressobj(31), memoryview(data), [], at, 0
+def inflated(data: bytes, at: int) -> Iterator[bytes]:
+    """What a gzip member holds, as far as it can be read; returns where it ends and why it does not end well (else empty)."""
+    unzip, view, place = zlib.decompressobj(31), memoryview(data), at
     try:
         while not unzip.eof and place < len(data):
-            out.append(unzip.decompress(view[place : place + (1 << 16)], 1 << 22))
+            yield unzip.decompress(view[place : place + (1 << 16)], 1 << 22)
             place += 1 << 16
-            size += len(out[-1])
             while unzip.unconsumed_tail and not unzip.eof:
-                out.append(unzip.decompress(unzip.unconsumed_tail, 1 << 22))
-                size += len(out[-1])
-                if size > MEMBER_BYTES:
-                    return b"".join(out), at, "gzip member too large"
+                yield unzip.decompress(unzip.unconsumed_tail, 1 << 22)
     except zlib.error as e:
-        return b"".join(out), at, f"gzip: {e}"
+        return at, f"gzip: {e}"
     if not unzip.eof:
-        return b"".join(out), at, "gzip member cut short"
-    return b"".join(out), min(place, len(data)) - len(unzip.unused_data), ""
+        return at, "gzip member cut short"
+    return min(place, len(data)) - len(unzip.unused_data), ""
 
 
-def parse_member(data: bytes, at: int) -> tuple[list[Record | tuple[int, int, str]], int] | str:
+def inflate(data: bytes, at: int) -> tuple[bytes | None, int, str]:
+    """What a gzip member holds as far as it can be read (None if it is more than MEMBER_BYTES), where it ends, and why it does not end well (else empty)."""
+    parts, out, size = inflated(data, at), [], 0
+    while True:
+        try:
+            part = next(parts)
+        except StopIteration as stop:
+            return (b"".join(out) if size <= MEMBER_BYTES else None), *stop.value
+        size += len(part)
+        if size <= MEMBER_BYTES:
+            out.append(part)
+        else:
+            out.clear()
+
+
+def streamed(data: bytes, at: int) -> Iterator[Record | tuple[int, int, str]]:
+    """records_of() what a large gzip member holds, of which no more is held than a record and the stretch behind it that fails need."""
+    parts, held, place, ended, bad, why = inflated(data, at), b"", 0, False, False, ""
+
+    def more() -> None:
+        """Reads on, so much that what is held has grown by half at least."""
+        nonlocal held, place, ended
+        new, size = [held[place:]], 0
+        while size < max(WINDOW, len(held) // 2) and not ended:
+            part = next(parts, None)
+            ended = part is None
+            new.append(part or b"")
+            size += len(new[-1])
+        held, place = b"".join(new), 0
+
+    while True:
+        if place >= len(held) - VERSION_BYTES and not ended:
+            more()
+            continue
+        if place >= len(held):
+            break
+        found = parse_record(held, place)
+        if isinstance(found, Record):
+            if bad:
+                yield 0, 0, why
+                bad = False
+            place = found.end
+            yield found
+            continue
+        if not ended and found in ("headers don't end", "cut short", "no end mark where the length says"):
+            more()  # what isn't there yet may follow
+            continue
+        bad, why = True, why if bad else found
+        following = VERSION.search(held, place + 1)
+        place = following.start() if following else len(held) if ended else max(place + 1, len(held) - VERSION_BYTES)
+    if bad:
+        yield 0, 0, why
+
+
+def parse_member(data: bytes, at: int) -> tuple[Iterator[Record | tuple[int, int, str]], int] | str:
     """The records of a gzip member at a place, with a gap (all its bytes) for what of it fails, and where the member ends; or why there are
     none. Of a damaged member the records before the damage count, and its end is where the next member or version line begins. An empty member is a separator."""
     plain, end, why = inflate(data, at)
-    found = list(records_of(plain)) if plain else []
-    if why and not any(isinstance(r, Record) for r in found):
-        return why
+    found = records_of(plain) if plain is not None else streamed(data, at)
+    reasons, first = [], None
+    for r in found:
+        if isinstance(r, Record):
+            first = r
+            break
+        reasons.append(r[2])
+    if first is None and (why or reasons):
+        return why or reasons[0]
     if why:
         following = START.search(data, at + 1)
         while following and not whole_at(data, following.start()):
             following = START.search(data, following.start() + 1)
         end = following.start() if following else len(data)
-    reasons = [r[2] for r in found if isinstance(r, tuple)]
-    held: list[Record | tuple[int, int, str]] = [r for r in found if isinstance(r, Record)]
-    if not held and reasons:
-        return reasons[0]
-    for r in held:
-        r.start, r.end = at, end
-    if why or reasons:
-        held.append((at, end, why or f"within the member: {reasons[0]}"))
-    return held, end
+
+    def held() -> Iterator[Record | tuple[int, int, str]]:
+        r = first
+        while r is not None:
+            if isinstance(r, Record):
+                r.start, r.end = at, end
+                yield r
+            else:
+                reasons.append(r[2])
+            r = next(found, None)
+        if why or reasons:
+            yield at, end, why or f"within the member: {reasons[0]}"
+
+    return held(), end
 
 
 def whole_at(data: bytes, at: int) -> bool:
@@ -177,7 +241,7 @@ def whole_at(data: bytes, at: int) -> bool:
     if not data.startswith(MEMBER, at):
         return not isinstance(parse_record(data, at), str)
     plain, _, why = inflate(data, at)
-    return not why and (not plain or any(isinstance(r, Record) for r in records_of(plain)))
+    return not why and (plain == b"" or any(isinstance(r, Record) for r in (records_of(plain) if plain is not None else streamed(data, at))))
 
 
 def records_of(data: bytes) -> Iterator[Record | tuple[int, int, str]]:
@@ -189,8 +253,8 @@ def records_of(data: bytes) -> Iterator[Record | tuple[int, int, str]]:
             if bad >= 0:
                 yield bad, at, why
                 bad = -1
+            at = found.end  # before a caller tells where its member lies
             yield found
-            at = found.end
             continue
         if bad < 0:
             bad, why = at, found
@@ -209,13 +273,13 @@ def salvage(data: bytes) -> Iterator[Record | tuple[int, int, str]]:
     """
     at, bad, why = 0, -1, ""
     while at < len(data):
-        found: list[Record | tuple[int, int, str]] | str
+        found: Iterator[Record | tuple[int, int, str]] | str
         if data.startswith(MEMBER, at):
             member = parse_member(data, at)
             found, end = (member, at) if isinstance(member, str) else member
         else:
             record = parse_record(data, at)
-            found, end = (record, at) if isinstance(record, str) else ([record], record.end)
+            found, end = (record, at) if isinstance(record, str) else (iter([record]), record.end)
         if not isinstance(found, str):
             if bad >= 0:
                 yield bad, at, why

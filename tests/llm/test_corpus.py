@@ -271,3 +271,32 @@ def test_scores_of_nothing_and_without_training(spark):
     key = next(k for k in range(100) if is_held(k))
     (r,) = lm_scores(spark.createDataFrame([(key, "some words")], schema)).collect()
     assert r.held_out and r.n_known == 0 and r.train_tokens == 0 and r.base_score == 0 and r.score < 0
+
+
+# --- large members of archives
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_a_large_member_is_parsed_as_it_is_inflated(monkeypatch, seed):
+    import gzip
+    import hashlib
+
+    from concordat.llm import warc
+
+    rng = np.random.default_rng(seed)
+
+    def record(block):
+        return b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Block-Digest: sha1:" + hashlib.sha1(block).hexdigest().encode() + b"\r\nContent-Length: " + str(len(block)).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    blocks = [rng.bytes(int(rng.integers(0, 90_000))) + b"WARC/1.0\r\n" * int(rng.integers(0, 3)) for _ in range(12)]
+    parts = list(map(record, blocks))
+    for k in (3, 4, 9):
+        if rng.random() < 0.7:  # a digest that differs, a length that is wrong
+            parts[k] = parts[k].replace(b"sha1:", b"sha1:0", 1)[:-1] if rng.random() < 0.5 else parts[k].replace(b"Content-Length: ", b"Content-Length: 9", 1)
+    member = gzip.compress(b"".join(parts), 1)
+    tell = lambda data: [(r.start, r.end, r.block) if isinstance(r, warc.Record) else r for r in warc.salvage(data)]
+    archives = [member + gzip.compress(record(b"after")), member[: len(member) // 2], b"noise" + member[: len(member) // 3] + b"\x00" * 40 + member[len(member) // 3 :] + record(b"plain")]
+    want = list(map(tell, archives))
+    monkeypatch.setattr(warc, "MEMBER_BYTES", 1000)
+    monkeypatch.setattr(warc, "WINDOW", 10_000)
+    assert list(map(tell, archives)) == want and sum(len(x) for x in want) > 12
