@@ -116,5 +116,5 @@ def test_graphs_by_joins_are_those_by_walks(spark, tmp_path):
     objects = spark.createDataFrame([(x,) for x in "abcdefgh"], "fqn string")
     deps = spark.createDataFrame(rows, "src string, dst string")
     as_set = lambda df: {tuple(r) for r in df.collect()}
-    assert as_set(graph.closure(deps)) == as_set(graph.joined_closure(deps))
+    assert as_set(graph.closure(deps)) == as_set(graph.doubled_closure(deps))
     assert as_set(graph.waves(objects, deps)) == as_set(graph.joined_waves(objects, deps))
