@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .dialect_queries import run
 from .registry import query, table
+from .routines import table_function_to_spark
 
 
 def views(spark: SparkSession, sf_dir: str) -> None:
@@ -74,3 +75,38 @@ def mysql_operators(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT n_regionkey, n_name, count(*)::BIGINT AS n FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY ROLLUP (n_regionkey, n_name)")
 def mysql_with_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir, "SELECT n.n_regionkey, n.n_name, COUNT(*) AS n FROM app.nation n JOIN app.customer c ON c.c_nationkey = n.n_nationkey GROUP BY n.n_regionkey, n.n_name WITH ROLLUP", "mysql")
+
+
+BANDS = """CREATE FUNCTION dbo.fn_bands (@region INT, @least DECIMAL(12,2) = 0) RETURNS @out TABLE (custkey BIGINT NOT NULL, band VARCHAR(10), balance FLOAT, PRIMARY KEY (custkey)) AS
+BEGIN
+  INSERT INTO @out (custkey, balance) SELECT c.c_custkey, c.c_acctbal FROM dbo.customer c JOIN dbo.nation n ON n.n_nationkey = c.c_nationkey WHERE n.n_regionkey = @region;
+  UPDATE @out SET band = CASE WHEN balance > 5000 THEN 'high;' ELSE 'low' END, balance = ISNULL(balance, 0) WHERE balance > @least;
+  DELETE FROM @out WHERE band IS NULL AND custkey % 2 = 0;
+  INSERT INTO @out SELECT -MAX(custkey), 'last', COUNT(*) FROM @out;
+  RETURN
+END"""
+
+
+@query("""WITH a AS (SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN CASE WHEN c_acctbal > 5000 THEN 'high;' ELSE 'low' END END AS band, c_acctbal FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE n_regionkey = 2),
+b AS (SELECT * FROM a WHERE NOT (band IS NULL AND c_custkey % 2 = 0)) SELECT c_custkey AS custkey, band, c_acctbal AS balance FROM b UNION ALL SELECT -max(c_custkey), 'last', count(*) FROM b""")
+def tsql_many_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table function of several statements: rows put in, changed, taken out and counted."""
+    run(spark, sf_dir, "SELECT 1 AS x", "mssql")
+    spark.sql(table_function_to_spark(BANDS, "mssql"))
+    return spark.sql("SELECT * FROM fn_bands(2)")
+
+
+OF_KEYS = """CREATE FUNCTION dbo.fn_of_keys (@keys dbo.KeyList READONLY, @more INT) RETURNS @out TABLE (custkey BIGINT, balance FLOAT) AS
+BEGIN
+  INSERT @out SELECT c.c_custkey, c.c_acctbal + k.extra + @more FROM dbo.customer c JOIN @keys k ON k.id = c.c_nationkey;
+  RETURN
+END"""
+
+
+@query("SELECT c_custkey AS custkey, c_acctbal + n_regionkey + 5 AS balance FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE n_regionkey < 2")
+def tsql_table_parameter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A function with a table for a parameter, which gets it as an array (a list of keys that a caller gives; here some nations)."""
+    run(spark, sf_dir, "SELECT 1 AS x", "mssql")
+    spark.sql(table_function_to_spark(OF_KEYS, "mssql", {"KeyList": [("id", "int"), ("extra", "int")]}))
+    keys = [f"named_struct('id', {r['n_nationkey']}, 'extra', {r['n_regionkey']})" for r in table(spark, sf_dir, "nation").where("n_regionkey < 2").collect()]
+    return spark.sql(f"SELECT * FROM fn_of_keys(array({', '.join(keys)}), 5)")

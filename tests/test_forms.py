@@ -35,3 +35,17 @@ def test_effects_keep_names_and_texts():
     assert (table, events) == ("items", ["INSERT"]) and [e[0] for e in effects] == ["log", "log"]
     assert effects[0][1] == "SELECT * FROM (SELECT 'a;b', i.k FROM new_rows i) AS made(`what`, `k`)" and effects[1][1] == "SELECT 1, 2 FROM new_rows"
     assert statements_of("a ';' -- ;\n; b") == ["a ';' -- ;\n", " b"]
+
+
+def test_functions_of_several_statements(spark):
+    from concordat.plans.routines import table_function_to_spark
+
+    head = "CREATE FUNCTION dbo.f (@n INT = 2) RETURNS @t TABLE (a INT NOT NULL, b VARCHAR(5)) AS BEGIN {} RETURN END"
+    spark.sql(table_function_to_spark(head.format("INSERT INTO @t (b) VALUES ('x;'), (NULL); UPDATE @t SET a = @n WHERE b = 'x;'; INSERT @t SELECT a + 1, b FROM @t WHERE a IS NOT NULL; DELETE @t WHERE b IS NULL;"), "mssql"))
+    assert sorted(map(tuple, spark.sql("SELECT * FROM f()").collect())) == [(2, "x;"), (3, "x;")]
+    assert sorted(r.a for r in spark.sql("SELECT * FROM f(7)").collect()) == [7, 8]
+    for body in ("EXEC p;", "UPDATE x SET a = 1;", "MERGE @t USING u ON 1 = 1 WHEN MATCHED THEN DELETE;"):
+        with pytest.raises(ValueError, match="needs a hand"):
+            table_function_to_spark(head.format(body), "mssql")
+    with pytest.raises(ValueError, match="several"):
+        table_function_to_spark("CREATE FUNCTION f() RETURNS INT AS BEGIN RETURN 1 END", "mssql")
