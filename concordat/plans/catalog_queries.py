@@ -107,6 +107,8 @@ def system(spark: SparkSession, sf_dir: str, source: str) -> catalogs.Catalog:
         "texts": "SELECT 'app' AS schema_name, concat('p', s_nationkey) AS object_name, element_at(array('SQL_STORED_PROCEDURE', 'VIEW', 'SQL_TRIGGER', 'SQL_SCALAR_FUNCTION'), cast(s_nationkey % 4 AS int) + 1) AS kind, s_suppkey AS line, concat(s_suppkey, ';') AS text FROM cat_supplier",
         "parameters": "SELECT 'app' AS schema_name, concat('p', s_nationkey) AS routine_name, -cast(s_suppkey AS int) AS place, concat('@a', s_suppkey) AS parameter_name, 'int' AS type_name, 0 AS is_output FROM cat_supplier",
     }
+    if "view_texts" in catalogs.STATEMENTS[source]:  # kept apart from other texts
+        made |= {"texts": f"SELECT * FROM ({made['texts']}) WHERE kind <> 'VIEW'", "view_texts": f"SELECT * FROM ({made['texts']}) WHERE kind = 'VIEW'"}
     by_statement = {catalogs.STATEMENTS[source][w]: q for w, q in made.items() if w in catalogs.STATEMENTS[source]}
     return catalogs.Catalog(source, lambda statement: spark.sql(by_statement[statement]))
 
