@@ -50,6 +50,8 @@ PREREQUISITES = [
 ]
 #: What a target holds at most.
 MOST_ROLES, MOST_DATABASES = 64, 32
+#: A name of a role or database, bare or in marks, of an account also with its host.
+NAME = r"(?:(?:\"[^\"]+\"|'[^']+'|`[^`]+`|\[[^\]]+\]|[^\s;,()\"'`\[\]]+)@?)+"
 #: Groups of deprecated objects: schemas, names, types and text, looked at in this order.
 DEPRECATED: list[tuple[str, str | None, str | None, str | None, str | None]] = [
     ("aspnet_membership", r"^aspnet_", r"^(?:vw_)?aspnet_", None, None),
@@ -67,7 +69,7 @@ def findings(objects: DataFrame, source: str) -> DataFrame:
     columns of MySQL, too many roles or databases, and the emulation that Oracle needs. objects: type, fqn, ddl.
 
     The few dozen rules are expressions of one projection, so a scan of any size needs neither join nor shuffle; what counts over all objects is one
-    aggregate of one row.
+    aggregate of one row, and only the names of roles and databases are shuffled.
     """
     kind, ddl = F.lower("type"), F.coalesce(F.col("ddl"), F.lit(""))
     of = source if source in ("mssql", "mysql", "mariadb", "oracle") else "other"
@@ -81,17 +83,30 @@ def findings(objects: DataFrame, source: str) -> DataFrame:
 
     has = lambda p: ddl.rlike(f"(?i){p}")
     sums = [F.min(F.when(has(p), F.col("fqn"))).alias(f"p{i}") for i, (_, _, p, _) in enumerate(PREREQUISITES)]
-    sums += [F.count_if(has("create role")).alias("roles"), F.count_if(has("create database")).alias("databases"), F.count_if(has(RULES[8][2][0])).alias("packages")]
+    sums += [F.count_if(has(RULES[8][2][0])).alias("packages")]
     sums += [F.coalesce(F.sum(F.when(kind == "table", F.regexp_count(ddl, F.lit(r"(?i)\btinyint\s*\(\s*1\s*\)")))), F.lit(0)).alias("tinyints")]
     finding = lambda ok, fqn, code, severity: F.when(ok, F.struct(fqn.alias("fqn"), F.lit(code).alias("code"), F.lit(severity).alias("severity")))
     once = [finding(F.col(f"p{i}").isNotNull(), F.lit(where) if where else F.col(f"p{i}"), c, "RESOLVE") for i, (c, _, _, where) in enumerate(PREREQUISITES)]
-    once += [finding(F.col("roles") > MOST_ROLES, F.lit("(schema)"), "BLOCK-007", "BLOCK"), finding(F.col("databases") > MOST_DATABASES, F.lit("(schema)"), "BLOCK-008", "BLOCK")]
     if source in ("mysql", "mariadb"):
         once.append(finding(F.col("tinyints") > 0, F.lit("(schema-wide)"), "WARN-014", "WARN"))
     if source == "oracle":  # a package has asked for the same already
         once.append(finding(F.col("packages") == 0, F.lit("(all objects)"), "RESOLVE-002", "RESOLVE"))
     whole = objects.agg(*sums).select(F.explode(F.array_compact(F.array(*once))).alias("f")).select("f.fqn", "f.code", "f.severity")
-    return rows.unionByName(whole)
+    return rows.unionByName(whole).unionByName(too_many(objects))
+
+
+def too_many(objects: DataFrame) -> DataFrame:
+    """(fqn, code, severity) if objects make more roles or databases than a target holds: of different names, whatever the case, as one that is made
+    again in many scripts is still one; a statement may make several."""
+
+    def made(what: str) -> Column:
+        lists = F.regexp_extract_all(F.lower("ddl"), F.lit(rf"\bcreate\s+{what}\s+(?:if\s+not\s+exists\s+)?(?!(?:link|scoped|audit|encryption)\s)({NAME}(?:\s*,\s*{NAME})*)"), 1)
+        return F.flatten(F.transform(lists, lambda x: F.transform(F.regexp_extract_all(x, F.lit(NAME), 0), lambda n: F.regexp_replace(n, r"[\"'`\[\]]", ""))))
+
+    limits = [("BLOCK-007", MOST_ROLES, "role"), ("BLOCK-008", MOST_DATABASES, "database")]
+    kinds = F.array(*(F.struct(F.lit(c).alias("code"), F.lit(most).alias("most"), made(what).alias("names")) for c, most, what in limits))
+    names = objects.where(F.col("ddl").rlike(r"(?i)\bcreate\s+(?:role|database)\b")).select(F.explode(kinds).alias("k")).select("k.code", "k.most", F.explode("k.names").alias("name"))
+    return names.distinct().groupBy("code", "most").agg(F.count("*").alias("n")).where("n > most").select(F.lit("(schema)").alias("fqn"), "code", F.lit("BLOCK").alias("severity"))
 
 
 def tinyint_columns(objects: DataFrame) -> DataFrame:
