@@ -7,10 +7,11 @@ looked for on the driver; beyond that it is a table that grows by doubling, a ro
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .durable import durable
+from .ranks import numbered
 
 #: Edges that the driver takes at most, and pairs of a closure.
 DRIVER_EDGES, DRIVER_PAIRS = 1_000_000, 200_000
@@ -73,7 +74,7 @@ def joined_waves(objects: DataFrame, deps: DataFrame) -> DataFrame:
 
 def topological_order(waved: DataFrame) -> DataFrame:
     """(fqn, place, cycle_warning): by wave, then by name."""
-    return waved.select("fqn", F.row_number().over(Window.orderBy("wave", "fqn")).alias("place"), F.col("in_cycle").alias("cycle_warning"))
+    return numbered(waved, F.col("wave"), F.col("fqn")).select("fqn", F.col("place").cast("int").alias("place"), F.col("in_cycle").alias("cycle_warning"))
 
 
 def closure(deps: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from concordat.functions import canonical, values
 from concordat.operators import audit, parity, verification, witness, workspace
 from concordat.operators import catalog as types
+from concordat.operators.ranks import numbered
 from concordat.sources import catalogs, definitions, files, sinks
 
 from .registry import for_each, one_of, query, sql_rows, table
@@ -280,7 +281,7 @@ def verdict_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts by gravity, then key."""
     v = spark.createDataFrame([(i, n) for i, (n, _) in enumerate(ORDERED)], "i long, verdict string")
     rows = table(spark, sf_dir, "orders").join(F.broadcast(v), F.col("o_orderkey") % 5 == F.col("i")).withColumn("__place", verification.verdict_place(F.col("verdict")))
-    return verification.in_verdict_order(rows.selectExpr("o_orderkey", "verdict", "row_number() OVER (ORDER BY __place, o_orderkey) AS position"), "o_orderkey")
+    return verification.in_verdict_order(numbered(rows, F.col("__place"), F.col("o_orderkey"), place="position").select("o_orderkey", "verdict", "position"), "o_orderkey")
 
 
 #: Labels cut from the names of parts, cut too long, or of no part; objects named after parts in two schemas.
