@@ -1,6 +1,7 @@
 """What would hold up larger tables: ranks by one task, limits of a session, rows a task."""
 
 from concordat.plans import catalog_queries, object_queries  # noqa: F401
+from concordat.plans.dialect_queries import run
 from concordat.plans.registry import QUERIES
 
 
@@ -8,3 +9,11 @@ def test_places_are_not_counted_by_one_task(spark, sf_dir):
     for name in ("verdict_order", "graph_toposort"):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
         assert "row_number() windowspecdefinition(__range" in plan and plan.count("row_number()") == 1, name
+
+
+def test_a_tree_has_any_number_of_rows(spark, sf_dir):
+    n = 1_000_010
+    spark.range(n).selectExpr("id AS k", "IF(id = 0, NULL, 0) AS up").createOrReplaceTempView("wide")
+    tree = run(spark, sf_dir, "SELECT w.k, SYS_CONNECT_BY_PATH(w.k, '/') AS p FROM app.wide w START WITH w.k = 0 CONNECT BY PRIOR w.k = w.up", "oracle")
+    row = tree.selectExpr("count(*)", "count(DISTINCT p)", "max(length(p))").first()
+    assert tuple(row) == (n, n, len("/0/1000009"))
