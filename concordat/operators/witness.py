@@ -14,6 +14,10 @@ from .ranks import numbered
 from .wishes import conditions, solved
 
 
+#: Rows that one task makes or holds.
+ROWS_A_TASK = 1_000_000
+
+
 def value_of(index: Column, kind: str, name: str = "", choices: list[str] | None = None, low: int | None = None, high: int | None = None, size: int | None = None) -> Column:
     """The value of row index (from 0) for a column of a kind: choices and ranges of its check first, then by type, text by name.
     Deterministic: decimals come from a hash of the index."""
@@ -75,6 +79,11 @@ def unique_text(index: Column, size: int, key: int = 1) -> Column:
     return F.rpad(text, size, "a")
 
 
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Tasks that rows are dealt to, so that what one holds doesn't grow with them."""
+    return max(spark.sparkContext.defaultParallelism, 1 + rows // ROWS_A_TASK)
+
+
 def assign_unique_pairs(children: DataFrame, index: str, rows: int, first: tuple[DataFrame, str, str], second: tuple[DataFrame, str, str], key: int = 1) -> DataFrame:
     """children (with an index below rows) with a pair of references, to first and second (table, key column, name here), that no other child has. There must
     be as many pairs of parents as rows, or ValueError. Pairs are permuted numbers of all pairs, parents found by equality of their places."""
@@ -83,8 +92,10 @@ def assign_unique_pairs(children: DataFrame, index: str, rows: int, first: tuple
         raise ValueError(f"{rows} rows and {sizes[0] * sizes[1]} pairs")
     out = children.withColumn("__pair", permuted(F.col(index), max(1, sizes[0] * sizes[1]), key))
     out = out.withColumns({"__first": F.expr(f"__pair div {max(1, sizes[1])}") + 1, "__second": F.pmod("__pair", F.lit(max(1, sizes[1]))) + 1})
+    tasks = tasks_for(children.sparkSession, rows)
+    many = tasks > int(children.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for (df, column, name), place in ((first, "__first"), (second, "__second")):
-        out = out.join(numbered(df.select(F.col(column).alias(name)), F.col(name), place=place), place, "left")
+        out = (out.repartition(tasks, place) if many else out).join(numbered(df.select(F.col(column).alias(name)), F.col(name), place=place), place, "left")
     return out.drop("__pair", "__first", "__second")
 
 

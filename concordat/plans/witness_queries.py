@@ -75,7 +75,11 @@ def seed_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many rows as lineitem has, with a key, a code and a pair of references that each row has alone, and no reference without its row."""
     rows = table(spark, sf_dir, "lineitem").count()
     customer, part = table(spark, sf_dir, "customer"), table(spark, sf_dir, "part")
-    made = spark.range(rows).select("id", witness.permuted(F.col("id"), 10**9, 7).alias("number"), witness.unique_text(F.col("id"), 8).alias("code"))
-    made = witness.assign_unique_pairs(made, "id", rows, (customer, "c_custkey", "customer"), (part, "p_partkey", "part"))
+    tasks = witness.tasks_for(spark, rows)
+    made = spark.range(0, rows, 1, tasks).select("id", witness.permuted(F.col("id"), 10**9, 7).alias("number"), witness.unique_text(F.col("id"), 8).alias("code"))
+    paired = witness.assign_unique_pairs(made.select("id"), "id", rows, (customer, "c_custkey", "customer"), (part, "p_partkey", "part"))
+    counted = lambda df, *by: df.repartition(tasks, *by).groupBy(*by).agg(F.count("*").alias("rows"))  # noqa: E731  one column's values at a time, so that a task holds a share of one
     lost = F.col("customer").isNull() | F.col("part").isNull()
-    return made.agg(F.count("*").alias("n"), F.count_distinct("number").alias("ids"), F.count_distinct("code").alias("codes"), F.count_distinct("customer", "part").alias("pairs"), F.count_if(lost).alias("orphans"))
+    whole = counted(paired, "customer", "part").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"), F.count_if(~lost).alias("pairs"), F.coalesce(F.sum(F.when(lost, F.col("rows"))), F.lit(0)).alias("orphans"))
+    ids, codes = (counted(made, c).agg(F.count(c).alias(name)) for c, name in (("number", "ids"), ("code", "codes")))
+    return whole.crossJoin(F.broadcast(ids)).crossJoin(F.broadcast(codes)).select("n", "ids", "codes", "pairs", "orphans")  # a row each

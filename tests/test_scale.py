@@ -1,6 +1,7 @@
 """What would hold up larger tables: ranks by one task, limits of a session, rows a task."""
 
-from concordat.plans import catalog_queries, object_queries  # noqa: F401
+from concordat.operators import witness
+from concordat.plans import catalog_queries, object_queries, witness_queries  # noqa: F401
 from concordat.plans.dialect_queries import run
 from concordat.plans.registry import QUERIES
 
@@ -17,3 +18,12 @@ def test_a_tree_has_any_number_of_rows(spark, sf_dir):
     tree = run(spark, sf_dir, "SELECT w.k, SYS_CONNECT_BY_PATH(w.k, '/') AS p FROM app.wide w START WITH w.k = 0 CONNECT BY PRIOR w.k = w.up", "oracle")
     row = tree.selectExpr("count(*)", "count(DISTINCT p)", "max(length(p))").first()
     assert tuple(row) == (n, n, len("/0/1000009"))
+
+
+def test_seeded_rows_are_dealt_to_more_tasks(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(witness, "ROWS_A_TASK", 500)
+    df = QUERIES["seed_unique_keys"](spark, sf_dir)
+    n = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and f"splits=Some({1 + n // 500})" in plan
+    assert tuple(df.first()) == (n, n, n, n, 0)
