@@ -41,8 +41,6 @@ BLOCK = 4096
 LEVELS, FEW = np.array([1, 2, 3, 5, 9, 33, 257], np.float32), np.array([1, 9, 257], np.float32)
 GATES = (len(LEVELS) + 1) ** 2 * (len(FEW) + 1)
 BATCH, BUCKETS = 16384, 33
-#: Stretches from which the mixer's weights and the maps are learned, at most: those with the least hashes of their numbers, all of a small corpus.
-LEARNED = 128
 LEAST = 1e-7
 
 
@@ -515,8 +513,7 @@ def train(pairs: DataFrame, tree: Tree) -> DataFrame:
     shared = spark.sparkContext.broadcast(tree)
     rows, short = stretched(pairs, shared)
     model = spark.sparkContext.broadcast(short)
-    parts = [r[0] for r in rows.select("part").distinct().withColumn("h", F.xxhash64("part")).orderBy("h").limit(LEARNED).collect()]
-    values = in_arrow(dealt(rows.where("c IS NULL OR c > 0").where(F.col("part").isin(parts))), lambda b: learned(shared.value, model.value, b), "cell int, values array<double>")
+    values = in_arrow(dealt(rows.where("c IS NULL OR c > 0")), lambda b: learned(shared.value, model.value, b), "cell int, values array<double>")
     sums = values.groupBy("cell").agg(*(F.sum(F.col("values")[k]).alias(f"v{k}") for k in range(PREDICTORS + 1)))
     mixer = Mixer()
     for r in sums.collect():  # gates and maps, whatever the corpus
@@ -549,7 +546,7 @@ def lm_scores(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     Texts whose key is not held out (crc32 of the key as text, modulo 7, is not 2) train. Tokens are the words between ASCII white space, A-Z
     lower-cased, and one end. base_score: log10 of add-one unigram probabilities. score: log10 of what the model gives the same tokens, words
     spelled with a space behind; bits_per_byte: that in bits by n_bytes, the bytes spelled. Counts come from all training texts. The mixer, a small
-    classifier of bits, learns from LEARNED stretches of words at most, each bit from counts without it, online in each task; tasks' weights are averaged
+    classifier of bits, learns from the words of all of them, each bit from counts without it, online in each task; tasks' weights are averaged
     by how often gates were open. A null text is empty and has the end alone; a null key trains; repeated rows are scored alike, and each counts;
     other columns are left out; no documents give no rows, and without training texts every bit is even.
     """
