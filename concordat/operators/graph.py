@@ -15,6 +15,8 @@ from .ranks import numbered
 
 #: Edges that the driver takes at most, and pairs of a closure.
 DRIVER_EDGES, DRIVER_PAIRS = 1_000_000, 200_000
+#: How tables of a row for each object are joined: broadcasts of them would go through the driver, one for each join.
+SORTED = "merge"
 
 
 def edges(objects: DataFrame) -> DataFrame:
@@ -25,7 +27,7 @@ def edges(objects: DataFrame) -> DataFrame:
     wanted = objects.select("fqn", F.explode("depends_on").alias("dep")).withColumns({"full": F.upper("dep"), "schema": schema("fqn"), "bare": bare("dep")})
     known = objects.select("fqn", F.upper("fqn").alias("full"), schema("fqn").alias("schema"), F.upper("name").alias("bare"))
     for level, keys in (("exact", ["full"]), ("same", ["schema", "bare"]), ("any", ["bare"])):
-        wanted = wanted.join(known.groupBy(*keys).agg(F.min("fqn").alias(level)), keys, "left")
+        wanted = wanted.join(known.groupBy(*keys).agg(F.min("fqn").alias(level)).hint(SORTED), keys, "left")
     found = wanted.select(F.col("fqn").alias("src"), F.coalesce("exact", "same", "any").alias("dst"))
     return found.where("src <> dst").distinct()
 
@@ -108,7 +110,7 @@ def doubled_closure(deps: DataFrame) -> DataFrame:
     found, reach = durable(deps.select("src", "dst").distinct().withColumn("depth", F.lit(1)), "pairs"), 1
     while True:
         far = found.where(F.col("depth") == reach).select("src", F.col("dst").alias("mid"))
-        step = far.join(found.select(F.col("src").alias("mid"), "dst", (F.col("depth") + reach).alias("depth")), "mid").select("src", "dst", "depth")
+        step = far.join(found.select(F.col("src").alias("mid"), "dst", (F.col("depth") + reach).alias("depth")).hint(SORTED), "mid").select("src", "dst", "depth")
         found = durable(found.unionByName(step).groupBy("src", "dst").agg(F.min("depth").alias("depth")), "pairs")
         reach *= 2
         if (found.agg(F.max("depth")).first()[0] or 0) < reach:
@@ -171,7 +173,7 @@ def joined_components(deps: DataFrame) -> DataFrame:
         rows, last = edge.count(), -1
         while rows != last:
             ins, outs = edge.select(F.col("dst").alias("src")).distinct(), edge.select(F.col("src").alias("dst")).distinct()
-            edge = durable(edge.join(ins, "src", "left_semi").join(outs, "dst", "left_semi").select("src", "dst"), "edges")
+            edge = durable(edge.join(ins.hint(SORTED), "src", "left_semi").join(outs.hint(SORTED), "dst", "left_semi").select("src", "dst"), "edges")
             last, rows = rows, edge.count()
         if not rows:
             break
@@ -203,18 +205,19 @@ def joined_components(deps: DataFrame) -> DataFrame:
 
 def condensed(deps: DataFrame, parts: DataFrame) -> DataFrame:
     """Edges between components (src, dst), each once."""
-    ends = deps.select("src", "dst").join(parts.select(F.col("node").alias("src"), F.col("component").alias("a")), "src").join(parts.select(F.col("node").alias("dst"), F.col("component").alias("b")), "dst")
+    ends = deps.select("src", "dst").join(parts.select(F.col("node").alias("src"), F.col("component").alias("a")).hint(SORTED), "src").join(parts.select(F.col("node").alias("dst"), F.col("component").alias("b")).hint(SORTED), "dst")
     return ends.where("a <> b").select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct()
 
 
 def reachable(deps: DataFrame) -> DataFrame:
     """(src, dst) for all that src needs, directly or not, itself included if it lies on a cycle: the closure between components, and all pairs within one."""
+    deps = durable(deps.select("src", "dst"), "edges")  # found once for all uses
     parts = durable(components(deps), "components")
     members = parts.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
     alone = deps.where("src = dst").select(F.col("src").alias("component")).distinct()
     within = members.union(alone).distinct().select(F.col("component").alias("src"), F.col("component").alias("dst"))
     pairs = closure(condensed(deps, parts)).select("src", "dst").unionByName(within)
-    ends = pairs.join(parts.select(F.col("component").alias("src"), F.col("node").alias("a")), "src").join(parts.select(F.col("component").alias("dst"), F.col("node").alias("b")), "dst")
+    ends = pairs.join(parts.select(F.col("component").alias("src"), F.col("node").alias("a")).hint(SORTED), "src").join(parts.select(F.col("component").alias("dst"), F.col("node").alias("b")).hint(SORTED), "dst")
     return ends.select(F.col("a").alias("src"), F.col("b").alias("dst"))
 
 
@@ -229,7 +232,7 @@ def base_tables(objects: DataFrame, deps: DataFrame) -> DataFrame:
     """For each view the tables at the end of its ways."""
     tables = objects.where("type = 'TABLE'").select(F.col("fqn").alias("dst"))
     views = objects.where("type = 'VIEW'").select(F.col("fqn").alias("src"))
-    return reachable(deps).join(tables, "dst", "left_semi").join(views, "src", "left_semi").groupBy("src").agg(F.array_join(F.array_sort(F.collect_set("dst")), ",").alias("base_tables")).withColumnRenamed("src", "fqn")
+    return reachable(deps).join(tables.hint(SORTED), "dst", "left_semi").join(views.hint(SORTED), "src", "left_semi").groupBy("src").agg(F.array_join(F.array_sort(F.collect_set("dst")), ",").alias("base_tables")).withColumnRenamed("src", "fqn")
 
 
 def missing_references(objects: DataFrame) -> DataFrame:

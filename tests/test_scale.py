@@ -27,3 +27,9 @@ def test_seeded_rows_are_dealt_to_more_tasks(spark, sf_dir, monkeypatch):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" not in plan and f"splits=Some({1 + n // 500})" in plan
     assert tuple(df.first()) == (n, n, n, n, 0)
+
+
+def test_base_tables_are_not_broadcast(spark, sf_dir):
+    df = QUERIES["graph_base_tables"](spark, sf_dir)
+    df.collect()
+    assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
