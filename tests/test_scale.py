@@ -1,5 +1,7 @@
 """What would hold up larger tables: ranks by one task, limits of a session, rows a task."""
 
+import re
+
 from concordat.operators import witness
 from concordat.plans import catalog_queries, object_queries, witness_queries  # noqa: F401
 from concordat.plans.dialect_queries import run
@@ -33,3 +35,16 @@ def test_base_tables_are_not_broadcast(spark, sf_dir):
     df = QUERIES["graph_base_tables"](spark, sf_dir)
     df.collect()
     assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_rows_of_a_correlated_subquery_keep_their_order(spark, sf_dir):
+    apply = QUERIES["tsql_apply_e2e"](spark, sf_dir)
+    window = re.search(r"row_number\(\) windowspecdefinition\([^)]*", apply._jdf.queryExecution().optimizedPlan().toString())[0]
+    assert "DESC" in window and "ASC" in window, window  # rows of a key come in any order from other machines
+    sql = "SELECT n.n_nationkey, (SELECT TOP 1 c.c_mktsegment FROM dbo.customer c WHERE c.c_nationkey = n.n_nationkey GROUP BY c.c_mktsegment ORDER BY COUNT(*) DESC, MIN(c.c_custkey)) AS most FROM dbo.nation n"
+    most = run(spark, sf_dir, sql, "mssql")
+    assert re.search(r"row_number\(\) windowspecdefinition\([^)]*DESC", most._jdf.queryExecution().optimizedPlan().toString())
+    counted = {}
+    for r in spark.read.parquet(f"{sf_dir}/customer.parquet").groupBy("c_nationkey", "c_mktsegment").agg({"*": "count", "c_custkey": "min"}).collect():
+        counted.setdefault(r[0], []).append((-r["count(1)"], r["min(c_custkey)"], r[1]))
+    assert {r[0]: r[1] for r in most.collect() if r[1]} == {k: min(v)[2] for k, v in counted.items()}
