@@ -105,9 +105,31 @@ def closure(deps: DataFrame) -> DataFrame:
 
 
 def doubled_closure(deps: DataFrame) -> DataFrame:
-    """closure() with joins. With all pairs up to a distance and those at just that distance in hand, a way of up to twice it is one of the latter
-    and one of the former, so each round doubles the distance, and comes on a pair once for each object halfway. Pairs of before have the least depths and stay."""
-    found, reach = durable(deps.select("src", "dst").distinct().withColumn("depth", F.lit(1)), "pairs"), 1
+    """closure() with joins. Objects that nothing needs lie on no way between others, so they are set aside, again and again while these are half of the
+    edges that are left; the closure of the rest is found by doubling, and each layer then takes what the objects that it needs reach, once."""
+    edge, layers = deps.select("src", "dst"), []
+    while True:
+        needed = edge.select(F.col("dst").alias("src")).distinct().withColumn("needed", F.lit(True))
+        held = durable(edge.join(needed.hint(SORTED), "src", "left").distinct(), "edges")  # distinct where src lies already
+        rows, left = held.agg(F.count("*"), F.count("needed")).first()
+        if 2 * left > rows or not rows:
+            break
+        layers.append(held.where("needed IS NULL").select("src", "dst"))
+        edge = held.where("needed").select("src", "dst")
+    found = doubled_pairs(held.select("src", "dst", F.lit(1).alias("depth")))
+    for k in range(len(layers) - 1, -1, -1):
+        outer = layers[k]
+        step = outer.withColumnRenamed("dst", "mid").join(found.select(F.col("src").alias("mid"), "dst", (F.col("depth") + 1).alias("depth")).hint(SORTED), "mid").select("src", "dst", "depth")
+        pairs = outer.withColumn("depth", F.lit(1)).unionByName(step).groupBy("src", "dst").agg(F.min("depth").alias("depth"))
+        found = found.unionByName(durable(pairs, "pairs") if k else pairs)
+    return found
+
+
+def doubled_pairs(pairs: DataFrame) -> DataFrame:
+    """The closure of edges (src, dst, depth 1), each there once. With all pairs up to a distance and those at just that distance in hand, a way of up to
+    twice it is one of the latter and one of the former, so each round doubles the distance, and comes on a pair once for each object halfway. Pairs of
+    before have the least depths and stay."""
+    found, reach = pairs, 1
     while True:
         far = found.where(F.col("depth") == reach).select("src", F.col("dst").alias("mid"))
         step = far.join(found.select(F.col("src").alias("mid"), "dst", (F.col("depth") + reach).alias("depth")).hint(SORTED), "mid").select("src", "dst", "depth")
@@ -168,7 +190,7 @@ def joined_components(deps: DataFrame) -> DataFrame:
     edge = durable(deps.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct(), "edges")
     nodes = edge.select(F.col("src").alias("node")).union(edge.select("dst")).distinct()
     found: list[DataFrame] = []
-    edge = durable(edge.where("src <> dst"), "edges")
+    edge = edge.where("src <> dst")
     while edge.limit(1).count():
         rows, last = edge.count(), -1
         while rows != last:

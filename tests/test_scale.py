@@ -2,7 +2,7 @@
 
 import re
 
-from concordat.operators import witness
+from concordat.operators import graph, witness
 from concordat.plans import catalog_queries, object_queries, witness_queries  # noqa: F401
 from concordat.plans.dialect_queries import run
 from concordat.plans.registry import QUERIES
@@ -48,3 +48,17 @@ def test_first_rows_of_a_correlated_subquery_keep_their_order(spark, sf_dir):
     for r in spark.read.parquet(f"{sf_dir}/customer.parquet").groupBy("c_nationkey", "c_mktsegment").agg({"*": "count", "c_custkey": "min"}).collect():
         counted.setdefault(r[0], []).append((-r["count(1)"], r["min(c_custkey)"], r[1]))
     assert {r[0]: r[1] for r in most.collect() if r[1]} == {k: min(v)[2] for k, v in counted.items()}
+
+
+def test_a_closure_is_not_written_again_in_each_round(spark, sf_dir, monkeypatch):
+    written, of = [], graph.durable
+    monkeypatch.setattr(graph, "durable", lambda df, name: (written.append((name, of(df, name))), written[-1][1])[1])
+    pairs = QUERIES["graph_keys_closure"](spark, sf_dir).agg({"n": "sum"}).first()[0]
+    assert sum(df.count() for name, df in written if name == "pairs") < pairs
+
+
+def test_layers_set_aside_reach_what_a_walk_finds(spark):
+    # a ring of three, two layers above it that meet again, a loop on the upper one, an edge twice
+    edges = [(1, 2), (2, 3), (3, 1), (10, 1), (11, 1), (10, 5), *((20 + i, 10 + i % 2) for i in range(9)), (20, 5), (20, 1), (20, 10), (30, 30), (30, 20)]
+    deps = spark.createDataFrame(edges, "src int, dst int")
+    assert sorted(map(tuple, graph.doubled_closure(deps).collect())) == sorted(map(tuple, graph.closure(deps).collect()))
