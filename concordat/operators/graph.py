@@ -185,12 +185,20 @@ def components(deps: DataFrame) -> DataFrame:
 
 
 def joined_components(deps: DataFrame) -> DataFrame:
-    """components() with joins. Nodes that nothing needs, or that need nothing, are components of their own and trimmed, again and again; of what
-    is left, each node takes the largest name that reaches it, and those that reach the node of their name through nodes of that name are its component."""
+    """components() with joins."""
     edge = durable(deps.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct(), "edges")
     nodes = edge.select(F.col("src").alias("node")).union(edge.select("dst")).distinct()
+    return nodes.join(rings(edge), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+def rings(deps: DataFrame) -> DataFrame:
+    """(node, component) of components() of two nodes or more. Nodes that nothing needs, or that need nothing, are components of their own and trimmed,
+    the former before edges are written, again and again; of what is left, each node takes the largest name that reaches it, and those that reach the
+    node of their name through nodes of that name are its component."""
+    edge = deps.select("src", "dst").where("src <> dst")
+    needed = edge.select(F.col("dst").alias("src")).distinct()
+    edge = durable(edge.join(needed.hint(SORTED), "src", "left_semi").distinct(), "edges")  # distinct where src lies already
     found: list[DataFrame] = []
-    edge = edge.where("src <> dst")
     while edge.limit(1).count():
         rows, last = edge.count(), -1
         while rows != last:
@@ -216,13 +224,11 @@ def joined_components(deps: DataFrame) -> DataFrame:
         found.append(reached)
         gone = reached.select(F.col("node").alias("src"))
         edge = durable(edge.join(gone, "src", "left_anti").join(gone.withColumnRenamed("src", "dst"), "dst", "left_anti").select("src", "dst"), "edges")
-    if not found:
-        return nodes.select("node", F.col("node").alias("component"))
-    named = found[0]
-    for f in found[1:]:
+    named = deps.limit(0).select(F.col("src").alias("node"), F.col("src").alias("name"))
+    for f in found:
         named = named.unionByName(f)
-    least = named.groupBy("name").agg(F.min("node").alias("component"))
-    return nodes.join(named.join(least, "name").select("node", "component"), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    least = named.groupBy("name").agg(F.min("node").alias("component"), F.count("*").alias("n")).where("n > 1")
+    return named.join(least, "name").select("node", "component")
 
 
 def condensed(deps: DataFrame, parts: DataFrame) -> DataFrame:

@@ -96,8 +96,7 @@ def graph_keys_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("WITH e AS (SELECT c_custkey - c_custkey % 100 AS first, c_custkey FROM customer WHERE c_custkey % 100 < 3), whole AS (SELECT first FROM e GROUP BY first HAVING count(*) = 3) SELECT 'c' || c_custkey AS node, 'c' || first AS component FROM e JOIN whole USING (first)")
 def graph_keys_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of two nodes or more, found with joins: the rings."""
-    parts = graph.joined_components(keys(spark, sf_dir))
-    return parts.join(parts.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component"), "component").select("node", "component")
+    return graph.rings(keys(spark, sf_dir))
 
 
 TEXTS = [

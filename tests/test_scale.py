@@ -62,3 +62,17 @@ def test_layers_set_aside_reach_what_a_walk_finds(spark):
     edges = [(1, 2), (2, 3), (3, 1), (10, 1), (11, 1), (10, 5), *((20 + i, 10 + i % 2) for i in range(9)), (20, 5), (20, 1), (20, 10), (30, 30), (30, 20)]
     deps = spark.createDataFrame(edges, "src int, dst int")
     assert sorted(map(tuple, graph.doubled_closure(deps).collect())) == sorted(map(tuple, graph.closure(deps).collect()))
+
+
+def test_edges_of_no_ring_are_not_written(spark, sf_dir, monkeypatch):
+    written, of = [], graph.durable
+    monkeypatch.setattr(graph, "durable", lambda df, name: (written.append(of(df, name)), written[-1])[1])
+    QUERIES["graph_keys_components"](spark, sf_dir)
+    assert max(df.count() for df in written) < spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+
+
+def test_rings_are_the_components_of_two_nodes_or_more(spark):
+    edges = [(1, 2), (2, 1), (2, 9), (9, 3), (3, 4), (4, 5), (5, 3), (6, 6), (7, 1), (1, 2), (None, 1), (5, None)]
+    deps = spark.createDataFrame(edges, "src int, dst int")
+    assert sorted(map(tuple, graph.rings(deps).collect())) == [(1, 1), (2, 1), (3, 3), (4, 3), (5, 3)]
+    assert graph.rings(deps.where("src = 6")).count() == 0
