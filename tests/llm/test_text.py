@@ -349,3 +349,14 @@ def test_a_licence_in_a_very_long_text_and_repeated_rows(spark):
     rows = [(1, prose + "Released under the MIT License.\n" + prose), (1, "Released under the MIT License."), (None, "Released under the MIT License."), (2, None)]
     got = {r.doc_id: (r.families, r.n_paragraphs) for r in scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
     assert got == {1: (["MIT"], 2), None: (["MIT"], 1)}
+
+
+def test_new_words_are_encoded_in_few_calls():
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    texts = ["ab cd's\n", "x été 日本語\U0001f600 a\nb", "end ", "a'll 12ab34 --x  y", "", " lead", "tab\t", *(f"word{i} n{i * 7919}x" for i in range(500))]
+    codec, calls = LibraryCodec(path, pattern), []
+    library = codec.library
+    want = [np.array(library.encode_ordinary(t), "<u4").tobytes() for t in texts]
+    codec.library = type("Counted", (), {"encode_ordinary": lambda self, t: (calls.append(t), library.encode_ordinary(t))[1]})()
+    assert codec.encode(texts) == want
+    assert len(calls) < len(texts) + 20  # the head of each text, and new words together
