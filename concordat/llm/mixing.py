@@ -42,6 +42,9 @@ LEVELS, FEW = np.array([1, 2, 3, 5, 9, 33, 257], np.float32), np.array([1, 9, 25
 GATES = (len(LEVELS) + 1) ** 2 * (len(FEW) + 1)
 BATCH, BUCKETS = 16384, 33
 LEAST = 1e-7
+#: Bytes lower-cased (A-Z), white space as spaces; more bits than any item has.
+FOLD = bytes(32 if 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in range(256))
+FAR = 1 << 40
 
 
 def held_out(key: str) -> Column:
@@ -52,7 +55,10 @@ class Texts:
     """The words of texts one after the other, each text closed by the word "\\n": names, ids and rows (texts)."""
 
     def __init__(self, texts: pa.Array) -> None:
-        text = pc.replace_substring_regex(pc.ascii_lower(texts.cast(pa.large_string()).fill_null("")), r"[\t-\r]", " ")
+        text = texts.cast(pa.large_string()).fill_null("")
+        _, places, raw = text.buffers()
+        if raw is not None:
+            text = pa.LargeStringArray.from_buffers(len(text), places, pa.py_buffer(raw.to_pybytes().translate(FOLD)), None, 0, text.offset)
         text = pc.binary_join_element_wise(text, pa.scalar("\n", pa.large_string()), pa.scalar(" ", pa.large_string()))
         parts = pc.split_pattern(text, " ")
         flat = parts.flatten().dictionary_encode()
@@ -65,14 +71,18 @@ class Texts:
         """For each word the class (from 1) of which most leading words stood before it in its text, of equal ones the first; 0 before any."""
         found = pc.index_in(self.names, pa.array(list(classes), self.names.type)).fill_null(-1).to_numpy(zero_copy_only=False)
         mine = np.append(np.array(list(classes.values()), np.int64), 0)[found][self.ids]
-        first = np.searchsorted(self.row, np.arange(self.n))[self.row]
-        best, topic = np.zeros(len(mine), np.int64), np.zeros(len(mine), np.int64)
+        leads = mine > 0
+        before = np.cumsum(leads) - leads  # leading words before each word
+        mine = mine[leads]
+        first = np.append(before, len(mine))[np.searchsorted(self.row, np.arange(self.n))]
+        size = np.bincount(self.row[leads], minlength=self.n)
+        best, after = np.zeros(len(mine), np.int64), np.zeros(len(mine) + 1, np.int64)
         for g in range(1, max(classes.values(), default=0) + 1):
-            seen = np.concatenate([[0], np.cumsum(mine == g)])[:-1]
-            seen = seen - seen[first]
-            more = seen > best
-            topic[more], best[more] = g, seen[more]
-        return topic
+            seen = np.concatenate([[0], np.cumsum(mine == g)])
+            seen = seen[1:] - np.repeat(seen[first], size)
+            after[:-1][seen > best] = g
+            np.maximum(best, seen, out=best)
+        return np.where(before > first[self.row], after[before - 1], 0)
 
     def grouped(self, *keys: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """The different combinations of keys (not negative), in order, and how often each occurs."""
@@ -225,14 +235,16 @@ def spelling(item: str) -> bytes:
 
 
 class Bits:
-    """All bits of items (in their order, topics within), one after the other: item, bit, node and the slots of short contexts; and the bits' contexts of whole
-    beginnings, which lie together in the order of items and so are counted by runs."""
+    """All bits of items, one after the other: item, bit, node and the slots of short contexts; and the bits' contexts of whole
+    beginnings, which lie together in the order of items and so are counted by runs. No item's bytes are the beginning of another's."""
 
     def __init__(self, tree: Tree, items: list[str], topic: np.ndarray) -> None:
         spelled = list(map(spelling, items))
         self.topic, size = topic.astype(np.int64), np.fromiter(map(len, spelled), np.int64, len(spelled))
         self.raw = raw = np.frombuffer(b"".join(spelled), np.uint8).astype(np.int64)
         self.size, self.start, row = size, np.cumsum(size) - size, np.repeat(np.arange(len(size)), size)
+        #: Items with bits in the order of their bytes, which is nearly the order that they come in.
+        self.order = np.array([k for k in sorted(range(len(items)), key=spelled.__getitem__) if spelled[k]], np.int64)
         self.tree, self.later = tree, np.fromiter((x[:1] == "\t" for x in items), np.int64, len(items))
         place, first = np.arange(len(raw)) - self.start[row], 256 + self.later[row]
         own = tree.sizes[raw]
@@ -272,50 +284,112 @@ class Bits:
             k += 1
         return np.concatenate([[-1], out])
 
-    def follow(self, topical: bool, count: np.ndarray, known: tuple[np.ndarray, np.ndarray] | None = None, out: np.ndarray | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """How often zeros and ones follow each bit's context, the bits before it of its item (and the topic, if topical), into out, which has an item's own.
-
-        Others may share the contexts of the first and last item of each segment (topic and kind of beginning). Without known and out only the hashes and
-        counts of these are looked for and returned, by number of bits; known has their sums over all by hash, which replace them.
-        """
+    def lines(self, topical: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Items with bits by segment (kind of beginning, and topic if topical) and in order, the bits that each has in common with the one before
+        (-1 where a segment begins), where segments begin, and their numbers."""
         segment = self.later + 2 * self.topic if topical else self.later
-        order = np.argsort(segment, kind="stable")
-        order = order[self.length[order] > 0]
+        order = self.order[np.argsort(segment[self.order], kind="stable")]
         common = self.shared(order, segment) if len(order) else order
-        ends = np.concatenate([common[1:] < 0, [True]]) | (common < 0) if len(order) else common > 0
-        seed = (np.uint64(1) + segment[order].astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93 if topical else 0xA0761D6478BD642F)
-        weight, deep, hashes, sums = count[order], 0, [], []
-        hashed = mix64(seed)
-        while len(order):
-            at = self.first[order] + deep
-            bit, new = self.bit[at], common < deep
-            new[0] = True
-            heads = np.flatnonzero(new)
-            ones, every = np.add.reduceat(weight * bit, heads), np.add.reduceat(weight, heads)
-            both, group = np.stack([every - ones, ones], 1), np.cumsum(new) - 1
-            seam = np.flatnonzero(ends)
-            if known is None:
-                different, one = np.unique(hashed[seam], return_index=True)
-                hashes.append(different)
-                sums.append(both[group[seam[one]]])
-            elif len(known[0]) and len(seam):
-                place = np.minimum(np.searchsorted(known[0], hashed[seam]), len(known[0]) - 1)
-                met = known[0][place] == hashed[seam]
-                both[group[seam[met]]] = known[1][place[met]]
-            if out is not None:
-                out[at] = both[group]
-            with np.errstate(over="ignore"):
-                hashed[seam] = mix64(hashed[seam] * MIX + bit[seam].astype(np.uint64) + np.uint64(1))
-            deep += 1
-            alone = new & np.append(new[1:], True) & ~ends
-            stays = (self.length[order] > deep) & ~alone
-            if known is None:  # only contexts of the ends are asked for
-                mine = np.zeros(len(heads), bool)
-                mine[group[seam]] = True
-                stays &= mine[group]
-            if not stays.all():
-                order, common, weight, ends, hashed = order[stays], common[stays], weight[stays], ends[stays], hashed[stays]
-        return hashes, sums
+        heads = np.flatnonzero(common < 0)
+        return order, common, heads, segment[order[heads]]
+
+    def hashes(self, items: np.ndarray, segment: np.ndarray, topical: bool) -> np.ndarray:
+        """Of the contexts of all bits of items in segments, one after the other: of the bits before, each times a number of its place."""
+        bits, ends = gathered(self.bit, self.length, items, self.first)
+        n = self.length[items]
+        with np.errstate(over="ignore"):
+            seed = (np.uint64(1) + segment.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93 if topical else 0xA0761D6478BD642F)
+            factor = mix64(np.arange(1, 1 + int(n.max(initial=0)), dtype=np.uint64) * MIX)
+            step = (bits.astype(np.uint64) + np.uint64(1)) * factor[np.arange(len(bits)) - np.repeat(ends - n, n)]
+            before = np.cumsum(step) - step
+            return mix64(before + np.repeat(mix64(seed) - before[ends - n], n))
+
+    def ends(self, topical: bool, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The contexts of the first and last item of each segment, which others may share: hashes, and how often zeros and ones follow here."""
+        order, common, heads, segment = self.lines(topical)
+        if not len(order):
+            return np.zeros(0, np.uint64), np.zeros((0, 2))
+        size = np.diff(np.append(heads, len(order)))
+        part, whole = np.repeat(np.arange(len(heads)), size), np.add.reduceat(count[order], heads)
+        first, last = with_ends(common, part)
+        hashes, sums = [], []
+        for end, near, least in ((heads, first, np.zeros(len(heads), np.int64)), (heads + size - 1, last, first[heads + size - 1] + 1)):
+            n = self.length[order[end]]
+            start = np.cumsum(n + 1) - n - 1  # one place more, for items that are equal to the end
+            other = np.bincount(start[part] + np.minimum(near, n[part]), count[order], int((n + 1).sum()))
+            bits, stop = gathered(self.bit, self.length, order[end], self.first)
+            deep = np.arange(len(bits)) - np.repeat(stop - n, n)
+            before = np.cumsum(other) - other
+            at = np.repeat(start, n) + deep
+            same = np.repeat(whole + before[start], n) - before[at] - other[at]
+            some = deep >= np.repeat(least, n)  # what the last has in common with the first is told once
+            hashes.append(self.hashes(order[end], segment, topical)[some])
+            sums.append(np.stack([np.where(bits, other[at], same), np.where(bits, same, other[at])], 1)[some])
+        return np.concatenate(hashes), np.concatenate(sums)
+
+    def follow(self, topical: bool, count: np.ndarray, known: tuple[np.ndarray, np.ndarray], out: np.ndarray) -> None:
+        """How often zeros and ones follow each bit's context, the bits before it of its item (and the topic, if topical), into out. known: hashes, in order, of
+        contexts that others share, and their sums over all.
+
+        Items that have a context in common lie together, and where one has the other bit, two neighbours part: so each place where neighbours
+        part tells the items around it how many take the other way, and what is left takes theirs.
+        """
+        order, common, heads, segment = self.lines(topical)
+        if not len(order):
+            return
+        size = np.diff(np.append(heads, len(order)))
+        part = np.repeat(np.arange(len(heads)), size)
+        ahead = np.concatenate([[0], np.cumsum(count[order])])
+        fork = np.flatnonzero((common >= 0) & (common < self.length[order]))
+        low, high = around(common, fork)
+        left, right = ahead[fork] - ahead[low], ahead[high] - ahead[fork]
+        place, n = ranges(np.concatenate([low, fork]), np.concatenate([fork, high]))
+        other = np.zeros(len(self.bit), np.int64)
+        other[self.first[order[place]] + np.repeat(np.tile(common[fork], 2), n)] = np.repeat(np.concatenate([right, left]), n)
+        before = np.concatenate([[0], np.cumsum(other)])
+        whole = np.zeros(len(self.size), np.int64)
+        whole[order] = (ahead[heads + size] - ahead[heads])[part]
+        same = np.repeat(whole + before[self.first], self.length) - before[1:]
+        out[:, 0], out[:, 1] = np.where(self.bit, other, same), np.where(self.bit, same, other)
+        if not len(known[0]):
+            return
+        first, last = with_ends(common, part)
+        for end, near, least in ((heads, first, np.zeros(len(heads), np.int64)), (heads + size - 1, last, first[heads + size - 1] + 1)):
+            hashes, n = self.hashes(order[end], segment, topical), self.length[order[end]]
+            start = np.cumsum(n) - n
+            place = np.minimum(np.searchsorted(known[0], hashes), len(known[0]) - 1)
+            met = np.add.reduceat(known[0][place] == hashes, start, dtype=np.int64)  # a beginning: who shares a context shares those before it
+            stop = np.minimum(np.minimum(near + 1, self.length[order]), met[part])
+            deep, n = ranges(least[part], stop)
+            out[np.repeat(self.first[order], n) + deep] = known[1][place[np.repeat(start[part], n) + deep]]
+
+
+def ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers from each low to before its high, one range after the other, and how many each has."""
+    n = np.maximum(high - low, 0)
+    ends = np.cumsum(n)
+    return np.repeat(low - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0), n
+
+
+def with_ends(common: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many bits each item of segments has in common with the first and with the last of its segment; these with themselves FAR - 1."""
+    first = np.minimum.accumulate(np.where(common < 0, FAR - 1, common) - part * FAR) + part * FAR
+    after = np.append(common[1:], -1)
+    last = np.minimum.accumulate((np.where(after < 0, FAR - 1, after) + part * FAR)[::-1])[::-1] - part * FAR
+    return first, last
+
+
+def around(common: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For some places (not where a segment begins) the nearest before and after them where less is in common, found by jumps that double."""
+    held, out = np.append(common, -1), []
+    for way in (-1, 1):
+        near = np.arange(len(held)) + way
+        left = np.flatnonzero(held >= 0)
+        while len(left):
+            left = left[held[near[left]] >= held[left]]
+            near[left] = near[near[left]]
+        out.append(near[some])
+    return out[0], out[1]
 
 
 def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
@@ -345,8 +419,7 @@ def seams(tree: Tree, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         if size > 4_000_000:
             add_up_slots()
         for topical in (False, True):
-            hashes, sums = bits.follow(topical, c.astype(np.float64))
-            contexts, n = np.concatenate([*hashes, np.array([], np.uint64)]), np.concatenate([*sums, np.zeros((0, 2))])
+            contexts, n = bits.ends(topical, c)
             none = pa.nulls(len(contexts), pa.int32())
             yield made(part=pa.array([part] * len(contexts), pa.int32()), context=pa.array(contexts.view(np.int64)), zeros=pa.array(n[:, 0]), ones=pa.array(n[:, 1]), block=none, k=pa.nulls(len(contexts), pa.int64()), sums=pa.nulls(len(contexts), pa.binary()))
     add_up_slots()
@@ -370,11 +443,8 @@ class Evidence:
         self.n = np.empty((PREDICTORS, len(bits.bit), 2), np.float32)
         for k, s in enumerate(bits.slots):
             np.take(short, s, 0, self.n[k], "clip")
-        own = self.c.astype(np.float32)[bits.item]
         for k, topical in enumerate((False, True), len(SHORT)):
-            np.multiply(own, bits.bit, out=self.n[k, :, 1])
-            np.subtract(own, self.n[k, :, 1], out=self.n[k, :, 0])
-            bits.follow(topical, self.c.astype(np.float64), (known[order], sums), self.n[k])
+            bits.follow(topical, self.c, (known[order], sums), self.n[k])
 
     def without_own(self, some: slice) -> np.ndarray:
         """Counts without one occurrence of the item that the bit is of, as for one that is yet to be seen."""
@@ -414,6 +484,7 @@ class Mixer:
         self.maps = np.zeros((255 * BUCKETS, 2))
 
     def learn(self, x: np.ndarray, gate: np.ndarray, node: np.ndarray, bit: np.ndarray, count: np.ndarray, rate: float = 0.1) -> None:
+        x, gate, node, bit, count = map(np.ascontiguousarray, (x, gate, node, bit, count))  # each is gone through many times
         logit = np.einsum("ij,ij->i", self.w.astype(np.float32)[gate], x)
         error = (bit - squash(logit)) * count
         scale = np.bincount(gate, count, GATES)
@@ -490,7 +561,7 @@ def stretched(pairs: DataFrame, tree: Broadcast) -> tuple[DataFrame, np.ndarray]
     spark = pairs.sparkSession
     chars = pairs.agg(F.sum(F.length("item"))).first()[0] or 0
     stretches = 1 + chars // STRETCH
-    parts = durable(pairs.repartitionByRange(stretches, "item").withColumn("part", F.spark_partition_id()), "stretches")
+    parts = durable(pairs.repartitionByRange(stretches, F.concat("item", F.lit(" "))).withColumn("part", F.spark_partition_id()), "stretches")
     schema = "part int, context long, zeros double, ones double, block int, k long, sums binary"
     found = durable(in_arrow(dealt(parts.select("part", "item", "topic", "c")), lambda b: seams(tree.value, b), schema), "seams")
     level = found.where("block IS NOT NULL").select("block", "k", "sums")
