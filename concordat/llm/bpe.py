@@ -13,7 +13,6 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -265,39 +264,21 @@ class Codec:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-class LibraryCodec(Codec):
-    """The same ids, new pieces encoded by the tiktoken library."""
+class LibraryCodec:
+    """The same ids by the tiktoken library, which splits and encodes each text whole: that takes less than looking up its words."""
 
     def __init__(self, path: str, pattern: str) -> None:
-        super().__init__(path, pattern)
         import tiktoken
 
-        self.library = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks={b: i for i, b in self.token.items()}, special_tokens={})
-        self.width = np.zeros(max(self.token) + 1, np.int64)
-        self.width[list(self.token)] = list(map(len, self.token.values()))
+        ranks = read_ranks(path)
+        self.token = {i: b for b, i in ranks.items()}
+        self.library = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def _slice(self, texts: list[str]) -> list[bytes]:
-        """As above, but the library splits and encodes each new word with the space before it, and other texts whole."""
-        encode = self.library.encode_ordinary
-        even = [self.by_space and not self.uneven(t) for t in texts]
-        heads, tails = self._by_words([t for t, e in zip(texts, even) if e])
-        made = iter([array("I", encode(h)).tobytes() + t for h, t in zip(heads, tails)])
-        return [next(made) if e else array("I", encode(t)).tobytes() for t, e in zip(texts, even)]
+    decode = Codec.decode
 
-    def _learn_words(self, words: list[str]) -> None:
-        """In one text, whose ids are told apart by the bytes that they stand for; words with white space at an end would meet the next."""
+    def encode(self, texts: list[str]) -> list[bytes]:
         encode = self.library.encode_ordinary
-        alone = [w for w in words if not w or w[0].isspace() or w[-1].isspace()]
-        if alone:
-            self.words.update({w: array("I", encode(" " + w)).tobytes() for w in alone})
-            words = list(set(words).difference(alone))
-        if not words:
-            return
-        ids = np.array(encode(" " + " ".join(words)), "<u4")
-        ends = np.cumsum(pc.binary_length(pa.array(words, pa.large_string())).to_numpy() + 1)
-        last = 4 * (np.searchsorted(np.cumsum(self.width[ids]), ends) + 1)
-        raw, last = ids.tobytes(), last.tolist()
-        self.words.update({w: raw[a:b] for w, a, b in zip(words, [0, *last], last)})
+        return [array("I", encode(t)).tobytes() for t in texts]
 
 
 @functools.lru_cache(maxsize=1)

@@ -360,3 +360,11 @@ def test_new_words_are_encoded_in_few_calls():
     codec.library = type("Counted", (), {"encode_ordinary": lambda self, t: (calls.append(t), library.encode_ordinary(t))[1]})()
     assert codec.encode(texts) == want
     assert len(calls) < len(texts) + 20  # the head of each text, and new words together
+
+
+def test_the_library_encodes_each_text_whole():
+    codec, calls = LibraryCodec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN), []
+    library, texts = codec.library, ["ab cd's\n", "x été 日本語\U0001f600 a\nb", "two  spaces ", "", "a b a b " * 300, "<|endoftext|>"]
+    codec.library = type("Counted", (), {"encode_ordinary": lambda self, t: (calls.append(t), library.encode_ordinary(t))[1]})()
+    assert codec.encode(texts) == Codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).encode(texts)
+    assert calls == texts
